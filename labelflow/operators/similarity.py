@@ -171,12 +171,12 @@ def ranked_lists(
     matches: DataFrame, key: str, columns: dict[str, str], score: str = "score", tie: str = "label"
 ) -> DataFrame:
     """Matches of each record as aligned lists, highest score first. One row per record."""
-    fields = {alias: F.col(c) for alias, c in columns.items()}
     entry = F.struct(
-        (-F.col(score)).alias("_s"), F.col(tie).cast("string").alias("_t"), *[c.alias(f"_{a}") for a, c in fields.items()]
+        (-F.col(score)).alias("order_score"), F.col(tie).cast("string").alias("order_tie"),
+        *[F.col(c).alias(f"value_{alias}") for alias, c in columns.items()],
     )
     grouped = matches.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_m"))
-    return grouped.select(key, *[F.transform("_m", _getter(f"_{a}")).alias(a) for a in columns])
+    return grouped.select(key, *[F.transform("_m", _getter(f"value_{alias}")).alias(alias) for alias in columns])
 
 
 def _getter(name: str):

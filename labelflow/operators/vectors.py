@@ -21,22 +21,11 @@ UNIT = 1 << 16
 
 def bucket_words(text: str | Column, dim: int) -> Column:
     """Hash bucket of every word of the text (repeats stay)."""
-    return F.transform(
-        words(text), lambda w: F.conv(F.substring(F.md5(w.cast("binary")), 1, 8), 16, 10).cast("bigint") % dim
-    )
+    def bucket(word: Column) -> Column:
+        head = F.conv(F.substring(F.md5(word.cast("binary")), 1, 8), 16, 10).cast("bigint")
+        return (head % dim).cast("int")
 
-
-def _count_buckets(dim: int):
-    def count(rows: pd.Series) -> pd.Series:
-        lengths = rows.map(len).to_numpy()
-        if lengths.sum() == 0:
-            return pd.Series([np.zeros(dim) for _ in lengths])
-        flat = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows])
-        offset = np.repeat(np.arange(len(lengths), dtype=np.int64) * dim, lengths)
-        grid = np.bincount(flat + offset, minlength=len(lengths) * dim).reshape(len(lengths), dim)
-        return pd.Series(list(grid.astype(np.float64)))
-
-    return F.pandas_udf(count, T.ArrayType(T.DoubleType()))
+    return F.transform(words(text), bucket)
 
 
 def bucket_weights(df: DataFrame, text: str, dim: int) -> DataFrame:
@@ -51,27 +40,26 @@ def bucket_weights(df: DataFrame, text: str, dim: int) -> DataFrame:
 
 
 def embed_text(df: DataFrame, text: str, dim: int = 64, out: str = "vector", weights: DataFrame | None = None) -> DataFrame:
-    """Attach a unit-length hashed TF-IDF vector of the whole text.
+    """Attach a unit-length hashed TF-IDF vector of the whole text; a text without words gets zeros.
 
     ``weights`` come from the same texts unless given, so labels can be embedded with the weights
-    of the records. The rows themselves are not shuffled.
+    of the records. They are computed at once (``dim`` numbers reach the driver); the rows
+    themselves are not shuffled: words are hashed in the JVM and counted per Arrow batch.
     """
-    weights = bucket_weights(df, text, dim) if weights is None else weights
-    table = weights.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "weight")))).scalar()
-    per_bucket = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)), lambda b: F.coalesce(F.try_element_at("_idf", b.cast("bigint")), F.lit(0.0))
-    )
-    counted = df.withColumn("_tf", _count_buckets(dim)(F.coalesce(bucket_words(text, dim), F.array().cast("array<bigint>"))))
-    # the weight list is one scalar; it is laid out once in its own subquery row
-    layout = weights.sparkSession.range(1).withColumn("_idf", table).select(per_bucket.alias("w")).scalar()
-    weighted = F.zip_with("_tf", "_w", lambda a, b: a * b)
-    raw = counted.withColumn("_w", layout).withColumn("_x", weighted).drop("_tf", "_w")
-    norm = F.sqrt(F.aggregate("_x", F.lit(0.0), lambda a, x: a + x * x))
-    unit = raw.withColumn("_n", norm).withColumn(
-        out, F.when(F.col("_n") > 0, F.transform("_x", lambda x: (x / F.col("_n")).cast("float")))
-        .otherwise(F.transform("_x", lambda x: F.lit(0.0).cast("float")))
-    )
-    return unit.drop("_x", "_n")
+    idf = np.zeros(dim)
+    table = (bucket_weights(df, text, dim) if weights is None else weights).toPandas()
+    idf[table["bucket"].to_numpy(np.int64)] = table["weight"].to_numpy()
+
+    def embed(rows: pd.Series) -> pd.Series:
+        lengths = rows.map(len).to_numpy()
+        flat = np.concatenate([np.asarray(r, dtype=np.int64) for r in rows]) if len(rows) else np.zeros(0, np.int64)
+        offset = np.repeat(np.arange(len(lengths), dtype=np.int64) * dim, lengths)
+        grid = np.bincount(flat + offset, minlength=len(lengths) * dim).reshape(len(lengths), dim) * idf
+        norm = np.sqrt((grid * grid).sum(axis=1, keepdims=True))
+        return pd.Series(list((grid / np.where(norm > 0, norm, 1.0)).astype(np.float32)))
+
+    buckets = F.coalesce(bucket_words(text, dim), F.array().cast("array<int>"))
+    return df.withColumn(out, F.pandas_udf(embed, T.ArrayType(T.FloatType()))(buckets))
 
 
 # -- clustering -------------------------------------------------------------------------------

@@ -160,12 +160,14 @@ def j5_words(t: Tables):
     return O.match_keywords(documents(t), "text", names, 3, word_match=True).select("id", joined("labels").alias("labels"))
 
 
-SAID = REPLIES + r""", said AS (
-  SELECT id, list_filter(list_transform(string_split(reply, ','), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS items FROM replies)"""
+SAID = REPLIES + r""", lists AS (
+  SELECT id, list_filter(list_transform(string_split(reply, ','), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS l FROM replies),
+said AS (SELECT id, unnest(l) AS item, generate_subscripts(l, 1) AS i FROM lists),
+known AS (SELECT said.*, label IS NOT NULL AS ok FROM said LEFT JOIN phrases ON label = item)"""
 
 
 @query("J6_validate_labels", f"""WITH {SAID}
-SELECT id, array_to_string(list_filter(items, lambda x: list_contains((SELECT list(label) FROM phrases), x)), '|') AS valid FROM said""")
+SELECT replies.id, coalesce(string_agg(item, '|' ORDER BY i) FILTER (ok), '') AS valid FROM replies LEFT JOIN known ON known.id = replies.id GROUP BY 1""")
 def j6(t: Tables):
     said = replies(t).withColumn("items", L.split_items("reply"))
     return O.validate_labels(said, "id", "items", phrases(t), "valid").select("id", joined("valid").alias("valid"))
@@ -179,7 +181,7 @@ def j6_row(t: Tables):
 
 
 @query("J7_U4_unknown_labels", f"""WITH {SAID}
-SELECT id, array_to_string(list_sort(list_distinct(list_filter(items, lambda x: NOT list_contains((SELECT list(label) FROM phrases), x)))), '|') AS unknown FROM said""")
+SELECT replies.id, coalesce(array_to_string(list_sort(list(DISTINCT item) FILTER (NOT ok)), '|'), '') AS unknown FROM replies LEFT JOIN known ON known.id = replies.id GROUP BY 1""")
 def j7(t: Tables):
     said = replies(t).withColumn("items", L.split_items("reply"))
     return O.unknown_labels(said, "id", "items", phrases(t), "unknown").select("id", joined("unknown").alias("unknown"))
