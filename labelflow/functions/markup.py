@@ -100,3 +100,7 @@ def visible_text(markup: str) -> str | None:
 def parse_markup(texts: pd.Series) -> pd.Series:
     """NULL in, NULL out: rows without markup arrive as NULL and cost nothing."""
     return texts.map(lambda t: None if t is None else visible_text(t))
+
+
+# Same function, marked so that Spark neither repeats it nor moves a filter on its result below it.
+parse_markup_once = F.pandas_udf(parse_markup.func, StringType()).asNondeterministic()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .markup import collapse_blanks, parse_markup, strip_markup_sql
+from .markup import collapse_blanks, parse_markup, parse_markup_once, strip_markup_sql
 
 __all__ = [
     "clean_text", "clean_text_flagged", "blank_to_empty", "parse_time", "combine_text", "summary_text",
@@ -25,15 +25,17 @@ def _marked(c: Column) -> Column:
     return F.contains(c, F.lit("<")) | F.contains(c, F.lit("&"))
 
 
-def clean_text(c: str | Column, mode: str = "parser") -> Column:
+def clean_text(c: str | Column, mode: str = "parser", once: bool = False) -> Column:
     """Visible text of ``c`` with blanks collapsed; NULL gives ``''``.
 
     ``parser`` sends rows that hold ``<`` or ``&`` to the HTML parser and cleans the others in
-    the JVM; ``sql`` stays in the JVM for all rows (see ``markup`` for when both agree).
+    the JVM; ``sql`` stays in the JVM for all rows (see ``markup`` for when both agree). Set
+    ``once`` where a later filter reads the result, so that the parser does not run again for it.
     """
     c = _c(c)
     if mode == "parser":
-        text = F.when(_marked(c), parse_markup(F.when(_marked(c), c))).otherwise(collapse_blanks(c))
+        parse = parse_markup_once if once else parse_markup
+        text = F.when(_marked(c), parse(F.when(_marked(c), c))).otherwise(collapse_blanks(c))
     elif mode == "sql":
         text = collapse_blanks(F.when(_marked(c), strip_markup_sql(c)).otherwise(c))
     else:

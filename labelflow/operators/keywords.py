@@ -11,6 +11,9 @@ results and are chosen by the measured size of the term table:
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,49 +84,45 @@ def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key
 
 
 def _automaton(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
-    # size checked by the caller
+    return _scan_texts(df, body, terms, out, lambda own, found: sorted(set().union(*[own[t] for t in found]))[:k])
+
+
+def _scan_texts(df: DataFrame, body: Column, terms: DataFrame, out: str, pick) -> DataFrame:
+    """One pass of a multi-pattern matcher per text; ``pick`` turns the distinct terms found into
+    label numbers in taxonomy order. The caller has checked the size of ``terms``."""
     rows = terms.orderBy("pos", "label").select("label", "terms").toPandas()
     names = rows["label"].tolist()
     owners: dict[str, list[int]] = {}
     for i, own in enumerate(rows["terms"]):
         for term in own:
             owners.setdefault(term, []).append(i)
-    shared = df.sparkSession.sparkContext.broadcast((names, owners))
+    shared = df.sparkSession.sparkContext.broadcast((names, list(owners), list(owners.values())))
 
-    def match(texts):
+    def match(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import ahocorasick
 
-        names, owners = shared.value
+        names, words, own = shared.value
         machine = ahocorasick.Automaton()
-        for term, own in owners.items():
-            machine.add_word(term, (term, own))
-        if owners:
+        for number, word in enumerate(words):
+            machine.add_word(word, number)
+        if words:
             machine.make_automaton()
         for batch in texts:
-            yield pd.Series([_first_labels(machine, names, text, k) if owners else [] for text in batch])
+            yield pd.Series([
+                [names[i] for i in pick(own, {t for _, t in machine.iter(text)})] if text and words else []
+                for text in batch
+            ])
 
-    udf = F.pandas_udf(_iterator(match), T.ArrayType(T.StringType()))
+    udf = F.pandas_udf(match, T.ArrayType(T.StringType()))
     return df.withColumn(out, F.coalesce(udf(body), empty_strings()))
 
 
-def _iterator(fn):
-    """Give ``fn`` the type hints Spark reads to pick the iterator form."""
-    from collections.abc import Iterator
+def _best_by_overlap(k: int):
+    def pick(own: list[list[int]], found: set[int]) -> list[int]:
+        score = Counter(i for t in found for i in own[t])
+        return sorted(score, key=lambda i: (-score[i], i))[:k]
 
-    fn.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return fn
-
-
-def _first_labels(machine, names: list[str], text: str | None, k: int) -> list[str]:
-    if not text:
-        return []
-    seen: set[str] = set()
-    hits: set[int] = set()
-    for _, (term, own) in machine.iter(text):
-        if term not in seen:
-            seen.add(term)
-            hits.update(own)
-    return [names[i] for i in sorted(hits)[:k]]
+    return pick
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -164,17 +163,19 @@ def _grams(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key:
 
 
 def term_overlap(
-    df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, out: str = "labels",
+    df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, out: str = "labels", form: str = "auto",
 ) -> DataFrame:
     """The ``k`` labels with most distinct terms contained in the text; ties in taxonomy order.
 
-    Bound: the term table must fit the inline or broadcast limit, else ``ValueError``.
+    The term table must fit the broadcast bound, else ``ValueError``.
     """
-    spark = df.sparkSession
     terms = label_terms(labels).select("label", "pos", "terms")
-    n, size = measure(terms.select("label", F.explode("terms").alias("term")), "label", "term")
-    if size > setting(spark, "broadcastBytes"):
+    form = _choose(terms) if form == "auto" else form
+    if form == "grams":
         raise ValueError("label table too large for term overlap; use match_keywords")
+    body = F.lower(F.col(text))
+    if form == "automaton":
+        return _scan_texts(df, body, terms, out, _best_by_overlap(k))
     table = terms.agg(F.array_sort(F.collect_list(F.struct("pos", "label", "terms")))).scalar()
 
     def best(row: Column) -> Column:
@@ -188,5 +189,6 @@ def term_overlap(
         hit = F.filter(scored, lambda s: s["s"] < 0)
         return F.transform(F.slice(F.array_sort(hit), 1, k), lambda s: s["label"])
 
-    bound = F.array(F.struct(F.lower(F.col(text)).alias("body"), F.col("_terms").alias("table")))
-    return df.withColumn("_terms", table).withColumn(out, F.transform(bound, best)[0]).drop("_terms")
+    bound = F.array(F.struct(body.alias("body"), F.col("_terms").alias("table")))
+    found = df.withColumn("_terms", table).withColumn(out, F.transform(bound, best)[0]).drop("_terms")
+    return found.withColumn(out, F.coalesce(F.col(out), empty_strings()))

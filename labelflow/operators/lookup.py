@@ -1,15 +1,20 @@
 """Look up every item of a list column in a label table.
 
-One operator, ``map_list``, carries entity matching, label validation and hierarchy closure. A
-small mapping is bound as one map value and the rows are mapped in place, without a shuffle. A
-mapping beyond the bound is met in an equi join, salted by record so that an item that stands in
-a third of all lists is spread over many tasks.
+One operator, ``map_list``, carries entity matching, label validation and hierarchy closure. Forms,
+chosen by the measured size of the mapping:
+
+* ``inline``    a few entries: one map value, looked up in the JVM, no shuffle
+* ``broadcast`` entries within the bound: a hash table per worker, Arrow batches, no shuffle
+* ``join``      any size: equi join, salted by record so that an item that stands in a third of all
+                lists is spread over many tasks
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import empty_strings, or_empty
 from ..settings import measure, salt_values, setting
@@ -30,12 +35,15 @@ def map_list(
     """Replace each item of ``column`` by ``mapping(item, values)`` and flatten.
 
     Items without an entry are kept or dropped. ``as_set`` gives distinct sorted items, else the
-    order and the repeats stay. ``form``: ``inline``, ``join``, or ``auto`` by measured size.
+    order and the repeats stay.
     """
     if form == "auto":
         n, size = measure(mapping, "item", "values")
         spark = df.sparkSession
-        form = "inline" if n <= setting(spark, "inlineRows") and size <= setting(spark, "inlineBytes") else "join"
+        if n <= setting(spark, "inlineRows") and size <= setting(spark, "inlineBytes"):
+            form = "inline"
+        else:
+            form = "broadcast" if size <= setting(spark, "broadcastBytes") else "join"
     as_key = F.lower if lower else (lambda c: c)
     missing = (lambda x: F.array(x)) if keep_unmatched else (lambda x: empty_strings())
     finish = (lambda c: F.array_sort(F.array_distinct(c))) if as_set else (lambda c: c)
@@ -46,6 +54,9 @@ def map_list(
         found = F.flatten(F.transform(items, lambda x: F.coalesce(F.try_element_at(F.col("_map"), as_key(x)), missing(x))))
         return df.withColumn("_map", entries).withColumn(out, finish(found)).drop("_map")
 
+    if form == "broadcast":
+        return df.withColumn(out, _hash_lookup(mapping, keep_unmatched, as_set)(items, F.transform(items, as_key)))
+
     salt = F.pmod(F.xxhash64(key), F.lit(SALTS))
     left = df.select(F.col(key), F.posexplode(items).alias("_pos", "_raw"))
     left = left.withColumn("_item", as_key(F.col("_raw"))).withColumn("_salt", salt)
@@ -61,6 +72,22 @@ def map_list(
     return base.join(flat, key, "left").withColumn(out, or_empty(out))
 
 
+def _hash_lookup(mapping: DataFrame, keep_unmatched: bool, as_set: bool):
+    rows = mapping.select("item", "values").toPandas()  # size checked by the caller
+    table = {item: list(values) for item, values in zip(rows["item"], rows["values"])}
+    shared = mapping.sparkSession.sparkContext.broadcast(table)
+
+    def lookup(lists: pd.Series, keys: pd.Series) -> pd.Series:
+        table = shared.value
+        out = []
+        for raw, items in zip(lists, keys):
+            found = [v for x, item in zip(raw, items) for v in table.get(item, (x,) if keep_unmatched else ())]
+            out.append(sorted(set(found)) if as_set else found)
+        return pd.Series(out)
+
+    return F.pandas_udf(lookup, T.ArrayType(T.StringType()))
+
+
 def match_entities(df: DataFrame, key: str, column: str, labels: DataFrame, out: str, form: str = "auto") -> DataFrame:
     """Labels equal to an entity but for case, in the label's own case, distinct and sorted."""
     mapping = labels.groupBy(F.lower("label").alias("item")).agg(F.array(F.max("label")).alias("values"))

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions import sample_order, words
 
-__all__ = ["bucket_words", "bucket_weights", "embed_text", "cluster_vectors", "cluster_ml", "assign_clusters"]
+__all__ = ["bucket_words", "bucket_weights", "weight_vector", "embed_text", "cluster_vectors", "cluster_ml", "assign_clusters"]
 
 # 1.0 in fixed point. Products of two such numbers, summed over up to 2**20 dimensions, stay below
 # 2**53, so float64 arithmetic on them is exact in any order.
@@ -39,16 +39,22 @@ def bucket_weights(df: DataFrame, text: str, dim: int) -> DataFrame:
     return seen.select("bucket", F.log((total + 1.0) / (F.col("n") + 1.0)).alias("weight"))
 
 
-def embed_text(df: DataFrame, text: str, dim: int = 64, out: str = "vector", weights: DataFrame | None = None) -> DataFrame:
+def weight_vector(df: DataFrame, text: str, dim: int) -> np.ndarray:
+    """The bucket weights as one array; runs a job that returns ``dim`` rows at most."""
+    weights = np.zeros(dim)
+    table = bucket_weights(df, text, dim).toPandas()
+    weights[table["bucket"].to_numpy(np.int64)] = table["weight"].to_numpy()
+    return weights
+
+
+def embed_text(df: DataFrame, text: str, dim: int = 64, out: str = "vector", weights: np.ndarray | None = None) -> DataFrame:
     """Attach a unit-length hashed TF-IDF vector of the whole text; a text without words gets zeros.
 
     ``weights`` come from the same texts unless given, so labels can be embedded with the weights
-    of the records. They are computed at once (``dim`` numbers reach the driver); the rows
-    themselves are not shuffled: words are hashed in the JVM and counted per Arrow batch.
+    of the records. The rows are not shuffled: words are hashed in the JVM and counted per Arrow
+    batch.
     """
-    idf = np.zeros(dim)
-    table = (bucket_weights(df, text, dim) if weights is None else weights).toPandas()
-    idf[table["bucket"].to_numpy(np.int64)] = table["weight"].to_numpy()
+    idf = weight_vector(df, text, dim) if weights is None else weights
 
     def embed(rows: pd.Series) -> pd.Series:
         lengths = rows.map(len).to_numpy()

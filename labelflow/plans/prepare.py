@@ -30,8 +30,8 @@ def clean_records(records: DataFrame, mode: str = "parser") -> DataFrame:
     )
     cleaned = (
         spread(some)
-        .withColumn("cleaned_title", clean_text("title", mode))
-        .withColumn("cleaned_content", clean_text("content", mode))
+        .withColumn("cleaned_title", clean_text("title", mode, once=True))
+        .withColumn("cleaned_content", clean_text("content", mode, once=True))
         .withColumn("created_at_dt", parse_time("created_at"))
     )
     return cleaned.filter((F.col("cleaned_title") != "") | (F.col("cleaned_content") != ""))

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import combine_lists, match_entities
-from ..operators.replies import Provider, entity_reply, extract_fields
+from ..operators.replies import Provider, extract_fields, mentioned_entities
 from ..operators.similarity import attach_nearest
 from ..operators.stats import label_statistics
 from ..operators.taxonomy import with_label_text
-from ..operators.vectors import bucket_weights, embed_text
+from ..operators.vectors import embed_text, weight_vector
+from ..settings import written
 from ..sources.sinks import run_manifest, write_csv, write_json_lines, write_manifest
 
 __all__ = ["enrich_semantic", "store_semantic"]
@@ -21,16 +22,16 @@ def enrich_semantic(
 ) -> DataFrame:
     """Add the ``k`` nearest labels, mentioned entities, their exact label matches, and the union.
 
-    Without a provider entities are found by pattern, in the record's own row.
+    Without a provider entities are found by pattern, in the record's own row. The prepared table
+    is written once, because the word weights need a pass of their own.
     """
-    weights = bucket_weights(prepared, "combined_text", dim)
+    prepared = written(prepared, "prepared")
+    weights = weight_vector(prepared, "combined_text", dim)
     points = embed_text(prepared, "combined_text", dim, weights=weights)
     targets = embed_text(with_label_text(labels), "label_plus_desc", dim, weights=weights)
     near = attach_nearest(points, targets, k, prefix="ontology_").drop("vector", "ontology_descriptions")
     near = near.withColumnsRenamed({f"ontology_{c}": f"ontology_{c}_k" for c in ("labels", "scores", "paths")})
     if provider is None:
-        from ..operators.replies import mentioned_entities
-
         found = near.withColumn("mentioned_entities", mentioned_entities("combined_text"))
     else:
         requests = near.select(F.col("id").cast("string").alias("request_id"), F.col("combined_text").alias("text"))
@@ -45,7 +46,11 @@ def enrich_semantic(
 
 
 def store_semantic(enriched: DataFrame, path: str, run_id: str) -> DataFrame:
-    """Write the flat file, the JSON lines, the label statistics and the run summary; return it."""
+    """Write the flat file, the JSON lines, the label statistics and the run summary; return it.
+
+    The enriched table is computed once; all files are made from the written copy.
+    """
+    enriched = written(enriched, "enriched")
     files = {n: f"{path}/{n}" for n in ("enriched_csv", "enriched_jsonl", "label_statistics", "summary")}
     write_json_lines(enriched, files["enriched_jsonl"])
     write_csv(enriched, files["enriched_csv"])

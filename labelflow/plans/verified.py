@@ -12,7 +12,7 @@ from ..operators.lookup import close_hierarchy, update_by_key
 from ..operators.replies import Provider, extract_fields, one_line_summary, verification_requests, verify_candidates
 from ..operators.similarity import attach_nearest
 from ..operators.taxonomy import first_by_label, with_label_text
-from ..operators.vectors import bucket_weights, cluster_vectors, embed_text
+from ..operators.vectors import cluster_vectors, embed_text, weight_vector
 from ..settings import written
 from ..sources.records import as_records, keep_columns, with_row_id
 from .prepare import clean_records
@@ -54,7 +54,7 @@ def enrich_verified(
     unique_labels = first_by_label(labels)
     cleaned = keep_newest(clean_records(with_row_id(as_records(records)), mode), "url", "created_at_dt")
     base = written(with_summaries(cleaned, summaries), "summaries")
-    weights = bucket_weights(base, "combined_text", dim)
+    weights = weight_vector(base, "combined_text", dim)
     targets = embed_text(with_label_text(unique_labels), "label_plus_desc", dim, weights=weights)
     points = embed_text(base, "combined_text", dim, weights=weights)
     candidates = written(attach_nearest(points, targets, k).drop("vector"), "candidates")

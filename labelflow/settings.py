@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 # Upper bounds for data that is shipped to every task. Larger inputs take the shuffled form.
 DEFAULTS = {
     "spark.labelflow.broadcastBytes": 64 * 1024 * 1024,
-    "spark.labelflow.inlineRows": 2_000,
+    "spark.labelflow.inlineRows": 64,
     "spark.labelflow.inlineTerms": 256,
     "spark.labelflow.inlineBytes": 1024 * 1024,
     "spark.labelflow.cellBytes": 64 * 1024 * 1024,

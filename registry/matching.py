@@ -142,6 +142,11 @@ def j5_inline(t: Tables):
     return O.match_keywords(documents(t), "text", passages(t), 5, form="inline").select("id", joined("labels").alias("labels"))
 
 
+@query("J5_keyword_match_automaton", KEYWORD_LABELS)
+def j5_automaton(t: Tables):
+    return O.match_keywords(documents(t), "text", passages(t), 5, form="automaton").select("id", joined("labels").alias("labels"))
+
+
 @query("J5_keyword_match_grams", KEYWORD_LABELS)
 def j5_grams(t: Tables):
     return O.match_keywords(documents(t), "text", passages(t), 5, form="grams").select("id", joined("labels").alias("labels"))
@@ -203,6 +208,11 @@ def j8_join(t: Tables):
     return O.close_hierarchy(order_labels(t), "id", "labels", places(t), "closed", form="join").select("id", joined("closed").alias("closed"))
 
 
+@query("J8_hierarchy_closure_inline", CLOSED)
+def j8_inline(t: Tables):
+    return O.close_hierarchy(order_labels(t), "id", "labels", places(t), "closed", form="inline").select("id", joined("closed").alias("closed"))
+
+
 @query("J8_closure_off", f"WITH {ORDER_LABELS} SELECT id, array_to_string(labels, '|') AS closed FROM order_labels")
 def j8_off(t: Tables):
     return O.close_hierarchy(order_labels(t), "id", "labels", places(t), "closed", enabled=False).select("id", joined("closed").alias("closed"))

@@ -202,7 +202,7 @@ SELECT id, label, score, (row_number() OVER (PARTITION BY id ORDER BY score DESC
 @query("M7_J1_text_to_labels", TEXT_NEAREST)
 def m7_j1(t: Tables):
     docs = documents(t)
-    weights = O.bucket_weights(docs, "text", DIM)
+    weights = O.weight_vector(docs, "text", DIM)
     targets = O.embed_text(passages(t), "description", DIM, weights=weights)
     return O.nearest_labels(O.embed_text(docs, "text", DIM, weights=weights), targets, 5).select("id", "label", "score", "rank")
 
