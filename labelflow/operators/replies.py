@@ -228,10 +228,10 @@ _TOKEN = r"[\p{L}\p{N}][\p{L}\p{N}_.+#-]*[\p{L}\p{N}+#]|\p{L}"
 
 
 def mentioned_entities(text: str | Column) -> Column:
-    """Distinct tokens that look like names: a capital letter, or a dot or digit inside."""
+    """Distinct tokens that look like names: a capital letter, or a digit or dot after a letter."""
     raw = F.col(text) if isinstance(text, str) else text
     tokens = F.regexp_extract_all(raw, F.lit(_TOKEN), F.lit(0))
-    return F.array_distinct(F.filter(tokens, lambda t: t.rlike(r"\p{Lu}|[\p{L}][.0-9][\p{L}\p{N}]")))
+    return F.array_distinct(F.filter(tokens, lambda t: t.rlike(r"\p{Lu}|\p{L}[0-9]|\p{L}\.[\p{L}\p{N}]")))
 
 
 def _like(pattern: str):

@@ -81,7 +81,7 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def _seed_centres(df: DataFrame, key: str, vector: str, k: int, seed: int) -> np.ndarray:
     rows = df.select(vector, sample_order(key, seed).alias("_o"), key).orderBy("_o", key).limit(k).toPandas()
-    return _fixed(rows[vector])
+    return _fixed(rows[vector]) if len(rows) else np.zeros((0, 0))
 
 
 def cluster_vectors(
@@ -119,8 +119,8 @@ def _move(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
                 np.add.at(sums, own, x.astype(np.int64))
                 counts += np.bincount(own, minlength=k)
         used = np.flatnonzero(counts)
-        totals = np.column_stack([sums, counts])[used]
-        yield pd.DataFrame({"c": used.astype(np.int32), "s": totals.tolist()})
+        if len(used):
+            yield pd.DataFrame({"c": used.astype(np.int32), "s": np.column_stack([sums, counts])[used].tolist()})
 
     cells = points.mapInPandas(partial, "c int, s array<long>").select("c", F.posexplode("s").alias("d", "v"))
     totals = cells.groupBy("c", "d").agg(F.sum("v").alias("v")).toPandas()  # k * (dim + 1) rows at most

@@ -131,7 +131,7 @@ def m5(t: Tables):
 
 
 TOKEN = r"[\p{L}\p{N}][\p{L}\p{N}_.+#-]*[\p{L}\p{N}+#]|\p{L}"
-LOOKS_NAMED = r"\p{Lu}|[\p{L}][.0-9][\p{L}\p{N}]"
+LOOKS_NAMED = r"\p{Lu}|\p{L}[0-9]|\p{L}\.[\p{L}\p{N}]"
 
 
 def entities_sql(text: str) -> str:
