@@ -5,8 +5,8 @@ results and are chosen by the measured size of the term table:
 
 * ``inline``    terms bound as one array value, evaluated in the JVM with early stop, no shuffle
 * ``automaton`` terms broadcast, one pass of a multi-pattern matcher per text, no shuffle
-* ``grams``     term table of any size: salted equi join on the rarest three-letter piece of each
-                term, then an exact check; ids and pieces are shuffled, and each text once
+* ``shuffled``  term table of any size: the distinct tokens of all texts meet the terms in salted
+                equi joins, and the texts look their tokens up; only ids and tokens are shuffled
 """
 
 from __future__ import annotations
@@ -18,13 +18,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import description_terms, empty_strings, name_terms
-from ..settings import measure, salt_values, setting
+from ..settings import measure, setting
+from .skew import salted_join
 
-__all__ = ["label_terms", "match_keywords", "term_overlap"]
+EDGE = "\x01"
 
-SALTS = 16
+__all__ = ["label_terms", "match_keywords", "term_overlap"]
 
 
 def label_terms(labels: DataFrame, strip_punct: bool = False) -> DataFrame:
@@ -39,20 +41,20 @@ def match_keywords(
 ) -> DataFrame:
     """Attach the first ``k`` matching labels as ``out``.
 
-    ``word_match`` asks for whole words instead of substrings. ``key`` must be unique and is only
+    ``word_match`` asks for whole words instead of substrings and strips punctuation from terms. ``key`` must be unique and is only
     used by the shuffled form.
     """
-    terms = label_terms(labels, strip_punct).select("label", "pos", "terms")
+    terms = label_terms(labels, strip_punct or word_match).select("label", "pos", "terms")
     if word_match:
-        # a blank before and after makes a whole word a substring
-        padded = F.transform("terms", lambda t: F.concat(F.lit(" "), t, F.lit(" ")))
-        terms = terms.withColumn("terms", padded)
-        body = F.concat(F.lit(" "), F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+        # a mark on both sides makes a whole word a substring
+        terms = terms.withColumn("terms", F.transform("terms", lambda t: F.concat(F.lit(EDGE), t, F.lit(EDGE))))
+        cut = F.regexp_replace(F.lower(F.col(text)), r"[^\p{L}\p{N}]+", f"{EDGE} {EDGE}")
+        body = F.concat(F.lit(EDGE), cut, F.lit(EDGE))
     else:
         body = F.lower(F.col(text))
     if form == "auto":
         form = _choose(terms)
-    return {"inline": _inline, "automaton": _automaton, "grams": _grams}[form](df, body, terms, k, out, key)
+    return {"inline": _inline, "automaton": _automaton, "shuffled": _shuffled}[form](df, body, terms, k, out, key)
 
 
 def _choose(terms: DataFrame) -> str:
@@ -64,8 +66,8 @@ def _choose(terms: DataFrame) -> str:
     try:
         import ahocorasick  # noqa: F401
     except ImportError:
-        return "grams"
-    return "automaton" if size <= setting(spark, "broadcastBytes") else "grams"
+        return "shuffled"
+    return "automaton" if size <= setting(spark, "broadcastBytes") else "shuffled"
 
 
 def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
@@ -84,7 +86,8 @@ def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key
 
 
 def _automaton(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
-    return _scan_texts(df, body, terms, out, lambda own, found: sorted(set().union(*[own[t] for t in found]))[:k])
+    # only the first k labels of a term can be among the first k of a text
+    return _scan_texts(df, body, terms, out, lambda own, found: sorted(set().union(*[own[t][:k] for t in found]))[:k])
 
 
 def _scan_texts(df: DataFrame, body: Column, terms: DataFrame, out: str, pick) -> DataFrame:
@@ -126,13 +129,24 @@ def _best_by_overlap(k: int):
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _pieces(bodies: pd.Series) -> pd.Series:
-    """Distinct runs of one, two and three characters of each text."""
-    return bodies.map(lambda t: list({t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}) if t else [])
+def _pieces(tokens: pd.Series) -> pd.Series:
+    """Distinct runs of one, two and three characters of each token."""
+    return tokens.map(lambda t: list({t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}))
+
+
+def _first_k(rows: DataFrame, by: str, k: int) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("pos", "label"))
+    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
 
-def _grams(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
-    owners = terms.select("label", "pos", F.explode("terms").alias("term"))
+def _shuffled(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
+    """Terms hold no blank, so a term in a text lies inside one token of it. Terms are looked for
+    once per distinct token; the texts only look their tokens up.
+
+    A text's first ``k`` labels are among the first ``k`` of its tokens, and a token's among the
+    first ``k`` of its terms. So a term that a third of all labels share adds ``k`` rows, not all.
+    """
+    owners = _first_k(terms.select("label", "pos", F.explode("terms").alias("term")), "term", k)
     # each term is looked up by its piece that is rarest among the terms
     length = F.least(F.char_length("term"), F.lit(3))
     runs = F.transform(
@@ -140,26 +154,22 @@ def _grams(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key:
     )
     piece_rows = owners.select("term").distinct().select("term", F.explode(F.array_distinct(runs)).alias("piece"))
     frequency = piece_rows.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    chosen = (
-        piece_rows.join(frequency, "piece").groupBy("term")
+    rarest = (
+        salted_join(piece_rows, frequency, "piece", "term").groupBy("term")
         .agg(F.min(F.struct("n", "piece")).alias("m")).select("term", F.col("m.piece").alias("piece"))
     )
-    right = chosen.join(owners, "term").select("piece", F.struct("pos", "label", "term").alias("entry"), F.explode(salt_values(SALTS)).alias("salt"))
 
-    texts = df.select(F.col(key), body.alias("_body"))
-    left = texts.select(key, F.explode(_pieces("_body")).alias("piece")).withColumn(
-        "salt", F.pmod(F.xxhash64(key), F.lit(SALTS))
-    )
-    # per record: the entries whose piece stands in its text
-    candidates = left.join(right, ["piece", "salt"]).groupBy(key).agg(F.collect_list("entry").alias("_entries"))
-    checked = df.withColumn("_body", body).join(candidates, key, "left")
-    hits = F.filter(F.array(F.struct("_body", "_entries")), lambda r: r["_entries"].isNotNull())
-    first = F.transform(hits, lambda r: F.slice(F.array_sort(F.array_distinct(F.transform(
-        F.filter(r["_entries"], lambda e: F.contains(r["_body"], e["term"])),
-        lambda e: F.struct(e["pos"].alias("pos"), e["label"].alias("label")),
-    ))), 1, k))
-    labels = F.transform(F.get(first, F.lit(0)), lambda e: e["label"])
-    return checked.withColumn(out, F.coalesce(labels, empty_strings())).drop("_body", "_entries")
+    tokens = df.select(key, F.explode(F.array_distinct(F.split(body, r"(?U)\s+"))).alias("token"))
+    vocabulary = tokens.select("token").distinct()
+    pieces = vocabulary.select("token", F.explode(_pieces("token")).alias("piece"))
+    hits = salted_join(pieces, rarest, "piece", "token").filter(F.contains("token", F.col("term"))).select("token", "term")
+    named = _first_k(salted_join(hits, owners, "term", "token").select("token", "pos", "label").distinct(), "token", k)
+    known = named.groupBy("token").agg(F.collect_list(F.struct("pos", "label")).alias("entries"))
+
+    found = salted_join(tokens, known, "token", key).groupBy(key).agg(F.flatten(F.collect_list("entries")).alias("_entries"))
+    first = F.slice(F.array_sort(F.array_distinct("_entries")), 1, k)
+    lists = found.select(key, F.transform(first, lambda e: e["label"]).alias(out))
+    return df.join(lists, key, "left").withColumn(out, F.coalesce(F.col(out), empty_strings()))
 
 
 def term_overlap(
@@ -171,7 +181,7 @@ def term_overlap(
     """
     terms = label_terms(labels).select("label", "pos", "terms")
     form = _choose(terms) if form == "auto" else form
-    if form == "grams":
+    if form == "shuffled":
         raise ValueError("label table too large for term overlap; use match_keywords")
     body = F.lower(F.col(text))
     if form == "automaton":

@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import empty_strings, or_empty
-from ..settings import measure, salt_values, setting
+from ..settings import measure, setting
+from .skew import salted_join
 from .taxonomy import closure_table
 
 __all__ = [
@@ -25,8 +26,6 @@ __all__ = [
     "update_by_key", "combine_lists", "label_paths", "valid_items", "invalid_items",
 ]
 
-SALTS = 16
-
 
 def map_list(
     df: DataFrame, key: str, column: str, mapping: DataFrame, out: str, *,
@@ -57,14 +56,9 @@ def map_list(
     if form == "broadcast":
         return df.withColumn(out, _hash_lookup(mapping, keep_unmatched, as_set)(items, F.transform(items, as_key)))
 
-    salt = F.pmod(F.xxhash64(key), F.lit(SALTS))
-    left = df.select(F.col(key), F.posexplode(items).alias("_pos", "_raw"))
-    left = left.withColumn("_item", as_key(F.col("_raw"))).withColumn("_salt", salt)
-    right = mapping.select(
-        F.col("item").alias("_item"), F.col("values").alias("_values"),
-        F.explode(salt_values(SALTS)).alias("_salt"),
-    )
-    joined = left.join(right, ["_item", "_salt"], "left" if keep_unmatched else "inner")
+    left = df.select(F.col(key), F.posexplode(items).alias("_pos", "_raw")).withColumn("_item", as_key(F.col("_raw")))
+    right = mapping.select(F.col("item").alias("_item"), F.col("values").alias("_values"))
+    joined = salted_join(left, right, "_item", key, "left" if keep_unmatched else "inner")
     values = F.coalesce(F.col("_values"), F.array("_raw"))
     lists = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", values.alias("v")))).alias("_l"))
     flat = lists.select(key, finish(F.flatten(F.transform("_l", lambda s: s["v"]))).alias(out))
@@ -134,10 +128,10 @@ def close_hierarchy(
     return map_list(df, key, column, closed, out, keep_unmatched=True, as_set=True, form=form)
 
 
-def label_paths(df: DataFrame, labels: DataFrame, column: str = "label") -> DataFrame:
+def label_paths(df: DataFrame, labels: DataFrame, column: str = "label", key: str = "id") -> DataFrame:
     """Add the path of a label name; of repeated names the last in taxonomy order counts."""
     paths = labels.groupBy(F.col("label").alias(column)).agg(F.max_by("path", "pos").alias("path"))
-    return df.join(paths, column, "left")
+    return salted_join(df, paths, column, key, "left")
 
 
 def merge_on_id(df: DataFrame, lists: DataFrame, key: str = "id") -> DataFrame:

@@ -1,6 +1,7 @@
 """Model-backed steps as table jobs: build requests, hand them to a provider, read the replies.
 
-``requests``: ``request_id, id, prompt`` (and the columns a provider may use).
+``requests``: ``request_id, id, prompt`` (and the columns a provider may use); ``request_id`` is the
+record id as text.
 ``replies``:  ``request_id, reply, status`` with status ``ok`` or ``error``.
 A provider is a function from the requests DataFrame to the replies DataFrame.
 """
@@ -110,7 +111,7 @@ def classification_requests(
     block = label_block(labels).scalar()
     prompt = fill_template(template, {"text": blank_to_empty(text), "labels": F.col("_block"), "k": F.lit(str(k))})
     return df.withColumn("_block", block).select(
-        F.sha2(F.col(key).cast("string"), 256).alias("request_id"), F.col(key), F.col(text).alias("text"), prompt.alias("prompt")
+        F.col(key).cast("string").alias("request_id"), F.col(key), F.col(text).alias("text"), prompt.alias("prompt")
     )
 
 
@@ -131,7 +132,7 @@ def verification_requests(
     block = F.array_join(F.when(F.size(names) == F.size(notes), with_notes).otherwise(bare), "\n")
     prompt = fill_template(template, {"text": escape_prompt(text), "labels": block})
     return df.filter(F.size(names) > 0).select(
-        F.sha2(F.col(key).cast("string"), 256).alias("request_id"), F.col(key), F.col(text).alias("text"),
+        F.col(key).cast("string").alias("request_id"), F.col(key), F.col(text).alias("text"),
         F.col(labels), prompt.alias("prompt"),
     )
 
@@ -159,6 +160,11 @@ def parse_reply(c: str | Column, allowed: Column | None = None, k: int | None =
     return items if k is None else F.slice(items, 1, k)
 
 
+def _keyed(replies: DataFrame, df: DataFrame, key: str) -> DataFrame:
+    """Replies under the record key itself, so that later steps by ``key`` reuse the partitioning."""
+    return replies.select(F.col("request_id").try_cast(df.schema[key].dataType).alias(key), "reply", "status")
+
+
 def assign_by_reply(
     df: DataFrame, replies: DataFrame, text: str, labels: DataFrame, k: int = 5, *, key: str = "id",
     out: str = "assigned_labels", fallback_on: tuple[str, ...] = ("none", "error"), on_error: str = "fallback",
@@ -170,9 +176,7 @@ def assign_by_reply(
     and ``invalid`` (reply without one valid label). ``on_error='empty'`` gives ``[]`` for failed
     replies. Only records that need it reach the matcher.
     """
-    joined = df.withColumn("request_id", F.sha2(F.col(key).cast("string"), 256)).join(
-        replies.select("request_id", F.col("reply").alias("_reply"), F.col("status").alias("_status")), "request_id", "left"
-    ).drop("request_id")
+    joined = df.join(_keyed(replies, df, key).withColumnsRenamed({"reply": "_reply", "status": "_status"}), key, "left")
     failed = F.coalesce(F.col("_status") != "ok", F.lit(True))
     none = F.coalesce((F.col("_reply") == "") | is_none_reply("_reply"), F.lit(True))
     parsed = joined.withColumn("_items", F.when(failed, empty_strings()).otherwise(parse_reply("_reply")))
@@ -200,9 +204,8 @@ def verify_candidates(
 
     No candidates, no reply, a failed reply or NONE give ``[]``.
     """
-    joined = df.withColumn("request_id", F.sha2(F.col(key).cast("string"), 256)).join(
-        replies.filter("status = 'ok'").select("request_id", F.col("reply").alias("_reply")), "request_id", "left"
-    ).drop("request_id")
+    answers = _keyed(replies.filter("status = 'ok'"), df, key).withColumnRenamed("reply", "_reply").drop("status")
+    joined = df.join(answers, key, "left")
     items = F.when(F.size(or_empty(candidates)) > 0, parse_reply("_reply")).otherwise(empty_strings())
     picked = joined.withColumn("_items", items)
     return (

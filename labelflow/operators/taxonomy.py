@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from ..functions import label_plus_desc
-from ..settings import spread
+from ..functions import ancestor_paths, label_plus_desc
+from .skew import salted_join
 
 __all__ = [
     "flatten_taxonomy", "taxonomy_problems", "flatten_generic", "with_label_text", "first_by_label",
@@ -167,7 +167,7 @@ def flatten_generic(docs: DataFrame) -> DataFrame:
                 if rows:
                     yield pd.DataFrame(rows, columns=["doc", "label", "description", "path", "pos"])
 
-    return spread(docs.select("doc", "body")).mapInPandas(run, _GENERIC)
+    return docs.select("doc", "body").mapInPandas(run, _GENERIC)
 
 
 # -- on the label table -----------------------------------------------------------------------
@@ -208,12 +208,10 @@ def top_level_labels(docs: DataFrame) -> DataFrame:
 def closure_table(labels: DataFrame) -> DataFrame:
     """``(label, parents)``: names of all ancestors that are labels themselves.
 
-    Ancestor paths meet the label table in an equi join on ``path``. Where one name stands on
-    several paths its ancestors are united.
+    Ancestor paths meet the label table in an equi join on ``path``, salted because a root is an
+    ancestor of very many labels. Where one name stands on several paths its ancestors are united.
     """
-    from ..functions import ancestor_paths
-
     steps = labels.select("label", F.explode(ancestor_paths("path")).alias("path"))
     by_path = labels.select("path", F.col("label").alias("parent"))
-    pairs = steps.join(by_path, "path").select("label", "parent").distinct()
+    pairs = salted_join(steps, by_path, "path", "label").select("label", "parent").distinct()
     return pairs.groupBy("label").agg(F.array_sort(F.collect_list("parent")).alias("parents"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from ..operators.replies import Provider, assign_by_reply, classification_requests
+from ..settings import written
 from .prepare import FLAT_COLUMNS, prepare
 
 __all__ = ["enrich_flat"]
@@ -14,8 +15,12 @@ def enrich_flat(
     records: DataFrame, labels: DataFrame, provider: Provider, k: int = 5, *, mode: str = "parser",
     tag_key: str = "raindrop_tags", fallback_on: tuple[str, ...] = ("none", "error"), prepared: bool = False,
 ) -> DataFrame:
-    """Prepared records with ``assigned_labels``, the flat output columns in order."""
-    base = records if prepared else prepare(records, mode=mode, tag_key=tag_key)
+    """Prepared records with ``assigned_labels``, the flat output columns in order.
+
+    Requests and labelling both read the prepared table, so it is written once; hand in a stored
+    one with ``prepared=True``.
+    """
+    base = records if prepared else written(prepare(records, mode=mode, tag_key=tag_key), "prepared")
     requests = classification_requests(base, "combined_text", labels, k)
     labelled = assign_by_reply(base, provider(requests), "combined_text", labels, k, fallback_on=fallback_on)
     return labelled.select(*FLAT_COLUMNS, "assigned_labels")

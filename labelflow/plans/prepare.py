@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 from ..functions import clean_text, combine_text, extract_tags, parse_time
 from ..operators.dedup import keep_newest
-from ..settings import spread
 from ..sources.records import as_records
 
 __all__ = ["prepare", "clean_records", "FLAT_COLUMNS"]
@@ -29,8 +28,7 @@ def clean_records(records: DataFrame, mode: str = "parser") -> DataFrame:
         (F.trim(F.coalesce("title", F.lit(""))) != "") | (F.trim(F.coalesce("content", F.lit(""))) != "")
     )
     cleaned = (
-        spread(some)
-        .withColumn("cleaned_title", clean_text("title", mode, once=True))
+        some.withColumn("cleaned_title", clean_text("title", mode, once=True))
         .withColumn("cleaned_content", clean_text("content", mode, once=True))
         .withColumn("created_at_dt", parse_time("created_at"))
     )

@@ -27,8 +27,8 @@ def label_stream(records: DataFrame, labels: DataFrame, k: int = 5, *, mode: str
     form of the matcher cannot run on a stream.
     """
     cleaned = (
-        records.withColumn("cleaned_title", clean_text("title", mode))
-        .withColumn("cleaned_content", clean_text("content", mode))
+        records.withColumn("cleaned_title", clean_text("title", mode, once=True))
+        .withColumn("cleaned_content", clean_text("content", mode, once=True))
         .filter((F.col("cleaned_title") != "") | (F.col("cleaned_content") != ""))
         .withColumn("created_at_dt", parse_time("created_at"))
         .withColumn("combined_text", combine_text("cleaned_title", "cleaned_content"))

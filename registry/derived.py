@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelflow.settings import spread
+
 from . import Tables
 
 
@@ -16,7 +18,7 @@ def joined(c: str | Column, by: str = "|") -> Column:
 # -- records: documents with a title, a URL that equal texts of one source share, a date and tags --
 
 def records(t: Tables) -> DataFrame:
-    return t.documents.select(
+    return spread(t.documents).select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("http://"), "source", F.lit(".example.com/"), F.md5(F.col("text").cast("binary"))).alias("url"),
         "source",

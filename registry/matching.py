@@ -147,9 +147,9 @@ def j5_automaton(t: Tables):
     return O.match_keywords(documents(t), "text", passages(t), 5, form="automaton").select("id", joined("labels").alias("labels"))
 
 
-@query("J5_keyword_match_grams", KEYWORD_LABELS)
-def j5_grams(t: Tables):
-    return O.match_keywords(documents(t), "text", passages(t), 5, form="grams").select("id", joined("labels").alias("labels"))
+@query("J5_keyword_match_shuffled", KEYWORD_LABELS)
+def j5_shuffled(t: Tables):
+    return O.match_keywords(documents(t), "text", passages(t), 5, form="shuffled").select("id", joined("labels").alias("labels"))
 
 
 @query("J5_whole_words", r"""

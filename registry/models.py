@@ -28,7 +28,7 @@ def escaped(c: str) -> str:
 
 @query("M1_classification_requests", f"""
 WITH block AS (SELECT string_agg((item_id + 1) || '. Passage_' || item_id || ': ' || text, chr(10) ORDER BY item_id) AS b FROM benchmark)
-SELECT doc_id AS id, sha256(doc_id::VARCHAR) AS request_id, md5({template_sql(CLASSIFY, text='text', labels='b', k="'5'")}) AS prompt FROM documents, block""")
+SELECT doc_id AS id, doc_id::VARCHAR AS request_id, md5({template_sql(CLASSIFY, text='text', labels='b', k="'5'")}) AS prompt FROM documents, block""")
 def m1(t: Tables):
     asked = O.classification_requests(documents(t), "text", passages(t), 5)
     return asked.select("id", "request_id", F.md5(F.col("prompt").cast("binary")).alias("prompt"))
@@ -48,7 +48,7 @@ def m2(t: Tables):
 def logged(t: Tables):
     """Replies made from the document marks; documents without marks have none."""
     reply = F.when(F.col("toxic") == 1, "None").when(F.col("quality") == 1, "Passage_1, Passage_2,Passage_1, Other").otherwise("no idea")
-    return t.labels.select(F.col("doc_id").alias("id"), F.sha2(F.col("doc_id").cast("string"), 256).alias("request_id"),
+    return t.labels.select(F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("request_id"),
                            reply.alias("reply"), F.lit("ok").alias("status"))
 
 
@@ -113,7 +113,7 @@ SELECT id, CASE WHEN own = '1' THEN '' ELSE array_to_string(list_filter(said, la
   CASE WHEN own = '1' THEN '' ELSE array_to_string(list_sort(list_distinct(list_filter(said, lambda x: NOT list_contains(labels, x)))), '|') END AS unknown FROM r""")
 def m4(t: Tables):
     reply = F.when(F.col("own") == "1", " none ").otherwise(F.concat(F.lit("Class_"), "own", F.lit(", Class_0 ,Other")))
-    said = vectors(t).select(F.sha2(F.col("id").cast("string"), 256).alias("request_id"), reply.alias("reply"), F.lit("ok").alias("status"))
+    said = vectors(t).select(F.col("id").cast("string").alias("request_id"), reply.alias("reply"), F.lit("ok").alias("status"))
     done = O.verify_candidates(candidates(t), said)
     return done.select("id", joined("llm_verified_labels").alias("verified"), joined("unknown_labels").alias("unknown"))
 

@@ -87,7 +87,7 @@ def t6(t: Tables):
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN places ON label = n_name""")
 def t7(t: Tables):
     named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", F.col("n_name").alias("label"))
-    return O.label_paths(named, places(t)).select("c_custkey", "label", "path")
+    return O.label_paths(named, places(t), key="c_custkey").select("c_custkey", "label", "path")
 
 
 # RE2 has no look-ahead: first set a blank before the last capital of a run, then take the parts

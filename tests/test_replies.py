@@ -24,7 +24,7 @@ def records(spark):
 @pytest.fixture
 def replies(spark):
     rows = [(i, r, s) for i, (r, s, _) in enumerate(REPLIES)]
-    return spark.createDataFrame(rows, "id int, reply string, status string").withColumn("request_id", F.sha2(F.col("id").cast("string"), 256))
+    return spark.createDataFrame(rows, "id int, reply string, status string").withColumn("request_id", F.col("id").cast("string"))
 
 
 def assigned(df):
@@ -85,7 +85,7 @@ def test_verification(spark):
     assert '1. A: da\n2. B: d\\"b' in prompts[1] and "t 1" in prompts[1]
     assert "1. A\n" in prompts[2]
     said = spark.createDataFrame([("1", "B, Q, B", "ok"), ("2", "NONE", "ok"), ("3", "A", "ok")], "i string, reply string, status string")
-    said = said.withColumn("request_id", F.sha2("i", 256))
+    said = said.withColumnRenamed("i", "request_id")
     rows = {r["id"]: r for r in O.verify_candidates(df, said).collect()}
     assert rows[1]["llm_verified_labels"] == ["B", "B"] and rows[1]["unknown_labels"] == ["Q"]
     assert [rows[i]["llm_verified_labels"] for i in (2, 3, 4)] == [[], [], []]
@@ -130,7 +130,7 @@ def test_clusters_and_gaps(spark):
     assert set(prompts) == {0, 1}  # the blank cluster is skipped
     assert "[None]" in prompts[0] and "[L]" in prompts[1]
     found = {r["cluster_id"]: r for r in O.gap_suggestions(asked, O.pattern_gaps()(asked)).collect()}
-    assert found[1]["potential_new_entities"] == ["Name1"] and found[1]["assigned_labels_in_cluster"] == ["L"]
+    assert found[1]["potential_new_entities"] == ["Name1", "word1"] and found[1]["assigned_labels_in_cluster"] == ["L"]
     said = asked.select("request_id", F.lit('{"potential_new_entities":"NONE","thematic_gap_suggestions":"A: b\\n\\nC: d"}').alias("reply"), F.lit("ok").alias("status"))
     found = O.gap_suggestions(asked, said).first()
     assert found["potential_new_entities"] == [] and found["thematic_gap_suggestions"] == ["A: b", "C: d"]

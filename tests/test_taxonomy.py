@@ -97,5 +97,5 @@ def test_label_table(spark):
     assert {r["label"] for r in O.root_labels(labels).collect()} == {"A", "C"}
     assert O.distinct_labels(labels).count() == 4
     assert {r["label"]: r["parents"] for r in O.closure_table(labels).collect()} == {"B": ["A", "C"], "D": ["A", "B"]}
-    paths = O.label_paths(spark.createDataFrame([("B",), ("Z",)], "label string"), labels)
+    paths = O.label_paths(spark.createDataFrame([(1, "B"), (2, "Z")], "id int, label string"), labels)
     assert {r["label"]: r["path"] for r in paths.collect()} == {"B": "C/B", "Z": None}
