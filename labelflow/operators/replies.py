@@ -168,17 +168,19 @@ def _keyed(replies: DataFrame, df: DataFrame, key: str) -> DataFrame:
 def assign_by_reply(
     df: DataFrame, replies: DataFrame, text: str, labels: DataFrame, k: int = 5, *, key: str = "id",
     out: str = "assigned_labels", fallback_on: tuple[str, ...] = ("none", "error"), on_error: str = "fallback",
-    form: str = "auto",
+    trim_none: bool = True, form: str = "auto",
 ) -> DataFrame:
     """Labels from replies, with the keyword matcher as fallback.
 
     ``fallback_on`` may hold ``none`` (reply empty or None), ``error`` (failed or missing reply)
     and ``invalid`` (reply without one valid label). ``on_error='empty'`` gives ``[]`` for failed
-    replies. Only records that need it reach the matcher.
+    replies. With ``trim_none=False`` a None with blanks around it counts as an unknown label. Only
+    records that need it reach the matcher.
     """
     joined = df.join(_keyed(replies, df, key).withColumnsRenamed({"reply": "_reply", "status": "_status"}), key, "left")
     failed = F.coalesce(F.col("_status") != "ok", F.lit(True))
-    none = F.coalesce((F.col("_reply") == "") | is_none_reply("_reply"), F.lit(True))
+    blank = (F.trim("_reply") if trim_none else F.col("_reply")) == ""
+    none = F.coalesce(blank | is_none_reply("_reply", trim_none), F.lit(True))
     parsed = joined.withColumn("_items", F.when(failed, empty_strings()).otherwise(parse_reply("_reply")))
     mapping = labels.select(F.col("label").alias("item")).distinct().select("item", F.array("item").alias("values"))
     checked = map_list(parsed, key, "_items", mapping, "_valid", keep_unmatched=False, as_set=False, form=form)

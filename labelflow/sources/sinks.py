@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 __all__ = [
-    "flat_columns", "write_csv", "json_ready", "write_json_lines", "write_suggestions", "SUGGESTION_COLUMNS",
+    "list_literal", "flat_columns", "write_csv", "json_ready", "write_json_lines", "write_suggestions", "SUGGESTION_COLUMNS",
     "run_manifest", "write_manifest", "write_index", "read_index",
 ]
 
@@ -18,26 +18,46 @@ SUGGESTION_COLUMNS = [
 ]
 
 
-def flat_columns(df: DataFrame, skip: tuple[str, ...] = CSV_SKIP, separator: str = ", ") -> DataFrame:
-    """Drop columns whose name holds a skipped part; arrays become delimited text."""
+def list_literal(c: str | Column) -> Column:
+    """A list of text in brackets with quoted items, ``['a', "it's"]``."""
+    items = F.col(c) if isinstance(c, str) else c
+
+    def quoted(x: Column) -> Column:
+        body = x
+        for old, new in (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+            body = F.replace(body, F.lit(old), F.lit(new))
+        double = F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"'))
+        single = F.concat(F.lit("'"), F.replace(body, F.lit("'"), F.lit("\\'")), F.lit("'"))
+        return F.when(double, F.concat(F.lit('"'), body, F.lit('"'))).otherwise(single)
+
+    return F.concat(F.lit("["), F.array_join(F.transform(items, quoted), ", "), F.lit("]"))
+
+
+def flat_columns(
+    df: DataFrame, skip: tuple[str, ...] = CSV_SKIP, separator: str = ", ", literals: bool = False
+) -> DataFrame:
+    """Drop columns whose name holds a skipped part; arrays become delimited text, or bracketed
+    list literals."""
     out = []
     for field in df.schema.fields:
         if any(part in field.name for part in skip):
             continue
         c = F.col(field.name)
         if isinstance(field.dataType, T.ArrayType):
-            c = F.array_join(c.cast("array<string>"), separator)
+            texts = c.cast("array<string>")
+            c = list_literal(texts) if literals else F.array_join(texts, separator)
         elif isinstance(field.dataType, (T.MapType, T.StructType, T.VariantType)):
             c = F.to_json(c)
         out.append(c.alias(field.name))
     return df.select(*out)
 
 
-def write_csv(df: DataFrame, path: str, skip: tuple[str, ...] = CSV_SKIP) -> None:
+def write_csv(df: DataFrame, path: str, skip: tuple[str, ...] = CSV_SKIP, literals: bool = False) -> None:
+    """CSV with a header. For the flat output of replies use ``skip=(), literals=True``."""
     (
-        flat_columns(df, skip).write.mode("overwrite")
-        .option("header", True).option("escape", '"').option("quoteAll", True).option("emptyValue", "")
-        .csv(path)
+        flat_columns(df, skip, literals=literals).write.mode("overwrite")
+        .option("header", True).option("escape", '"').option("emptyValue", "")
+        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx").csv(path)
     )
 
 

@@ -64,6 +64,14 @@ def s6(t: Tables):
     return S.flat_columns(wide)
 
 
+@query("S5_csv_list_literals", """
+SELECT doc_id, '[' || chr(39) || lang || chr(39) || ', ' || chr(39) || source || chr(39) || ']' AS tags, '[]' AS none FROM documents""")
+def s5_literals(t: Tables):
+    path = fresh_path(t.spark, "flat")
+    S.write_csv(t.documents.select("doc_id", F.array("lang", "source").alias("tags"), L.empty_strings().alias("none")), path, skip=(), literals=True)
+    return t.spark.read.option("header", True).option("escape", '"').schema("doc_id long, tags string, none string").csv(path)
+
+
 @query("S7_json_lines_out", f"""WITH {RECORDS}
 SELECT id, (title IS NULL)::INT AS no_title, content, created_at,
   CASE WHEN try_cast(created_at AS TIMESTAMPTZ) IS NOT NULL THEN epoch_us(try_cast(created_at AS TIMESTAMPTZ)) END AS us

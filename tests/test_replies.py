@@ -44,6 +44,13 @@ def test_assign_variants(spark, records, replies):
     assert got[7] == [] and got[8] == [] and got[4] == ["Key"]
 
 
+def test_blanks_around_none(spark):
+    df = spark.createDataFrame([(0, "zzz words")], "id int, text string")
+    said = spark.createDataFrame([("0", "None\n", "ok")], "request_id string, reply string, status string")
+    assert assigned(O.assign_by_reply(df, said, "text", labels(spark))) == [["Key"]]
+    assert assigned(O.assign_by_reply(df, said, "text", labels(spark), trim_none=False)) == [[]]
+
+
 def test_replay_and_batch_provider(spark, records, replies):
     asked = O.classification_requests(records, "text", labels(spark), 2)
     said = O.replay_provider(replies)(asked)

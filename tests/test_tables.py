@@ -149,6 +149,10 @@ def test_sinks(spark, tmp_path):
     S.write_csv(df, str(tmp_path / "csv"))
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "csv"))
     assert back.columns == ["id", "labels", "note", "at"] and back.first()["labels"] == "a, b"
+    S.write_csv(df.select("id", "labels", "at", "metadata"), str(tmp_path / "flat"), skip=(), literals=True)
+    lines = [r[0] for r in spark.read.text(str(tmp_path / "flat")).collect()]
+    assert lines[0] == "id,labels,at,metadata"
+    assert lines[1] == """1,"['a', 'b']",2024-01-01 00:00:00.000000+00:00,"q""x\""""
     S.write_json_lines(df, str(tmp_path / "json"))
     line = json.loads(spark.read.text(str(tmp_path / "json")).first()[0])
     assert line["note"] is None and line["at"].startswith("2024-01-01T00:00:00") and line["labels"] == ["a", "b"]
@@ -162,6 +166,12 @@ def test_sinks(spark, tmp_path):
     assert [tuple(r) for r in S.read_index(spark, str(tmp_path / "ix")).select("key", "norm").collect()] == [(1, 5.0)]
 
 
+def test_list_literal(spark):
+    lists = [["a", "it's"], [], ['say "x"', 'both\'"'], ["back\\slash", "new\nline"]]
+    df = spark.createDataFrame([(x,) for x in lists], "l array<string>")
+    assert [r[0] for r in df.select(S.list_literal("l")).collect()] == [str(x) for x in lists]
+
+
 def test_shared_folder(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     df = written(spark.range(5), "five")
