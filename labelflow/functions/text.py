@@ -135,7 +135,8 @@ def percentage(part: str | Column, total: str | Column, digits: int = 2) -> Colu
 
 def words(c: str | Column) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.regexp_extract_all(F.lower(_c(c)), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    # cutting at the gaps is several times faster than extracting the runs
+    return F.array_remove(F.split(F.lower(_c(c)), r"[^\p{L}\p{N}]++"), "")
 
 
 def sample_order(key: str | Column, seed: int) -> Column:

@@ -52,8 +52,8 @@ def enrich_verified(
     report all read it from the shared folder.
     """
     unique_labels = first_by_label(labels)
-    cleaned = keep_newest(clean_records(with_row_id(as_records(records)), mode), "url", "created_at_dt")
-    base = written(with_summaries(cleaned, summaries), "summaries")
+    cleaned = keep_newest(clean_records(as_records(records), mode), "url", "created_at_dt")
+    base = written(with_summaries(with_row_id(cleaned), summaries), "summaries")
     weights = weight_vector(base, "combined_text", dim)
     targets = embed_text(with_label_text(unique_labels), "label_plus_desc", dim, weights=weights)
     points = embed_text(base, "combined_text", dim, weights=weights)

@@ -54,7 +54,9 @@ def keep_columns(df: DataFrame, wanted: list[str]) -> tuple[DataFrame, list[str]
 
 
 def as_records(df: DataFrame) -> DataFrame:
-    """Add absent record columns as typed NULLs, so later steps see one schema."""
+    """Add absent record columns as typed NULLs, so later steps see one schema; an absent id is made."""
+    if "id" not in df.columns:
+        df = with_row_id(df)
     for field in RECORD.fields:
         if field.name not in df.columns:
             df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
@@ -64,14 +66,16 @@ def as_records(df: DataFrame) -> DataFrame:
 def with_row_id(df: DataFrame, id_col: str = "id", dense: bool = False, prefix: str = "bookmark_") -> DataFrame:
     """String row id. An existing id is cast.
 
-    Otherwise the id is a hash of ``url`` and ``created_at`` (narrow and repeatable, equal for
-    equal pairs), or, with ``dense``, ``prefix`` + row number in scan order, which needs one
+    Otherwise the id is a hash of ``url`` and ``created_at`` (of the whole row if there is no URL;
+    narrow and repeatable, equal for equal values), or, with ``dense``, ``prefix`` + row number in scan order, which needs one
     written pass.
     """
     if id_col in df.columns:
         return df.withColumn(id_col, F.col(id_col).cast("string"))
     if not dense:
-        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("url", "created_at") if c in df.columns]
+        named = [c for c in ("url", "created_at") if c in df.columns]
+        whole = F.to_json(F.struct(*df.columns))
+        parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in named] if "url" in named else [whole]
         return df.withColumn(id_col, F.sha2(F.concat_ws("\x1f", *parts), 256))
     from ..operators.numbering import numbered
 

@@ -9,7 +9,7 @@ from labelflow import plans as P
 from labelflow.settings import fresh_path
 
 from . import Tables, query
-from .derived import PREPARED, joined, passages, places, records
+from .derived import PASSAGE_TERMS, PREPARED, joined, passages, places, records
 from .models import DIM, LOOKS_NAMED, TOKEN, embed_sql, logged, weights_sql
 
 PREPARED_ROWS = f"""WITH {PREPARED}
@@ -83,6 +83,21 @@ def w4(t: Tables):
     return done.select("id", "cluster_id", "summary_and_title", *[joined(c).alias(c) for c in lists])
 
 
+@query("W4_verified_labels", rf"""WITH {near_sql(4)}, {PASSAGE_TERMS},
+sentences AS (SELECT id, unnest(l) AS s, generate_subscripts(l, 1) AS i FROM (SELECT id, regexp_extract_all(cleaned_content, '[^.!?\n]+[.!?]?') AS l FROM prepared)),
+summaries AS (SELECT id, trim(s) AS summary FROM sentences
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY len(list_distinct(regexp_extract_all(lower(s), '[\p{{L}}\p{{N}}]+'))) DESC, i) = 1),
+overlap AS (SELECT id, label, pos, count(DISTINCT term) AS n FROM prepared, terms WHERE contains(lower(combined_text), term) GROUP BY ALL),
+picked AS (SELECT id, label, row_number() OVER (PARTITION BY id ORDER BY n DESC, pos) AS rank FROM overlap QUALIFY rank <= 5),
+verified AS (SELECT p.id, list(p.label ORDER BY p.rank) AS v FROM picked p JOIN near ON near.id = p.id AND near.label = p.label GROUP BY p.id)
+SELECT id::VARCHAR AS id, cleaned_title || ' | Summary: ' || coalesce(summary, '') AS summary_and_title, array_to_string(labels, '|') AS candidate_labels,
+  coalesce(array_to_string(v, '|'), '') AS llm_verified_labels, coalesce(array_to_string(list_sort(v), '|'), '') AS final_ontology_labels
+FROM prepared JOIN lists USING (id) LEFT JOIN summaries USING (id) LEFT JOIN verified USING (id)""")
+def w4_labels(t: Tables):
+    done, _ = P.enrich_verified(records(t), passages(t), O.overlap_provider(passages(t), 5), 4, dim=DIM, enforce_hierarchy=True, expand=False)
+    return done.select("id", "summary_and_title", *[joined(c).alias(c) for c in ("candidate_labels", "llm_verified_labels", "final_ontology_labels")])
+
+
 @query("W4_gap_suggestions")
 def w4_gaps(t: Tables):
     _, gaps = verified(t)

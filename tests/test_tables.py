@@ -124,6 +124,8 @@ def test_row_ids(spark):
     df = spark.createDataFrame([("u", "t"), ("u", "t"), ("v", None)], "url string, created_at string")
     assert S.with_row_id(df).select("id").distinct().count() == 2
     assert S.with_row_id(spark.createDataFrame([(5,)], "id long")).first()["id"] == "5"
+    assert S.as_records(df.drop("url")).filter("id IS NULL").count() == 0
+    assert P.prepare(df.withColumn("content", F.lit("x"))).filter("id IS NULL").count() == 0
 
 
 def test_prepare(spark, record_file):
