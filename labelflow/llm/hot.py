@@ -1,0 +1,23 @@
+"""Joins whose one side has unique keys and whose other side may repeat a key in a third of its rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SHARE = 1000
+
+
+def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``table``, which has one row per ``key`` and in ``count`` the
+    number of ``rows`` with that key; ``total`` is the sum of the counts.
+
+    A key with more than one thousandth of the rows is hot. Fewer than a thousand keys can be, so
+    their part of ``table`` is broadcast and their rows are not shuffled; no other key brings more
+    than a thousandth of the rows to a task.
+    """
+    table = table.withColumn("_hot", F.col(count) * SHARE > F.lit(total))
+    hot = F.broadcast(table.filter("_hot").drop("_hot", count))
+    cold = table.filter("NOT _hot").drop("_hot", count)
+    rest = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(rest.join(cold, key))
