@@ -41,3 +41,31 @@ def word_lists(text: bytes) -> Iterator[list[bytes]]:
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     """Column ``name`` of ``df`` as ``kind``; null where the table has no such column."""
     return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
+
+
+def slices(batch: pa.RecordBatch, text: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """Cut a batch into runs of rows with about ``size`` bytes in column ``text``, one row at least,
+    so that what is made from the rows goes out before the rest is begun."""
+    lengths = [len(t) for t in utf8(batch.column(text))]
+    start = held = 0
+    for i, n in enumerate(lengths):
+        if held and held + n > size:
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += n + 64
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
+class Memo(dict):
+    """Remembers ``make(key)``; forgets all when ``limit`` keys are held, so memory stays bounded."""
+
+    def __init__(self, make, limit: int = 400_000):
+        super().__init__()
+        self.make, self.limit = make, limit
+
+    def __missing__(self, key):
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[key] = self.make(key)
+        return value

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import pieces, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +31,17 @@ def op8(docs: DataFrame) -> DataFrame:
     rows = simhash.near_duplicates(docs.select("doc_id", "text"))
     print_hex = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.select("doc_id", print_hex.alias("fingerprint"), F.col("first.id").alias("component_id"))
+
+
+@query("op6_line_first_rules", sql=rules.RULES_SQL)
+def op6(docs: DataFrame) -> DataFrame:
+    judged = rules.quality_rules(docs.select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "lost_chars", "base_failed", "kept")
+
+
+@query("op10_pieces_by_agenda")
+def op10(docs: DataFrame) -> DataFrame:
+    coded = pieces.encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
