@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import pieces, rules, simhash
+from . import decontaminate, pieces, pii, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -45,3 +45,19 @@ def op10(docs: DataFrame) -> DataFrame:
     return coded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.encode("decoded", "UTF-8"), 256).alias("decoded_sha256"))
+
+
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontaminate.contaminated(docs, items)
+
+
+QUERIES["op1_simhash_windows"] = op1
+
+
+@query("op4_deobfuscated_spans")
+def op4(docs: DataFrame) -> DataFrame:
+    rows = pii.find_personal(docs.select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+    return rows.select("doc_id", *counts, F.sha2(F.encode(pii.joined(base), "UTF-8"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
