@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, pieces, pii, rules, simhash
@@ -59,5 +59,9 @@ QUERIES["op1_simhash_windows"] = op1
 def op4(docs: DataFrame) -> DataFrame:
     rows = pii.find_personal(docs.select("doc_id", "text"))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("bigint").alias(f"n_{k}") for k in pii.KINDS]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in pii.KINDS]
     return rows.select("doc_id", *counts, F.sha2(F.encode(pii.joined(base), "UTF-8"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
