@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, pieces, pii, rules, simhash
+from . import chat, decontaminate, hilbert, pieces, pii, rules, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -65,3 +65,18 @@ def op4(docs: DataFrame) -> DataFrame:
 
     counts = [count(kind) for kind in pii.KINDS]
     return rows.select("doc_id", *counts, F.sha2(F.encode(pii.joined(base), "UTF-8"), 256).alias("base_sha256"), pii.joined(F.col("spans")).alias("spans"))
+
+
+@query("op7_snapshot_collapse", "conversations", sql=chat.CHAT_SQL)
+def op7(turns: DataFrame) -> DataFrame:
+    return chat.format_chats(turns)
+
+
+@query("op9_hilbert_shards")
+def op9(docs: DataFrame) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select(
+        "doc_id", "lang", "source", "n_chars", (F.octet_length(text) + 16).cast("bigint").alias("size"),
+        F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    dealt = hilbert.hilbert_shards(rows, ["lang", "source", "n_chars"], 40, [F.col("doc_id"), F.col("text_crc32")])
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
