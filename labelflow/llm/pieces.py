@@ -20,11 +20,10 @@ from pyspark.sql import functions as F
 from .batches import Memo, slices
 
 SPACE = "▁"  # stands for a blank in pieces
-_loaded: dict[str, "Pieces"] = {}
 
 
 class Pieces:
-    """One vocabulary, loaded once per Python worker."""
+    """One vocabulary with what has been encoded by it."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -115,12 +114,6 @@ class Pieces:
         return array("I", ids).tobytes()
 
 
-def loaded(path: str) -> Pieces:
-    if path not in _loaded:
-        _loaded[path] = Pieces(path)
-    return _loaded[path]
-
-
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """The columns of ``df`` but ``text``, with ``ids`` (binary: little-endian unsigned 32-bit ids
     between the begin and the end id) and ``decoded`` (the library's text for them).
@@ -131,7 +124,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     kept = [c for c in df.columns if c not in (text, "ids", "decoded")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = loaded(path)
+        model = Pieces(path)
         for batch in batches:
             for b in slices(batch, len(kept)):
                 ids = [model.encode(t or "") for t in b.column(len(kept)).to_pylist()]

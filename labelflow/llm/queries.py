@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hilbert, pieces, pii, rules, simhash
+from . import chat, decontaminate, hilbert, pieces, pii, rules, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,3 +80,10 @@ def op9(docs: DataFrame) -> DataFrame:
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
     dealt = hilbert.hilbert_shards(rows, ["lang", "source", "n_chars"], 40, [F.col("doc_id"), F.col("text_crc32")])
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op5_elias_fano_ids")
+def op5(docs: DataFrame) -> DataFrame:
+    folder = token_store.id_folder(docs.sparkSession)
+    manifest = token_store.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"), folder, end_id=1)
+    return token_store.read_ids(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
