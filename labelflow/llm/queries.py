@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, hilbert, pieces, pii, rules, simhash, token_store
+from . import chat, decontaminate, hilbert, langid, pieces, pii, quality_model, rules, simhash, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +87,20 @@ def op5(docs: DataFrame) -> DataFrame:
     folder = token_store.id_folder(docs.sparkSession)
     manifest = token_store.write_ids(docs, public_tokenizers.path("word_bpe_49k.json"), folder, end_id=1)
     return token_store.read_ids(manifest).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op2_word_first_backoff")
+def op2(docs: DataFrame) -> DataFrame:
+    held_out = langid.fold(F.col("doc_id"), 3) == 1
+    model = langid.fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    fold = langid.fold
+    scored = quality_model.fit_and_score(docs.select("doc_id", "text"), labels, lambda c: fold(c, 5) == 0, lambda c: fold(c, 5) == 4)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES["op3_random_fourier_ridge"] = op3
