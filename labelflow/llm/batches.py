@@ -60,7 +60,7 @@ def slices(batch: pa.RecordBatch, text: int, size: int = 8 << 20) -> Iterator[pa
 class Memo(dict):
     """Remembers ``make(key)``; forgets all when ``limit`` keys are held, so memory stays bounded."""
 
-    def __init__(self, make, limit: int = 400_000):
+    def __init__(self, make, limit: int = 1_000_000):
         super().__init__()
         self.make, self.limit = make, limit
 

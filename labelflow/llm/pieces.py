@@ -12,6 +12,8 @@ import re
 from array import array
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
+from itertools import chain
+from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,49 +49,40 @@ class Pieces:
 
     def merge(self, text: str) -> list[str]:
         """Merge the best scored adjacent pair, the leftmost of equals, until no pair is a piece."""
-        cost, symbol, n = self.cost, list(text), len(text)
+        cost, symbol, n = self.cost.get, list(text), len(text)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda = [(c, i, 2) for i in range(n - 1) if (c := cost.get(symbol[i] + symbol[i + 1])) is not None]
+        agenda = [(c, i, 2) for i, c in enumerate(map(cost, map(add, symbol, symbol[1:]))) if c is not None]
         heapify(agenda)
-
-        def propose(i: int, j: int) -> None:
-            if i >= 0 and j < n and (c := cost.get(symbol[i] + symbol[j])) is not None:
-                heappush(agenda, (c, i, len(symbol[i]) + len(symbol[j])))
-
         while agenda:
             _, i, size = heappop(agenda)
-            j = after[i]
-            if not symbol[i] or j >= n or len(symbol[i]) + len(symbol[j]) != size:
+            left, j = symbol[i], after[i]
+            if not left or j >= n or len(left) + len(symbol[j]) != size:
                 continue  # one of the two has been merged since; symbols only grow
-            symbol[i] += symbol[j]
+            both = symbol[i] = left + symbol[j]
             symbol[j] = ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            propose(before[i], i)
-            propose(i, after[i])
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (c := cost(both + symbol[k])) is not None:
+                    heappush(agenda, (c, i, size + len(symbol[k])))
+            h = before[i]
+            if h >= 0 and (c := cost(symbol[h] + both)) is not None:
+                heappush(agenda, (c, h, len(symbol[h]) + size))
         return [s for s in symbol if s]
 
     def _part(self, text: str) -> bytes:
-        ids = array("I")
-        for s in self.merge(text):
-            i = self.ids.get(s)
-            if i is not None:
-                ids.append(i)
-            else:
-                ids.extend(self.byte[b] for b in s.encode())
-        return ids.tobytes()
+        symbols = self.merge(text)
+        ids = [self.ids.get(s) for s in symbols]
+        if None in ids:
+            ids = [i for s, known in zip(symbols, ids) for i in ([self.byte[b] for b in s.encode()] if known is None else [known])]
+        return array("I", ids).tobytes()
 
     def _word(self, word: str) -> bytes:
         """Ids of a blank and ``word``, a run of blanks with what follows it."""
         self.fresh.append(word)
-        text, start, parts = SPACE + word, 0, []
-        for i in range(1, len(text)):
-            if text[i - 1:i + 1] not in self.inside:
-                parts.append(text[start:i])
-                start = i
-        parts.append(text[start:])
-        return b"".join(map(self.part.__getitem__, parts))
+        text = SPACE + word
+        seams = [i for i, pair in enumerate(map(add, text, word), 1) if pair not in self.inside]
+        return b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
 
     def encode(self, text: str) -> bytes:
         """Ids of a text between the begin and the end id, as unsigned 32-bit integers."""
@@ -104,15 +97,12 @@ class Pieces:
         """Compare what has been encoded since the last check with the library (a last blank by
         itself can't be: the library adds a blank to a text, and none to the empty one)."""
         words = [w for w in self.fresh if w]
-        for word, ids in zip(words, self.library.encode([w.replace(SPACE, " ") for w in words])):
-            if self._bytes(ids) != self.word[word]:
-                raise ValueError(f"other ids than the library's for {word!r}: {ids}")
+        theirs = self.library.encode([w.replace(SPACE, " ") for w in words])
+        if array("I", chain.from_iterable(theirs)).tobytes() != b"".join(map(self.word.__getitem__, words)):
+            wrong = next(w for w, ids in zip(words, theirs) if array("I", ids).tobytes() != self.word[w])
+            raise ValueError(f"other ids than the library's for {wrong!r}")
         self.fresh = []
 
-    @staticmethod
-    def _bytes(ids: list[int]) -> bytes:
-        return array("I", ids).tobytes()
-
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """The columns of ``df`` but ``text``, with ``ids`` (binary: little-endian unsigned 32-bit ids
