@@ -31,6 +31,7 @@ SHINGLE, RADIUS = 3, 3  # fixed by the contract
 SHARD_POINTS = 32_768  # points that a shard has on average, at most
 SPLIT_SAMPLE = 16  # points per shard that the splits are taken from, 2 ** 20 at most
 LEAF = 64
+HELD_LINKS = 1 << 20  # links in memory before they are thinned to a forest
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -144,11 +145,18 @@ def links(points: np.ndarray, queries: np.ndarray, radius: int) -> tuple[np.ndar
     """
     left: list[np.ndarray] = [np.empty(0, np.int64)]
     right: list[np.ndarray] = [np.empty(0, np.int64)]
+    held = 0
 
     def link(q, p) -> None:
+        nonlocal held
         q, p = np.broadcast_arrays(q, p)
         left.append(q)
         right.append(p)
+        held += q.size
+        if held > HELD_LINKS + 4 * len(queries):  # a dense clump: a spanning forest says the same
+            label = _labels(len(queries), np.concatenate(left), np.concatenate(right))
+            left[:], right[:] = [np.arange(len(queries))], [label]
+            held = len(queries)
 
     stack = [(np.arange(len(points)), np.arange(len(queries)))]
     while stack:
