@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 CHUNK = 1 << 20
 SPACE = re.compile(rb"[ \t-\r]")
@@ -38,11 +41,6 @@ def word_lists(text: bytes) -> Iterator[list[bytes]]:
             yield words
 
 
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    """Column ``name`` of ``df`` as ``kind``; null where the table has no such column."""
-    return F.col(f"`{name}`").cast(kind) if name in df.columns else F.lit(None).cast(kind)
-
-
 def slices(batch: pa.RecordBatch, text: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes in column ``text``, one row at least,
     so that what is made from the rows goes out before the rest is begun."""
@@ -57,15 +55,65 @@ def slices(batch: pa.RecordBatch, text: int, size: int = 8 << 20) -> Iterator[pa
         yield batch.slice(start)
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def nullable(schema: StructType) -> StructType:
+    for field in schema:
+        field.nullable = True
+    return schema
+
+
+def map_text(df: DataFrame, text: str, new: dict[str, str], start: Callable[[], Callable[[pa.Array], list[pa.Array]]]) -> DataFrame:
+    """The columns of ``df`` but ``text``, and the ``new`` ones (name and type), made from the text;
+    columns of these names are replaced. ``start`` is called once per task and returns the function
+    from a run of texts to the new columns."""
+    kept = [c for c in df.columns if c != text and c.lower() not in {n.lower() for n in new}]
+    names = [f"`{c}`" for c in kept]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for batch in batches:
+            for b in slices(batch, len(kept)):
+                yield pa.RecordBatch.from_arrays([*b.columns[:-1], *make(b.column(len(kept)))], [*kept, *new])
+
+    schema = df.select(*names, *(F.lit(None).cast(kind).alias(n) for n, kind in new.items())).schema
+    return df.select(*names, F.col(f"`{text}`").cast("string").alias(free_name("_text", kept))).mapInArrow(run, nullable(schema))
+
+
 class Memo(dict):
-    """Remembers ``make(key)``; forgets all when ``limit`` keys are held, so memory stays bounded."""
+    """Remembers ``make(key)`` for the keys used of late: a full generation of ``limit`` keys becomes
+    the old one, from which keys come back when used, and the one before it is forgotten."""
 
-    def __init__(self, make, limit: int = 1_000_000):
+    def __init__(self, make, limit: int = 500_000):
         super().__init__()
         self.make, self.limit = make, limit
+        self.old: dict = {}
 
     def __missing__(self, key):
+        value = self.old.get(key)
+        return self.keep(key, self.make(key) if value is None else value)
+
+    def keep(self, key, value):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        self[key] = value
         return value
+
+    def unknown(self, keys) -> list:
+        return [k for k in keys if k not in self and k not in self.old]
+
+
+def worker_state(key, make):
+    """``make()``, kept by this Python worker for later tasks with the same key. Only the last key's
+    value is kept. (The package travels by value, so a global of a module is new in every task.)"""
+    home = sys.modules.setdefault("_labelflow_worker", ModuleType("_labelflow_worker"))
+    if getattr(home, "key", None) != key:
+        home.value, home.key = make(), key
+    return home.value

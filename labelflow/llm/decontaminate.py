@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices
+from .batches import nullable, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
 RADIUS, BLOCKS = 15, 4
@@ -259,8 +259,5 @@ def drop_contaminated(
                 for b in slices(batch, at):
                     yield b.filter(pa.array([not m for m in items.search(b.column(at))], pa.bool_()))
 
-        schema = docs.schema
-        for field in schema:
-            field.nullable = True
-        docs = docs.mapInArrow(run, schema)
+        docs = docs.mapInArrow(run, nullable(docs.schema))
     return docs

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from ..operators.numbering import numbered
+from .batches import free_name
 from .rules import let
 
 BITS = 5
@@ -63,7 +64,7 @@ def bins(df: DataFrame, names: list[str], bits: int = BITS) -> list[Column]:
     row = df.agg(*(F.percentile_approx(measure(df, n), points, ACCURACY).alias(f"c{i}") for i, n in enumerate(names))).first()
 
     def place(i: int, name: str) -> Column:
-        cuts = sorted(set(row[f"c{i}"] or []))
+        cuts = sorted(row[f"c{i}"] or [])  # a frequent value repeats, so its neighbours lie far apart
         known = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<double>")
         return let(measure(df, name), lambda m: F.when(m.isNull(), 0).otherwise(F.size(F.filter(known, lambda c: c < m))))
 
@@ -80,11 +81,12 @@ def hilbert_shards(df: DataFrame, dims: list[str], shards: int, ties: list[Colum
     """
     df = df.drop("curve", "shard", "slot")
     placed = df.withColumn("curve", hilbert_index(F.array(*bins(df, dims, bits)), len(dims), bits))
-    ranked = numbered(placed, [F.col("curve").asc(), *(t.asc_nulls_first() for t in ties), F.monotonically_increasing_id()], "_rank")
+    rank = free_name("_rank", df.columns)
+    ranked = numbered(placed, [F.col("curve").asc(), *(t.asc_nulls_first() for t in ties), F.monotonically_increasing_id()], rank)
     n = ranked.count()
-    shard = F.expr(f"CAST(_rank * {int(shards)} DIV {max(1, n)} AS INT)")
+    shard = F.expr(f"CAST({rank} * {int(shards)} DIV {max(1, n)} AS INT)")
     first = F.expr(f"({n} * CAST(shard AS BIGINT) + {int(shards) - 1}) DIV {int(shards)}")
-    return ranked.withColumn("shard", shard).withColumn("slot", F.col("_rank") - first).drop("_rank")
+    return ranked.withColumn("shard", shard).withColumn("slot", F.col(rank) - first).drop(rank)
 
 
 def write_shards(df: DataFrame, path: str) -> None:

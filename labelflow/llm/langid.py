@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import written
-from .batches import Memo, slices
+from .batches import Memo, map_text, slices
 
 FIT_ROWS = 20_000  # labelled rows the model is fitted on, about, at most
 MAX_WORDS, MAX_GRAMS, MAX_LANGS = 200_000, 200_000, 200  # sizes of the model's tables
@@ -142,17 +142,14 @@ def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of ``df`` but ``text``, with ``lang_pred`` and ``score``; such columns are replaced.
     Every whole text is read. Null, empty and letterless texts are ``und`` with score 0; ties go to the
     language with more words in the sample; an empty table gives an empty result."""
-    kept = [c for c in df.columns if c not in (text, "lang_pred", "score")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         memo = Memo(model.unseen, 200_000)
-        for batch in batches:
-            for b in slices(batch, len(kept)):
-                langs, sure = model.predict(b.column(len(kept)), memo)
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(langs, pa.string()), pa.array(sure, pa.float64())], [*kept, "lang_pred", "score"])
-
-    names = [f"`{c}`" for c in kept]
-    schema = df.select(*names, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    for field in schema:
-        field.nullable = True
-    return df.select(*names, F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
+
+        def make(texts: pa.Array) -> list[pa.Array]:
+            langs, sure = model.predict(texts, memo)
+            return [pa.array(langs, pa.string()), pa.array(sure, pa.float64())]
+
+        return make
+
+    return map_text(df, text, {"lang_pred": "string", "score": "double"}, start)

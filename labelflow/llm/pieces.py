@@ -10,16 +10,14 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 from itertools import chain
 from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from .batches import Memo, slices
+from .batches import Memo, map_text
 
 SPACE = "▁"  # stands for a blank in pieces
 
@@ -111,20 +109,16 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     Columns of these names are replaced. Null counts as the empty text, whose ids are begin and end.
     Rows keep their number and repeated rows get equal results; an empty table gives an empty one.
     """
-    kept = [c for c in df.columns if c not in (text, "ids", "decoded")]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def start():
         model = Pieces(path)
-        for batch in batches:
-            for b in slices(batch, len(kept)):
-                ids = [model.encode(t or "") for t in b.column(len(kept)).to_pylist()]
-                model.check()
-                decoded = [model.library.decode(array("I", i).tolist()) for i in ids]
-                yield pa.RecordBatch.from_arrays(
-                    [*b.columns[:-1], pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], [*kept, "ids", "decoded"])
-
-    names = [f"`{c}`" for c in kept]
-    empty = df.select(*names, F.lit(b"").alias("ids"), F.lit("").alias("decoded")).schema
-    for field in empty:
-        field.nullable = True
-    return df.select(*names, F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, empty)
+
+        def make(texts: pa.Array) -> list[pa.Array]:
+            ids = [model.encode(t or "") for t in texts.to_pylist()]
+            model.check()
+            decoded = [model.library.decode(array("I", i).tolist()) for i in ids]
+            return [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+
+        return make
+
+    return map_text(df, text, {"ids": "binary", "decoded": "string"}, start)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices
+from .batches import map_text, nullable, slices
 
 Span = tuple[str, int, int]
 KINDS = ("email", "ip", "card", "phone")
@@ -107,6 +107,8 @@ MARKED_DOT = re.compile(rf"\s?{OPEN}\s*(?:dot|punkt|point|punto|\.)\s*{CLOSE}\s?
 NAME = r"[A-Za-z0-9_%+-]+"
 # a written-out address has its dots written out as well; "at" alone is an ordinary word
 WRITTEN = re.compile(rf"(?<![\w.%+-]){NAME}(?:(?:\s+dot\s+|\.){NAME}){{0,126}}(\s+at\s+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{0,126}}\s+dot\s+[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+){{0,126}}", re.I)
+# Last labels that a written-out address may have; without them "look at the dot on it" were one.
+LAST = frozenset("com org net edu gov info biz io co de fr es uk eu ch nl ca mx".split())
 NUMBER_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
 AT_WORD, DOT_WORD = re.compile(r"\s+at\s+", re.I), re.compile(r"\s+dot\s+", re.I)
 MARKED = re.compile(rf"{OPEN}\s*(?:at|@|arroba|ät|dot|punkt|point|punto|\.)\s*{CLOSE}", re.I)
@@ -135,6 +137,8 @@ def written_signs(text: str) -> list[Edit]:
     edits = []
     if DOT_WORD.search(text):
         for m in WRITTEN.finditer(text):
+            if m[0].lower().replace(".", " ").split()[-1] not in LAST:
+                continue
             at, end = m.span(1)
             edits += [(at, end, "@")] if end - at > 1 else []
             edits += [(d.start(), d.end(), ".") for a, b in ((m.start(), at), (end, m.end())) for d in DOT_WORD.finditer(text, a, b)]
@@ -230,18 +234,13 @@ def find_personal(df: DataFrame, text: str = "text", column: str = "spans") -> D
     """The columns of ``df`` but ``text``, and ``column``: kind, start, end (code points) and whether
     it is a base span. Null counts as the empty text, which has no spans. Rows are treated one by
     one, so repeated rows get equal results and an empty table an empty one."""
-    kept = [c for c in df.columns if c not in (text, column)]
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in slices(batch, len(kept)):
-                rows = [[dict(zip(("kind", "start", "end", "base"), s)) for s in all_spans(t or "")] for t in b.column(len(kept)).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(rows, kind)], [*kept, column])
+    def make(texts: pa.Array) -> list[pa.Array]:
+        names = ("kind", "start", "end", "base")
+        return [pa.array([[dict(zip(names, s)) for s in all_spans(t or "")] for t in texts.to_pylist()], kind)]
 
-    names = [f"`{c}`" for c in kept]
-    schema = df.select(*names, F.lit(None).cast(SPANS).alias(column)).schema
-    return df.select(*names, F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, _nullable(schema))
+    return map_text(df, text, {column: SPANS}, lambda: make)
 
 
 def mask_personal(df: DataFrame, text: str = "text") -> DataFrame:
@@ -262,13 +261,7 @@ def mask_personal(df: DataFrame, text: str = "text") -> DataFrame:
                     columns[size] = pa.array(counts, b.schema.field(size).type)
                 yield pa.RecordBatch.from_arrays(columns, b.schema.names)
 
-    return df.mapInArrow(run, _nullable(df.schema))
-
-
-def _nullable(schema):
-    for field in schema:
-        field.nullable = True
-    return schema
+    return df.mapInArrow(run, nullable(df.schema))
 
 
 def joined(spans: Column) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import written
-from .batches import slices, utf8, word_lists
+from .batches import map_text, nullable, utf8, word_lists
 from .langid import sampled
 
 FIT_ROWS = 100_000  # labelled documents the model is fitted on, about, at most
@@ -60,19 +60,11 @@ def statistics(text: bytes) -> list[float]:
 
 def with_statistics(df: DataFrame, text: str = "text", column: str = "stats") -> DataFrame:
     """The columns of ``df`` but ``text``, and an array of statistics. Null counts as the empty text."""
-    kept = [c for c in df.columns if c not in (text, column)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for b in slices(batch, len(kept)):
-                rows = pa.array([statistics(t) for t in utf8(b.column(len(kept)))], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*b.columns[:-1], rows], [*kept, column])
+    def make(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array([statistics(t) for t in utf8(texts)], pa.list_(pa.float64()))]
 
-    names = [f"`{c}`" for c in kept]
-    schema = df.select(*names, F.array(F.lit(0.0)).alias(column)).schema
-    for field in schema:
-        field.nullable = True
-    return df.select(*names, F.col(f"`{text}`").cast("string").alias("_text")).mapInArrow(run, schema)
+    return map_text(df, text, {column: "array<double>"}, lambda: make)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -173,9 +165,7 @@ def score(df: DataFrame, model: Model, stats: str = "stats") -> DataFrame:
 
     names = [f"`{c}`" for c in kept]
     schema = df.select(*names, F.lit(0.0).alias("score")).schema
-    for field in schema:
-        field.nullable = True
-    return df.select(*names, f"`{stats}`").mapInArrow(run, schema)
+    return df.select(*names, f"`{stats}`").mapInArrow(run, nullable(schema))
 
 
 def fit_and_score(

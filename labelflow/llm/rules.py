@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import free_name
+
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOL = r"[#*$%&|<>]"
@@ -100,6 +102,7 @@ def quality_rules(df: DataFrame, text: str = "text", **limits: int) -> DataFrame
     p = DEFAULTS | limits
     whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
     lines = F.split(whole, "\n", -1)
+    spare = free_name("_words", df.columns)
     counted = F.filter(lines, lambda x: x.rlike(WORD))
     passed = F.array_join(F.filter(lines, lambda x: line_passes(x, p)), "\n")
     chars = lambda t: F.char_length(F.regexp_replace(t, BLANKS, "")).cast("bigint")
@@ -107,13 +110,13 @@ def quality_rules(df: DataFrame, text: str = "text", **limits: int) -> DataFrame
         "word_chars": chars(whole),
         "n_symbols": F.regexp_count(whole, F.lit(SYMBOL)).cast("bigint"),
         "n_dup_lines": let(counted, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"),
-        "_words": let(words_of(whole), lambda w: F.struct(F.size(w).alias("n"), covered_words(w).alias("repeated"))),
+        spare: let(words_of(whole), lambda w: F.struct(F.size(w).alias("n"), covered_words(w).alias("repeated"))),
         "clean_text": passed,
     })
     out = out.withColumns({
-        "n_words": F.col("_words.n").cast("bigint"), "n_repeat_words": F.col("_words.repeated"),
+        "n_words": F.col(spare)["n"].cast("bigint"), "n_repeat_words": F.col(spare)["repeated"],
         "lost_chars": F.col("word_chars") - chars(F.col("clean_text")),
-    }).drop("_words")
+    }).drop(spare)
     base = (F.col("n_words") < p["min_words"]) | (F.col("n_repeat_words") * 100 > F.col("n_words") * p["max_repeat_percent"])
     out = out.withColumn("base_failed", base)
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("lost_chars") * 100 <= F.col("word_chars") * p["max_lost_percent"]))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..settings import written
-from .batches import utf8, word_lists
+from .batches import free_name, map_text, utf8, word_lists
 from .components import components
 from .hot import join_unique
 
@@ -59,17 +59,11 @@ def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
 
 def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = SHINGLE, column: str = "fp") -> DataFrame:
     """The columns of ``df`` but ``text``, and the fingerprint as a signed long. Null text: zero."""
-    kept = [c for c in df.columns if c not in (text, column)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fp = np.array([fingerprint(t, shingle) for t in utf8(b.column(len(kept)))], np.uint64)
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(fp.view(np.int64))], [*kept, column])
+    def make(texts: pa.Array) -> list[pa.Array]:
+        return [pa.array(np.array([fingerprint(t, shingle) for t in utf8(texts)], np.uint64).view(np.int64))]
 
-    schema = df.select(*[f"`{c}`" for c in kept], F.lit(0).cast("bigint").alias(column)).schema
-    for field in schema:
-        field.nullable = True
-    return df.select(*[f"`{c}`" for c in kept], f"`{text}`").mapInArrow(run, schema)
+    return map_text(df, text, {column: "bigint"}, lambda: make)
 
 
 class Shards:
@@ -253,5 +247,6 @@ def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **op
     key = F.concat_ws(":", F.col("first.id").cast("string"), F.col("first.text_hash").cast("string"))
     firsts = rows.select(key.alias("_row")).distinct()
     own = F.concat_ws(":", F.col(f"`{doc_id}`").cast("string"), F.xxhash64(f"`{text}`").cast("string"))
-    kept = docs.withColumn("_row", own).join(firsts, "_row", "left_semi")
-    return kept.dropDuplicates(["_row"]).drop("_row").select(*[f"`{c}`" for c in docs.columns])
+    row = free_name("_row", docs.columns)
+    kept = docs.withColumn(row, own).join(firsts.withColumnRenamed("_row", row), row, "left_semi")
+    return kept.dropDuplicates([row]).drop(row)
