@@ -14,6 +14,7 @@ import os
 import struct
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..settings import fresh_path, written
-from .batches import Memo, slices, utf8, word_lists
+from .batches import Memo, slices, utf8, word_lists, worker_state
 
 SAMPLE = 256
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
@@ -148,8 +149,12 @@ def finish(out: BinaryIO, width: int, doc_ids: list[int | None], ends: list[int]
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library. If the tokenizer drops white space, the words of a
-    text are encoded on their own and remembered."""
+    """Ids of whole texts by the tokenizers library.
+
+    If the tokenizer drops white space, words are encoded on their own and remembered; if it also
+    drops case and cuts stops off words, a word of letters is looked up in lower case without them.
+    Whether it does is tried out, not assumed. Unknown words go to the library in one call per run of texts.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -157,16 +162,38 @@ class Encoder:
 
         self.library = Tokenizer.from_file(path)
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        self.by_word = self._whole(" a  b\nc ") == b"".join(map(self._whole, "abc"))
-        self.word = Memo(lambda w: self._whole(w.decode()))
-
-    def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, f"<u{self.width}").tobytes()
-
-    def encode(self, text: bytes) -> bytes:
+        spaced, a, b, c, stop, bare, upper = self._many([" a  b\nc ", "a", "b", "c", "ab.,", "ab", "AB"])
+        self.by_word = spaced == a + b + c
+        self.by_part = self.by_word and stop == bare + self._many([".,"])[0] and upper == bare
+        self.part = Memo(lambda p: self._many([p])[0])
+        self.word = Memo(self._word)
+
+    def _many(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _parts(self, word: bytes) -> list[str]:
+        text = word.decode()
+        letters = text.rstrip(".,")
+        if not self.by_part or not letters.isalpha():
+            return [text]
+        bare = letters.lower() if letters.isascii() else letters
+        return [bare, text[len(letters):]] if len(letters) < len(text) else [bare]
+
+    def _word(self, word: bytes) -> bytes:
+        return b"".join(map(self.part.__getitem__, self._parts(word)))
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
-            return self._whole(text.decode())
-        return b"".join(b"".join(map(self.word.__getitem__, words)) for words in word_lists(text))
+            return self._many([t.decode() for t in texts])
+        words = [list(chain.from_iterable(word_lists(t))) for t in texts]
+        fresh = self.word.unknown(set().union(*words))
+        split = [self._parts(w) for w in fresh]
+        parts = self.part.unknown(set(chain.from_iterable(split)))
+        for part, ids in zip(parts, self._many(parts)):
+            self.part.keep(part, ids)
+        for word, own in zip(fresh, split):
+            self.word.keep(word, self.part[own[0]] + self.part[own[1]] if len(own) > 1 else self.part[own[0]])
+        return [b"".join(map(self.word.__getitem__, ws)) for ws in words]
 
 
 def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -191,15 +218,15 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
         for batch in batches:
             for b in slices(batch, 1):
                 if out is None:
-                    coder = Encoder(tokenizer)
+                    coder = worker_state(("ids", tokenizer), lambda: Encoder(tokenizer))
                     last = b"" if end_id is None else end_id.to_bytes(coder.width, "little")
                     system, place = filesystem(folder)
                     system.create_dir(place, recursive=True)
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.ids"
                     out = system.open_output_stream(f"{place}/{name}")
                 docs += b.column(0).to_pylist()
-                for t in utf8(b.column(1)):
-                    ids = coder.encode(t) + last
+                for ids in coder.encode(utf8(b.column(1))):
+                    ids += last
                     n += len(ids) // coder.width
                     ends.append(n)
                     out.write(ids)

@@ -1,4 +1,5 @@
 import re
+import time
 
 import pytest
 from helpers import ODD_TEXTS, documents, repeated_rows
@@ -74,7 +75,9 @@ def test_ordinary_text_has_no_spans(text):
 
 def test_very_long_texts_take_linear_time():
     for text in ("a" * 300_000, "a." * 100_000 + "@", "1" * 300_000, "1 " * 150_000, "+1" + "(" * 200_000, "a@" * 100_000, "1." * 100_000, "@" * 200_000):
-        assert [s for s in pii.all_spans(text) if s[0] != "email"] == []
+        began = time.process_time()
+        pii.masked(text)
+        assert time.process_time() - began < 20
 
 
 def test_operator_and_mask(spark):
