@@ -17,7 +17,7 @@ from operator import add
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .batches import Memo, map_text
+from .batches import Memo, map_text, worker_state
 
 SPACE = "▁"  # stands for a blank in pieces
 
@@ -111,7 +111,7 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
     """
 
     def start():
-        model = Pieces(path)
+        model = worker_state(("pieces", path), lambda: Pieces(path))
 
         def make(texts: pa.Array) -> list[pa.Array]:
             ids = [model.encode(t or "") for t in texts.to_pylist()]
