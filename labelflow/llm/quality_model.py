@@ -19,7 +19,7 @@ from ..settings import written
 from .batches import map_text, nullable, utf8, word_lists
 from .langid import sampled
 
-FIT_ROWS = 100_000  # labelled documents the model is fitted on, about, at most
+FIT_ROWS = 20_000  # labelled documents the model is fitted on, about, at most
 FEATURES, LENGTH, RIDGE, SEED = 256, 3.0, 1.0, 17  # random features, kernel width, penalty
 BINS = 4096  # of the raw score, for the calibration
 STATISTICS = 16
