@@ -5,8 +5,11 @@ results and are chosen by the measured size of the term table:
 
 * ``inline``    terms bound as one array value, evaluated in the JVM with early stop, no shuffle
 * ``automaton`` terms broadcast, one pass of a multi-pattern matcher per text, no shuffle
-* ``shuffled``  term table of any size: the distinct tokens of all texts meet the terms in salted
-                equi joins, and the texts look their tokens up; only ids and tokens are shuffled
+* ``blocks``    term table of any size: cut in taxonomy order into blocks that fit the broadcast bound,
+                one such pass per block over the written result of the one before; still no shuffle
+
+Every row is matched by itself, so ids may repeat or be NULL. Where the ``ahocorasick`` package is
+absent the matcher tries term by term, with the same result.
 """
 
 from __future__ import annotations
@@ -18,11 +21,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from ..functions import description_terms, empty_strings, name_terms
-from ..settings import measure, setting
-from .skew import salted_join
+from ..settings import measure, setting, written
+from .numbering import numbered
 
 EDGE = "\x01"
 
@@ -41,8 +43,8 @@ def match_keywords(
 ) -> DataFrame:
     """Attach the first ``k`` matching labels as ``out``.
 
-    ``word_match`` asks for whole words instead of substrings and strips punctuation from terms. ``key`` must be unique and is only
-    used by the shuffled form.
+    ``word_match`` asks for whole words instead of substrings and strips punctuation from terms.
+    ``key`` names the record id and is not read. A stream runs the passes of all blocks in one.
     """
     terms = label_terms(labels, strip_punct or word_match).select("label", "pos", "terms")
     if word_match:
@@ -54,7 +56,9 @@ def match_keywords(
         body = F.lower(F.col(text))
     if form == "auto":
         form = _choose(terms)
-    return {"inline": _inline, "automaton": _automaton, "shuffled": _shuffled}[form](df, body, terms, k, out, key)
+    if form == "inline":
+        return _inline(df, body, terms, k, out)
+    return _by_blocks(df, body, terms, k, out, _first, bound=None if form == "automaton" else setting(df.sparkSession, "broadcastBytes"))
 
 
 def _choose(terms: DataFrame) -> str:
@@ -63,14 +67,10 @@ def _choose(terms: DataFrame) -> str:
     n, size = measure(exploded, "label", "term")
     if n <= setting(spark, "inlineTerms") and size <= setting(spark, "inlineBytes"):
         return "inline"
-    try:
-        import ahocorasick  # noqa: F401
-    except ImportError:
-        return "shuffled"
-    return "automaton" if size <= setting(spark, "broadcastBytes") else "shuffled"
+    return "automaton" if size <= setting(spark, "broadcastBytes") else "blocks"
 
 
-def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
+def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str) -> DataFrame:
     table = terms.agg(F.array_sort(F.collect_list(F.struct("pos", "label", "terms")))).scalar()
 
     def first_k(row: Column) -> Column:
@@ -85,107 +85,100 @@ def _inline(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key
     return df.withColumn("_terms", table).withColumn(out, F.transform(bound, first_k)[0]).drop("_terms")
 
 
-def _automaton(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
-    # only the first k labels of a term can be among the first k of a text
-    return _scan_texts(df, body, terms, out, lambda own, found: sorted(set().union(*[own[t][:k] for t in found]))[:k])
-
-
-def _scan_texts(df: DataFrame, body: Column, terms: DataFrame, out: str, pick) -> DataFrame:
-    """One pass of a multi-pattern matcher per text; ``pick`` turns the distinct terms found into
-    label numbers in taxonomy order. The caller has checked the size of ``terms``."""
-    rows = terms.orderBy("pos", "label").select("label", "terms").toPandas()
-    names = rows["label"].tolist()
-    owners: dict[str, list[int]] = {}
-    for i, own in enumerate(rows["terms"]):
-        for term in own:
-            owners.setdefault(term, []).append(i)
-    shared = df.sparkSession.sparkContext.broadcast((names, list(owners), list(owners.values())))
-
-    def match(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+def _blocks(terms: DataFrame, bound: int | None) -> Iterator[list]:
+    """The term table in taxonomy order, in runs of labels whose terms take about ``bound`` bytes; a
+    single label may take more. Each run is collected when its pass is planned."""
+    if bound is None:
+        yield terms.orderBy("pos", "label").select("label", "terms").collect()
+        return
+    size = F.octet_length("label") + F.aggregate("terms", F.lit(0), lambda n, t: n + F.octet_length(t))
+    rows = numbered(terms.select("label", "terms", "pos", size.cast("bigint").alias("_size")), [F.col("pos").asc(), F.col("label").asc()], "_at")
+    n = rows.count()
+    step = max(1, n)
+    while step > 1:
+        worst = rows.groupBy(F.floor(F.col("_at") / step)).agg(F.sum("_size").alias("s")).agg(F.max("s")).first()[0]
+        if worst <= bound:
+            break
+        step = -(-step // 2)
+    for first in range(0, max(1, n), step):
+        run = rows.filter((F.col("_at") >= first) & (F.col("_at") < first + step))
+        yield run.orderBy("_at").select("label", "terms").collect()
+
+
+def _matcher(words: list[str]):
+    """The function from a text to the numbers of the words that stand in it."""
+    if not words:
+        return lambda text: set()
+    try:
         import ahocorasick
+    except ImportError:
+        return lambda text: {i for i, w in enumerate(words) if w in text}
+    machine = ahocorasick.Automaton()
+    for number, word in enumerate(words):
+        machine.add_word(word, number)
+    machine.make_automaton()
+    return lambda text: {number for _, number in machine.iter(text)}
 
-        names, words, own = shared.value
-        machine = ahocorasick.Automaton()
-        for number, word in enumerate(words):
-            machine.add_word(word, number)
-        if words:
-            machine.make_automaton()
-        for batch in texts:
-            yield pd.Series([
-                [names[i] for i in pick(own, {t for _, t in machine.iter(text)})] if text and words else []
-                for text in batch
-            ])
 
-    udf = F.pandas_udf(match, T.ArrayType(T.StringType()))
-    return df.withColumn(out, F.coalesce(udf(body), empty_strings()))
+_FOUND = "array<struct<score:int,place:bigint,label:string>>"
 
 
-def _best_by_overlap(k: int):
-    def pick(own: list[list[int]], found: set[int]) -> list[int]:
-        score = Counter(i for t in found for i in own[t])
-        return sorted(score, key=lambda i: (-score[i], i))[:k]
+def _first(own: list[list[int]], found: set[int], k: int) -> list[tuple[int, int]]:
+    """The first ``k`` labels; only the first ``k`` of a term can be among them."""
+    return [(0, i) for i in sorted(set().union(*[own[t][:k] for t in found]))[:k]]
 
-    return pick
 
+def _most(own: list[list[int]], found: set[int], k: int) -> list[tuple[int, int]]:
+    """The ``k`` labels with most terms found, the first of equals."""
+    count = Counter(i for t in found for i in own[t])
+    return sorted((-n, i) for i, n in count.items())[:k]
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _pieces(tokens: pd.Series) -> pd.Series:
-    """Distinct runs of one, two and three characters of each token."""
-    return tokens.map(lambda t: list({t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}))
 
+def _by_blocks(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, pick, bound: int | None) -> DataFrame:
+    """One pass of a multi-pattern matcher per block of labels; ``pick`` scores a text's labels of the
+    block, and the best ``k`` of all blocks so far are carried along in the row."""
+    best = F.array().cast(_FOUND)
+    base, done = df.withColumn("_lower_text", body), 0
+    for number, rows in enumerate(_blocks(terms, bound)):
+        if number:
+            base = base.withColumn("_found_so_far", best)
+            base = base if df.isStreaming else written(base, "keywords")
+            best = F.col("_found_so_far")
+        found = _scan(df.sparkSession, rows, done, k, pick)
+        # in taxonomy order a text that has k labels needs no further block
+        full = (F.size(best) >= k) if pick is _first else F.lit(False)
+        new = F.coalesce(found(F.when(~full, F.col("_lower_text"))), F.array().cast(_FOUND))
+        best = F.slice(F.array_sort(F.concat(best, new)), 1, k)
+        done += len(rows)
+    return base.withColumn("_found_so_far", best).withColumn(out, F.transform("_found_so_far", lambda s: s["label"])).drop("_lower_text", "_found_so_far")
 
-def _first_k(rows: DataFrame, by: str, k: int) -> DataFrame:
-    rank = F.row_number().over(Window.partitionBy(by).orderBy("pos", "label"))
-    return rows.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
 
+def _scan(spark, rows: list, place: int, k: int, pick):
+    names = [r["label"] for r in rows]
+    owners: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        for term in r["terms"]:
+            owners.setdefault(term, []).append(i)
+    shared = spark.sparkContext.broadcast((names, list(owners), list(owners.values())))
 
-def _shuffled(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, key: str) -> DataFrame:
-    """Terms hold no blank, so a term in a text lies inside one token of it. Terms are looked for
-    once per distinct token; the texts only look their tokens up.
+    def match(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        names, words, own = shared.value
+        find = _matcher(words)
+        for batch in texts:
+            yield pd.Series([[{"score": s, "place": place + i, "label": names[i]} for s, i in pick(own, find(t), k)] if t else [] for t in batch])
 
-    A text's first ``k`` labels are among the first ``k`` of its tokens, and a token's among the
-    first ``k`` of its terms. So a term that a third of all labels share adds ``k`` rows, not all.
-    """
-    owners = _first_k(terms.select("label", "pos", F.explode("terms").alias("term")), "term", k)
-    # each term is looked up by its piece that is rarest among the terms
-    length = F.least(F.char_length("term"), F.lit(3))
-    runs = F.transform(
-        F.sequence(F.lit(1), F.char_length("term") - length + 1), lambda i: F.substring("term", i, length)
-    )
-    piece_rows = owners.select("term").distinct().select("term", F.explode(F.array_distinct(runs)).alias("piece"))
-    frequency = piece_rows.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    rarest = (
-        salted_join(piece_rows, frequency, "piece", "term").groupBy("term")
-        .agg(F.min(F.struct("n", "piece")).alias("m")).select("term", F.col("m.piece").alias("piece"))
-    )
-
-    tokens = df.select(key, F.explode(F.array_distinct(F.split(body, r"(?U)\s+"))).alias("token"))
-    vocabulary = tokens.select("token").distinct()
-    pieces = vocabulary.select("token", F.explode(_pieces("token")).alias("piece"))
-    hits = salted_join(pieces, rarest, "piece", "token").filter(F.contains("token", F.col("term"))).select("token", "term")
-    named = _first_k(salted_join(hits, owners, "term", "token").select("token", "pos", "label").distinct(), "token", k)
-    known = named.groupBy("token").agg(F.collect_list(F.struct("pos", "label")).alias("entries"))
-
-    found = salted_join(tokens, known, "token", key).groupBy(key).agg(F.flatten(F.collect_list("entries")).alias("_entries"))
-    first = F.slice(F.array_sort(F.array_distinct("_entries")), 1, k)
-    lists = found.select(key, F.transform(first, lambda e: e["label"]).alias(out))
-    return df.join(lists, key, "left").withColumn(out, F.coalesce(F.col(out), empty_strings()))
+    return F.pandas_udf(match, T.ArrayType(T.StructType.fromDDL("score int, place bigint, label string")))
 
 
 def term_overlap(
     df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, out: str = "labels", form: str = "auto",
 ) -> DataFrame:
-    """The ``k`` labels with most distinct terms contained in the text; ties in taxonomy order.
-
-    The term table must fit the broadcast bound, else ``ValueError``.
-    """
+    """The ``k`` labels with most distinct terms contained in the text; ties in taxonomy order."""
     terms = label_terms(labels).select("label", "pos", "terms")
     form = _choose(terms) if form == "auto" else form
-    if form == "shuffled":
-        raise ValueError("label table too large for term overlap; use match_keywords")
     body = F.lower(F.col(text))
-    if form == "automaton":
-        return _scan_texts(df, body, terms, out, _best_by_overlap(k))
+    if form != "inline":
+        return _by_blocks(df, body, terms, k, out, _most, bound=None if form == "automaton" else setting(df.sparkSession, "broadcastBytes"))
     table = terms.agg(F.array_sort(F.collect_list(F.struct("pos", "label", "terms")))).scalar()
 
     def best(row: Column) -> Column:

@@ -7,6 +7,9 @@ chosen by the measured size of the mapping:
 * ``broadcast`` entries within the bound: a hash table per worker, Arrow batches, no shuffle
 * ``join``      any size: equi join, salted by record so that an item that stands in a third of all
                 lists is spread over many tasks
+
+All forms treat every row by itself. ``key`` names the record id, which may repeat or be NULL: rows are
+told apart by a number of their own.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import empty_strings, or_empty
-from ..settings import measure, setting
+from ..settings import measure, row_keyed, setting, written
 from .skew import salted_join
 from .taxonomy import closure_table
 
@@ -37,6 +40,7 @@ def map_list(
     order and the repeats stay.
     """
     if form == "auto":
+        mapping = written(mapping, "mapping")  # made once, then measured and shipped
         n, size = measure(mapping, "item", "values")
         spark = df.sparkSession
         if n <= setting(spark, "inlineRows") and size <= setting(spark, "inlineBytes"):
@@ -56,14 +60,14 @@ def map_list(
     if form == "broadcast":
         return df.withColumn(out, _hash_lookup(mapping, keep_unmatched, as_set)(items, F.transform(items, as_key)))
 
-    left = df.select(F.col(key), F.posexplode(items).alias("_pos", "_raw")).withColumn("_item", as_key(F.col("_raw")))
+    rows = row_keyed(df.withColumn("_items", items))
+    left = rows.select("_row", F.posexplode("_items").alias("_pos", "_raw")).withColumn("_item", as_key(F.col("_raw")))
     right = mapping.select(F.col("item").alias("_item"), F.col("values").alias("_values"))
-    joined = salted_join(left, right, "_item", key, "left" if keep_unmatched else "inner")
+    joined = salted_join(left, right, "_item", "_row", "left" if keep_unmatched else "inner")
     values = F.coalesce(F.col("_values"), F.array("_raw"))
-    lists = joined.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_pos", values.alias("v")))).alias("_l"))
-    flat = lists.select(key, finish(F.flatten(F.transform("_l", lambda s: s["v"]))).alias(out))
-    base = df.drop(out) if out in df.columns else df
-    return base.join(flat, key, "left").withColumn(out, or_empty(out))
+    lists = joined.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("_pos", values.alias("v")))).alias("_l"))
+    flat = lists.select("_row", finish(F.flatten(F.transform("_l", lambda s: s["v"]))).alias("_flat"))
+    return rows.drop("_items").join(flat, "_row", "left").withColumn(out, or_empty("_flat")).drop("_row", "_flat")
 
 
 def _hash_lookup(mapping: DataFrame, keep_unmatched: bool, as_set: bool):

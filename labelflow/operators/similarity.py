@@ -3,15 +3,20 @@
 Scores are rounded to six digits and ties are broken by label name, so results do not depend on
 the order of floating-point sums. Forms, chosen by the measured size of the label side:
 
-* ``broadcast`` label matrix within the bound: one block product per Arrow batch, no shuffle; the
-                lists stay in the record's row
+* ``broadcast`` label table within the bound: block products per Arrow batch, no shuffle; the lists
+                stay in the record's row
 * ``grid``      both sides large: records and labels are cut into bounded blocks, every pair of
                 blocks is one task that keeps the best ``k`` per record, and a window merges them.
                 Exact; only ``k`` rows per record and label block leave a task
+
+In both, scores are made for so many records at a time that they fit ``cellBytes``. Every record is
+a row of its own: ids may repeat or be NULL.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import words
-from ..settings import measure, salt_values, setting
+from ..settings import measure, row_keyed, salt_values, setting
 
 __all__ = ["nearest_labels", "attach_nearest", "ranked_lists", "rerank", "token_jaccard"]
 
@@ -46,11 +51,19 @@ def _top(scores: np.ndarray, k: int) -> list[np.ndarray]:
     return best
 
 
+def _slices(vectors: np.ndarray, matrix: np.ndarray, cell: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Rounded scores of the vectors against the matrix: first row and scores of each run of rows, a
+    run as long as ``cell`` bytes of scores allow, one row at least."""
+    step = max(1, cell // (8 * max(1, len(matrix))))
+    for at in range(0, len(vectors), step):
+        yield at, np.round(vectors[at:at + step] @ matrix.T, DIGITS)
+
+
 def _fits(labels: DataFrame, vector: str) -> bool:
-    spark = labels.sparkSession
-    n, size = measure(labels.select("label"), "label")
+    """Whether all that the broadcast form ships is within the bound: names, paths, descriptions, vectors."""
+    n, size = measure(labels, "label", "path", "description")
     dim = labels.select(F.max(F.size(vector))).first()[0] or 0
-    return size + n * dim * 8 <= setting(spark, "broadcastBytes")
+    return size + n * dim * 8 <= setting(labels.sparkSession, "broadcastBytes")
 
 
 def attach_nearest(
@@ -70,9 +83,10 @@ def attach_nearest(
         form = "broadcast" if _fits(labels, "_lv") else "grid"
     names = ("labels", "scores", "paths", "descriptions")
     if form == "grid":
-        best = _grid(df, labels, k, key, vector)
-        lists = ranked_lists(best, key, {"labels": "label", "scores": "score", "paths": "path", "descriptions": "description"})
-        merged = df.join(lists, key, "left")
+        rows = row_keyed(df)
+        best = _grid(rows, labels, k, "_row", vector)
+        lists = ranked_lists(best, "_row", {"labels": "label", "scores": "score", "paths": "path", "descriptions": "description"}, tie="rank")
+        merged = rows.join(lists, "_row", "left").drop("_row")
     else:
         merged = df.withColumn("_near", _near_udf(labels, k)(vector)).select("*", "_near.*").drop("_near")
     for name in names:
@@ -83,6 +97,7 @@ def attach_nearest(
 
 def _near_udf(labels: DataFrame, k: int):
     table = labels.orderBy("label", "path").toPandas()  # size checked by the caller
+    cell = setting(labels.sparkSession, "cellBytes")
     shared = labels.sparkSession.sparkContext.broadcast(
         (table["label"].to_numpy(object), table["path"].to_numpy(object), table["description"].to_numpy(object),
          _matrix(table["_lv"]) if len(table) else None)
@@ -93,9 +108,9 @@ def _near_udf(labels: DataFrame, k: int):
         rows: list[tuple] = [(None, None, None, None)] * len(vectors)
         known = np.flatnonzero(vectors.notna().to_numpy())
         if len(known) and matrix is not None:
-            scores = np.round(_matrix(vectors.iloc[known]) @ matrix.T, DIGITS)
-            for at, row, cols in zip(known, scores, _top(scores, k)):
-                rows[at] = (names[cols], row[cols] + 0.0, paths[cols], descriptions[cols])
+            for first, scores in _slices(_matrix(vectors.iloc[known]), matrix, cell):
+                for at, row, cols in zip(known[first:], scores, _top(scores, k)):
+                    rows[at] = (names[cols], row[cols] + 0.0, paths[cols], descriptions[cols])
         return pd.DataFrame(rows, columns=["labels", "scores", "paths", "descriptions"])
 
     return F.pandas_udf(
@@ -149,15 +164,16 @@ def _grid(df: DataFrame, labels: DataFrame, k: int, key: str, vector: str) -> Da
         if not len(records) or not len(block_labels):
             return pd.DataFrame(columns=columns)
         own = block_labels.sort_values(["label", "path"], kind="stable").reset_index(drop=True)
-        scores = np.round(_matrix(records["_v"]) @ _matrix(own["_lv"]).T, DIGITS)
-        picks = _top(scores, k)
-        counts = [len(p) for p in picks]
-        cols = np.concatenate(picks)
-        rows = np.repeat(np.arange(len(records)), counts)
-        out = own.loc[cols, ["label", "path", "description"]].reset_index(drop=True)
-        out.insert(0, "_key", records["_key"].to_numpy()[rows])
-        out["score"] = scores[rows, cols] + 0.0
-        return out
+        parts = []
+        for first, scores in _slices(_matrix(records["_v"]), _matrix(own["_lv"]), cell):
+            picks = _top(scores, k)
+            cols = np.concatenate(picks)
+            rows = np.repeat(np.arange(len(scores)), [len(p) for p in picks])
+            part = own.loc[cols, ["label", "path", "description"]].reset_index(drop=True)
+            part.insert(0, "_key", records["_key"].to_numpy()[first + rows])
+            part["score"] = scores[rows, cols] + 0.0
+            parts.append(part)
+        return pd.concat(parts, ignore_index=True)
 
     schema = f"_key {key_type}, label string, path string, description string, score double"
     partial = a.groupBy("_r", "_b").cogroup(b.groupBy("_r", "_b")).applyInPandas(block, schema)
@@ -171,8 +187,9 @@ def ranked_lists(
     matches: DataFrame, key: str, columns: dict[str, str], score: str = "score", tie: str = "label"
 ) -> DataFrame:
     """Matches of each record as aligned lists, highest score first. One row per record."""
+    tie_value = F.col(tie) if tie == "rank" else F.col(tie).cast("string")
     entry = F.struct(
-        (-F.col(score)).alias("order_score"), F.col(tie).cast("string").alias("order_tie"),
+        (-F.col(score)).alias("order_score"), tie_value.alias("order_tie"),
         *[F.col(c).alias(f"value_{alias}") for alias, c in columns.items()],
     )
     grouped = matches.groupBy(key).agg(F.array_sort(F.collect_list(entry)).alias("_m"))

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Upper bounds for data that is shipped to every task. Larger inputs take the shuffled form.
+# Upper bounds for data that is shipped to every task. Larger inputs take another form with the same result.
 DEFAULTS = {
     "spark.labelflow.broadcastBytes": 64 * 1024 * 1024,
     "spark.labelflow.inlineRows": 64,
@@ -51,6 +51,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_keyed(df: DataFrame, column: str = "_row") -> DataFrame:
+    """``df`` with a number of its own for every row, written once so that the numbers hold.
+
+    Operators that take rows apart and join them again use it instead of the caller's id, which may
+    repeat or be NULL.
+    """
+    return written(df.withColumn(column, F.monotonically_increasing_id()), "rows")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a CPU-heavy stage at least one partition per core.
 

@@ -23,8 +23,8 @@ def label_stream(records: DataFrame, labels: DataFrame, k: int = 5, *, mode: str
                  tag_key: str = "raindrop_tags") -> DataFrame:
     """Clean each record and attach keyword labels; no state is kept.
 
-    The label table is static and must fit the inline or broadcast bound, because the shuffled
-    form of the matcher cannot run on a stream.
+    The label table is static. One beyond the broadcast bound is matched block by block in one pass,
+    which holds the matchers of all blocks in each worker.
     """
     cleaned = (
         records.withColumn("cleaned_title", clean_text("title", mode, once=True))

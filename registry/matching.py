@@ -149,7 +149,7 @@ def j5_automaton(t: Tables):
 
 @query("J5_keyword_match_shuffled", KEYWORD_LABELS)
 def j5_shuffled(t: Tables):
-    return O.match_keywords(documents(t), "text", passages(t), 5, form="shuffled").select("id", joined("labels").alias("labels"))
+    return O.match_keywords(documents(t), "text", passages(t), 5, form="blocks").select("id", joined("labels").alias("labels"))
 
 
 @query("J5_whole_words", r"""

@@ -78,7 +78,7 @@ def keyword_labels(spark):
     )
 
 
-@pytest.mark.parametrize("form", ["inline", "automaton", "shuffled", "auto"])
+@pytest.mark.parametrize("form", ["inline", "automaton", "blocks", "auto"])
 def test_keywords(spark, form):
     texts = ["An email about painting", "buy tools, now", "hardWARE v0", "nothing", "", None, "tools without comma"]
     df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
@@ -89,7 +89,7 @@ def test_keywords(spark, form):
 
 def test_whole_words(spark):
     df = spark.createDataFrame([(0, "An email"), (1, "an AI!")], "id int, text string")
-    for form in ("inline", "automaton", "shuffled"):
+    for form in ("inline", "automaton", "blocks"):
         got = result(O.match_keywords(df, "text", keyword_labels(spark), 5, out="o", word_match=True, form=form))
         assert got == [[], ["AI_Tools"]], form
 
@@ -106,13 +106,13 @@ def test_keyword_forms_agree_with_brute_force(spark):
     for text in texts:
         hits = [l for l, d, _ in labels if any(t in text for t in [w for w in d.split() if len(w) > 3] + l.split("_"))]
         want.append(hits[:3])
-    for form in ("inline", "automaton", "shuffled"):
+    for form in ("inline", "automaton", "blocks"):
         assert result(O.match_keywords(df, "text", frame, 3, out="o", form=form)) == want, form
 
 
 def test_overlap(spark):
     df = spark.createDataFrame([(0, "building tools, things"), (1, "zzz"), (2, None)], "id int, text string")
-    for form in ("inline", "automaton"):
+    for form in ("inline", "automaton", "blocks"):
         got = result(O.term_overlap(df, "text", keyword_labels(spark), 2, out="o", form=form))
         assert got == [["AI_Tools", "SoftWare"], [], []] or got == [["SoftWare", "AI_Tools"], [], []]
 
@@ -162,3 +162,120 @@ def test_rerank(spark):
     first = spark.createDataFrame([(0, "a", 0.9, 1), (0, "b", 0.8, 5), (0, "c", 0.7, 5)], "id int, label string, score double, x int")
     rows = O.rerank(first, "id", F.col("x"), 2).orderBy("rank").collect()
     assert [r["label"] for r in rows] == ["b", "c"]
+
+
+# -- one answer whatever the size -----------------------------------------------------------------
+
+def odd_ids(spark, column, values, kind):
+    """The values under a repeated id and under no id."""
+    ids = ["1", "1", None, "2", None]
+    return spark.createDataFrame([(ids[i % 5], i, v) for i, v in enumerate(values)], f"id string, at int, {column} {kind}")
+
+
+def by_place(df, column="o"):
+    return [r[column] for r in df.orderBy("at").collect()]
+
+
+@pytest.mark.parametrize("form", FORMS + ["auto"])
+def test_lookups_treat_each_row_by_itself(spark, form):
+    df = odd_ids(spark, "l", [["a"], ["B", "x"], ["A", "b", "A"], None, ["y"]], "array<string>")
+    labels = spark.createDataFrame([("A", "A", [0]), ("B", "A/B", [0, 0])], "label string, path string, pos array<int>")
+    assert by_place(O.match_entities(df, "id", "l", labels, "o", form=form)) == [["A"], ["B"], ["A", "B"], [], []]
+    assert by_place(O.validate_labels(df, "id", "l", labels, "o", form=form)) == [[], ["B"], ["A", "A"], [], []]
+    assert by_place(O.unknown_labels(df, "id", "l", labels, "o", form=form)) == [["a"], ["x"], ["b"], [], ["y"]]
+    assert by_place(O.close_hierarchy(df, "id", "l", labels, "o", form=form)) == [["a"], ["A", "B", "x"], ["A", "b"], [], ["y"]]
+
+
+@pytest.mark.parametrize("form", ["inline", "automaton", "blocks", "auto"])
+def test_keywords_treat_each_row_by_itself(spark, form):
+    df = odd_ids(spark, "text", ["alpha", "beta", "alpha beta", None, "gamma"], "string")
+    labels = spark.createDataFrame([("Beta", None, 1), ("Alpha", None, 0)], "label string, description string, pos int")
+    spark.conf.set("spark.labelflow.broadcastBytes", "8")  # a block per label
+    try:
+        assert by_place(O.match_keywords(df, "text", labels, 5, out="o", form=form)) == [["Alpha"], ["Beta"], ["Alpha", "Beta"], [], []]
+        assert by_place(O.term_overlap(df, "text", labels, 5, out="o", form=form)) == [["Alpha"], ["Beta"], ["Alpha", "Beta"], [], []]
+    finally:
+        spark.conf.unset("spark.labelflow.broadcastBytes")
+
+
+def test_many_blocks_agree_with_one(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 4)))
+    labels = spark.createDataFrame([(f"{word()}_{n}", " ".join(word() for _ in range(4)), n) for n in range(60)], "label string, description string, pos int")
+    df = spark.createDataFrame([(i % 7, i, " ".join(word() for _ in range(rng.randint(0, 8)))) for i in range(80)], "id int, at int, text string")
+    whole = [by_place(f(df, "text", labels, 3, out="o", form="automaton")) for f in (O.match_keywords, O.term_overlap)]
+    spark.conf.set("spark.labelflow.broadcastBytes", "200")
+    try:
+        assert [by_place(f(df, "text", labels, 3, out="o", form="blocks")) for f in (O.match_keywords, O.term_overlap)] == whole
+    finally:
+        spark.conf.unset("spark.labelflow.broadcastBytes")
+
+
+def test_the_matcher_needs_no_package(monkeypatch):
+    import sys
+
+    from labelflow.operators.keywords import _matcher
+
+    with_package = _matcher(["ab", "b", "cd"])("xabx")
+    monkeypatch.setitem(sys.modules, "ahocorasick", None)
+    assert _matcher(["ab", "b", "cd"])("xabx") == with_package == {0, 1}
+
+
+@pytest.mark.parametrize("form", ["broadcast", "grid", "auto"])
+def test_nearest_treats_each_row_by_itself(spark, form):
+    df = odd_ids(spark, "vector", [[1.0, 0.0], [0.0, 1.0], [1.0, 0.1], None, [0.1, 1.0]], "array<double>")
+    labels = spark.createDataFrame([("X", [1.0, 0.0]), ("Y", [0.0, 1.0])], "label string, vector array<double>")
+    assert by_place(O.attach_nearest(df, labels, 1, form=form), "candidate_labels") == [["X"], ["Y"], ["X"], [], ["Y"]]
+
+
+def test_score_matrices_stay_within_the_cell(spark):
+    from labelflow.operators.similarity import _slices
+
+    rng = np.random.default_rng(9)
+    a, b = rng.normal(size=(1000, 3)), rng.normal(size=(50, 3))
+    runs = list(_slices(a, b, 4000))
+    assert max(s.nbytes for _, s in runs) <= 4000 and len(runs) == 100
+    assert np.allclose(np.concatenate([s for _, s in runs]), a @ b.T, atol=1e-6)
+    # a small cell gives several blocks a side, and the same result
+    _, left = vectors(spark, 40, 4, 3)
+    _, right = vectors(spark, 30, 4, 4, "n")
+    labels = right.select(F.format_string("L%02d", "n").alias("label"), "vector")
+    want = result(O.attach_nearest(left, labels, 4, form="broadcast"), "candidate_labels")
+    spark.conf.set("spark.labelflow.cellBytes", "1000")
+    try:
+        assert result(O.attach_nearest(left, labels, 4, form="grid"), "candidate_labels") == want
+    finally:
+        spark.conf.unset("spark.labelflow.cellBytes")
+
+
+def test_all_that_is_shipped_is_measured(spark):
+    from labelflow.operators.similarity import _fits
+
+    labels = spark.createDataFrame([("X", "X", "long " * 5000, [1.0])], "label string, path string, description string, _lv array<double>")
+    spark.conf.set("spark.labelflow.broadcastBytes", "10000")
+    try:
+        assert not _fits(labels, "_lv")
+        assert _fits(labels.withColumn("description", F.lit("short")), "_lv")
+    finally:
+        spark.conf.unset("spark.labelflow.broadcastBytes")
+
+
+def test_hot_keys_are_spread(spark):
+    from labelflow.operators.skew import salted_join
+
+    left = spark.range(20_000).select("id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.concat(F.lit("k"), F.col("id") % 2000)).alias("k"))
+    right = left.select("k").distinct().filter("k IS NOT NULL").select("k", F.concat(F.lit("v"), "k").alias("v"))
+    right = right.unionByName(spark.createDataFrame([("hot", "second")], "k string, v string"))
+    for how in ("inner", "left"):
+        assert sorted(map(tuple, salted_join(left, right, "k", "id", how).select("id", "k", "v").collect()), key=str) == sorted(
+            map(tuple, left.join(right, "k", how).select("id", "k", "v").collect()), key=str)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        sizes = salted_join(left, right, "k", "id").groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        assert sizes.max() < 3 * sizes.mean()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
