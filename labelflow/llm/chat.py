@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.skew import join_unique
 from ..settings import written
-from .hot import join_unique
 
 PART_TURNS = 1000
 

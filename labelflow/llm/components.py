@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import join_unique
 from ..settings import written
-from .hot import join_unique
 
 
 def _state(edges: DataFrame) -> tuple[int, int]:

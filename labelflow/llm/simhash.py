@@ -22,10 +22,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import join_unique
 from ..settings import written
 from .batches import free_name, map_text, utf8, word_lists
 from .components import components
-from .hot import join_unique
 
 SHINGLE, RADIUS = 3, 3  # fixed by the contract
 SHARD_POINTS = 32_768  # points that a shard has on average, at most

@@ -5,7 +5,8 @@ import xxhash
 from helpers import ODD_TEXTS, documents, repeated_rows
 from pyspark.sql import functions as F
 
-from labelflow.llm import components, hot, simhash
+from labelflow.llm import components, simhash
+from labelflow.operators import skew
 
 
 def plain_fingerprint(text):
@@ -95,7 +96,7 @@ def test_components_of_paths_stars_and_repeats(spark):
 def test_join_unique_keeps_hot_and_cold_rows(spark):
     rows = spark.range(5000).select((F.col("id") % 3 * (F.col("id") % 7)).alias("k"), F.col("id").alias("x"))
     table = rows.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"))
-    got = hot.join_unique(rows, table, "k", "n", 5000)
+    got = skew.join_unique(rows, table, "k", "n", 5000)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(table.drop("n"), "k").collect()))
 
 
