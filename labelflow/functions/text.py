@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .markup import collapse_blanks, parse_markup, parse_markup_once, strip_markup_sql
 
 __all__ = [
     "clean_text", "clean_text_flagged", "blank_to_empty", "parse_time", "combine_text", "summary_text",
-    "extract_tags", "text_length", "label_plus_desc", "escape_prompt", "preview", "split_items", "is_none_reply",
+    "extract_tags", "metadata_kind", "text_length", "label_plus_desc", "escape_prompt", "preview", "split_items", "is_none_reply",
     "percentage", "name_terms", "description_terms", "ancestor_paths", "words", "empty_strings", "or_empty",
     "sample_order", "collapse_blanks",
 ]
@@ -73,15 +74,22 @@ def summary_text(title: str | Column, summary: str | Column) -> Column:
 def extract_tags(metadata: str | Column, key: str = "raindrop_tags", kind: str = "json") -> Column:
     """Tag list under ``key``; anything that is no list gives ``[]``.
 
-    ``kind`` tells how the metadata is stored: ``json`` text, ``variant`` or ``map`` of lists.
+    ``kind`` tells how the metadata is stored: ``json`` text, ``variant``, or ``nested`` (a struct, or a
+    map of lists or texts). A dot in ``key`` is part of the name.
     """
     m = _c(metadata)
-    if kind == "map":
-        tags = F.try_element_at(m, F.lit(key)).cast("array<string>")
-    else:
-        v = F.try_parse_json(m) if kind == "json" else m
-        tags = F.try_variant_get(v, f"$.{key}", "array<string>")
-    return F.coalesce(tags, empty_strings())
+    v = m if kind == "variant" else F.try_parse_json(m if kind == "json" else F.to_json(m))
+    quote = '"' if "'" in key else "'"
+    return F.coalesce(F.try_variant_get(v, f"$[{quote}{key}{quote}]", "array<string>"), empty_strings())
+
+
+def metadata_kind(stored: T.DataType) -> str | None:
+    """``kind`` for :func:`extract_tags` by column type; None for types that can't hold tags."""
+    if isinstance(stored, T.VariantType):
+        return "variant"
+    if isinstance(stored, (T.StructType, T.MapType, T.ArrayType)):
+        return "nested"
+    return "json" if isinstance(stored, T.StringType) else None
 
 
 def text_length(c: str | Column) -> Column:

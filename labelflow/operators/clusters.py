@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import escape_prompt, is_none_reply, or_empty, split_items
+from ..functions import empty_strings, escape_prompt, is_none_reply, or_empty, split_items
 from ..sources.sinks import SUGGESTION_COLUMNS
-from .replies import Provider, entity_reply, extract_fields, fill_template, theme_reply
+from .replies import Provider, entity_reply, extract_fields, fill_template, one_reply, theme_reply
 from .stats import cluster_labels, joined_samples, sample_per_group, sample_rows, top_items
 
 __all__ = ["cluster_samples", "cluster_themes", "gap_requests", "gap_suggestions", "entity_harvest", "pattern_gaps"]
@@ -18,8 +18,8 @@ ENTITIES = "extracted_entities array<string>, entity_categories map<string,array
 
 GAP_PROMPT = (
     "These texts belong together; the labels [{labels}] are in use for them.\n"
-    "1. Name specific new entities, separated by commas, or NONE.\n"
-    "2. Name themes without a label, one 'name: description' per line, or NONE.\n\nTexts:\n{text}\n"
+    'Answer with a JSON object: "potential_new_entities", a list of specific new entities, and\n'
+    '"thematic_gap_suggestions", a list of themes without a label, each as "name: description".\n\nTexts:\n{text}\n'
 )
 
 
@@ -37,7 +37,7 @@ def cluster_themes(df: DataFrame, text: str, *, n: int = 5, key: str = "id", clu
     """Theme and subtopics of each non-empty cluster, read from a reply over sampled texts."""
     samples = cluster_samples(df, text, n, key=key, cluster=cluster, seed=seed)
     requests = samples.select(F.col(cluster).cast("string").alias("request_id"), F.col("sample_text").alias("text"))
-    replies = extract_fields((provider or theme_reply())(requests), THEMES)
+    replies = extract_fields(one_reply((provider or theme_reply())(requests)), THEMES)
     answers = replies.select("request_id", "cluster_theme", or_empty("subtopics").alias("subtopics"))
     return (
         samples.withColumn("request_id", F.col(cluster).cast("string")).join(answers, "request_id", "left")
@@ -60,18 +60,29 @@ def gap_requests(df: DataFrame, text: str, labels: str, *, n: int = 10, key: str
 
 
 def gap_suggestions(requests: DataFrame, replies: DataFrame, cluster: str = "cluster_id") -> DataFrame:
-    """New entities (cut at commas) and missing themes (cut at line ends) per cluster."""
-    read = extract_fields(replies.filter("status = 'ok'"), GAPS)
+    """New entities and missing themes per cluster, and ``reply_status``: ``ok``, ``unreadable`` (not
+    the JSON asked for) or ``missing`` (no good reply). Every requested cluster has a row.
+
+    Both fields may be JSON lists, or text, which is cut at commas (entities) and line ends (themes).
+    """
+    read = extract_fields(one_reply(replies).filter("status = 'ok'"), GAPS)
 
     def items(column: str, separator: str):
         c = F.col(column)
-        return F.when(c.isNull() | is_none_reply(c), F.array().cast("array<string>")).otherwise(split_items(c, separator))
+        listed = F.from_json(F.when(F.ltrim(c).startswith("["), c), "array<string>")
+        kept = F.filter(F.transform(listed, lambda x: F.trim(x)), lambda x: x.isNotNull() & (x != "") & ~is_none_reply(x))
+        text = F.when(c.isNull() | is_none_reply(c), empty_strings()).otherwise(split_items(c, separator))
+        return F.coalesce(kept, text)
 
     parsed = read.select(
-        "request_id", items("potential_new_entities", ",").alias("potential_new_entities"),
+        "request_id", "parsed", items("potential_new_entities", ",").alias("potential_new_entities"),
         items("thematic_gap_suggestions", "\n").alias("thematic_gap_suggestions"),
     )
-    return requests.join(parsed, "request_id").withColumnRenamed(cluster, "cluster_id").select(*SUGGESTION_COLUMNS)
+    status = F.when(F.col("parsed"), "ok").when(F.col("parsed").isNotNull(), "unreadable").otherwise("missing")
+    out = requests.join(parsed, "request_id", "left").withColumnRenamed(cluster, "cluster_id").withColumn("reply_status", status)
+    for c in ("potential_new_entities", "thematic_gap_suggestions"):
+        out = out.withColumn(c, or_empty(c))
+    return out.select(*SUGGESTION_COLUMNS, "reply_status")
 
 
 def pattern_gaps() -> Provider:
@@ -80,11 +91,10 @@ def pattern_gaps() -> Provider:
     def answer(requests: DataFrame) -> DataFrame:
         named = extract_fields(entity_reply(requests), ENTITIES).select("request_id", "extracted_entities")
         theme = extract_fields(theme_reply(1)(requests), THEMES).select("request_id", "cluster_theme")
-        entities = F.array_join(F.array_sort("extracted_entities"), ", ")
         missing = F.concat(F.col("cluster_theme"), F.lit(": frequent word of the cluster"))
         body = F.to_json(F.struct(
-            F.when(entities == "", "NONE").otherwise(entities).alias("potential_new_entities"),
-            F.coalesce(missing, F.lit("NONE")).alias("thematic_gap_suggestions"),
+            F.array_sort("extracted_entities").alias("potential_new_entities"),
+            F.filter(F.array(missing), lambda x: x.isNotNull()).alias("thematic_gap_suggestions"),
         ))
         return named.join(theme, "request_id").select("request_id", body.alias("reply"), F.lit("ok").alias("status"))
 
@@ -96,7 +106,7 @@ def entity_harvest(df: DataFrame, text: str, *, n: int = 20, top: int = 20, key:
     """Entities of ``n`` sampled records: per record, the most frequent, and the count per category."""
     drawn = sample_rows(df.select(key, text), key, n, seed)
     requests = drawn.select(F.col(key).cast("string").alias("request_id"), F.col(text).alias("text"))
-    read = extract_fields((provider or entity_reply)(requests), ENTITIES)
+    read = extract_fields(one_reply((provider or entity_reply)(requests)), ENTITIES)
     found = read.select("request_id", or_empty("extracted_entities").alias("extracted_entities"), "entity_categories")
     by_category = (
         found.select(F.explode("entity_categories").alias("category", "entities"))

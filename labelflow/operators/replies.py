@@ -3,7 +3,10 @@
 ``requests``: ``request_id, id, prompt`` (and the columns a provider may use); ``request_id`` is the
 record id as text.
 ``replies``:  ``request_id, reply, status`` with status ``ok`` or ``error``.
-A provider is a function from the requests DataFrame to the replies DataFrame.
+A provider is a function from the requests DataFrame to the replies DataFrame. A request that was
+retried or logged twice may have several replies; the steps that read replies take one for each
+request (:func:`one_reply`). Providers made here that look at the text alone say so with
+``reads_prompt = False``, and no prompt is built for them.
 """
 
 from __future__ import annotations
@@ -14,16 +17,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ..functions import (
     blank_to_empty, empty_strings, escape_prompt, is_none_reply, label_plus_desc, or_empty, split_items, words,
 )
-from ..settings import measure, setting
+from ..settings import measure, salt_values, setting
 from .keywords import match_keywords, term_overlap
 from .lookup import map_list, valid_items
+from .numbering import numbered
 
 __all__ = [
-    "Provider", "batch_provider", "replay_provider", "overlap_provider", "fill_template", "label_block", "classification_requests",
+    "Provider", "batch_provider", "replay_provider", "overlap_provider", "without_prompt", "one_reply", "join_pages", "fill_template", "label_block", "classification_requests",
     "verification_requests", "reply_text", "parse_reply", "assign_by_reply", "verify_candidates", "extract_fields",
     "entity_reply", "summary_reply", "theme_reply", "one_line_summary", "mentioned_entities", "entity_categories",
 ]
@@ -49,15 +54,21 @@ def batch_provider(fn: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]
     return lambda requests: requests.mapInPandas(fn, REPLIES)
 
 
+def without_prompt(provider: Provider) -> Provider:
+    """Mark a provider that does not read ``prompt``."""
+    provider.reads_prompt = False
+    return provider
+
+
 def replay_provider(logged: DataFrame) -> Provider:
     """Answer from a table of logged replies; a request without one has status ``error``."""
 
     def answer(requests: DataFrame) -> DataFrame:
-        known = logged.select("request_id", "reply", "status")
+        known = one_reply(logged).select("request_id", "reply", "status")
         found = requests.select("request_id").join(known, "request_id", "left")
         return found.withColumn("status", F.coalesce(F.col("status"), F.lit("error")))
 
-    return answer
+    return without_prompt(answer)
 
 
 def overlap_provider(labels: DataFrame, k: int = 5) -> Provider:
@@ -69,7 +80,7 @@ def overlap_provider(labels: DataFrame, k: int = 5) -> Provider:
         reply = F.when(names == "", F.lit("None")).otherwise(names)
         return scored.select("request_id", reply.alias("reply"), F.lit("ok").alias("status"))
 
-    return answer
+    return without_prompt(answer)
 
 
 # -- requests ---------------------------------------------------------------------------------
@@ -90,29 +101,58 @@ def fill_template(template: str, slots: dict[str, Column]) -> Column:
     return F.concat(*parts)
 
 
-def label_block(labels: DataFrame) -> DataFrame:
-    """One row: the numbered ``name: description`` list, in taxonomy order.
-
-    The list becomes part of every prompt, so it must fit the inline limit.
-    """
+def _numbered_lines() -> Column:
+    """Aggregate: the numbered ``name: description`` list, in taxonomy order."""
     entries = F.array_sort(F.collect_list(F.struct("pos", label_plus_desc("label", "description").alias("line"))))
-    lines = F.transform(entries, lambda e, i: F.concat((i + 1).cast("string"), F.lit(". "), e["line"]))
-    return labels.agg(F.array_join(lines, "\n").alias("block"))
+    return F.array_join(F.transform(entries, lambda e, i: F.concat((i + 1).cast("string"), F.lit(". "), e["line"])), "\n")
+
+
+def label_block(labels: DataFrame) -> DataFrame:
+    """One row: the numbered ``name: description`` list. The list becomes part of every prompt."""
+    return labels.agg(_numbered_lines().alias("block"))
 
 
 def classification_requests(
-    df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, key: str = "id", template: str = CLASSIFY
+    df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, key: str = "id", template: str = CLASSIFY,
+    prompt: bool = True, page_bytes: int | None = None,
 ) -> DataFrame:
-    """One request per record with the whole label list: ``request_id, id, text, prompt``."""
-    spark = df.sparkSession
-    _, size = measure(labels, "label", "description")
-    if size > setting(spark, "inlineBytes"):
-        raise ValueError("label list too long for a prompt; attach candidates and verify those")
-    block = label_block(labels).scalar()
-    prompt = fill_template(template, {"text": blank_to_empty(text), "labels": F.col("_block"), "k": F.lit(str(k))})
-    return df.withColumn("_block", block).select(
-        F.col(key).cast("string").alias("request_id"), F.col(key), F.col(text).alias("text"), prompt.alias("prompt")
-    )
+    """One request per record with the whole label list: ``request_id, id, text, prompt``.
+
+    A list of more than ``page_bytes`` (the inline limit unless given) is cut in taxonomy order into
+    pages, each of which makes a request of its own: ``request_id`` is then the id with ``#`` and the
+    page number, a column ``page`` is added, and :func:`join_pages` puts the replies together.
+    ``prompt=False`` leaves the prompt out, for providers that do not read it.
+    """
+    request = [F.col(key).cast("string").alias("request_id"), F.col(key), F.col(text).alias("text")]
+    if not prompt:
+        return df.select(*request)
+    n, size = measure(labels, "label", "description")
+    limit = page_bytes or setting(df.sparkSession, "inlineBytes")
+    slots = {"text": blank_to_empty(text), "labels": F.col("_block"), "k": F.lit(str(k))}
+    if size <= limit:
+        return df.withColumn("_block", label_block(labels).scalar()).select(*request, fill_template(template, slots).alias("prompt"))
+    per_page = max(1, n * limit // size)
+    placed = numbered(labels.select("label", "description", "pos"), [F.col("pos").asc(), F.col("label").asc()], "_at")
+    placed = placed.withColumn("_page", F.floor(F.col("_at") / per_page).cast("bigint"))
+    blocks = placed.groupBy("_page").agg(_numbered_lines().alias("_block"))
+    asked = df.withColumn("_page", F.explode(salt_values(-(-n // per_page)))).join(blocks, "_page")
+    page = F.col("_page") + 1
+    return asked.select(
+        F.concat(F.col(key).cast("string"), F.lit("#"), page.cast("string")).alias("request_id"), F.col(key), F.col(text).alias("text"),
+        fill_template(template, slots).alias("prompt"), page.alias("page"))
+
+
+def join_pages(requests: DataFrame, replies: DataFrame, key: str = "id") -> DataFrame:
+    """One reply per record from the replies to its pages: their items in page order. It counts as
+    failed only if every page failed."""
+    answered = requests.select("request_id", key, "page").join(one_reply(replies), "request_id")
+    good = F.col("status") == "ok"
+    said = good & ~F.coalesce(is_none_reply("reply"), F.lit(True)) & (F.trim("reply") != "")
+    items = F.array_sort(F.collect_list(F.when(said, F.struct("page", "reply"))))
+    whole = answered.groupBy(key).agg(items.alias("_items"), F.max(good).alias("_good"))
+    return whole.select(
+        F.col(key).cast("string").alias("request_id"), F.array_join(F.transform("_items", lambda e: e["reply"]), ", ").alias("reply"),
+        F.when(F.col("_good"), "ok").otherwise("error").alias("status"))
 
 
 def verification_requests(
@@ -160,9 +200,19 @@ def parse_reply(c: str | Column, allowed: Column | None = None, k: int | None =
     return items if k is None else F.slice(items, 1, k)
 
 
+def one_reply(replies: DataFrame) -> DataFrame:
+    """One reply for each request: a good one before a failed one, then the earliest ``attempt`` if
+    there is such a column, then the first text. The rank filter keeps one row per request and
+    partition before the shuffle, so a request that was logged very often stays cheap."""
+    attempt = [F.col("attempt").asc_nulls_last()] if "attempt" in replies.columns else []
+    order = [(F.col("status") == "ok").desc_nulls_last(), *attempt, F.col("reply").asc_nulls_last()]
+    rank = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
+    return replies.filter("request_id IS NOT NULL").withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+
+
 def _keyed(replies: DataFrame, df: DataFrame, key: str) -> DataFrame:
     """Replies under the record key itself, so that later steps by ``key`` reuse the partitioning."""
-    return replies.select(F.col("request_id").try_cast(df.schema[key].dataType).alias(key), "reply", "status")
+    return one_reply(replies).select(F.col("request_id").try_cast(df.schema[key].dataType).alias(key), "reply", "status")
 
 
 def assign_by_reply(
@@ -206,7 +256,7 @@ def verify_candidates(
 
     No candidates, no reply, a failed reply or NONE give ``[]``.
     """
-    answers = _keyed(replies.filter("status = 'ok'"), df, key).withColumnRenamed("reply", "_reply").drop("status")
+    answers = _keyed(replies, df, key).filter("status = 'ok'").withColumnRenamed("reply", "_reply").drop("status")
     joined = df.join(answers, key, "left")
     items = F.when(F.size(or_empty(candidates)) > 0, parse_reply("_reply")).otherwise(empty_strings())
     picked = joined.withColumn("_items", items)
@@ -279,21 +329,24 @@ def summary_reply(requests: DataFrame) -> DataFrame:
     return requests.select("request_id", body.alias("reply"), F.lit("ok").alias("status"))
 
 
-def theme_reply(n: int = 5, min_length: int = 4) -> Provider:
+def theme_reply(n: int = 5, min_length: int = 1) -> Provider:
     """Provider: most frequent word of each request's text as theme, the next ``n`` as subtopics.
 
-    Requests hold sampled texts, so the word counts per request are bounded by the sample.
+    Words shorter than ``min_length`` don't count; by default all do, as names may be short. Only
+    ``n + 1`` words of a request are gathered.
     """
 
     def answer(requests: DataFrame) -> DataFrame:
         spoken = requests.select("request_id", F.explode(words("text")).alias("w")).filter(F.char_length("w") >= min_length)
         counts = spoken.groupBy("request_id", "w").agg(F.count(F.lit(1)).alias("c"))
-        ranked = counts.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct((-F.col("c")).alias("c"), "w"))).alias("l"))
-        names = F.transform(F.slice("l", 1, n + 1), lambda e: e["w"])
+        rank = F.row_number().over(Window.partitionBy("request_id").orderBy(F.col("c").desc(), "w"))
+        first = counts.withColumn("_rank", rank).filter(F.col("_rank") <= n + 1)
+        ranked = first.groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("_rank", "w"))).alias("l"))
+        names = F.transform("l", lambda e: e["w"])
         body = F.to_json(F.struct(F.get(names, F.lit(0)).alias("cluster_theme"), F.slice(names, 2, n).alias("subtopics")))
         answered = ranked.select("request_id", body.alias("reply"))
         return requests.select("request_id").join(answered, "request_id", "left").select(
             "request_id", F.coalesce("reply", F.lit("")).alias("reply"), F.lit("ok").alias("status")
         )
 
-    return answer
+    return without_prompt(answer)

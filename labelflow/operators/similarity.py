@@ -23,10 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import words
+from ..functions import label_plus_desc, words
 from ..settings import measure, row_keyed, salt_values, setting
 
-__all__ = ["nearest_labels", "attach_nearest", "ranked_lists", "rerank", "token_jaccard"]
+__all__ = ["nearest_labels", "attach_nearest", "ranked_lists", "rerank", "rerank_attached", "token_jaccard"]
 
 DIGITS = 6
 
@@ -217,3 +217,27 @@ def rerank(matches: DataFrame, key: str, second: Column, k: int, tie: str = "lab
     order = [F.col("second_score").desc(), F.col("score").desc(), F.col(tie)]
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     return scored.withColumn("rank", rank).filter(F.col("rank") <= k)
+
+
+def rerank_attached(df: DataFrame, text: str, k: int, prefix: str = "candidate_") -> DataFrame:
+    """Second stage for :func:`attach_nearest`, in the row: candidates are ordered by the share of
+    words that the text and the label with its description have in common, then by their first score
+    and name, and the best ``k`` stay. All four lists follow."""
+    names = ("labels", "scores", "paths", "descriptions")
+    zipped = F.arrays_zip(*[F.col(f"{prefix}{n}").alias(n) for n in names])
+
+    def order(own: Column) -> Column:
+        def entry(e: Column) -> Column:
+            theirs = F.array_distinct(words(label_plus_desc(e["labels"], e["descriptions"])))
+            union = F.size(F.array_union(own, theirs))
+            share = F.when(union > 0, F.size(F.array_intersect(own, theirs)) / union).otherwise(F.lit(0.0))
+            return F.struct((-F.round(share, DIGITS)).alias("second"), (-e["scores"]).alias("first"), *[e[n].alias(n) for n in names])
+
+        return F.slice(F.array_sort(F.transform(zipped, entry)), 1, k)
+
+    # the one-element array holds the words of the text, made once per record
+    best = F.transform(F.array(F.array_distinct(words(text))), order)[0]
+    out = df.withColumn("_best", best)
+    for n in names:
+        out = out.withColumn(f"{prefix}{n}", F.coalesce(F.transform("_best", _getter(n)), F.col(f"{prefix}{n}")))
+    return out.drop("_best")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -12,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import sample_order, words
 
-__all__ = ["bucket_words", "bucket_weights", "weight_vector", "embed_text", "cluster_vectors", "cluster_ml", "assign_clusters"]
+__all__ = ["bucket_words", "bucket_weights", "weight_vector", "embed_text", "Centres", "fit_centres", "cluster_vectors", "cluster_ml", "assign_clusters"]
 
 # 1.0 in fixed point. Products of two such numbers, summed over up to 2**20 dimensions, stay below
 # 2**53, so float64 arithmetic on them is exact in any order.
@@ -84,26 +86,37 @@ def _seed_centres(df: DataFrame, key: str, vector: str, k: int, seed: int) -> np
     return _fixed(rows[vector]) if len(rows) else np.zeros((0, 0))
 
 
-def cluster_vectors(
-    df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10, out: str = "cluster_id"
-) -> DataFrame:
-    """K-means that gives the same clusters for any partitioning.
+class Centres(NamedTuple):
+    points: np.ndarray
+    rounds: int
+    converged: bool
+
+
+def fit_centres(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10) -> Centres:
+    """Centres of K-means that do not depend on the partitioning.
 
     Starts from ``k`` rows in seeded hash order. Each round sends ``k`` times ``dim`` whole-number
     sums per task; only these ``k`` times ``dim`` totals reach the driver. Vectors should have unit
-    length. Rounds re-read ``df``, so hand in a written table (see ``write_index``). NULL vectors
-    get cluster -1.
+    length. Rounds re-read ``df``, so hand in a written table (see ``write_index``). If the centres
+    still move after ``iterations`` rounds the result says so, and a warning is logged.
     """
     points = df.filter(F.col(vector).isNotNull())
     centres = _seed_centres(points, key, vector, k, seed)
-    if len(centres) == 0:
-        return df.withColumn(out, F.lit(-1))
-    for _ in range(iterations):
+    for n in range(iterations if len(centres) else 0):
         moved = _move(points.select(vector), vector, centres)
         if np.array_equal(moved, centres):
-            break
+            return Centres(centres, n + 1, True)
         centres = moved
-    return assign_clusters(df, vector, centres, out)
+    if len(centres):
+        logging.getLogger(__name__).warning("the centres still move after %d rounds", iterations)
+    return Centres(centres, iterations, not len(centres))
+
+
+def cluster_vectors(
+    df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10, out: str = "cluster_id"
+) -> DataFrame:
+    """Attach the nearest centre of :func:`fit_centres`. NULL vectors get cluster -1."""
+    return assign_clusters(df, vector, fit_centres(df, key, vector, k, seed=seed, iterations=iterations).points, out)
 
 
 def _move(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
@@ -131,6 +144,10 @@ def _move(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
 
 
 def assign_clusters(df: DataFrame, vector: str, centres: np.ndarray, out: str = "cluster_id") -> DataFrame:
+    """Attach the nearest centre, in the row. NULL vectors, and all if there is no centre, get -1."""
+    if len(centres) == 0:
+        return df.withColumn(out, F.lit(-1))
+
     def nearest(vectors: pd.Series) -> pd.Series:
         known = vectors.notna()
         ids = np.full(len(vectors), -1, dtype=np.int32)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators.clusters import cluster_themes, entity_harvest
 from ..operators.replies import Provider
 from ..operators.stats import cluster_sizes, labels_in_use, new_label_candidates
-from ..operators.vectors import cluster_vectors, embed_text
+from ..operators.vectors import assign_clusters, embed_text, fit_centres
 from ..settings import written
 
 __all__ = ["Expansion", "expand"]
@@ -25,14 +25,18 @@ class Expansion(NamedTuple):
 
 
 def expand(
-    df: DataFrame, text: str, labels_column: str, *, k: int = 10, dim: int = 256, key: str = "id", seed: int = 42,
-    themes: Provider | None = None, entities: Provider | None = None,
+    df: DataFrame, text: str, labels_column: str, *, k: int = 10, dim: int = 256, rounds: int = 10, key: str = "id",
+    seed: int = 42, themes: Provider | None = None, entities: Provider | None = None,
 ) -> Expansion:
-    """Cluster the records by content, name the clusters and list themes that are no label in use."""
-    vectors = written(embed_text(df.select(key, text), text, dim).select(key, "vector"), "vectors")
-    assigned = written(cluster_vectors(vectors, key, "vector", k, seed=seed).select(key, "cluster_id"), "clusters")
-    clustered = df.join(assigned, key)
-    named = cluster_themes(clustered, text, key=key, seed=seed, provider=themes)
+    """Cluster the records by content, name the clusters and list themes that are no label in use.
+
+    The centres are trained on a narrow table of the vectors, for at most ``rounds`` rounds; the
+    cluster of a record is found in its row."""
+    points = embed_text(df, text, dim)
+    vectors = written(points.select(key, "vector"), "vectors")
+    centres = fit_centres(vectors, key, "vector", k, seed=seed, iterations=rounds).points
+    assigned = assign_clusters(vectors, "vector", centres).select(key, "cluster_id")
+    named = cluster_themes(assign_clusters(points, "vector", centres).drop("vector"), text, key=key, seed=seed, provider=themes)
     found, top, _ = entity_harvest(df, text, key=key, seed=seed, provider=entities)
     return Expansion(
         assigned, cluster_sizes(assigned), named, new_label_candidates(named, labels_in_use(df, labels_column)), found, top

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions import clean_text, combine_text, extract_tags, parse_time
+from ..functions import clean_text, combine_text, empty_strings, extract_tags, metadata_kind, parse_time
 from ..operators.dedup import keep_newest
 from ..sources.records import as_records
 
@@ -39,9 +38,7 @@ def prepare(records: DataFrame, *, mode: str = "parser", tag_key: str = "raindro
     """Records to one row per URL with ``combined_text`` and ``existing_tags``."""
     cleaned = clean_records(as_records(records), mode)
     unique = keep_newest(cleaned, "url", "created_at_dt") if dedupe else cleaned
-    stored = unique.schema["metadata"].dataType
-    kind = "variant" if isinstance(stored, T.VariantType) else "map" if isinstance(stored, T.MapType) else "json"
-    out = unique.withColumn("combined_text", combine_text("cleaned_title", "cleaned_content")).withColumn(
-        "existing_tags", extract_tags("metadata", tag_key, kind)
-    )
+    kind = metadata_kind(unique.schema["metadata"].dataType)
+    tags = extract_tags("metadata", tag_key, kind) if kind else empty_strings()
+    out = unique.withColumn("combined_text", combine_text("cleaned_title", "cleaned_content")).withColumn("existing_tags", tags)
     return out.select(*FLAT_COLUMNS, *[c for c in out.columns if c not in FLAT_COLUMNS])

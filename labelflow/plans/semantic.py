@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookup import combine_lists, match_entities
-from ..operators.replies import Provider, extract_fields, mentioned_entities
-from ..operators.similarity import attach_nearest
+from ..operators.replies import Provider, extract_fields, mentioned_entities, one_reply
+from ..operators.similarity import attach_nearest, rerank_attached
 from ..operators.stats import label_statistics
 from ..operators.taxonomy import with_label_text
 from ..operators.vectors import embed_text, weight_vector
@@ -18,10 +18,14 @@ __all__ = ["enrich_semantic", "store_semantic"]
 
 
 def enrich_semantic(
-    prepared: DataFrame, labels: DataFrame, k: int = 10, *, dim: int = 256, provider: Provider | None = None
+    prepared: DataFrame, labels: DataFrame, k: int = 10, *, dim: int = 256, rerank_from: int | None = None,
+    provider: Provider | None = None,
 ) -> DataFrame:
     """Add the ``k`` nearest labels, mentioned entities, their exact label matches, and the union.
 
+    With ``rerank_from`` the nearest so many labels are ordered anew by common words and the best
+    ``k`` kept.
+
     Without a provider entities are found by pattern, in the record's own row. The prepared table
     is written once, because the word weights need a pass of their own.
     """
@@ -29,13 +33,16 @@ def enrich_semantic(
     weights = weight_vector(prepared, "combined_text", dim)
     points = embed_text(prepared, "combined_text", dim, weights=weights)
     targets = embed_text(with_label_text(labels), "label_plus_desc", dim, weights=weights)
-    near = attach_nearest(points, targets, k, prefix="ontology_").drop("vector", "ontology_descriptions")
+    near = attach_nearest(points, targets, rerank_from or k, prefix="ontology_")
+    if rerank_from:
+        near = rerank_attached(near, "combined_text", k, prefix="ontology_")
+    near = near.drop("vector", "ontology_descriptions")
     near = near.withColumnsRenamed({f"ontology_{c}": f"ontology_{c}_k" for c in ("labels", "scores", "paths")})
     if provider is None:
         found = near.withColumn("mentioned_entities", mentioned_entities("combined_text"))
     else:
         requests = near.select(F.col("id").cast("string").alias("request_id"), F.col("combined_text").alias("text"))
-        read = extract_fields(provider(requests), "mentioned_entities array<string>")
+        read = extract_fields(one_reply(provider(requests)), "mentioned_entities array<string>")
         lists = read.select("request_id", "mentioned_entities")
         found = near.join(lists, near["id"].cast("string") == lists["request_id"], "left").drop("request_id")
         found = found.withColumn("mentioned_entities", F.coalesce("mentioned_entities", F.array().cast("array<string>")))

@@ -39,9 +39,27 @@ def shared_dir(spark: SparkSession) -> str:
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+_folders: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/labelflow/{uuid.uuid4().hex}/{name}"
+    folder = f"{shared_dir(spark)}/labelflow/{uuid.uuid4().hex}"
+    _folders.append(folder)
+    return f"{folder}/{name}"
+
+
+def remove_written(spark: SparkSession) -> int:
+    """Delete what this process has written to the shared folder so far; returns the number of folders.
+
+    Call it when the results of a run are stored: tables that still wait to be computed read them.
+    """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        n += bool(path.getFileSystem(hadoop).delete(path, True))
+    return n
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,7 +11,7 @@ __all__ = ["RECORD", "read_records", "column_report", "missing_columns", "keep_c
 
 # Expected columns of a record, in order.
 RECORD = T.StructType([
-    T.StructField("id", T.LongType()),
+    T.StructField("id", T.StringType()),
     T.StructField("url", T.StringType()),
     T.StructField("source", T.StringType()),
     T.StructField("title", T.StringType()),
@@ -42,10 +43,13 @@ def missing_columns(df: DataFrame, expected: list[str] | None = None) -> list[st
 
 
 def column_report(df: DataFrame, expected: list[str] | None = None) -> DataFrame:
-    """One row per expected column: ``(column, present)``. Reads only the schema."""
+    """One row per expected column: ``(column, present, filled)``, with the number of rows that have a
+    value; 0 for an absent column. One pass with a map-side combine."""
     want = expected or RECORD.fieldNames()
     missing = set(missing_columns(df, want))
-    return df.sparkSession.createDataFrame([(c, c not in missing) for c in want], "column string, present boolean")
+    counts = df.agg(*[F.count(F.lit(None) if c in missing else F.col(f"`{c}`")).alias(c) for c in want])
+    rows = [F.struct(F.lit(c).alias("column"), F.lit(c not in missing).alias("present"), F.col(f"`{c}`").alias("filled")) for c in want]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
 def keep_columns(df: DataFrame, wanted: list[str]) -> tuple[DataFrame, list[str]]:
@@ -67,8 +71,9 @@ def with_row_id(df: DataFrame, id_col: str = "id", dense: bool = False, prefix:
     """String row id. An existing id is cast.
 
     Otherwise the id is a hash of ``url`` and ``created_at`` (of the whole row if there is no URL;
-    narrow and repeatable, equal for equal values), or, with ``dense``, ``prefix`` + row number in scan order, which needs one
-    written pass.
+    narrow and repeatable, equal for equal values), or, with ``dense``, ``prefix`` + row number, which
+    needs one written pass. Rows are numbered in the order of their files and of the places in them;
+    a table that was not read from files, in scan order.
     """
     if id_col in df.columns:
         return df.withColumn(id_col, F.col(id_col).cast("string"))
@@ -79,5 +84,13 @@ def with_row_id(df: DataFrame, id_col: str = "id", dense: bool = False, prefix:
         return df.withColumn(id_col, F.sha2(F.concat_ws("\x1f", *parts), 256))
     from ..operators.numbering import numbered
 
-    rows = numbered(df, column="_row")
+    try:
+        placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"))
+        placed.schema  # noqa: B018  the columns are looked for here
+    except AnalysisException:
+        rows = numbered(df, column="_row")
+    else:
+        # within a block the ids rise in the order of the rows
+        placed = placed.withColumn("_place", F.monotonically_increasing_id())
+        rows = numbered(placed, [F.col("_file"), F.col("_block"), F.col("_place")], "_row")
     return rows.select(F.concat(F.lit(prefix), F.col("_row").cast("string")).alias(id_col), *df.columns)

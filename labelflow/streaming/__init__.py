@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import clean_text, combine_text, extract_tags, parse_time
+from ..functions import clean_text, combine_text, extract_tags, metadata_kind, parse_time
 from ..operators.keywords import match_keywords
 from ..sources.records import RECORD
 
@@ -32,6 +32,6 @@ def label_stream(records: DataFrame, labels: DataFrame, k: int = 5, *, mode: str
         .filter((F.col("cleaned_title") != "") | (F.col("cleaned_content") != ""))
         .withColumn("created_at_dt", parse_time("created_at"))
         .withColumn("combined_text", combine_text("cleaned_title", "cleaned_content"))
-        .withColumn("existing_tags", extract_tags("metadata", tag_key))
+        .withColumn("existing_tags", extract_tags("metadata", tag_key, metadata_kind(records.schema["metadata"].dataType) or "json"))
     )
     return match_keywords(cleaned, "combined_text", labels, k, out="assigned_labels")

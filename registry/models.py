@@ -79,6 +79,20 @@ def m3_empty(t: Tables):
     return done.select("id", joined("assigned_labels").alias("labels"))
 
 
+def logged_again(t: Tables):
+    """Every reply logged three times: first failed, then good, then with another text."""
+    said = logged(t)
+    failed = said.withColumn("reply", F.lit(None).cast("string")).withColumn("status", F.lit("error")).withColumn("attempt", F.lit(1))
+    later = said.withColumn("reply", F.lit("Passage_3")).withColumn("attempt", F.lit(3))
+    return failed.unionByName(said.withColumn("attempt", F.lit(2))).unionByName(later).repartition(3)
+
+
+@query("M3_retried_replies", assigned_sql(""))
+def m3_retried(t: Tables):
+    done = O.assign_by_reply(documents(t), logged_again(t), "text", passages(t), 5)
+    return done.select("id", joined("assigned_labels").alias("labels"))
+
+
 @query("M3_overlap_provider", f"""WITH {PASSAGE_TERMS}, scored AS (
   SELECT doc_id AS id, label, pos, count(DISTINCT term) AS n FROM documents, terms WHERE contains(lower(text), term) GROUP BY ALL)
 SELECT id, string_agg(label, ', ' ORDER BY n DESC, pos) AS reply FROM (
@@ -118,6 +132,15 @@ def m4(t: Tables):
     return done.select("id", joined("llm_verified_labels").alias("verified"), joined("unknown_labels").alias("unknown"))
 
 
+@query("M4_retried_replies", f"""WITH {CANDIDATES}, r AS (SELECT *, ['Class_' || own, 'Class_0'] AS said FROM cand)
+SELECT id, array_to_string(list_filter(said, lambda x: list_contains(labels, x)), '|') AS verified FROM r""")
+def m4_retried(t: Tables):
+    good = F.concat(F.lit("Class_"), "own", F.lit(",Class_0"))
+    tries = F.array(F.struct(F.lit(None).cast("string").alias("reply"), F.lit("error").alias("status")), F.struct(good.alias("reply"), F.lit("ok").alias("status")))
+    said = vectors(t).select(F.col("id").cast("string").alias("request_id"), F.explode(tries).alias("r")).select("request_id", "r.*")
+    return O.verify_candidates(candidates(t), said).select("id", joined("llm_verified_labels").alias("verified"))
+
+
 @query("M5_extract_fields", """
 SELECT doc_id, CASE lang WHEN 'fr' THEN '' ELSE lang || '|' || source END AS entities,
   CASE lang WHEN 'fr' THEN '' WHEN 'de' THEN '' ELSE lang END AS theme, (lang <> 'fr')::INT AS parsed FROM documents""")
@@ -207,22 +230,28 @@ def m7_j1(t: Tables):
     return O.nearest_labels(O.embed_text(docs, "text", DIM, weights=weights), targets, 5).select("id", "label", "score", "rank")
 
 
-def kmeans_sql(k: int, rounds: int) -> str:
-    """K-means in whole numbers, one CTE per round, over ``embeddings``."""
+def kmeans_ctes(source: str, k: int, rounds: int) -> str:
+    """K-means in whole numbers over the table ``source(id, v)``, one CTE per round; the last one,
+    ``assigned(id, c)``, has the clusters."""
     ctes = [
-        """pts AS MATERIALIZED (SELECT vec_id AS id, generate_subscripts(embedding, 1) AS d,
-  round_even(unnest(embedding)::DOUBLE * 65536, 0) AS x FROM embeddings)""",
-        f"""c0 AS MATERIALIZED (SELECT c, d, x FROM (SELECT vec_id, row_number() OVER (ORDER BY md5(vec_id || ':42'), vec_id) - 1 AS c FROM embeddings) s
-  JOIN pts ON id = vec_id WHERE c < {k})""",
+        f"""pts AS MATERIALIZED (SELECT id, generate_subscripts(v, 1) AS d, round_even(unnest(v)::DOUBLE * 65536, 0) AS x FROM {source})""",
+        f"""c0 AS MATERIALIZED (SELECT c, d, x FROM (SELECT id AS first, row_number() OVER (ORDER BY md5(id || ':42'), id) - 1 AS c FROM {source}) s
+  JOIN pts ON id = first WHERE c < {k})""",
     ]
     for i in range(rounds + 1):
-        ctes.append(f"""a{i} AS MATERIALIZED (SELECT id, c FROM (
+        name = "assigned" if i == rounds else f"a{i}"
+        ctes.append(f"""{name} AS MATERIALIZED (SELECT id, c::INT AS c FROM (
   SELECT p.id, m.c, sum(m.x * m.x - 2 * p.x * m.x) AS far FROM pts p JOIN c{i} m USING (d) GROUP BY ALL)
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY far, c) = 1)""")
         if i < rounds:
             ctes.append(f"""c{i + 1} AS MATERIALIZED (SELECT c, d, coalesce(n.x, o.x) AS x FROM c{i} o
   LEFT JOIN (SELECT c, d, floor(sum(x) / count(*) + 0.5) AS x FROM a{i} JOIN pts USING (id) GROUP BY ALL) n USING (c, d))""")
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT id, c::INT AS cluster_id FROM a{rounds}"
+    return ",\n".join(ctes)
+
+
+def kmeans_sql(k: int, rounds: int) -> str:
+    return f"""WITH points AS (SELECT vec_id AS id, embedding AS v FROM embeddings), {kmeans_ctes('points', k, rounds)}
+SELECT id, c AS cluster_id FROM assigned"""
 
 
 @query("M9_cluster_vectors", kmeans_sql(8, 3))
@@ -230,9 +259,12 @@ def m9(t: Tables):
     return O.cluster_vectors(vectors(t), "id", "vector", 8, iterations=3).select("id", "cluster_id")
 
 
-@query("M9_cluster_ml")
+@query("M9_cluster_ml", "SELECT vec_id AS id, 8 AS clusters, true AS in_range FROM embeddings")
 def m9_ml(t: Tables):
-    return O.cluster_ml(vectors(t), "vector", 8).select("id", "cluster_id")
+    """Which cluster a row gets depends on the partitioning; that each row gets one of the 8 does not."""
+    done = O.cluster_ml(vectors(t), "vector", 8)
+    used = done.agg(F.countDistinct("cluster_id")).scalar()
+    return done.select("id", used.cast("int").alias("clusters"), F.col("cluster_id").between(0, 7).alias("in_range"))
 
 
 def clustered(t: Tables):
@@ -241,13 +273,18 @@ def clustered(t: Tables):
                               F.array("lang").alias("labels"))
 
 
-def samples_sql(n: int, separator: str) -> str:
-    return f"""members AS (SELECT doc_id AS id, text, regexp_extract(source, '\\d+')::INT AS cluster_id, lang FROM documents),
+MEMBERS = "members AS (SELECT doc_id AS id, text, regexp_extract(source, '\\d+')::INT AS cluster_id, [lang] AS labels FROM documents)"
+
+
+def samples_sql(n: int, separator: str, members: str = MEMBERS) -> str:
+    return f"""{members},
 drawn AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY md5(id || ':42'), id) AS rank FROM members),
-samples AS (SELECT cluster_id, string_agg(text, '{separator}' ORDER BY rank) FILTER (rank <= {n}) AS sample_text, count(*) AS record_count,
-  list_sort(list(DISTINCT lang)) AS used FROM drawn GROUP BY cluster_id),
+in_use AS (SELECT cluster_id, list_sort(list(DISTINCT label)) AS used FROM (SELECT cluster_id, unnest(labels) AS label FROM members) GROUP BY cluster_id),
+samples AS (SELECT s.*, coalesce(used, []) AS used FROM (
+  SELECT cluster_id, string_agg(text, '{separator}' ORDER BY rank) FILTER (rank <= {n}) AS sample_text, count(*) AS record_count FROM drawn GROUP BY cluster_id) s
+  LEFT JOIN in_use USING (cluster_id)),
 spoken AS (SELECT cluster_id, unnest(regexp_extract_all(lower(sample_text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM samples),
-ranked AS (SELECT cluster_id, w, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, w) AS rank FROM spoken WHERE length(w) >= 4 GROUP BY cluster_id, w)"""
+ranked AS (SELECT cluster_id, w, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, w) AS rank FROM spoken GROUP BY cluster_id, w)"""
 
 
 @query("M10_cluster_themes", f"""WITH {samples_sql(5, ' ')}
@@ -268,6 +305,21 @@ def m11_requests(t: Tables):
                         F.md5(F.col("prompt").cast("binary")).alias("prompt"))
 
 
+@query("M11_missing_replies", f"""WITH {samples_sql(10, '. ')}
+SELECT cluster_id, record_count AS cluster_size, CASE cluster_id % 4 WHEN 0 THEN 'Foo|Bar' WHEN 1 THEN 'Foo|Bar' ELSE '' END AS entities,
+  CASE cluster_id % 4 WHEN 0 THEN 'a: b|c' WHEN 1 THEN 'a: b' ELSE '' END AS themes,
+  CASE cluster_id % 4 WHEN 2 THEN 'unreadable' WHEN 3 THEN 'missing' ELSE 'ok' END AS reply_status FROM samples""")
+def m11_missing(t: Tables):
+    asked = O.gap_requests(clustered(t), "text", "labels")
+    kind = F.col("cluster_id") % 4
+    lists = F.lit('{"potential_new_entities": ["Foo", " Bar ", "NONE"], "thematic_gap_suggestions": ["a: b", "c", ""]}')
+    texts = F.lit('{"potential_new_entities": "Foo, Bar", "thematic_gap_suggestions": "a: b"}')
+    reply = F.when(kind == 0, lists).when(kind == 1, texts).otherwise("1. Foo, Bar")
+    said = asked.filter(kind != 3).select("request_id", reply.alias("reply"), F.lit("ok").alias("status"))
+    found = O.gap_suggestions(asked, said)
+    return found.select("cluster_id", "cluster_size", joined("potential_new_entities").alias("entities"), joined("thematic_gap_suggestions").alias("themes"), "reply_status")
+
+
 @query("M11_gap_suggestions", f"""WITH {samples_sql(10, '. ')}
 SELECT cluster_id, record_count AS cluster_size, array_to_string({entities_sql('sample_text')}, '|') AS potential_new_entities,
   (SELECT w FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank = 1) || ': frequent word of the cluster' AS thematic_gap_suggestions,

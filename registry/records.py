@@ -11,23 +11,31 @@ from labelflow.plans import clean_records
 from labelflow.settings import fresh_path, spread
 
 from . import Tables, query
-from .derived import CLEANED, RECORDS, joined, records
+from .derived import CLEANED, PREPARED, RECORDS, joined, records
 
 FIELDS = "id, url, source, title, content, created_at, metadata"
 
 
-@query("S1_json_lines", f"WITH {RECORDS} SELECT {FIELDS} FROM records")
+@query("S1_json_lines", f"WITH {RECORDS} SELECT {FIELDS.replace('id,', 'id::VARCHAR AS id,', 1)} FROM records")
 def s1(t: Tables):
     path = fresh_path(t.spark, "records")
     records(t).write.json(path)
     return S.read_records(t.spark, path).select(*FIELDS.split(", "))
 
 
-@query("S2_column_report", """
-SELECT c AS "column", (c IN (SELECT column_name FROM (DESCRIBE pages)))::INT AS present
-FROM (VALUES ('id'),('url'),('source'),('title'),('content'),('created_at'),('domain'),('metadata')) v(c)""")
+@query("S1_text_ids", f"WITH {RECORDS} SELECT 'abc-' || id AS id, url FROM records")
+def s1_text(t: Tables):
+    path = fresh_path(t.spark, "records")
+    records(t).withColumn("id", F.concat(F.lit("abc-"), "id")).write.json(path)
+    return S.read_records(t.spark, path).select("id", "url")
+
+
+@query("S2_column_report", f"""WITH {RECORDS}
+SELECT c AS "column", c <> 'domain' AS present, CASE c WHEN 'id' THEN count(id) WHEN 'url' THEN count(url) WHEN 'source' THEN count(source)
+  WHEN 'title' THEN count(title) WHEN 'content' THEN count(content) WHEN 'created_at' THEN count(created_at) WHEN 'metadata' THEN count(metadata) ELSE 0 END AS filled
+FROM records, (VALUES ('id'),('url'),('source'),('title'),('content'),('created_at'),('domain'),('metadata')) v(c) GROUP BY c""")
 def s2(t: Tables):
-    return S.column_report(t.pages).select("column", F.col("present").cast("int").alias("present"))
+    return S.column_report(records(t).drop("domain"))
 
 
 @query("S3_hash_id", f"WITH {RECORDS} SELECT sha256(url || chr(31) || created_at) AS id, count(*) AS n FROM records GROUP BY 1")
@@ -35,9 +43,14 @@ def s3(t: Tables):
     return S.with_row_id(records(t).drop("id")).groupBy("id").agg(F.count("*").alias("n"))
 
 
-@query("S3_dense_id", "SELECT 'bookmark_' || (row_number() OVER (ORDER BY event_id) - 1) AS id FROM events")
+@query("S3_dense_id", """SELECT 'bookmark_' || (row_number() OVER (ORDER BY floor(event_id / 1000) % 3, event_id) - 1) AS id, event_id FROM events""")
 def s3_dense(t: Tables):
-    return S.with_row_id(t.events.select("event_id"), dense=True).select("id")
+    """Events in three files of other sizes, each in order of the id; rows are numbered file by file."""
+    path = fresh_path(t.spark, "events")
+    part = (F.floor(F.col("event_id") / 1000) % 3).cast("int")
+    rows = t.events.select("event_id", part.alias("part"))
+    rows.repartitionByRange(3, "part").sortWithinPartitions("part", "event_id").write.partitionBy("part").parquet(path)
+    return S.with_row_id(t.spark.read.parquet(path).select("event_id"), dense=True).select("id", "event_id")
 
 
 @query("S3_cast_id", "SELECT o_orderkey::VARCHAR AS o_orderkey, o_orderstatus FROM orders")
@@ -192,6 +205,34 @@ def p8(t: Tables):
     return records(t).select("id", joined(L.extract_tags("metadata", "tags")).alias("tags"), joined(L.extract_tags("metadata")).alias("absent"))
 
 
+TAG_KINDS = f"""WITH {RECORDS}, tags AS (SELECT id, lang, source FROM records JOIN (SELECT doc_id, lang FROM documents) d ON doc_id = id)
+SELECT id, lang || '|' || source AS of_struct, lang AS of_map, source AS of_variant, lang || '|' || source AS of_json, '' AS of_texts, source AS of_dotted FROM tags"""
+
+
+@query("P8_metadata_kinds", TAG_KINDS)
+def p8_kinds(t: Tables):
+    d = t.documents
+    lists = {"s": F.array("lang", "source"), "m": F.array("lang"), "v": F.array("source")}
+    json = F.to_json(F.struct(lists["s"].alias("tags"), lists["v"].alias("a.b")))
+    rows = d.select(
+        F.col("doc_id").alias("id"), F.struct(lists["s"].alias("tags"), F.lit(1).alias("other")).alias("struct"), F.create_map(F.lit("tags"), lists["m"]).alias("map"),
+        F.parse_json(F.to_json(F.struct(lists["v"].alias("tags")))).alias("variant"), json.alias("json"), F.create_map(F.lit("tags"), "lang").alias("texts"))
+    found = {
+        "of_struct": L.extract_tags("struct", "tags", "nested"), "of_map": L.extract_tags("map", "tags", "nested"), "of_variant": L.extract_tags("variant", "tags", "variant"),
+        "of_json": L.extract_tags("json", "tags"), "of_texts": L.extract_tags("texts", "tags", "nested"), "of_dotted": L.extract_tags("json", "a.b"),
+    }
+    return rows.select("id", *[joined(c).alias(n) for n, c in found.items()])
+
+
+@query("P8_prepare_struct_metadata", f"""WITH {PREPARED} SELECT id, lang || '|' || source AS tags FROM prepared JOIN (SELECT doc_id, lang FROM documents) d ON doc_id = id""")
+def p8_prepare(t: Tables):
+    from labelflow.plans import prepare
+
+    tags = t.documents.select(F.col("doc_id").alias("id"), F.struct(F.array("lang", "source").alias("tags")).alias("metadata"))
+    done = prepare(records(t).drop("metadata").join(tags, "id"), tag_key="tags")
+    return done.select("id", joined("existing_tags").alias("tags"))
+
+
 @query("P8_tags_of_event_props", "SELECT event_id, 0 AS n FROM events")
 def p8_events(t: Tables):
     return t.events.select("event_id", F.size(L.extract_tags("props", "k")).alias("n"))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from labelflow import operators as O
+from labelflow import plans as P
 
 REPLIES = [
     ("A, C ,B", "ok", ["A", "C"]), ("a, A", "ok", ["A"]), ("A, A", "ok", ["A", "A"]), ("X, Y", "ok", []),
@@ -76,10 +77,66 @@ def test_slots_in_text_are_not_filled(spark):
     assert "see {labels}" in prompt
 
 
-def test_label_list_too_long(spark, records):
-    long = labels(spark).withColumn("description", F.repeat(F.lit("x"), 2_000_000))
-    with pytest.raises(ValueError):
-        O.classification_requests(records, "text", long)
+def test_a_long_label_list_is_asked_page_by_page(spark, records):
+    names = [f"Label{n:02d}" for n in range(23)]
+    many = spark.createDataFrame([(n, "some words", n, i) for i, n in enumerate(names)], "label string, description string, path string, pos int")
+    asked = O.classification_requests(records, "text", many, page_bytes=200)
+    rows = asked.collect()
+    pages = max(r["page"] for r in rows)
+    assert pages > 2 and len(rows) == pages * records.count() and max(len(r["prompt"]) for r in rows) < 900
+    first = sorted((r for r in rows if r["id"] == rows[0]["id"]), key=lambda r: r["page"])
+    assert [n for r in first for n in names if n in r["prompt"]] == names
+    assert {r["request_id"] for r in first} == {f"{rows[0]['id']}#{p}" for p in range(1, pages + 1)}
+    said = asked.select("request_id", F.when(F.col("page") == 2, "None").otherwise(F.concat(F.lit("Label0"), F.col("page") * 2)).alias("reply"),
+                        F.when(F.col("page") == 3, "error").otherwise("ok").alias("status"))
+    joined = O.join_pages(asked, said.unionByName(said)).filter(F.col("request_id") == str(rows[0]["id"])).first()
+    assert joined["status"] == "ok" and joined["reply"].split(", ")[0] == "Label02" and "None" not in joined["reply"] and "Label06" not in joined["reply"]
+
+
+def test_a_page_limit_changes_no_label(spark, records):
+    """A provider that reads its prompt: it picks the labels of the list whose name stands in the text."""
+    import pandas as pd
+
+    def read(batches):
+        for b in batches:
+            replies = []
+            for prompt in b["prompt"]:
+                text, listed = prompt.split("Labels:\n")
+                names = [line.split(". ", 1)[1].split(":")[0] for line in listed.split("\n\n")[0].split("\n")]
+                replies.append(", ".join(n for n in names if n.lower() in text.lower()) or "None")
+            yield pd.DataFrame({"request_id": b["request_id"], "reply": replies, "status": "ok"})
+
+    many = spark.createDataFrame([(n, None, n, i) for i, n in enumerate(["zero", "one", "two", "three", "four", "five"])], "label string, description string, path string, pos int")
+    texts = spark.createDataFrame([("1", "http://a", "one and five"), ("2", "http://b", "nothing at all"), ("3", "http://c", "four, two, zero")], "id string, url string, content string")
+    whole = sorted((r["id"], r["assigned_labels"]) for r in P.enrich_flat(texts, many, O.batch_provider(read), fallback_on=()).collect())
+    assert whole == [("1", ["one", "five"]), ("2", []), ("3", ["zero", "two", "four"])]
+    spark.conf.set("spark.labelflow.inlineBytes", "20")
+    try:
+        assert sorted((r["id"], r["assigned_labels"]) for r in P.enrich_flat(texts, many, O.batch_provider(read), fallback_on=()).collect()) == whole
+        # no prompt is made for a provider that reads none
+        assert "prompt" not in O.classification_requests(texts, "content", many, prompt=False).columns
+        replay = O.replay_provider(spark.createDataFrame([("1", "two", "ok")], "request_id string, reply string, status string"))
+        assert P.enrich_flat(texts, many, replay, fallback_on=()).filter("id = 1").first()["assigned_labels"] == ["two"]
+    finally:
+        spark.conf.unset("spark.labelflow.inlineBytes")
+
+
+def test_one_reply_for_each_request(spark):
+    said = spark.createDataFrame(
+        [("1", None, "error", 1), ("1", "B", "ok", 3), ("1", "A", "ok", 2), ("2", "x", "error", 1), ("2", "x", "error", 2), (None, "y", "ok", 1)],
+        "request_id string, reply string, status string, attempt int")
+    assert sorted((r["request_id"], r["reply"]) for r in O.one_reply(said).collect()) == [("1", "A"), ("2", "x")]
+    df = spark.createDataFrame([(1, ["A", "B"]), (2, ["A"]), (None, ["A"])], "id int, candidate_labels array<string>")
+    rows = O.verify_candidates(df, said).collect()
+    assert sorted((str(r["id"]), r["llm_verified_labels"]) for r in rows) == [("1", ["A"]), ("2", []), ("None", [])]
+    replayed = O.replay_provider(said)(spark.createDataFrame([("1",), ("2",), ("3",)], "request_id string")).collect()
+    assert sorted((r["request_id"], r["status"]) for r in replayed) == [("1", "ok"), ("2", "error"), ("3", "error")]
+
+
+def test_short_words_count_for_themes(spark):
+    asked = spark.createDataFrame([("1", "SQL SQL SQL API API LLM word"), ("2", "")], "request_id string, text string")
+    got = {r["request_id"]: r["reply"] for r in O.theme_reply(2)(asked).collect()}
+    assert got == {"1": '{"cluster_theme":"sql","subtopics":["api","llm"]}', "2": ""}
 
 
 def test_verification(spark):

@@ -112,7 +112,7 @@ def record_file(tmp_path):
 def test_read_records(spark, record_file):
     df = S.read_records(spark, record_file)
     rows = {r["id"]: r for r in df.collect()}
-    assert json.loads(rows[1]["metadata"]) == {"tags": ["x"], "favorite": False}
+    assert json.loads(rows["1"]["metadata"]) == {"tags": ["x"], "favorite": False}
     assert rows[None]["corrupt_line"] == "not json"
     assert S.missing_columns(df) == [] and S.missing_columns(df.drop("url", "domain")) == ["url", "domain"]
     assert {r["column"] for r in S.column_report(df.drop("url")).filter("NOT present").collect()} == {"url"}
@@ -130,7 +130,7 @@ def test_row_ids(spark):
 
 def test_prepare(spark, record_file):
     rows = P.prepare(S.read_records(spark, record_file), tag_key="tags").orderBy("id").collect()
-    assert [r["id"] for r in rows] == [1, 4]
+    assert [r["id"] for r in rows] == ["1", "4"]
     assert rows[0]["combined_text"] == "Hi some text" and rows[0]["existing_tags"] == ["x"]
     assert rows[0]["created_at_dt"] == dt.datetime(2024, 1, 2) and rows[1]["created_at_dt"] is None
     assert rows[1]["combined_text"] == "tools, & more"
@@ -193,13 +193,13 @@ def labels(spark):
 def test_enrich_flat(spark, record_file):
     out = P.enrich_flat(S.read_records(spark, record_file), labels(spark), O.overlap_provider(labels(spark)))
     assert out.columns == P.FLAT_COLUMNS + ["assigned_labels"]
-    assert {r["id"]: r["assigned_labels"] for r in out.collect()} == {1: ["Text"], 4: ["Tools"]}
+    assert {r["id"]: r["assigned_labels"] for r in out.collect()} == {"1": ["Text"], "4": ["Tools"]}
 
 
 def test_enrich_semantic(spark, record_file, tmp_path):
     out = P.enrich_semantic(P.prepare(S.read_records(spark, record_file)), labels(spark), 1, dim=32)
     rows = {r["id"]: r for r in out.collect()}
-    assert len(rows[4]["ontology_labels_k"]) == 1 and rows[1]["mentioned_entities"] == ["Hi"]
+    assert len(rows["4"]["ontology_labels_k"]) == 1 and rows["1"]["mentioned_entities"] == ["Hi"]
     summary = P.store_semantic(out, str(tmp_path / "run"), "r").first()
     assert summary["total_records"] == 2 and len(summary["files_created"]) == 3
 
@@ -215,7 +215,7 @@ def test_enrich_verified(spark, record_file, expand):
     assert set(rows) == {"1", "4"} and rows["4"]["final_ontology_labels"] == ["Text", "Tools"]
     assert rows["1"]["summary_and_title"] == "Hi | Summary: some text"
     if expand:
-        assert gaps.columns == S.SUGGESTION_COLUMNS and gaps.count() >= 1
+        assert gaps.columns == [*S.SUGGESTION_COLUMNS, "reply_status"] and gaps.count() >= 1
         assert all(r["cluster_id"] >= 0 for r in rows.values())
     else:
         assert gaps is None and {r["cluster_id"] for r in rows.values()} == {-1}
@@ -242,4 +242,4 @@ def test_stream_equals_batch(spark, record_file, tmp_path):
     got = {r["id"]: r["assigned_labels"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     batch = label_stream(S.read_records(spark, str(folder)), labels(spark))
     assert got == {r["id"]: r["assigned_labels"] for r in batch.select("id", "assigned_labels").collect()}
-    assert got[4] == ["Tools"]
+    assert got["4"] == ["Tools"]
