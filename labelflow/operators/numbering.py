@@ -30,15 +30,27 @@ def numbered(df: DataFrame, order: list[Column] | None = None, column: str = "ro
 
 
 def exact_quantiles(df: DataFrame, column: str, points: list[float]) -> list[float | None]:
-    """Quantiles with linear interpolation by sorted position; memory does not grow with the data."""
+    """Quantiles with linear interpolation by sorted position; memory does not grow with the data.
+
+    Equal values are counted first, with a map-side combine, and only ``(value, count)`` is sorted,
+    so a value that a third of all rows have is one row of the sort.
+    """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    rows = numbered(values, [F.col("v")])
-    n = rows.count()
+    counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v")
+    table = written(counts.withColumn("_part", F.spark_partition_id()), "quantiles")
+    sizes = table.groupBy("_part").agg(F.sum("n").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    so_far = Window.partitionBy("_part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per partition of the sorted table: the number of tasks bounds it
+    ranked = table.join(F.broadcast(offsets), "_part").withColumn("_last", F.col("_offset") + F.sum("n").over(so_far))
+    n = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if n == 0:
         return [None] * len(points)
     spots = [q * (n - 1) for q in points]
     wanted = sorted({p for s in spots for p in (int(s), min(int(s) + 1, n - 1))})
-    at = {r["row_index"]: r["v"] for r in rows.filter(F.col("row_index").isin(wanted)).collect()}
+    place = F.explode(F.filter(F.array(*map(F.lit, wanted)), lambda p: (p < F.col("_last")) & (p >= F.col("_last") - F.col("n"))))
+    at = {r["at"]: r["v"] for r in ranked.select(place.alias("at"), "v").collect()}
     out = []
     for s in spots:
         low = at[int(s)]

@@ -20,22 +20,17 @@ from ..functions import ancestor_paths, label_plus_desc
 from .skew import salted_join
 
 __all__ = [
-    "flatten_taxonomy", "taxonomy_problems", "flatten_generic", "with_label_text", "first_by_label",
+    "flatten_taxonomy", "taxonomy_problems", "flatten_generic", "generic_problems", "with_label_text", "first_by_label",
     "repeated_labels", "distinct_labels", "root_labels", "top_level_labels", "closure_table",
 ]
 
 _MAP = "map<string,string>"
-_LIST = "array<string>"
 
 
 def _is_map(raw: Column) -> Column:
     return F.coalesce(F.ltrim(raw).startswith("{"), F.lit(False))
 
 
-def _is_list(raw: Column) -> Column:
-    return F.coalesce(F.ltrim(raw).startswith("["), F.lit(False))
-
-
 def _field(raw: Column, name: str) -> Column:
     return F.try_element_at(F.from_json(raw, _MAP), F.lit(name))
 
@@ -46,84 +41,105 @@ def _domains(docs: DataFrame) -> DataFrame:
     return root.filter(~F.col("name").startswith("#"))
 
 
-def _children(parents: DataFrame, list_field: str) -> DataFrame:
-    """Entries of the maps listed under ``list_field`` of each parent's ``raw`` value."""
-    listed = _field(F.col("raw"), list_field)
-    items = parents.select(
-        "doc", F.col("path").alias("up"), F.col("pos").alias("up_pos"),
-        F.posexplode(F.from_json(F.when(_is_list(listed), listed), _LIST)).alias("i", "item"),
-    )
-    entries = items.filter(_is_map(F.col("item"))).select(
-        "doc", "up", "up_pos", "i", F.posexplode(F.from_json("item", _MAP)).alias("j", "name", "raw")
-    )
-    return entries.select(
-        "doc", "name", "raw", F.concat_ws("/", "up", "name").alias("path"), F.col("up").alias("parent_path"),
-        F.concat(F.col("up_pos"), F.array("i", "j")).alias("pos"),
-    )
+# Texts for labels without a description.
+KINDS = ("Domain", "Subcategory", "Instance")
+NOT_DESCRIBED, NOT_DESCRIBED_ITEM = "No description", "No description available"
 
+_LABELS = "doc string, label string, description string, path string, level int, parent_path string, pos array<int>"
+_PROBLEMS = "doc string, path string, problem string"
+_GENERIC = "doc string, label string, description string, path string, pos int"
 
-def _levels(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    domains = _domains(docs).filter(_is_map(F.col("raw"))).select(
-        "doc", "name", "raw", F.col("name").alias("path"), F.lit(None).cast("string").alias("parent_path"),
-        F.array("d").alias("pos"),
-    )
-    subs = _children(domains, "subcategories").filter(_is_map(F.col("raw")))
-    return domains, subs, _children(subs, "instances")
+
+def _text(value) -> str | None:
+    """A JSON value as text: text as it is, other values in their JSON form."""
+    return value if value is None or isinstance(value, str) else json.dumps(value, ensure_ascii=False)
+
+
+def _parsed(body: str | None):
+    """The document, or ``ValueError`` with what is wrong with it."""
+    try:
+        return json.loads(body or "")
+    except (ValueError, RecursionError):
+        raise ValueError("document does not parse") from None
+
+
+class _Nested:
+    """One walk over a document of domains, subcategories and instances: labels and problems."""
+
+    def __init__(self, body: str | None):
+        self.labels: list[tuple] = []
+        self.problems: list[tuple[str, str]] = []
+        try:
+            root = _parsed(body)
+        except ValueError as e:
+            self.problems.append(("", str(e)))
+            return
+        if not isinstance(root, dict):
+            self.problems.append(("", "root is no map"))
+            return
+        for d, (name, domain) in enumerate(root.items()):
+            if name.startswith("#"):
+                continue
+            if not isinstance(domain, dict):
+                self.problems.append((name, "domain is no map"))
+                continue
+            self._label(name, domain, name, 1, None, [d])
+            for sub, value, pos in self._entries(domain, "subcategories", name, [d]):
+                path = f"{name}/{sub}"
+                if not isinstance(value, dict):
+                    self.problems.append((path, "subcategory is no map"))
+                    continue
+                self._label(sub, value, path, 2, name, pos)
+                for instance, about, place in self._entries(value, "instances", path, pos):
+                    self._label(instance, about, f"{path}/{instance}", 3, path, place)
+
+    def _label(self, name: str, value, path: str, level: int, parent: str | None, pos: list[int]) -> None:
+        described = _text(value.get("description")) if isinstance(value, dict) else None
+        self.labels.append((name, f"{KINDS[level - 1]}: {name}" if described is None else described, path, level, parent, pos))
+
+    def _entries(self, parent: dict, field: str, path: str, pos: list[int]) -> Iterator[tuple]:
+        listed = parent.get(field)
+        if not isinstance(listed, list):
+            if listed not in (None, "", {}):
+                self.problems.append((path, f"{field} is no list"))
+            return
+        for i, item in enumerate(listed):
+            if isinstance(item, dict):
+                yield from ((name, value, [*pos, i, j]) for j, (name, value) in enumerate(item.items()))
+            else:
+                self.problems.append((path, f"{field} item is no map"))
+
+
+def _per_document(docs: DataFrame, schema: str, rows) -> DataFrame:
+    """``rows(body)`` of every document, which is parsed once; documents are read in parallel."""
+    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [(doc, *row) for doc, body in zip(batch["doc"], batch["body"]) for row in rows(body)]
+            yield pd.DataFrame(found, columns=names)
+
+    return docs.select("doc", "body").mapInPandas(run, schema)
 
 
 def flatten_taxonomy(docs: DataFrame) -> DataFrame:
-    """Three-level flatten with default descriptions; entries of another shape are left out
-    (see ``taxonomy_problems``)."""
-    kinds = ("Domain", "Subcategory", "Instance")
-    out = None
-    for level, (kind, rows) in enumerate(zip(kinds, _levels(docs)), start=1):
-        described = F.when(_is_map(F.col("raw")), _field(F.col("raw"), "description"))
-        part = rows.select(
-            "doc", F.col("name").alias("label"),
-            F.coalesce(described, F.concat(F.lit(f"{kind}: "), "name")).alias("description"),
-            "path", F.lit(level).alias("level"), "parent_path", "pos",
-        )
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Three-level flatten with default descriptions; what is of another shape is left out and
+    reported by ``taxonomy_problems``."""
+    return _per_document(docs, _LABELS, lambda body: _Nested(body).labels)
 
 
 def taxonomy_problems(docs: DataFrame) -> DataFrame:
-    """Entries the flatten leaves out: ``(doc, path, problem)``."""
-    domains, subs, _ = _levels(docs)
-    bad_domains = _domains(docs).filter(~_is_map(F.col("raw"))).select(
-        "doc", F.col("name").alias("path"), F.lit("domain is no map").alias("problem")
-    )
-    found = [bad_domains]
-    for parents, field in ((domains, "subcategories"), (subs, "instances")):
-        raw = _field(F.col("raw"), field)
-        found.append(
-            parents.filter(raw.isNotNull() & ~_is_list(raw) & ~raw.isin("", "{}"))
-            .select("doc", "path", F.lit(f"{field} is no list").alias("problem"))
-        )
-        items = parents.select(
-            "doc", "path", F.explode(F.from_json(F.when(_is_list(raw), raw), _LIST)).alias("item")
-        )
-        found.append(
-            items.filter(~_is_map(F.col("item")))
-            .select("doc", "path", F.lit(f"{field} item is no map").alias("problem"))
-        )
-    found.append(
-        _children(domains, "subcategories").filter(~_is_map(F.col("raw")))
-        .select("doc", "path", F.lit("subcategory is no map").alias("problem"))
-    )
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
-    return out
+    """What the flatten leaves out: ``(doc, path, problem)``. A document that does not parse, or whose
+    root is no map, is one row with an empty path."""
+    return _per_document(docs, _PROBLEMS, lambda body: _Nested(body).problems)
 
 
 # -- generic layout ---------------------------------------------------------------------------
 
-_GENERIC = "doc string, label string, description string, path string, pos int"
-
 
 def _walk(node, path: str) -> Iterator[tuple[str, str, str]]:
-    """Labels below ``node`` in document order, for taxonomies of any depth."""
+    """Labels below ``node`` in document order, for taxonomies of any depth. Names and descriptions
+    that are no text are taken in their JSON form."""
     if isinstance(node, list):
         for n, item in enumerate(node):
             yield from _walk(item, _join(path, f"list_item_{n}"))
@@ -131,16 +147,16 @@ def _walk(node, path: str) -> Iterator[tuple[str, str, str]]:
         for key, value in node.items():
             here = _join(path, key)
             if isinstance(value, dict):
-                yield key, value.get("description", "No description"), here
+                yield key, _text(value.get("description", NOT_DESCRIBED)), here
                 yield from _walk(_without(value, "description", "instances"), here)
             elif isinstance(value, list) and key != "instances":
                 for item in value:
                     if isinstance(item, str):
                         yield item, f"{item}, part of {key}", _join(here, item)
-                    elif isinstance(item, dict) and "name" in item:
-                        below = _join(here, item["name"])
-                        yield item["name"], item.get("description", "No description available"), below
-                        yield from _walk(_without(item, "name", "description"), below)
+                    elif isinstance(item, dict) and item.get("name") is not None:
+                        name = _text(item["name"])
+                        yield name, _text(item.get("description", NOT_DESCRIBED_ITEM)), _join(here, name)
+                        yield from _walk(_without(item, "name", "description"), _join(here, name))
             elif isinstance(value, str) and key != "description":
                 yield key, value, here
 
@@ -154,20 +170,35 @@ def _without(node: dict, *names: str) -> dict:
     return {k: v for k, v in node.items() if k not in names}
 
 
+def _generic(body: str | None) -> list[tuple]:
+    try:
+        return [(*entry, i) for i, entry in enumerate(_walk(_parsed(body), ""))]
+    except (ValueError, RecursionError):
+        return []
+
+
 def flatten_generic(docs: DataFrame) -> DataFrame:
-    """Flatten documents of any depth and shape; documents are walked independently in parallel.
+    """Flatten documents of any depth and shape.
 
-    A label is a map entry, a list item with a ``name``, a plain list item, or a text value.
+    A label is a map entry, a list item with a ``name``, a plain list item, or a text value. A document
+    that does not parse has no labels; ``generic_problems`` reports it.
     """
+    return _per_document(docs, _GENERIC, _generic)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for doc, body in zip(batch["doc"], batch["body"]):
-                rows = [(doc, n, d, p, i) for i, (n, d, p) in enumerate(_walk(json.loads(body), ""))]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["doc", "label", "description", "path", "pos"])
 
-    return docs.select("doc", "body").mapInPandas(run, _GENERIC)
+def generic_problems(docs: DataFrame) -> DataFrame:
+    """Documents that the generic flatten can't read: ``(doc, path, problem)``."""
+
+    def problems(body: str | None) -> list[tuple[str, str]]:
+        try:
+            list(_walk(_parsed(body), ""))
+        except ValueError as e:
+            return [("", str(e))]
+        except RecursionError:
+            return [("", "document is nested too deeply")]
+        return []
+
+    return _per_document(docs, _PROBLEMS, problems)
 
 
 # -- on the label table -----------------------------------------------------------------------

@@ -13,14 +13,20 @@ __all__ = ["read_taxonomy", "yaml_to_json"]
 
 
 def yaml_to_json(docs: DataFrame) -> DataFrame:
-    """Turn YAML bodies into JSON text, file by file, keeping the key order."""
+    """Turn YAML bodies into JSON text, file by file, keeping the key order. A body that is no YAML
+    stays as it is, so that it is reported as a document that does not parse."""
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import yaml  # optional: needed on executors only when YAML files are read
 
+        def as_json(text: str) -> str:
+            try:
+                return json.dumps(yaml.safe_load(text), ensure_ascii=False, default=str)
+            except (yaml.YAMLError, TypeError, ValueError, RecursionError):
+                return text
+
         for batch in batches:
-            body = [json.dumps(yaml.safe_load(text), ensure_ascii=False, default=str) for text in batch["body"]]
-            yield pd.DataFrame({"doc": batch["doc"], "body": body})
+            yield pd.DataFrame({"doc": batch["doc"], "body": [as_json(text) for text in batch["body"]]})
 
     return docs.mapInPandas(convert, "doc string, body string")
 

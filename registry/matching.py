@@ -218,6 +218,56 @@ def j8_off(t: Tables):
     return O.close_hierarchy(order_labels(t), "id", "labels", places(t), "closed", enabled=False).select("id", joined("closed").alias("closed"))
 
 
+# -- one answer whatever the size: ids that repeat or are NULL, in every form ----------------------
+
+ODD_ID = "CASE WHEN {0} % 3 > 0 THEN {0} % 5 END"
+
+
+def odd_id(c: str):
+    return F.when(F.col(c) % 3 > 0, F.col(c) % 5)
+
+
+for _form in ("inline", "broadcast", "join"):
+
+    @query(f"J3_odd_ids_{_form}", f"""WITH {ORDER_LABELS}
+SELECT {ODD_ID.format('id')} AS id, id AS o, array_to_string(list_sort(list_filter(labels, lambda x: starts_with(x, 'Supplier'))), '|') AS found FROM order_labels""")
+    def j3_odd(t: Tables, form=_form):
+        rows = order_labels(t).select(odd_id("id").alias("id"), F.col("id").alias("o"), F.transform("labels", F.upper).alias("said"))
+        names = t.supplier.select(F.col("s_name").alias("label"))
+        return O.match_entities(rows, "id", "said", names, "found", form=form).select("id", "o", joined("found").alias("found"))
+
+    @query(f"J6_J7_odd_ids_{_form}", f"""WITH {ORDER_LABELS}
+SELECT {ODD_ID.format('id')} AS id, id AS o, array_to_string(list_filter(labels, lambda x: starts_with(x, 'Supplier')), '|') AS valid, labels[len(labels)] AS unknown FROM order_labels""")
+    def j6_odd(t: Tables, form=_form):
+        rows = order_labels(t).select(odd_id("id").alias("id"), F.col("id").alias("o"), "labels")
+        names = t.supplier.select(F.col("s_name").alias("label"))
+        checked = O.validate_labels(rows, "id", "labels", names, "valid", form=form)
+        done = O.unknown_labels(checked, "id", "labels", names, "unknown", form=form)
+        return done.select("id", "o", joined("valid").alias("valid"), joined("unknown").alias("unknown"))
+
+    @query(f"J8_odd_ids_{_form}", f"SELECT {ODD_ID.format('id')} AS id, id AS o, closed FROM ({CLOSED})")
+    def j8_odd(t: Tables, form=_form):
+        rows = order_labels(t).select(odd_id("id").alias("id"), F.col("id").alias("o"), "labels")
+        return O.close_hierarchy(rows, "id", "labels", places(t), "closed", form=form).select("id", "o", joined("closed").alias("closed"))
+
+
+for _form in ("inline", "automaton", "blocks"):
+
+    @query(f"J5_odd_ids_{_form}", f"SELECT {ODD_ID.format('id')} AS id, id AS o, labels FROM ({KEYWORD_LABELS})")
+    def j5_odd(t: Tables, form=_form):
+        rows = documents(t).select(odd_id("id").alias("id"), F.col("id").alias("o"), "text")
+        return O.match_keywords(rows, "text", passages(t), 5, form=form).select("id", "o", joined("labels").alias("labels"))
+
+
+for _form in ("broadcast", "grid"):
+
+    @query(f"J1_odd_ids_{_form}", f"""WITH {NEAREST}
+SELECT {ODD_ID.format('id')} AS id, id AS o, array_to_string(list(label ORDER BY rank), '|') AS labels FROM nearest WHERE rank <= 3 GROUP BY nearest.id""")
+    def j1_odd(t: Tables, form=_form):
+        rows = vectors(t).select(odd_id("id").alias("id"), F.col("id").alias("o"), "vector")
+        return O.attach_nearest(rows, prototypes(t), 3, form=form).select("id", "o", joined("candidate_labels").alias("labels"))
+
+
 # -- set operations -------------------------------------------------------------------------------
 
 @query("U1_union", "SELECT r_name AS label, 'region' AS kind FROM region UNION ALL SELECT n_name, 'nation' FROM nation UNION ALL SELECT s_name, 'supplier' FROM supplier")

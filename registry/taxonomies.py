@@ -33,6 +33,34 @@ def t2_problems(t: Tables):
     return O.taxonomy_problems(place_documents(t))
 
 
+def failing_documents(t: Tables):
+    """Per supplier one document: well formed, cut off, with a list as root, or with a number as name."""
+    name = F.col("s_name")
+    good = F.format_string('{"%s":{"description":"d","subcategories":[{"%s sub":{"instances":[{"x":1}]}}]}}', name, name)
+    kind = F.col("s_suppkey") % 4
+    body = F.when(kind == 0, good).when(kind == 1, F.substring(good, 1, 20)).when(kind == 2, F.format_string('["%s"]', name)).otherwise(
+        F.format_string('{"%s":{"codes":[{"name":%d}]}}', name, F.col("s_suppkey")))
+    return t.supplier.select(F.col("s_suppkey").cast("string").alias("doc"), body.alias("body"))
+
+
+@query("T2_documents_that_fail", """
+SELECT s_suppkey::VARCHAR AS doc, '' AS path, CASE s_suppkey % 4 WHEN 1 THEN 'document does not parse' ELSE 'root is no map' END AS problem FROM supplier WHERE s_suppkey % 4 IN (1, 2)
+UNION ALL SELECT s_suppkey::VARCHAR, p, 'label' FROM supplier, (VALUES (0), (1), (2)) v(l), LATERAL (SELECT CASE l WHEN 0 THEN s_name WHEN 1 THEN s_name || '/' || s_name || ' sub' ELSE s_name || '/' || s_name || ' sub/x' END AS p) q WHERE s_suppkey % 4 = 0
+UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'label' FROM supplier WHERE s_suppkey % 4 = 3""")
+def t2_failing(t: Tables):
+    docs = failing_documents(t)
+    return O.taxonomy_problems(docs).unionByName(O.flatten_taxonomy(docs).select("doc", "path", F.lit("label").alias("problem")))
+
+
+@query("T3_documents_that_fail", """
+SELECT s_suppkey::VARCHAR AS doc, replace(s_name, ' ', '_') || '/codes/' || s_suppkey AS path, s_suppkey::VARCHAR AS label FROM supplier WHERE s_suppkey % 4 = 3
+UNION ALL SELECT s_suppkey::VARCHAR, '', 'document does not parse' FROM supplier WHERE s_suppkey % 4 = 1""")
+def t3_failing(t: Tables):
+    docs = failing_documents(t)
+    coded = O.flatten_generic(docs).filter(F.contains("path", F.lit("/codes/"))).select("doc", "path", "label")
+    return coded.unionByName(O.generic_problems(docs).withColumnRenamed("problem", "label"))
+
+
 @query("T1_top_level", """SELECT DISTINCT r_name AS label, 'Region ' || r_name AS description FROM region
 JOIN nation ON n_regionkey = r_regionkey JOIN supplier ON s_nationkey = n_nationkey""")
 def t1(t: Tables):

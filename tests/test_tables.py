@@ -59,6 +59,29 @@ def test_profiles(spark):
     assert empty["count"] == 0 and empty["q50"] is None
 
 
+def test_quantiles_of_a_hot_value(spark):
+    """Equal values are one row of the sort, so no task holds the rows of a frequent value."""
+    df = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("id").cast("double")).alias("v")).repartition(8)
+    got = O.exact_quantiles(df, "v", [0.0, 0.2, 0.25, 0.5, 0.75, 1.0])
+    want = [float(x) for x in df.toPandas()["v"].quantile([0.0, 0.2, 0.25, 0.5, 0.75, 1.0])]
+    assert got == pytest.approx(want)
+    assert O.exact_quantiles(df.filter("v < 0"), "v", [0.5]) == [None]
+    from labelflow import settings
+
+    stored = spark.read.parquet(f"{settings._folders[-2]}/quantiles")
+    assert stored.count() == 20_001 and stored.agg(F.max("n")).first()[0] == 10_000
+
+
+def test_written_tables_can_be_removed(spark):
+    from labelflow.settings import remove_written
+
+    df = written(spark.range(5), "gone")
+    path = df.inputFiles()[0].removeprefix("file://")
+    import os
+
+    assert os.path.exists(path) and remove_written(spark) >= 1 and not os.path.exists(path) and remove_written(spark) == 0
+
+
 def test_clusters(spark):
     df = spark.createDataFrame([(1, 0, ["b", "a"]), (2, 0, ["a"]), (3, 1, []), (4, -1, ["z"])], "id int, cluster_id int, l array<string>")
     assert {r["cluster_id"]: r["labels_text"] for r in O.cluster_labels(df, "l").collect()} == {0: "a, b", 1: "None", -1: "z"}

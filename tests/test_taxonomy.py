@@ -99,3 +99,37 @@ def test_label_table(spark):
     assert {r["label"]: r["parents"] for r in O.closure_table(labels).collect()} == {"B": ["A", "C"], "D": ["A", "B"]}
     paths = O.label_paths(spark.createDataFrame([(1, "B"), (2, "Z")], "id int, label string"), labels)
     assert {r["label"]: r["path"] for r in paths.collect()} == {"B": "C/B", "Z": None}
+
+
+BROKEN = ['{"Zoo": ', "[1, 2]", "", "3", '{"A": {"subcategories": [{"B": {"description": 5, "instances": [{"C": true}]}}]}}', '{"list": [{"name": 3, "description": null}, {"name": null}]}']
+
+
+def test_documents_that_fail_are_reported(spark):
+    df = spark.createDataFrame([*((str(i), b) for i, b in enumerate(BROKEN)), ("none", None)], "doc string, body string")
+    labels = {(r["doc"], r["path"], r["description"]) for r in O.flatten_taxonomy(df).collect()}
+    assert labels == {("4", "A", "Domain: A"), ("4", "A/B", "5"), ("4", "A/B/C", "Instance: C")}
+    problems = {(r["doc"], r["path"], r["problem"]) for r in O.taxonomy_problems(df).collect()}
+    assert problems == {
+        ("0", "", "document does not parse"), ("1", "", "root is no map"), ("2", "", "document does not parse"), ("3", "", "root is no map"),
+        ("5", "list", "domain is no map"), ("none", "", "document does not parse"),
+    }
+    assert {(r["doc"], r["label"], r["description"], r["path"]) for r in O.flatten_generic(df).filter("doc <> '4'").collect()} == {("5", "3", None, "list/3")}
+    assert {r["doc"] for r in O.generic_problems(df).collect()} == {"0", "2", "none"}
+    deep = spark.createDataFrame([("d", "[" * 5000 + "]" * 5000), ("e", '{"a": ' * 900 + "1" + "}" * 900)], "doc string, body string")
+    assert O.flatten_taxonomy(deep).filter("doc = 'd'").count() == 0 and O.flatten_generic(deep).filter("doc = 'd'").count() == 0
+
+
+def test_one_scan_and_one_walk(spark, tmp_path, capsys):
+    (tmp_path / "a.json").write_text(json.dumps(NESTED))
+    O.flatten_taxonomy(S.read_taxonomy(spark, str(tmp_path))).explain()
+    plan = capsys.readouterr().out
+    assert plan.count("FileScan") == 1 and "Generate" not in plan
+
+
+def test_one_bad_yaml_file_fails_no_job(spark, tmp_path):
+    pytest.importorskip("yaml")
+    (tmp_path / "a.yaml").write_text("Zoo: [unclosed")
+    (tmp_path / "b.yaml").write_text("Sea:\n  description: Water\n")
+    docs = S.read_taxonomy(spark, str(tmp_path), "yaml")
+    assert [r["label"] for r in O.flatten_taxonomy(docs).collect()] == ["Sea"]
+    assert [r["problem"] for r in O.taxonomy_problems(docs).collect()] == ["document does not parse"]
