@@ -30,33 +30,38 @@ def bucket_words(text: str | Column, dim: int) -> Column:
     return F.transform(words(text), bucket)
 
 
-def bucket_weights(df: DataFrame, text: str, dim: int) -> DataFrame:
+def bucket_weights(df: DataFrame, text: str, dim: int, buckets: str | None = None) -> DataFrame:
     """Inverse document frequency of each bucket: ``(bucket, weight)``, ``dim`` rows at most.
 
-    Every task sends one row per bucket, so the shuffle does not grow with the texts.
+    Every task sends one row per bucket, so the shuffle does not grow with the texts. ``buckets`` names
+    a stored column of ``bucket_words``; then the texts are not read.
     """
-    hit = df.select(F.explode(F.array_distinct(bucket_words(text, dim))).alias("bucket"))
+    hashed = F.col(buckets) if buckets else bucket_words(text, dim)
+    hit = df.select(F.explode(F.array_distinct(hashed)).alias("bucket"))
     total = df.agg(F.count(F.lit(1))).scalar()
     seen = hit.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     return seen.select("bucket", F.log((total + 1.0) / (F.col("n") + 1.0)).alias("weight"))
 
 
-def weight_vector(df: DataFrame, text: str, dim: int) -> np.ndarray:
+def weight_vector(df: DataFrame, text: str, dim: int, buckets: str | None = None) -> np.ndarray:
     """The bucket weights as one array; runs a job that returns ``dim`` rows at most."""
     weights = np.zeros(dim)
-    table = bucket_weights(df, text, dim).toPandas()
+    table = bucket_weights(df, text, dim, buckets).toPandas()
     weights[table["bucket"].to_numpy(np.int64)] = table["weight"].to_numpy()
     return weights
 
 
-def embed_text(df: DataFrame, text: str, dim: int = 64, out: str = "vector", weights: np.ndarray | None = None) -> DataFrame:
+def embed_text(
+    df: DataFrame, text: str, dim: int = 64, out: str = "vector", weights: np.ndarray | None = None, buckets: str | None = None,
+) -> DataFrame:
     """Attach a unit-length hashed TF-IDF vector of the whole text; a text without words gets zeros.
 
     ``weights`` come from the same texts unless given, so labels can be embedded with the weights
     of the records. The rows are not shuffled: words are hashed in the JVM and counted per Arrow
-    batch.
+    batch. Both passes over the texts hash their words; a written table may hold ``bucket_words`` in a
+    column ``buckets``, so that they are hashed once.
     """
-    idf = weight_vector(df, text, dim) if weights is None else weights
+    idf = weight_vector(df, text, dim, buckets) if weights is None else weights
 
     def embed(rows: pd.Series) -> pd.Series:
         lengths = rows.map(len).to_numpy()
@@ -66,8 +71,8 @@ def embed_text(df: DataFrame, text: str, dim: int = 64, out: str = "vector", wei
         norm = np.sqrt((grid * grid).sum(axis=1, keepdims=True))
         return pd.Series(list((grid / np.where(norm > 0, norm, 1.0)).astype(np.float32)))
 
-    buckets = F.coalesce(bucket_words(text, dim), F.array().cast("array<int>"))
-    return df.withColumn(out, F.pandas_udf(embed, T.ArrayType(T.FloatType()))(buckets))
+    hashed = F.coalesce(F.col(buckets) if buckets else bucket_words(text, dim), F.array().cast("array<int>"))
+    return df.withColumn(out, F.pandas_udf(embed, T.ArrayType(T.FloatType()))(hashed))
 
 
 # -- clustering -------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators.clusters import cluster_themes, entity_harvest
 from ..operators.replies import Provider
 from ..operators.stats import cluster_sizes, labels_in_use, new_label_candidates
-from ..operators.vectors import assign_clusters, embed_text, fit_centres
+from ..operators.vectors import assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
 from ..settings import written
 
 __all__ = ["Expansion", "expand"]
@@ -32,10 +32,12 @@ def expand(
 
     The centres are trained on a narrow table of the vectors, for at most ``rounds`` rounds; the
     cluster of a record is found in its row."""
-    points = embed_text(df, text, dim)
-    vectors = written(points.select(key, "vector"), "vectors")
+    hashed = written(df.select(key, bucket_words(text, dim).alias("_buckets")), "words")
+    weights = weight_vector(hashed, text, dim, "_buckets")
+    vectors = written(embed_text(hashed, text, dim, weights=weights, buckets="_buckets").drop("_buckets"), "vectors")
     centres = fit_centres(vectors, key, "vector", k, seed=seed, iterations=rounds).points
     assigned = assign_clusters(vectors, "vector", centres).select(key, "cluster_id")
+    points = embed_text(df, text, dim, weights=weights)
     named = cluster_themes(assign_clusters(points, "vector", centres).drop("vector"), text, key=key, seed=seed, provider=themes)
     found, top, _ = entity_harvest(df, text, key=key, seed=seed, provider=entities)
     return Expansion(

@@ -10,7 +10,7 @@ from ..operators.replies import Provider, extract_fields, mentioned_entities, on
 from ..operators.similarity import attach_nearest, rerank_attached
 from ..operators.stats import label_statistics
 from ..operators.taxonomy import with_label_text
-from ..operators.vectors import embed_text, weight_vector
+from ..operators.vectors import bucket_words, embed_text, weight_vector
 from ..settings import written
 from ..sources.sinks import run_manifest, write_csv, write_json_lines, write_manifest
 
@@ -27,11 +27,11 @@ def enrich_semantic(
     ``k`` kept.
 
     Without a provider entities are found by pattern, in the record's own row. The prepared table
-    is written once, because the word weights need a pass of their own.
+    is written once with its hashed words, because the word weights need a pass of their own.
     """
-    prepared = written(prepared, "prepared")
-    weights = weight_vector(prepared, "combined_text", dim)
-    points = embed_text(prepared, "combined_text", dim, weights=weights)
+    prepared = written(prepared.withColumn("_buckets", bucket_words("combined_text", dim)), "prepared")
+    weights = weight_vector(prepared, "combined_text", dim, "_buckets")
+    points = embed_text(prepared, "combined_text", dim, weights=weights, buckets="_buckets").drop("_buckets")
     targets = embed_text(with_label_text(labels), "label_plus_desc", dim, weights=weights)
     near = attach_nearest(points, targets, rerank_from or k, prefix="ontology_")
     if rerank_from:

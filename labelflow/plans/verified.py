@@ -12,7 +12,7 @@ from ..operators.lookup import close_hierarchy
 from ..operators.replies import Provider, extract_fields, one_line_summary, one_reply, verification_requests, verify_candidates
 from ..operators.similarity import attach_nearest, rerank_attached
 from ..operators.taxonomy import first_by_label, with_label_text
-from ..operators.vectors import assign_clusters, embed_text, fit_centres, weight_vector
+from ..operators.vectors import assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
 from ..settings import written
 from ..sources.records import as_records, keep_columns, with_row_id
 from .prepare import clean_records
@@ -57,11 +57,12 @@ def enrich_verified(
     """
     unique_labels = written(first_by_label(labels), "labels")
     cleaned = keep_newest(clean_records(as_records(records), mode), "url", "created_at_dt")
-    base = written(with_summaries(with_row_id(cleaned), summaries), "summaries")
+    told_rows = with_summaries(with_row_id(cleaned), summaries)
+    base = written(told_rows.withColumn("_buckets", bucket_words("summary_and_title", dim)), "summaries")
     told = F.trim("summary_and_title") != ""
-    weights = weight_vector(base.filter(told), "summary_and_title", dim)
+    weights = weight_vector(base.filter(told), "summary_and_title", dim, "_buckets")
     targets = embed_text(with_label_text(unique_labels), "label_plus_desc", dim, weights=weights)
-    points = embed_text(base, "summary_and_title", dim, weights=weights)
+    points = embed_text(base, "summary_and_title", dim, weights=weights, buckets="_buckets").drop("_buckets")
     candidates = attach_nearest(points, targets, rerank_from or k)
     if rerank_from:
         candidates = rerank_attached(candidates, "summary_and_title", k)
