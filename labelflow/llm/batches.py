@@ -106,9 +106,6 @@ class Memo(dict):
         self[key] = value
         return value
 
-    def unknown(self, keys) -> list:
-        return [k for k in keys if k not in self and k not in self.old]
-
 
 def worker_state(key, make):
     """``make()``, kept by this Python worker for later tasks with the same key. Only the last key's

@@ -13,6 +13,7 @@ from __future__ import annotations
 import os
 import struct
 import uuid
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 from typing import BinaryIO
@@ -28,6 +29,7 @@ from ..settings import fresh_path, written
 from .batches import Memo, slices, utf8, word_lists, worker_state
 
 SAMPLE = 256
+WORDS, PARTS = 400_000, 300_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
 HEAD = "<QBQQ"  # of a sequence: numbers, low bits, bytes of the low part, bytes of the high part
@@ -148,12 +150,22 @@ def finish(out: BinaryIO, width: int, doc_ids: list[int | None], ends: list[int]
     out.write(b"".join([*sequences, struct.pack(TRAILER, MAGIC, width, len(doc_ids), ends[-1] if ends else 0, smallest, nulls, *map(len, sequences))]))
 
 
+def byte_alphabet() -> dict[int, str]:
+    """Character that stands for each byte in byte-level vocabularies: itself if it can be printed,
+    else the next one from 256 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    odd = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + odd.index(b)) for b in range(256)}
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     If the tokenizer drops white space, words are encoded on their own and remembered; if it also
-    drops case and cuts stops off words, a word of letters is looked up in lower case without them.
-    Whether it does is tried out, not assumed. Unknown words go to the library in one call per run of texts.
+    drops case and cuts stops off words, a word of letters is looked up in lower case without them,
+    and an unknown one goes to the library's model itself, as nothing is left to normalise or cut.
+    Whether all this holds is tried out with every letter below U+0100, not assumed; words with other
+    letters or signs go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -161,39 +173,43 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
-        spaced, a, b, c, stop, bare, upper = self._many([" a  b\nc ", "a", "b", "c", "ab.,", "ab", "AB"])
+        self.code = "H" if self.width == 2 else "I"
+        self.alphabet = byte_alphabet()
+        spaced, a, b, c, stop, bare = self._many([" a  b\nc ", "a", "b", "c", "ab.,", "ab"])
         self.by_word = spaced == a + b + c
-        self.by_part = self.by_word and stop == bare + self._many([".,"])[0] and upper == bare
-        self.part = Memo(lambda p: self._many([p])[0])
-        self.word = Memo(self._word)
+        self.by_part = self.by_word and stop == bare + self._many([".,"])[0] and all(
+            self._many([x]) == [self._one(x.lower())] for c in map(chr, range(256)) if c.isalpha() for x in ("a" + c + "b", c))
+        self.part = Memo(self._part, PARTS)
+        self.word = Memo(self._word, WORDS)
 
     def _many(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.code, e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _parts(self, word: bytes) -> list[str]:
-        text = word.decode()
-        letters = text.rstrip(".,")
-        if not self.by_part or not letters.isalpha():
-            return [text]
-        bare = letters.lower() if letters.isascii() else letters
-        return [bare, text[len(letters):]] if len(letters) < len(text) else [bare]
+    def _one(self, word: str) -> bytes:
+        """Ids of a lower-case word of letters, by the model alone."""
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self.alphabet)
+        return array(self.code, [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        return self._one(part) if part.isalpha() else self._many([part])[0]
 
     def _word(self, word: bytes) -> bytes:
-        return b"".join(map(self.part.__getitem__, self._parts(word)))
+        text = word.decode()
+        if not self.by_part:
+            return self._many([text])[0]
+        letters = text.rstrip(".,")
+        if not letters.isalpha() or max(letters) >= "\u0100":
+            return self._many([text])[0]
+        ids = self.part[letters.lower()]
+        return ids if len(letters) == len(text) else ids + self.part[text[len(letters):]]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
             return self._many([t.decode() for t in texts])
-        words = [list(chain.from_iterable(word_lists(t))) for t in texts]
-        fresh = self.word.unknown(set().union(*words))
-        split = [self._parts(w) for w in fresh]
-        parts = self.part.unknown(set(chain.from_iterable(split)))
-        for part, ids in zip(parts, self._many(parts)):
-            self.part.keep(part, ids)
-        for word, own in zip(fresh, split):
-            self.word.keep(word, self.part[own[0]] + self.part[own[1]] if len(own) > 1 else self.part[own[0]])
-        return [b"".join(map(self.word.__getitem__, ws)) for ws in words]
+        return [b"".join(chain.from_iterable(map(self.word.__getitem__, words) for words in word_lists(t))) for t in texts]
 
 
 def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -39,6 +39,7 @@ def test_words_are_encoded_as_in_the_whole_text():
     whole = [np.array(coder.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
     assert coder.encode([t.encode() for t in texts]) == whole
     coder.word.limit = coder.part.limit = 2
+    coder.word.clear()
     assert coder.encode([t.encode() for t in texts]) == whole
 
 
