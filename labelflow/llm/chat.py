@@ -98,12 +98,11 @@ def format_chats(
     c = F.col(f"`{conv}`")
     key = F.when(c.isNull(), F.lit("none")).otherwise(F.concat(F.lit("id "), c.cast("string")))
     rows = turns.select(key.alias("conv"), _hash(1, t, r, x).alias("r1"), _hash(2, t, r, x).alias("r2"), render(r.cast("string"), x.cast("string")).alias("said"))
-    rows = rows.groupBy("conv", "r1", "r2").agg(F.min("said").alias("said"))  # repeated rows are one
     said = rows.join(places, ["conv", "r1", "r2"])
     part = F.floor((F.col("pos") - 1) / part_turns).cast("bigint")
     parts = said.groupBy("conv", part.alias("part")).agg(
         F.first("id").alias("id"), F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
-        F.array_sort(F.collect_list(F.struct("pos", "said"))).alias("turns"))
+        F.array_sort(F.collect_set(F.struct("pos", "said"))).alias("turns"))  # repeated rows are one
     chat = F.array_join(F.transform("turns", lambda s: s["said"]), "")
     return parts.select(F.col("id").alias(conv), "n_turns", "copies", "part", chat.alias("chat"))
 
