@@ -15,21 +15,21 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
-from itertools import chain
 from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..settings import fresh_path, written
-from .batches import Memo, slices, utf8, word_lists, worker_state
+from .batches import Memo, slices, worker_state
 
 SAMPLE = 256
-WORDS, PARTS = 400_000, 300_000  # words and lower-case parts of words that a worker remembers, twice at most
+WORDS, PARTS = 600_000, 400_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
 HEAD = "<QBQQ"  # of a sequence: numbers, low bits, bytes of the low part, bytes of the high part
@@ -196,20 +196,31 @@ class Encoder:
     def _part(self, part: str) -> bytes:
         return self._one(part) if part.isalpha() else self._many([part])[0]
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if not self.by_part:
-            return self._many([text])[0]
+    def _word(self, text: str) -> bytes:
         letters = text.rstrip(".,")
-        if not letters.isalpha() or max(letters) >= "\u0100":
+        if not self.by_part or not letters.isalpha() or max(letters) >= "\u0100":
             return self._many([text])[0]
         ids = self.part[letters.lower()]
         return ids if len(letters) == len(text) else ids + self.part[text[len(letters):]]
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has. Every distinct word of
+        the texts is looked up once, and the ids are gathered for all its places."""
+        kind = f"<u{self.width}"
         if not self.by_word:
-            return self._many([t.decode() for t in texts])
-        return [b"".join(chain.from_iterable(map(self.word.__getitem__, words) for words in word_lists(t))) for t in texts]
+            whole = self._many([t or "" for t in texts.to_pylist()])
+            return np.frombuffer(b"".join(whole), kind), np.array([len(w) // self.width for w in whole], np.int64)
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        words = lists.flatten().dictionary_encode()
+        known = [self.word[w] if w else b"" for w in words.dictionary.to_pylist()]
+        table = np.frombuffer(b"".join(known), kind)
+        size = np.array([len(k) // self.width for k in known], np.int64)
+        code = words.indices.to_numpy()
+        count = size[code]
+        ends = np.cumsum(count)
+        first = np.repeat((np.cumsum(size) - size)[code] - (ends - count), count)
+        bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()]
+        return table[first + np.arange(len(first))], np.diff(bounds)
 
 
 def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -235,17 +246,17 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
             for b in slices(batch, 1):
                 if out is None:
                     coder = worker_state(("ids", tokenizer), lambda: Encoder(tokenizer))
-                    last = b"" if end_id is None else end_id.to_bytes(coder.width, "little")
                     system, place = filesystem(folder)
                     system.create_dir(place, recursive=True)
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.ids"
                     out = system.open_output_stream(f"{place}/{name}")
                 docs += b.column(0).to_pylist()
-                for ids in coder.encode(utf8(b.column(1))):
-                    ids += last
-                    n += len(ids) // coder.width
-                    ends.append(n)
-                    out.write(ids)
+                ids, count = coder.encode(b.column(1))
+                if end_id is not None:
+                    ids, count = np.insert(ids, np.cumsum(count), end_id), count + 1
+                ends += (n + np.cumsum(count)).tolist()
+                n += len(ids)
+                out.write(ids.tobytes())
         if out is not None:
             finish(out, coder.width, docs, ends)
             out.close()
