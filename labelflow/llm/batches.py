@@ -41,7 +41,7 @@ def word_lists(text: bytes) -> Iterator[list[bytes]]:
             yield words
 
 
-def slices(batch: pa.RecordBatch, text: int, size: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, text: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes in column ``text``, one row at least,
     so that what is made from the rows goes out before the rest is begun."""
     lengths = [len(t) for t in utf8(batch.column(text))]

@@ -29,7 +29,7 @@ from ..settings import fresh_path, written
 from .batches import Memo, slices, worker_state
 
 SAMPLE = 256
-WORDS, PARTS = 600_000, 400_000  # words and lower-case parts of words that a worker remembers, twice at most
+WORDS, PARTS = 300_000, 200_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
 HEAD = "<QBQQ"  # of a sequence: numbers, low bits, bytes of the low part, bytes of the high part
@@ -218,9 +218,9 @@ class Encoder:
         code = words.indices.to_numpy()
         count = size[code]
         ends = np.cumsum(count)
-        first = np.repeat((np.cumsum(size) - size)[code] - (ends - count), count)
+        first = np.repeat(((np.cumsum(size) - size)[code] - (ends - count)).astype(np.int32), count)
         bounds = np.concatenate([[0], ends])[lists.offsets.to_numpy().astype(np.int64) - lists.offsets[0].as_py()]
-        return table[first + np.arange(len(first))], np.diff(bounds)
+        return table[first + np.arange(len(first), dtype=np.int32)], np.diff(bounds)
 
 
 def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -243,7 +243,7 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
         part = TaskContext.get().partitionId()
         coder, out, docs, ends, n = None, None, [], [], 0
         for batch in batches:
-            for b in slices(batch, 1):
+            for b in slices(batch, 1, 4 << 20):
                 if out is None:
                     coder = worker_state(("ids", tokenizer), lambda: Encoder(tokenizer))
                     system, place = filesystem(folder)
