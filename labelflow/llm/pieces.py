@@ -3,7 +3,8 @@
 The encoder keeps an agenda of adjacent symbol pairs ordered by score. A text is first cut where no
 piece of the vocabulary has the two neighbouring characters next to each other: nothing can be
 merged over such a seam, so the parts are encoded on their own and remembered. The library
-normalises and decodes, and each new part of an Arrow batch is encoded by it as well and compared.
+normalises and decodes, and every word of an Arrow batch with a new part is encoded by it as well
+and compared.
 """
 
 from __future__ import annotations
@@ -14,12 +15,15 @@ from heapq import heapify, heappop, heappush
 from itertools import chain
 from operator import add
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .batches import Memo, map_text, worker_state
 
 SPACE = "▁"  # stands for a blank in pieces
+WORDS, PARTS = 400_000, 400_000  # words and parts that a worker remembers, twice at most
 
 
 class Pieces:
@@ -41,9 +45,10 @@ class Pieces:
         self.cost = {lib.id_to_piece(i): -lib.get_score(i) for i in plain}
         self.inside = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.begin, self.end = (array("I", [i]).tobytes() for i in (lib.bos_id(), lib.eos_id()))
-        self.part = Memo(self._part)
-        self.word = Memo(self._word)
-        self.fresh: list[str] = []
+        self.part = Memo(self._part, PARTS)
+        self.word = Memo(self._word, WORDS)
+        self.fresh: dict[str, bytes] = {}
+        self.new_part = False
 
     def merge(self, text: str) -> list[str]:
         """Merge the best scored adjacent pair, the leftmost of equals, until no pair is a piece."""
@@ -69,6 +74,7 @@ class Pieces:
         return [s for s in symbol if s]
 
     def _part(self, text: str) -> bytes:
+        self.new_part = True
         symbols = self.merge(text)
         ids = [self.ids.get(s) for s in symbols]
         if None in ids:
@@ -77,29 +83,51 @@ class Pieces:
 
     def _word(self, word: str) -> bytes:
         """Ids of a blank and ``word``, a run of blanks with what follows it."""
-        self.fresh.append(word)
         text = SPACE + word
         seams = [i for i, pair in enumerate(map(add, text, word), 1) if pair not in self.inside]
-        return b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
-
-    def encode(self, text: str) -> bytes:
-        """Ids of a text between the begin and the end id, as unsigned 32-bit integers."""
-        text = self.library.normalize(text)
-        if SPACE * 2 in text or text.endswith(SPACE):
-            words = [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", text)]
-        else:
-            words = text.split(SPACE)[1:]
-        return b"".join([self.begin, *map(self.word.__getitem__, words), self.end])
+        self.new_part = False
+        ids = b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
+        if self.new_part:
+            self.fresh[word] = ids
+        return ids
+
+    def _words(self, text: str) -> list[str]:
+        """The words of a normalised text, each without the blank before it."""
+        return [w[1:] for w in re.findall(f"{SPACE}+[^{SPACE}]*", text)]
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, each text between the begin and the end id, and the
+        ends of the texts. Every distinct word of the texts is looked up once."""
+        plain = pa.array(self.library.normalize(texts), pa.string())
+        lists = pc.split_pattern(plain, SPACE)  # a text begins with a blank, so the first item is empty
+        runs = pc.or_(pc.match_substring(plain, SPACE * 2), pc.ends_with(plain, SPACE)).to_numpy(zero_copy_only=False)
+        if runs.any():
+            lists = pa.array([["", *self._words(t)] if odd else t.split(SPACE) for t, odd in zip(plain.to_pylist(), runs)], pa.list_(pa.string()))
+        starts = lists.offsets.to_numpy()[:-1]
+        words = lists.flatten().dictionary_encode()
+        known = [self.word[w] for w in words.dictionary.to_pylist()]
+        code = words.indices.to_numpy().copy()
+        code[starts] = len(known)  # in place of the empty first item: the begin id, and the end id of the text before
+        edge = np.frombuffer(self.end + self.begin, "<u4")
+        table = np.concatenate([np.frombuffer(b"".join(known), "<u4"), edge])
+        size = np.array([*(len(k) // 4 for k in known), 2], np.int64)
+        count = size[code]
+        ends = np.cumsum(count)
+        first = np.repeat(((np.cumsum(size) - size)[code] - (ends - count)).astype(np.int32), count)
+        ids = table[first + np.arange(len(first), dtype=np.int32)]
+        # the first text has no text before it, the last one lacks its end id
+        return np.append(ids[1:], edge[:1]), np.append(ends[starts[1:] - 1], len(ids))
 
     def check(self) -> None:
-        """Compare what has been encoded since the last check with the library (a last blank by
-        itself can't be: the library adds a blank to a text, and none to the empty one)."""
+        """Compare with the library every word that has brought a new part since the last check. Other
+        words are rows of parts that were compared before. (A last blank by itself can't be compared: the
+        library adds a blank to a text, and none to the empty one.)"""
         words = [w for w in self.fresh if w]
         theirs = self.library.encode([w.replace(SPACE, " ") for w in words])
-        if array("I", chain.from_iterable(theirs)).tobytes() != b"".join(map(self.word.__getitem__, words)):
-            wrong = next(w for w, ids in zip(words, theirs) if array("I", ids).tobytes() != self.word[w])
+        if array("I", chain.from_iterable(theirs)).tobytes() != b"".join(map(self.fresh.__getitem__, words)):
+            wrong = next(w for w, ids in zip(words, theirs) if array("I", ids).tobytes() != self.fresh[w])
             raise ValueError(f"other ids than the library's for {wrong!r}")
-        self.fresh = []
+        self.fresh = {}
 
 
 def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -114,10 +142,12 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
         model = worker_state(("pieces", path), lambda: Pieces(path))
 
         def make(texts: pa.Array) -> list[pa.Array]:
-            ids = [model.encode(t or "") for t in texts.to_pylist()]
+            ids, ends = model.encode([t or "" for t in texts.to_pylist()])
             model.check()
-            decoded = [model.library.decode(array("I", i).tolist()) for i in ids]
-            return [pa.array(ids, pa.binary()), pa.array(decoded, pa.string())]
+            bounds = np.concatenate([[0], ends])
+            decoded = [model.library.decode(ids[a:b].tolist()) for a, b in zip(bounds, ends)]
+            binary = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer((bounds * 4).astype(np.int32)), pa.py_buffer(ids)])
+            return [binary, pa.array(decoded, pa.string())]
 
         return make
 
