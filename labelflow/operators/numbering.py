@@ -16,17 +16,26 @@ def numbered(df: DataFrame, order: list[Column] | None = None, column: str = "ro
 
     Rows are range-sorted and written once with their partition and their place in it; the sizes
     of the partitions, one row each, give the offset of every partition. The written table also
-    keeps the numbers fixed when an executor is lost.
+    keeps the numbers fixed when an executor is lost. Columns of ``df`` may have any names.
     """
+    part, place, before_part = _free(df, "_part"), _free(df, "_place"), _free(df, "_offset")
     sorted_rows = df.orderBy(*order) if order else df
-    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    table = written(sorted_rows.withColumn("_part", F.spark_partition_id()).withColumn("_place", place), "numbered")
-    sizes = table.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    table = written(sorted_rows.withColumn(part, F.spark_partition_id()).withColumn(place, number), "numbered")
+    sizes = table.groupBy(part).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(before_part))
     # one row per partition of the sorted table: the number of tasks bounds it
-    joined = table.join(F.broadcast(offsets), "_part")
-    return joined.withColumn(column, F.col("_offset") + F.col("_place")).drop("_part", "_place", "_offset")
+    joined = table.join(F.broadcast(offsets), part)
+    return joined.withColumn(column, F.col(before_part) + F.col(place)).drop(part, place, before_part)
+
+
+def _free(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def exact_quantiles(df: DataFrame, column: str, points: list[float]) -> list[float | None]:
