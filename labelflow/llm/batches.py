@@ -97,9 +97,8 @@ class Memo(dict):
 
     def __missing__(self, key):
         value = self.old.get(key)
-        return self.keep(key, self.make(key) if value is None else value)
-
-    def keep(self, key, value):
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()

@@ -15,6 +15,7 @@ import struct
 import uuid
 from array import array
 from collections.abc import Iterator
+from string import punctuation
 from typing import BinaryIO
 
 import numpy as np
@@ -29,7 +30,7 @@ from ..settings import fresh_path, written
 from .batches import Memo, slices, worker_state
 
 SAMPLE = 256
-WORDS, PARTS = 300_000, 200_000  # words and lower-case parts of words that a worker remembers, twice at most
+WORDS, PARTS = 400_000, 250_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
 HEAD = "<QBQQ"  # of a sequence: numbers, low bits, bytes of the low part, bytes of the high part
@@ -162,10 +163,10 @@ class Encoder:
     """Ids of whole texts by the tokenizers library.
 
     If the tokenizer drops white space, words are encoded on their own and remembered; if it also
-    drops case and cuts stops off words, a word of letters is looked up in lower case without them,
-    and an unknown one goes to the library's model itself, as nothing is left to normalise or cut.
-    Whether all this holds is tried out with every letter below U+0100, not assumed; words with other
-    letters or signs go through the whole tokenizer.
+    drops case and cuts signs off words, a word of letters is looked up in lower case without those at
+    its end, and an unknown one goes to the library's model itself, as nothing is left to normalise or
+    cut. Whether all this holds is tried out with every letter below U+0100 and every ASCII sign, not
+    assumed; words with other letters or with signs inside go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -177,10 +178,11 @@ class Encoder:
         self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
         self.alphabet = byte_alphabet()
-        spaced, a, b, c, stop, bare = self._many([" a  b\nc ", "a", "b", "c", "ab.,", "ab"])
+        spaced, a, b, c = self._many([" a  b\nc ", "a", "b", "c"])
         self.by_word = spaced == a + b + c
-        self.by_part = self.by_word and stop == bare + self._many([".,"])[0] and all(
-            self._many([x]) == [self._one(x.lower())] for c in map(chr, range(256)) if c.isalpha() for x in ("a" + c + "b", c))
+        self.by_part = self.by_word and all(
+            self._many([x]) == [self._one(x.lower())] for c in map(chr, range(256)) if c.isalpha() for x in ("a" + c + "b", c)) and all(
+            b"".join(self._many(["ab", run])) == self._many(["ab" + run])[0] for run in [*punctuation, punctuation, punctuation[::-1]])
         self.part = Memo(self._part, PARTS)
         self.word = Memo(self._word, WORDS)
 
@@ -197,7 +199,7 @@ class Encoder:
         return self._one(part) if part.isalpha() else self._many([part])[0]
 
     def _word(self, text: str) -> bytes:
-        letters = text.rstrip(".,")
+        letters = text.rstrip(punctuation)
         if not self.by_part or not letters.isalpha() or max(letters) >= "\u0100":
             return self._many([text])[0]
         ids = self.part[letters.lower()]

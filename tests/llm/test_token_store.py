@@ -40,8 +40,8 @@ def test_words_are_encoded_as_in_the_whole_text():
     coder = S.Encoder(PATH)
     assert coder.by_part and coder.width == 2
     rng = random.Random(11)
-    odd = ["it's We'll DON'T.", "ÉÀ é́  x.", "<|startoftext|>a <|endoftext|>. <|ENDOFTEXT|>", "Σας ΟΔΟΣ. ΣΑΣ", "\x1cab\x1f", "a b", "日本 語😀.", "''s", "İstanbul, ß.,.", "A.B. c.,d 4.5 ²."]
-    texts = odd + [t or "" for t in ODD_TEXTS] + ["".join(rng.choice("aBé '.,\n\t1<|>s漢") for _ in range(rng.randint(0, 50))) for _ in range(800)]
+    odd = ["it's We'll DON'T.", "ÉÀ é́  x.", "<|startoftext|>a <|endoftext|>. <|ENDOFTEXT|>", "Σας ΟΔΟΣ. ΣΑΣ", "\x1cab\x1f", "a b", "日本 語😀.", "''s", "İstanbul, ß.,.", "A.B. c.,d 4.5 ².", "one%%% two!! (three) four' five'' six's. seven'. |eight| nine<|endoftext|> ten<|endoftext|>.", "a's b're' C'LL."]
+    texts = odd + [t or "" for t in ODD_TEXTS] + ["".join(rng.choice("aBé '.,\n\t1<|>s漢%!ß") for _ in range(rng.randint(0, 50))) for _ in range(800)]
     whole = [np.array(coder.library.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
     assert encoded(coder, texts) == whole
     coder.word.limit = coder.part.limit = 2
