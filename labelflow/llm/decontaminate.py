@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..settings import written
 from .batches import nullable, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -249,9 +250,10 @@ def drop_contaminated(
     similarity: float = SIMILARITY,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns. No shuffle: each row
-    is judged where it is read."""
+    is judged where it is read. Between the blocks of a large benchmark the rows left are written."""
     at = docs.columns.index(text)
-    for _, texts in _blocks(benchmark, item_id, item_text):
+    for number, (_, texts) in enumerate(_blocks(benchmark, item_id, item_text)):
+        docs = written(docs, "clean") if number else docs
 
         def run(batches: Iterator[pa.RecordBatch], texts=texts) -> Iterator[pa.RecordBatch]:
             items = Items(texts, similarity)

@@ -30,7 +30,7 @@ from ..settings import fresh_path, written
 from .batches import Memo, slices, worker_state
 
 SAMPLE = 256
-WORDS, PARTS = 400_000, 250_000  # words and lower-case parts of words that a worker remembers, twice at most
+WORDS, PARTS = 500_000, 350_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
 HEAD = "<QBQQ"  # of a sequence: numbers, low bits, bytes of the low part, bytes of the high part
