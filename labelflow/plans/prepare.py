@@ -9,7 +9,7 @@ from ..functions import clean_text, combine_text, empty_strings, extract_tags, m
 from ..operators.dedup import keep_newest
 from ..sources.records import as_records
 
-__all__ = ["prepare", "clean_records", "FLAT_COLUMNS"]
+__all__ = ["prepare", "clean_records", "preparation_counts", "FLAT_COLUMNS"]
 
 # Columns of the flat output, in order.
 FLAT_COLUMNS = [
@@ -34,6 +34,24 @@ def clean_records(records: DataFrame, mode: str = "parser") -> DataFrame:
     return cleaned.filter((F.col("cleaned_title") != "") | (F.col("cleaned_content") != ""))
 
 
+def preparation_counts(records: DataFrame, mode: str = "parser") -> DataFrame:
+    """What becomes of the rows on the way to ``prepare``: ``(stage, n)`` for rows read, empty ones,
+    later copies of a URL, rows without a valid date, and rows that are left."""
+    df = as_records(records)
+    told = df.select(
+        "url", parse_time("created_at").alias("at"),
+        ((clean_text("title", mode) != "") | (clean_text("content", mode) != "")).alias("ok"))
+    by_url = told.groupBy("url").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("ok").alias("some"), F.count_if(F.col("ok") & F.col("at").isNull()).alias("undated"))
+    left = F.count_if(F.col("some") > 0)
+    sums = {
+        "read": F.sum("n"), "empty": F.sum(F.col("n") - F.col("some")), "invalid_dates": F.sum("undated"),
+        "duplicates": F.sum("some") - left, "prepared": left,
+    }
+    rows = [F.struct(F.lit(name).alias("stage"), F.coalesce(n, F.lit(0)).cast("bigint").alias("n")) for name, n in sums.items()]
+    return by_url.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
 def prepare(records: DataFrame, *, mode: str = "parser", tag_key: str = "raindrop_tags", dedupe: bool = True) -> DataFrame:
     """Records to one row per URL with ``combined_text`` and ``existing_tags``."""
     cleaned = clean_records(as_records(records), mode)

@@ -41,16 +41,22 @@ def a6(t: Tables):
     return O.top_values(t.documents, "source", 10)
 
 
-@query("A7_null_counts", f"""WITH {RECORDS} SELECT 'title' AS "column", count(*) - count(title) AS nulls FROM records
-UNION ALL SELECT 'domain', count(*) - count(domain) FROM records UNION ALL SELECT 'url', count(*) - count(url) FROM records""")
+COLUMNS = {"id": "bigint", **dict.fromkeys(("url", "source", "title", "content", "created_at", "domain", "metadata"), "string")}
+
+
+def of_columns(select: str) -> str:
+    """The select of each column, all together."""
+    return f"WITH {RECORDS} " + " UNION ALL ".join(select.format(c=c, t=t) for c, t in COLUMNS.items())
+
+
+@query("A7_null_counts", of_columns("""SELECT '{c}' AS "column", count(*) - count({c}) AS nulls FROM records"""))
 def a7(t: Tables):
-    return O.null_counts(records(t).select("title", "domain", "url"))
+    return O.null_counts(records(t))
 
 
-@query("A8_column_info", f"""WITH {RECORDS} SELECT 'id' AS "column", count(id) AS non_null, 'bigint' AS type FROM records
-UNION ALL SELECT 'title', count(title), 'string' FROM records UNION ALL SELECT 'domain', count(domain), 'string' FROM records""")
+@query("A8_column_info", of_columns("""SELECT '{c}' AS "column", count({c}) AS non_null, '{t}' AS type FROM records"""))
 def a8(t: Tables):
-    return O.column_info(records(t).select("id", "title", "domain"))
+    return O.column_info(records(t))
 
 
 SUMMARY = """SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6)::DOUBLE AS min,

@@ -9,7 +9,7 @@ from labelflow import plans as P
 from labelflow.settings import fresh_path
 
 from . import Tables, query
-from .derived import PLACES, PREPARED, joined, passages, places, records
+from .derived import CLEANED, PLACES, PREPARED, RECORDS, joined, passages, places, records
 from .models import DIM, LOOKS_NAMED, TOKEN, embed_sql, entities_sql, kmeans_ctes, logged, samples_sql, weights_sql
 
 PREPARED_ROWS = f"""WITH {PREPARED}
@@ -24,6 +24,15 @@ def w1(t: Tables):
                        "combined_text", joined("existing_tags").alias("existing_tags"))
 
 
+@query("W1_preparation_counts", f"""WITH {CLEANED}, told AS (SELECT *, (cleaned_title <> '' OR cleaned_content <> '') AS ok FROM cleaned)
+SELECT 'read' AS stage, count(*) AS n FROM told UNION ALL SELECT 'empty', count(*) FILTER (NOT ok) FROM told
+UNION ALL SELECT 'invalid_dates', count(*) FILTER (ok AND created_us IS NULL) FROM told
+UNION ALL SELECT 'duplicates', count(*) FILTER (ok) - count(DISTINCT url) FILTER (ok) FROM told
+UNION ALL SELECT 'prepared', count(DISTINCT url) FILTER (ok) FROM told""")
+def w1_counts(t: Tables):
+    return P.preparation_counts(records(t))
+
+
 PREPARED_KEYWORDS = rf"""{PREPARED}, terms AS (
   SELECT item_id AS pos, 'Passage_' || item_id AS label,
     unnest(list_concat(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) > 3), ['passage', item_id::VARCHAR])) AS term FROM benchmark),
@@ -193,13 +202,23 @@ def w4_close(t: Tables):
     return O.close_hierarchy(named, "id", "l", places(t), "final").select("id", joined("final").alias("final"))
 
 
-@query("W5_profile_lengths", """SELECT 'content_length' AS "column", count(*) AS count, round(avg(length(text)), 6) AS mean, round(stddev_samp(length(text)), 6) AS std,
-  min(length(text))::DOUBLE AS min, round(quantile_cont(length(text), 0.25), 6) AS q25, round(quantile_cont(length(text), 0.5), 6) AS q50,
-  round(quantile_cont(length(text), 0.75), 6) AS q75, max(length(text))::DOUBLE AS max FROM documents""")
+def lengths_sql(c: str) -> str:
+    n = f"coalesce(length({c}), 0)"
+    return f"""SELECT '{c}_length' AS "column", count(*) AS count, round(avg({n}), 6) AS mean, round(stddev_samp({n}), 6) AS std,
+  min({n})::DOUBLE AS min, round(quantile_cont({n}, 0.25), 6) AS q25, round(quantile_cont({n}, 0.5), 6) AS q50,
+  round(quantile_cont({n}, 0.75), 6) AS q75, max({n})::DOUBLE AS max FROM records"""
+
+
+@query("W5_profile_lengths", f"WITH {RECORDS} {lengths_sql('title')} UNION ALL {lengths_sql('content')}")
 def w5(t: Tables):
     from .aggregates import rounded
 
-    return rounded(P.profile(records(t), texts=("content",)).lengths)
+    return rounded(P.profile(records(t)).lengths)
+
+
+@query("W5_profile_top", f"WITH {RECORDS} SELECT url AS value, count(*) AS count FROM records GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10")
+def w5_top(t: Tables):
+    return P.profile(records(t), ranked=("url",)).top["url"]
 
 
 @query("W5_profile_sources", "SELECT source AS value, count(*) AS count FROM documents GROUP BY 1")

@@ -59,13 +59,22 @@ def s3_cast(t: Tables):
 
 
 @query("S5_csv", f"""WITH {RECORDS}
-SELECT id, source, created_at, CASE WHEN lang = 'fr' THEN '' ELSE lang || ', ' || source END AS existing_tags
+SELECT id, source, created_at, content, CASE WHEN lang = 'fr' THEN '' ELSE lang || ', ' || source END AS existing_tags
 FROM records JOIN (SELECT doc_id, lang FROM documents) d ON d.doc_id = id""")
 def s5(t: Tables):
     path = fresh_path(t.spark, "flat")
-    S.write_csv(records(t).select("id", "source", "created_at", "metadata", L.extract_tags("metadata", "tags").alias("existing_tags")), path)
-    back = t.spark.read.option("header", True).option("escape", '"').csv(path)
-    return back.select(F.col("id").cast("bigint").alias("id"), "source", "created_at", F.coalesce("existing_tags", F.lit("")).alias("existing_tags"))
+    S.write_csv(records(t).select("id", "source", "created_at", "content", "metadata", L.extract_tags("metadata", "tags").alias("existing_tags")), path)
+    back = t.spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return back.select(F.col("id").cast("bigint").alias("id"), "source", "created_at", "content", F.coalesce("existing_tags", F.lit("")).alias("existing_tags"))
+
+
+@query("S5_csv_quotes", "SELECT page_id, html FROM pages")
+def s5_quotes(t: Tables):
+    """Pages hold quotes, commas and line ends."""
+    path = fresh_path(t.spark, "flat")
+    S.write_csv(t.pages.select("page_id", "html"), path)
+    back = t.spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(path)
+    return back.select(F.col("page_id").cast("bigint").alias("page_id"), "html")
 
 
 @query("S6_flat_columns", "SELECT doc_id, lang || ', ' || source AS tags, n_chars::VARCHAR AS sizes FROM documents")
@@ -176,6 +185,13 @@ def p3(t: Tables):
     return clean_records(records(t)).select("id", "cleaned_title", "cleaned_content")
 
 
+@query("P3b_drop_blank", f"WITH {CLEANED} SELECT id FROM cleaned WHERE cleaned_title <> '' OR id % 3 > 0")
+def p3_blank(t: Tables):
+    """A third of the contents holds blanks only."""
+    blank = F.when(F.col("id") % 3 == 0, F.lit(" \t\n ")).otherwise(F.col("content"))
+    return clean_records(records(t).withColumn("content", blank)).select("id")
+
+
 @query("P4_fill_empty", f"WITH {RECORDS} SELECT id, coalesce(title, '') AS title, coalesce(domain, '') AS domain FROM records")
 def p4(t: Tables):
     return records(t).select("id", L.blank_to_empty("title").alias("title"), L.blank_to_empty("domain").alias("domain"))

@@ -42,6 +42,8 @@ def test_clean_text_flagged(spark):
     got = values(df.select("n", L.clean_text_flagged("x").alias("o")))
     assert [g["text"] for g in got][:3] == ["x", "plain text", ""]
     assert [g["failed"] for g in got][:3] == [False, False, False]
+    # the odd one is either read or flagged, and never NULL
+    assert got[3]["text"] is not None and got[3]["failed"] == (got[3]["text"] == "")
 
 
 def test_unknown_mode():
