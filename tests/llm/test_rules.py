@@ -45,7 +45,7 @@ def test_line_rules(spark, line, passes):
 
 
 def test_documents_that_lose_too_much_are_rejected(spark):
-    good = "\n".join(f"Sentence number {i} says something quite new here." for i in range(10))
+    good = "\n".join(f"Sentence{i} number{i} says{i} something{i} quite{i} new{i} here{i}." for i in range(10))
     menu = "\n".join(f"item {i}" for i in range(60))
     texts = [good, good + "\nAll rights reserved.", good + "\n" + menu, menu, *ODD_TEXTS]
     docs = repeated_rows(spark, texts).withColumn("_text", F.lit("mine")).withColumn("clean_text", F.lit("old"))
