@@ -41,15 +41,32 @@ top AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY id ORDER BY p
 labelled AS (SELECT p.id, list(label ORDER BY pos) FILTER (label IS NOT NULL) AS labels FROM prepared p LEFT JOIN top ON top.id = p.id GROUP BY p.id)"""
 
 
-@query("W2_enrich_flat", f"""WITH {PREPARED_KEYWORDS}
-SELECT k.id, p.combined_text, '' AS existing_tags, coalesce(CASE WHEN m.doc_id IS NULL OR toxic = 1 THEN array_to_string(k.labels, '|')
+FLAT_LABELS = f"""WITH {PREPARED_KEYWORDS}
+SELECT k.id, p.combined_text, CASE WHEN json_type(p.metadata, '$.tags') = 'ARRAY' THEN array_to_string(json_extract_string(p.metadata, '$.tags[*]'), '|') ELSE '' END AS existing_tags,
+  coalesce(CASE WHEN m.doc_id IS NULL OR toxic = 1 THEN array_to_string(k.labels, '|')
   WHEN quality = 1 THEN 'Passage_1|Passage_2|Passage_1' ELSE '' END, '') AS assigned_labels
-FROM labelled k JOIN prepared p ON p.id = k.id LEFT JOIN labels m ON m.doc_id = k.id""")
+FROM labelled k JOIN prepared p ON p.id = k.id LEFT JOIN labels m ON m.doc_id = k.id"""
+
+
+@query("W2_enrich_flat", FLAT_LABELS)
 def w2(t: Tables):
-    done = P.enrich_flat(records(t), passages(t), O.replay_provider(logged(t)))
+    done = P.enrich_flat(records(t), passages(t), O.replay_provider(logged(t)), tag_key="tags")
     return done.select("id", "combined_text", joined("existing_tags").alias("existing_tags"), joined("assigned_labels").alias("assigned_labels"))
 
 
+@query("W2_small_bounds", FLAT_LABELS)
+def w2_small(t: Tables):
+    """The same with bounds that every table is beyond: one label per keyword block, no inline values."""
+    bounds = {"spark.labelflow.inlineBytes": "100", "spark.labelflow.inlineRows": "1", "spark.labelflow.broadcastBytes": "2000"}
+    for k, v in bounds.items():
+        t.spark.conf.set(k, v)
+    try:
+        return w2(t)
+    finally:
+        for k in bounds:
+            t.spark.conf.unset(k)
+
+
 # -- labels whose names do stand in the texts: the first word of each passage ----------------------
 
 def spoken_labels(t: Tables):
