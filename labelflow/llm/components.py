@@ -9,9 +9,12 @@ from ..operators.skew import join_unique
 from ..settings import written
 
 
-def _state(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first()
-    return int(row[0]), int(row[1])
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node ``u`` has one edge and no ``v`` is a ``u``: then each component is a star
+    around its smallest node."""
+    nodes = edges.select(F.col("u").alias("node"), F.lit(1).alias("as_u")).unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("as_u")).distinct())
+    uses = nodes.groupBy("node").agg(F.sum("as_u").alias("edges"), F.count(F.lit(1)).alias("uses"))
+    return uses.filter("edges > 1 OR (edges = 1 AND uses > 1)").isEmpty()
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -37,13 +40,8 @@ def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     Each round writes the edges to the shared folder, so a lost executor costs one round at most.
     An empty edge table gives an empty result.
     """
-    edges = written(edges.filter("u <> v").select("u", "v"), name)
-    before = _state(edges)
-    while before[0]:
+    edges = written(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), name)
+    while not _are_stars(edges):
         edges = written(_star(edges, large=True), name)
         edges = written(_star(edges, large=False), name)
-        after = _state(edges)
-        if after == before:
-            break
-        before = after
     return edges
