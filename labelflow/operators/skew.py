@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-__all__ = ["salted_join", "join_unique"]
+__all__ = ["salted_join", "join_unique", "join_unique_parts"]
 
 SHARE = 1000  # a key with more than one thousandth of the rows is hot; fewer than a thousand keys can be
 
@@ -34,6 +34,15 @@ def salted_join(left: DataFrame, right: DataFrame, on: str, spread_by: str, how:
     return a.join(b, [on, "_salt"], how).drop("_salt")
 
 
+def join_unique_parts(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> tuple[DataFrame, DataFrame]:
+    """The two parts of :func:`join_unique`: the rows of hot keys, and the others, which are
+    partitioned by the key. No key is in both."""
+    table = table.withColumn("_hot", F.col(count) * SHARE > F.lit(total))
+    hot = F.broadcast(table.filter("_hot").drop("_hot", count))
+    cold = table.filter("NOT _hot").drop("_hot", count)
+    return rows.join(hot, key), rows.join(hot.select(key), key, "left_anti").join(cold, key)
+
+
 def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, total: int) -> DataFrame:
     """Inner join of ``rows`` with ``table``, which has one row per ``key`` and in ``count`` the
     number of ``rows`` with that key; ``total`` is the sum of the counts.
@@ -41,8 +50,5 @@ def join_unique(rows: DataFrame, table: DataFrame, key: str, count: str, total:
     The part of ``table`` with hot keys is broadcast (fewer than a thousand rows), so their rows are
     not shuffled; no other key brings more than a thousandth of the rows to a task.
     """
-    table = table.withColumn("_hot", F.col(count) * SHARE > F.lit(total))
-    hot = F.broadcast(table.filter("_hot").drop("_hot", count))
-    cold = table.filter("NOT _hot").drop("_hot", count)
-    rest = rows.join(hot.select(key), key, "left_anti")
-    return rows.join(hot, key).unionByName(rest.join(cold, key))
+    hot, cold = join_unique_parts(rows, table, key, count, total)
+    return hot.unionByName(cold)
