@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..operators.skew import join_unique
+from ..operators.skew import join_unique, join_unique_parts
 from ..settings import written
 
 PART_TURNS = 1000
@@ -91,20 +91,36 @@ def format_chats(
     gives an empty result."""
     prefixes = written(turn_prefixes(turns, conv, turn, role, text), "prefixes")
     kept = written(maximal(prefixes), "maximal")
-    sizes = kept.withColumn("rows", F.col("n_turns"))
-    places = join_unique(prefixes.drop("p1", "p2"), sizes, "conv", "rows", prefixes.count())
     t, r, x = (F.col(f"`{n}`") for n in (turn, role, text))
-    # the row's hashes hold turn, role and text, so with the key they tell all distinct rows apart
     c = F.col(f"`{conv}`")
     key = F.when(c.isNull(), F.lit("none")).otherwise(F.concat(F.lit("id "), c.cast("string")))
-    rows = turns.select(key.alias("conv"), _hash(1, t, r, x).alias("r1"), _hash(2, t, r, x).alias("r2"), render(r.cast("string"), x.cast("string")).alias("said"))
-    said = rows.join(places, ["conv", "r1", "r2"])
-    part = F.floor((F.col("pos") - 1) / part_turns).cast("bigint")
-    parts = said.groupBy("conv", part.alias("part")).agg(
+    rows = turns.select(
+        key.alias("conv"), c.alias("id"), t.alias("turn"), r.cast("string").alias("role"), _hash(1, t, r, x).alias("r1"), _hash(2, t, r, x).alias("r2"),
+        render(r.cast("string"), x.cast("string")).alias("said"))
+
+    # conversations of one part: gathered by the key they are joined on, in the order that gave the positions
+    counts = rows.groupBy("conv").agg(F.count(F.lit(1)).alias("rows"))
+    short = kept.filter(F.col("n_turns") <= part_turns).join(counts, "conv")
+    turn_order = F.struct("turn", "role", "r1", "r2", "said")  # nulls first in each
+    parts = [_gathered(side, F.lit(0), turn_order) for side in join_unique_parts(rows, short, "conv", "rows", rows.count())]
+
+    # longer ones: every turn is given its position, and they are gathered part by part
+    long = kept.filter(F.col("n_turns") > part_turns).withColumn("rows", F.col("n_turns"))
+    places = join_unique(prefixes.drop("p1", "p2", "id"), long, "conv", "rows", prefixes.count())
+    said = rows.join(places, ["conv", "r1", "r2"])  # the hashes tell all distinct turns of a conversation apart
+    parts.append(_gathered(said, F.floor((F.col("pos") - 1) / part_turns), F.struct("pos", "said")))
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return whole.select(F.col("id").alias(conv), "n_turns", "copies", "part", "chat")
+
+
+def _gathered(said: DataFrame, part: Column, order: Column) -> DataFrame:
+    """One row per conversation and part, with its turns in order; repeated turns are one."""
+    by = ["conv"] if "pos" not in said.columns else ["conv", part.cast("bigint").alias("part")]
+    parts = said.groupBy(*by).agg(
         F.first("id").alias("id"), F.first("n_turns").alias("n_turns"), F.first("copies").alias("copies"),
-        F.array_sort(F.collect_set(F.struct("pos", "said"))).alias("turns"))  # repeated rows are one
+        F.array_sort(F.collect_set(order)).alias("turns"))
     chat = F.array_join(F.transform("turns", lambda s: s["said"]), "")
-    return parts.select(F.col("id").alias(conv), "n_turns", "copies", "part", chat.alias("chat"))
+    return parts.withColumn("part", F.col("part") if len(by) > 1 else part.cast("bigint")).withColumn("chat", chat).drop("turns")
 
 
 # The same for DuckDB, by comparing whole lists of turns instead of hashes.
