@@ -100,7 +100,8 @@ def format_chats(
 
     # conversations of one part: gathered by the key they are joined on, in the order that gave the positions
     counts = rows.groupBy("conv").agg(F.count(F.lit(1)).alias("rows"))
-    short = kept.filter(F.col("n_turns") <= part_turns).join(counts, "conv")
+    # a shuffled join keeps the partitioning for the gathering; a broadcast one would shuffle the texts again
+    short = kept.filter(F.col("n_turns") <= part_turns).join(counts, "conv").hint("merge")
     turn_order = F.struct("turn", "role", "r1", "r2", "said")  # nulls first in each
     parts = [_gathered(side, F.lit(0), turn_order) for side in join_unique_parts(rows, short, "conv", "rows", rows.count())]
 
