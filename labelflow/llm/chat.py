@@ -11,6 +11,8 @@ it hold.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -105,12 +107,13 @@ def format_chats(
     turn_order = F.struct("turn", "role", "r1", "r2", "said")  # nulls first in each
     parts = [_gathered(side, F.lit(0), turn_order) for side in join_unique_parts(rows, short, "conv", "rows", rows.count())]
 
-    # longer ones: every turn is given its position, and they are gathered part by part
+    # longer ones, if there are any: every turn is given its position, and they are gathered part by part
     long = kept.filter(F.col("n_turns") > part_turns).withColumn("rows", F.col("n_turns"))
-    places = join_unique(prefixes.drop("p1", "p2", "id"), long, "conv", "rows", prefixes.count())
-    said = rows.join(places, ["conv", "r1", "r2"])  # the hashes tell all distinct turns of a conversation apart
-    parts.append(_gathered(said, F.floor((F.col("pos") - 1) / part_turns), F.struct("pos", "said")))
-    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    if not long.isEmpty():
+        places = join_unique(prefixes.drop("p1", "p2", "id"), long, "conv", "rows", prefixes.count())
+        said = rows.join(places, ["conv", "r1", "r2"])  # the hashes tell all distinct turns of a conversation apart
+        parts.append(_gathered(said, F.floor((F.col("pos") - 1) / part_turns), F.struct("pos", "said")))
+    whole = reduce(DataFrame.unionByName, parts)
     return whole.select(F.col("id").alias(conv), "n_turns", "copies", "part", "chat")
 
 
