@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import domains
 from .batches import map_text, nullable, slices
 
 Span = tuple[str, int, int]
@@ -92,8 +93,20 @@ DIGIT_WORDS = {
 
 
 def _look_alikes() -> dict[int, str]:
-    """Character map: full-width ASCII, decimal digits of any script, and the tables above."""
-    table = {0xFEE0 + c: chr(c) for c in range(0x21, 0x7F)}
+    """Character map: full-width ASCII, decimal digits of any script, what compatibility forms (mathematical, circled,
+    squared, in brackets, ligatures) stand for if that is ASCII letters, one digit or a sign of addresses, and the tables
+    above. Raised and lowered digits stay: they are mostly footnotes and powers."""
+    table = {}
+    for c in range(256, 0x1FBFA):
+        kind, _, _ = unicodedata.decomposition(chr(c)).partition(" ")
+        plain = unicodedata.normalize("NFKC", chr(c))
+        if len(plain) == 3 and plain[0] + plain[2] == "()":
+            plain = plain[1]
+        if plain.isascii() and (plain.isalpha() or kind not in ("<super>", "<sub>") and re.fullmatch("[0-9@._%+-]", plain)):
+            table[c] = plain
+    # letters in black circles and squares have no such form
+    table |= {first + k: chr(65 + k) for first in (0x1F150, 0x1F170) for k in range(26)}
+    table |= {0xFEE0 + c: chr(c) for c in range(0x21, 0x7F)}
     table |= {c: str(unicodedata.decimal(chr(c))) for c in range(128, 0x1FBFA) if unicodedata.decimal(chr(c), None) is not None}
     return table | {ord(k): v for k, v in (LETTERS | SIGNS | dict.fromkeys(HIDDEN, "")).items()}
 
@@ -104,13 +117,14 @@ RARE = re.compile("[\u00a0\u00ad\u0100-\U0010ffff]")  # every key of LOOK_ALIKE
 OPEN, CLOSE = r"[\[({<]", r"[\])}>]"
 MARKED_AT = re.compile(rf"\s?{OPEN}\s*(?:at|@|arroba|ät)\s*{CLOSE}\s?", re.I)
 MARKED_DOT = re.compile(rf"\s?{OPEN}\s*(?:dot|punkt|point|punto|\.)\s*{CLOSE}\s?", re.I)
-NAME = r"[A-Za-z0-9_%+-]+"
-# a written-out address has its dots written out as well; "at" alone is an ordinary word
-WRITTEN = re.compile(rf"(?<![\w.%+-]){NAME}(?:(?:\s+dot\s+|\.){NAME}){{0,126}}(\s+at\s+|@)[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+){{0,126}}\s+dot\s+[A-Za-z0-9-]+(?:(?:\s+dot\s+|\.)[A-Za-z0-9-]+){{0,126}}", re.I)
-# Last labels that a written-out address may have; without them "look at the dot on it" were one.
-LAST = frozenset("com org net edu gov info biz io co de fr es uk eu ch nl ca mx".split())
+NAME, LABEL, SEP = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+", r"(?:\s+dot\s+|\.)"
+# a written-out address: local part, sign, domain; which of these are ones is up to address_end
+WRITTEN = re.compile(rf"(?<![\w.%+-])({NAME}(?:{SEP}{NAME}){{0,126}})(\s+at\s+|@)({LABEL}(?:{SEP}{LABEL}){{1,252}})", re.I)
+BETWEEN = re.compile(SEP, re.I)
+# only texts with one of these are searched for written-out addresses
+HINT = re.compile(r"\s(?:dot\s|at\s+[a-z0-9-]+\.[a-z0-9.-]*[a-z]{2})", re.I)
 NUMBER_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
-AT_WORD, DOT_WORD = re.compile(r"\s+at\s+", re.I), re.compile(r"\s+dot\s+", re.I)
+DOT_WORD = re.compile(r"(?<=\S)\s+dot\s+", re.I)
 MARKED = re.compile(rf"{OPEN}\s*(?:at|@|arroba|ät|dot|punkt|point|punto|\.)\s*{CLOSE}", re.I)
 _word = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 SPELLED = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_word}|[0-9]+)(?:[\s,.-]{{1,2}}(?:{_word}|[0-9]+)){{3,}}(?![^\W_])", re.I)
@@ -132,18 +146,48 @@ def marked_signs(text: str) -> list[Edit]:
     return [(m.start(), m.end(), sign) for rule, sign in ((MARKED_AT, "@"), (MARKED_DOT, ".")) for m in rule.finditer(text)]
 
 
+def address_end(text: str, m: re.Match) -> int:
+    """Where the address of a match of ``WRITTEN`` ends: after its last label that is known and fits, or 0.
+
+    A dot that is written out shows an address if the label after it is no word of running text, or the one before it is
+    none, or the local part has signs in it. If only the "at" is written out, the local part must be no word of running text
+    ("tickets at example.com"), and one without signs doesn't stand before "home.it" or "main.py"."""
+    local = [x for x in BETWEEN.split(m[1]) if x]
+    signs = len(local) > 1 or bool(re.search("[0-9_%+]", m[1]) and re.search("[A-Za-z]", m[1]))
+    words = (all if signs else any)(domains.ordinary(w) for x in local for w in x.split("-"))
+    seps = list(BETWEEN.finditer(text, *m.span(3)))
+    begins, ends = [m.start(3), *(s.end() for s in seps)], [*(s.start() for s in seps), m.end(3)]
+    for k in range(len(seps), 0, -1):
+        before, label = text[begins[k - 1]:ends[k - 1]], text[begins[k]:ends[k]]
+        if not domains.known(label) or seps[k - 1][0] == "." and label.istitle() and before.islower():
+            continue  # "example.com.So": the next sentence
+        plain = label.lower() in domains.PLAIN
+        if any(s[0] != "." for s in seps[:k]):
+            fits = plain or signs or not domains.ordinary(before)
+        elif m[2] == "@":
+            fits = DOT_WORD.search(m[1]) is not None and not words
+        else:
+            fits = not words and (signs or k > 1 or label.lower() not in domains.FILES and (plain or not domains.ordinary(before)))
+        if fits:
+            return ends[k]
+    return 0
+
+
 def written_signs(text: str) -> list[Edit]:
-    """`` at `` and `` dot `` of written-out addresses, `` dot `` between digits."""
-    edits = []
-    if DOT_WORD.search(text):
-        for m in WRITTEN.finditer(text):
-            if m[0].lower().replace(".", " ").split()[-1] not in LAST:
-                continue
-            at, end = m.span(1)
-            edits += [(at, end, "@")] if end - at > 1 else []
-            edits += [(d.start(), d.end(), ".") for a, b in ((m.start(), at), (end, m.end())) for d in DOT_WORD.finditer(text, a, b)]
-        edits += [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text)]
-    return edits
+    """`` at `` and `` dot `` of written-out addresses, `` dot `` between digits. A blank is put between an address and
+    a dot right behind it, which would draw the next word in."""
+    if not HINT.search(text):
+        return []
+    edits, at = [], 0
+    while m := WRITTEN.search(text, at):
+        end = address_end(text, m)
+        at = end or m.end(2)  # the domain of what is no address may be the local part of one
+        if end:
+            a, b = m.span(2)
+            edits += [(a, b, "@")] if m[2] != "@" else []
+            edits += [(d.start(), d.end(), ".") for x, y in (m.span(1), (b, end)) for d in DOT_WORD.finditer(text, x, y)]
+            edits += [(end, end, " ")] if end < m.end() and text[end] == "." else []
+    return edits + [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text)]
 
 
 def spelled_digits(text: str) -> list[Edit]:
