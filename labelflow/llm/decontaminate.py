@@ -2,7 +2,7 @@
 
 Words are runs of letters and digits in lower case, shingles are five of them. A window as long as
 a benchmark item slides over the text; its 64-bit SimHash is looked up among those of the items. The
-index cuts fingerprints into four blocks: if two differ in at most 15 bits, they differ in at most 3
+index cuts fingerprints into four blocks: if two differ in at most 19 bits, they differ in at most 4
 in some block, and all block values so near are entered, so no fingerprint within the radius is
 missed. A pair found counts if its shingles, weighted by how often they occur, agree by 0.8 or more
 (sum of the smaller weights over sum of the larger).
@@ -29,8 +29,8 @@ from ..settings import written
 from .batches import nullable, slices
 
 SHINGLE, SIMILARITY = 5, 0.8
-RADIUS, BLOCKS = 15, 4
-BLOCK_ITEMS, BLOCK_BYTES = 2000, 4 << 20  # benchmark items that one pass over the documents takes
+RADIUS, BLOCKS = 19, 4
+BLOCK_ITEMS, BLOCK_BYTES = 500, 4 << 20  # benchmark items that one pass over the documents takes
 
 
 class Match(NamedTuple):

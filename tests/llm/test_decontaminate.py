@@ -68,6 +68,23 @@ def test_search_by_brute_force_on_edited_passages():
     assert sum(len(g) for g in got) >= 0.97 * sum(len(w) for w in want)
 
 
+def test_windows_right_at_the_limit_are_found():
+    rng = random.Random(9)
+    items = [" ".join(invented(rng, rng.randint(50, 80))) for _ in range(100)]
+    texts, want = [], []
+    for i in range(500):
+        passage, agreed = words(items[i % 100]), 1.0
+        while agreed >= 0.8:
+            last = list(passage)
+            passage[rng.randrange(len(passage))] = "other"
+            a, b = (Counter(" ".join(w[k:k + 5]) for k in range(len(w) - 4)) for w in (passage, words(items[i % 100])))
+            agreed = (a & b).total() / (a | b).total()
+        texts.append(" ".join(last))
+        want.append(i % 100)
+    got = [{m.item for m in found} for found in D.Items(items).search(pa.array(texts))]
+    assert sum(w in g for w, g in zip(want, got)) >= 0.99 * len(texts)
+
+
 def test_case_punctuation_and_line_ends_do_not_hide_a_passage(spark):
     passage = "Wind over the cold grey hills, and rain upon the sea until the morning."
     texts = ["Before. " + passage.upper().replace(" ", "\n") + " after", "wind over the hills", "clean " * 30, *ODD_TEXTS]
