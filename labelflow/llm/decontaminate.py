@@ -14,7 +14,8 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations, repeat
 from typing import NamedTuple
 
@@ -200,14 +201,20 @@ def _stretches(windows: np.ndarray, most: int = 4096) -> Iterator[tuple[int, int
         yield begin, len(windows)
 
 
-def _blocks(benchmark: DataFrame, item_id: str, item_text: str) -> Iterator[tuple[list, Items]]:
-    """The items in blocks of bounded number and size, each to be held by every task of one pass."""
+def _blocks(benchmark: DataFrame, item_id: str, item_text: str, before: Callable[[], None] = lambda: None) -> Iterator[tuple[list, list]]:
+    """The items in blocks of bounded number and size, each to be held by every task of one pass. ``before`` is
+    called between two blocks."""
     items = benchmark.select(F.col(f"`{item_id}`").alias("item"), F.col(f"`{item_text}`").cast("string").alias("text"))
     n, size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
     blocks = max(1, math.ceil(n / BLOCK_ITEMS), math.ceil(size / BLOCK_BYTES)) if n else 0
     for b in range(blocks):
+        if b:
+            before()
         rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == b).orderBy("item", "text").collect()
-        yield [r["item"] for r in rows], [r["text"] for r in rows]
+        names, texts = [r["item"] for r in rows], [r["text"] for r in rows]
+        del rows
+        yield names, texts
+        del names, texts
 
 
 def contaminated(
@@ -215,7 +222,9 @@ def contaminated(
     item_text: str = "text", similarity: float = SIMILARITY,
 ) -> DataFrame:
     """A row per document and item it holds: both ids, ``start_word, n_words, distance, similarity`` of
-    the nearest window that passes. The benchmark is taken in blocks of bounded size, one pass each.
+    the nearest window that passes. The benchmark is taken in blocks of bounded size, one pass each; the
+    rows of each block but the last are written before the next one is collected, so the driver and the
+    plan hold one block.
 
     Null and empty texts match nothing, nor do items of fewer than five words; repeated rows of
     either table give repeated rows; an empty table gives an empty result.
@@ -223,8 +232,8 @@ def contaminated(
     ids = docs.select(F.col(f"`{doc_id}`").alias("doc"), F.col(f"`{text}`").cast("string").alias("text"))
     kinds = [ids.schema["doc"].dataType.simpleString(), benchmark.schema[item_id].dataType.simpleString()]
     schema = f"doc {kinds[0]}, item {kinds[1]}, start_word bigint, n_words bigint, distance bigint, similarity double"
-    out = None
-    for names, texts in _blocks(benchmark, item_id, item_text):
+    parts = []
+    for names, texts in _blocks(benchmark, item_id, item_text, before=lambda: parts.append(written(parts.pop(), "matches"))):
 
         def run(batches: Iterator[pa.RecordBatch], names=names, texts=texts) -> Iterator[pa.RecordBatch]:
             items = Items(texts, similarity)
@@ -238,10 +247,9 @@ def contaminated(
                             *(pa.array([m[k] for _, m in found]) for k in (1, 2, 3, 4))],
                             ["doc", "item", "start_word", "n_words", "distance", "similarity"])
 
-        part = ids.mapInArrow(run, schema)
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        out = docs.sparkSession.createDataFrame([], schema)
+        parts.append(ids.mapInArrow(run, schema))
+        del names, texts, run  # nor does this frame hold them while the next block is collected
+    out = reduce(DataFrame.unionByName, parts or [docs.sparkSession.createDataFrame([], schema)])
     return out.withColumnsRenamed({"doc": doc_id, "item": item_id})
 
 

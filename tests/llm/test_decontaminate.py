@@ -116,3 +116,13 @@ def test_a_benchmark_of_several_blocks_gives_the_same(spark, monkeypatch):
     assert sorted(map(tuple, D.contaminated(docs, bench).collect())) == whole
     assert len(whole) >= 60
     assert D.drop_contaminated(docs, bench).count() == 0
+
+
+def test_the_plan_holds_one_block_of_the_benchmark(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [" ".join(invented(rng, 20)) for _ in range(12)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 4)
+    found = D.contaminated(documents(spark, items), bench)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(i, i) for i in range(12)]
