@@ -3,8 +3,8 @@
 The encoder keeps an agenda of adjacent symbol pairs ordered by score. A text is first cut where no
 piece of the vocabulary has the two neighbouring characters next to each other: nothing can be
 merged over such a seam, so the parts are encoded on their own and remembered. The library
-normalises and decodes, and every word of an Arrow batch with a new part is encoded by it as well
-and compared.
+normalises and decodes, and every distinct word of an Arrow batch that a worker does not remember is
+encoded by it as well and compared.
 """
 
 from __future__ import annotations
@@ -41,6 +41,8 @@ class Pieces:
         if len(byte) < 256:
             raise ValueError("only vocabularies with a piece for each byte are supported")
         self.ids = {lib.id_to_piece(i): i for i in plain}
+        if wrong := next((p for p in self.ids if SPACE in p.lstrip(SPACE)), None):
+            raise ValueError(f"only vocabularies whose pieces cross no blank are supported, not with {wrong!r}")
         self.byte = byte
         self.cost = {lib.id_to_piece(i): -lib.get_score(i) for i in plain}
         self.inside = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
@@ -48,7 +50,6 @@ class Pieces:
         self.part = Memo(self._part, PARTS)
         self.word = Memo(self._word, WORDS)
         self.fresh: dict[str, bytes] = {}
-        self.new_part = False
 
     def merge(self, text: str) -> list[str]:
         """Merge the best scored adjacent pair, the leftmost of equals, until no pair is a piece."""
@@ -74,7 +75,6 @@ class Pieces:
         return [s for s in symbol if s]
 
     def _part(self, text: str) -> bytes:
-        self.new_part = True
         symbols = self.merge(text)
         ids = [self.ids.get(s) for s in symbols]
         if None in ids:
@@ -85,10 +85,7 @@ class Pieces:
         """Ids of a blank and ``word``, a run of blanks with what follows it."""
         text = SPACE + word
         seams = [i for i, pair in enumerate(map(add, text, word), 1) if pair not in self.inside]
-        self.new_part = False
-        ids = b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
-        if self.new_part:
-            self.fresh[word] = ids
+        ids = self.fresh[word] = b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
         return ids
 
     def _words(self, text: str) -> list[str]:
@@ -119,8 +116,8 @@ class Pieces:
         return np.append(ids[1:], edge[:1]), np.append(ends[starts[1:] - 1], len(ids))
 
     def check(self) -> None:
-        """Compare with the library every word that has brought a new part since the last check. Other
-        words are rows of parts that were compared before. (A last blank by itself can't be compared: the
+        """Compare with the library every word that has been encoded since the last check: all words of the texts
+        but those that are still remembered from an earlier one. (A last blank by itself can't be compared: the
         library adds a blank to a text, and none to the empty one.)"""
         words = [w for w in self.fresh if w]
         theirs = self.library.encode([w.replace(SPACE, " ") for w in words])

@@ -52,6 +52,26 @@ def test_the_check_finds_wrong_ids(model):
         broken.check()
 
 
+def test_words_of_known_parts_are_compared_as_well():
+    broken = Pieces(PATH)
+    broken.encode(["a 日"])
+    broken.check()
+    broken.part["日"] = broken.part["▁a"]  # what is remembered goes wrong
+    broken.encode(["a日"])
+    with pytest.raises(ValueError, match="library"):
+        broken.check()
+
+
+def test_pieces_across_a_blank_are_refused(tmp_path):
+    import sentencepiece
+
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(["in the end of the day in the end"] * 50), model_prefix=str(tmp_path / "across"), vocab_size=300, model_type="bpe",
+        byte_fallback=True, split_by_whitespace=False, hard_vocab_limit=False, minloglevel=2)
+    with pytest.raises(ValueError, match="blank"):
+        Pieces(str(tmp_path / "across.model"))
+
+
 def test_rows_keep_their_columns_and_number(spark, model):
     texts = [t or None for t in odd_texts()[:60]]
     docs = repeated_rows(spark, texts).withColumn("ids", F.lit("old")).withColumn("_text", F.lit("mine"))
