@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, hilbert, langid, pieces, pii, quality_model, rules, simhash, token_store
+from . import chat, decontaminate, exact_dedup, hilbert, langid, pieces, pii, quality_model, rules, simhash, spelling, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -114,3 +114,8 @@ def op11(docs: DataFrame) -> DataFrame:
     norm = F.translate(F.coalesce("text", F.lit("")), LETTERS, LETTERS.lower())
     rows = docs.select("doc_id", F.sha2(F.encode(norm, "UTF-8"), 256).alias("text_sha256"), "text")
     return exact_dedup.exact_duplicates(rows).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op13_bitsliced_variants")
+def op13(docs: DataFrame) -> DataFrame:
+    return spelling.spelling_variants(docs, garble=31)
