@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, exact_dedup, hilbert, langid, pieces, pii, quality_model, rules, simhash, spelling, token_store
+from . import ball_tree, chat, decontaminate, exact_dedup, hilbert, langid, pieces, pii, quality_model, rules, simhash, spelling, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -119,3 +119,11 @@ def op11(docs: DataFrame) -> DataFrame:
 @query("op13_bitsliced_variants")
 def op13(docs: DataFrame) -> DataFrame:
     return spelling.spelling_variants(docs, garble=31)
+
+
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    docs, items = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "benchmark"))
+    return ball_tree.ranked_search(docs, items)
+
+
+QUERIES["op12_ball_tree_search"], SQL["op12_ball_tree_search"] = op12, ball_tree.RANKED_SQL

@@ -116,8 +116,8 @@ def test_repeated_rows_null_ids_and_ties(spark):
 
 
 def test_very_long_texts_and_words(spark):
-    long = "z" * 30_000
-    check(documents(spark, [f"{long} {long} {long}a {long}a " + "wonderful " * 200_000 + "wonderfull " * 2, long + " " + "ß" * 5000, "ß" * 5000]))
+    long = "z" * 2000
+    check(documents(spark, [f"{long} {long} {long}a {long}a " + "wonderful " * 100_000 + "wonderfull " * 2, long + " " + "ß" * 1500, "ß" * 1500]))
 
 
 def test_empty_table_and_clashing_columns(spark):
