@@ -1,3 +1,4 @@
+from .cells import *  # noqa: F401,F403
 from .clusters import *  # noqa: F401,F403
 from .dedup import *  # noqa: F401,F403
 from .keywords import *  # noqa: F401,F403

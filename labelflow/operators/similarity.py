@@ -5,11 +5,14 @@ the order of floating-point sums. Forms, chosen by the measured size of the labe
 
 * ``broadcast`` label table within the bound: block products per Arrow batch, no shuffle; the lists
                 stay in the record's row
-* ``grid``      both sides large: records and labels are cut into bounded blocks, every pair of
-                blocks is one task that keeps the best ``k`` per record, and a window merges them.
-                Exact; only ``k`` rows per record and label block leave a task
-
-In both, scores are made for so many records at a time that they fit ``cellBytes``. Every record is
+* ``cells``     both sides large: the labels lie in an inverted file (see ``cells``), and a record
+                looks at the cells that may hold one of its best. Exact; an index stored by
+                ``write_index`` is read instead of built
+* ``grid``      records and labels are cut into bounded blocks, every pair of blocks is one task
+                that keeps the best ``k`` per record, and a window merges them. For vectors
+                without any structure, where no cell can be left out
+
+In all, scores are made for so many records at a time that they fit ``cellBytes``. Every record is
 a row of its own: ids may repeat or be NULL.
 """
 
@@ -24,19 +27,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import label_plus_desc, words
-from ..settings import measure, row_keyed, salt_values, setting
+from ..settings import measure, row_keyed, salt_values, setting, written
+from .cells import Cells, Searched, as_cells, cell_table, nearest_in_cells, with_buckets
+from .cells import unit as _matrix
 
-__all__ = ["nearest_labels", "attach_nearest", "ranked_lists", "rerank", "rerank_attached", "token_jaccard"]
+__all__ = ["nearest_labels", "search_cells", "attach_nearest", "ranked_lists", "rerank", "rerank_attached", "token_jaccard"]
 
 DIGITS = 6
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    m = np.stack(vectors.map(lambda v: np.asarray(v, dtype=np.float64)).to_list())
-    norm = np.linalg.norm(m, axis=1, keepdims=True)
-    return m / np.where(norm > 0, norm, 1.0)
-
-
 def _top(scores: np.ndarray, k: int) -> list[np.ndarray]:
     """Column numbers of the ``k`` best scores of each row; equal scores in column order."""
     scores = np.round(scores, DIGITS)
@@ -68,23 +67,21 @@ def _fits(labels: DataFrame, vector: str) -> bool:
 
 def attach_nearest(
     df: DataFrame, labels: DataFrame, k: int, *, key: str = "id", vector: str = "vector",
-    label_vector: str = "vector", form: str = "auto", prefix: str = "candidate_",
+    label_vector: str = "vector", form: str = "auto", prefix: str = "candidate_", cells: Cells | None = None,
 ) -> DataFrame:
     """Attach ``<prefix>labels``, ``_scores``, ``_paths`` and ``_descriptions``, best first.
 
     ``labels`` has ``label`` and a vector, and may have ``path`` and ``description``. With fewer
-    than ``k`` labels all are returned. Records without a vector get ``[]``.
+    than ``k`` labels all are returned. Records without a vector get ``[]``. With ``cells`` the labels are those of
+    a stored index and have ``bucket`` (see ``read_index`` and ``read_cells``).
     """
-    for c in ("path", "description"):
-        if c not in labels.columns:
-            labels = labels.withColumn(c, F.lit(None).cast("string"))
-    labels = labels.select(F.col("label").cast("string"), "path", "description", F.col(label_vector).alias("_lv"))
+    labels = _label_columns(labels, label_vector, cells is not None)
     if form == "auto":
-        form = "broadcast" if _fits(labels, "_lv") else "grid"
+        form = "broadcast" if _fits(labels, "_lv") else "cells"
     names = ("labels", "scores", "paths", "descriptions")
-    if form == "grid":
+    if form in ("grid", "cells"):
         rows = row_keyed(df)
-        best = _grid(rows, labels, k, "_row", vector)
+        best = _grid(rows, labels, k, "_row", vector) if form == "grid" else _searched(rows, labels, cells, k, "_row", vector).matches
         lists = ranked_lists(best, "_row", {"labels": "label", "scores": "score", "paths": "path", "descriptions": "description"}, tie="rank")
         merged = rows.join(lists, "_row", "left").drop("_row")
     else:
@@ -95,6 +92,27 @@ def attach_nearest(
     return merged.withColumnsRenamed({n: f"{prefix}{n}" for n in names})
 
 
+def _label_columns(labels: DataFrame, vector: str, placed: bool) -> DataFrame:
+    for c in ("path", "description"):
+        if c not in labels.columns:
+            labels = labels.withColumn(c, F.lit(None).cast("string"))
+    own = ["bucket"] if placed else []
+    return labels.select(F.col("label").cast("string"), "path", "description", F.col(vector).alias("_lv"), *own)
+
+
+def _searched(rows: DataFrame, labels: DataFrame, cells: Cells | None, k: int, key: str, vector: str) -> Searched:
+    if cells is None:
+        placed, centres = with_buckets(labels, "label", "_lv")
+        labels = written(placed, "cells")
+        cells = as_cells(cell_table(labels, centres))
+    return nearest_in_cells(rows, labels, cells, k, key, vector, _scored)
+
+
+def search_cells(df: DataFrame, labels: DataFrame, k: int, *, vector: str = "vector", label_vector: str = "vector", cells: Cells | None = None) -> Searched:
+    """The ``cells`` form on rows numbered in ``_row``, with the number of pairs that were scored and of all pairs."""
+    return _searched(df, _label_columns(labels, label_vector, cells is not None), cells, k, "_row", vector)
+
+
 def _near_udf(labels: DataFrame, k: int):
     table = labels.orderBy("label", "path").toPandas()  # size checked by the caller
     cell = setting(labels.sparkSession, "cellBytes")
@@ -151,13 +169,23 @@ def _grid(df: DataFrame, labels: DataFrame, k: int, key: str, vector: str) -> Da
     shards = max(1, -(-sizes["n"] // per_block))
     blocks = max(1, -(-labels.count() // per_block))
 
-    key_type = left.schema["_key"].dataType.simpleString()
     a = left.withColumn("_r", F.pmod(F.xxhash64("_key"), F.lit(shards))).withColumn(
         "_b", F.explode(salt_values(blocks))
     )
     b = labels.withColumn("_b", F.pmod(F.xxhash64("label", "path"), F.lit(blocks))).withColumn(
         "_r", F.explode(salt_values(shards))
     )
+    partial = _scored(a.withColumn("_least", F.lit(-2.0)), b, ["_r", "_b"], k, cell)
+    rank = F.row_number().over(
+        Window.partitionBy("_key").orderBy(F.col("score").desc(), F.col("label"), F.col("path"))
+    )
+    return partial.withColumn("rank", rank).filter(F.col("rank") <= k).withColumnRenamed("_key", key)
+
+
+def _scored(records: DataFrame, labels: DataFrame, on: list[str], k: int, cell: int) -> DataFrame:
+    """The ``k`` best labels of each record (``_key, _v``) among those that share the columns ``on``, of
+    scores from ``_least`` up. A group is one task."""
+    key_type = records.schema["_key"].dataType.simpleString()
 
     def block(records: pd.DataFrame, block_labels: pd.DataFrame) -> pd.DataFrame:
         columns = ["_key", "label", "path", "description", "score"]
@@ -172,15 +200,11 @@ def _grid(df: DataFrame, labels: DataFrame, k: int, key: str, vector: str) -> Da
             part = own.loc[cols, ["label", "path", "description"]].reset_index(drop=True)
             part.insert(0, "_key", records["_key"].to_numpy()[first + rows])
             part["score"] = scores[rows, cols] + 0.0
-            parts.append(part)
+            parts.append(part[part["score"].to_numpy() >= records["_least"].to_numpy()[first + rows]])
         return pd.concat(parts, ignore_index=True)
 
     schema = f"_key {key_type}, label string, path string, description string, score double"
-    partial = a.groupBy("_r", "_b").cogroup(b.groupBy("_r", "_b")).applyInPandas(block, schema)
-    rank = F.row_number().over(
-        Window.partitionBy("_key").orderBy(F.col("score").desc(), F.col("label"), F.col("path"))
-    )
-    return partial.withColumn("rank", rank).filter(F.col("rank") <= k).withColumnRenamed("_key", key)
+    return records.groupBy(*on).cogroup(labels.groupBy(*on)).applyInPandas(block, schema)
 
 
 def ranked_lists(

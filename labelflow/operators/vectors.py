@@ -97,7 +97,7 @@ class Centres(NamedTuple):
     converged: bool
 
 
-def fit_centres(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10) -> Centres:
+def fit_centres(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10, quiet: bool = False) -> Centres:
     """Centres of K-means that do not depend on the partitioning.
 
     Starts from ``k`` rows in seeded hash order. Each round sends ``k`` times ``dim`` whole-number
@@ -112,7 +112,7 @@ def fit_centres(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42,
         if np.array_equal(moved, centres):
             return Centres(centres, n + 1, True)
         centres = moved
-    if len(centres):
+    if len(centres) and not quiet:
         logging.getLogger(__name__).warning("the centres still move after %d rounds", iterations)
     return Centres(centres, iterations, not len(centres))
 

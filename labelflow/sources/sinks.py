@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "list_literal", "flat_columns", "write_csv", "json_ready", "write_json_lines", "write_suggestions", "SUGGESTION_COLUMNS",
-    "run_manifest", "write_manifest", "write_index", "read_index",
+    "run_manifest", "write_manifest", "write_index", "read_index", "read_cells",
 ]
 
 # Column-name parts left out of the flat file, and the suggestion columns in order.
@@ -97,12 +97,29 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
     manifest.coalesce(1).write.mode("overwrite").json(path)
 
 
-def write_index(vectors: DataFrame, path: str, key: str, vector: str = "vector") -> None:
-    """Vector table ``(key, vector, norm)``; a new run replaces the old table."""
-    v = F.col(vector)
+def write_index(
+    vectors: DataFrame, path: str, key: str, vector: str = "vector", *, buckets: int | None = None, keep: tuple[str, ...] = (),
+) -> None:
+    """Two tables; a new run replaces the old ones: ``vectors`` (``key, vector, norm, bucket`` and the columns to ``keep``)
+    and ``cells`` (``bucket, centre, radius, size``), an inverted file that ``attach_nearest`` can search.
+
+    Vectors are stored in order of ``bucket``, so a reader that wants some of them skips the row groups of
+    others; a large bucket spans several files. Rows without a vector are left out.
+    """
+    from ..operators.cells import cell_table, with_buckets
+
+    v = F.col("vector")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    vectors.select(F.col(key).alias("key"), v.alias("vector"), norm.alias("norm")).write.mode("overwrite").parquet(path)
+    rows = vectors.select(F.col(key).alias("key"), F.col(vector).alias("vector"), *keep)
+    placed, centres = with_buckets(rows, "key", "vector", buckets)
+    stored = placed.select("key", "vector", norm.alias("norm"), "bucket", "angle", *keep)
+    stored.repartitionByRange("bucket", F.xxhash64("key")).sortWithinPartitions("bucket").write.mode("overwrite").parquet(f"{path}/vectors")
+    cell_table(read_index(vectors.sparkSession, path), centres).write.mode("overwrite").parquet(f"{path}/cells")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    return spark.read.parquet(f"{path}/vectors")
+
+
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/cells")

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from labelflow import functions as L
 from labelflow import operators as O
-from labelflow.settings import spread
+from labelflow import sources as S
+from labelflow.settings import fresh_path, spread
 
 from . import Tables, query
 from .derived import (
@@ -34,6 +35,30 @@ def j1_grid(t: Tables):
     return O.nearest_labels(vectors(t), prototypes(t), 3, form="grid")
 
 
+@query("J1_nearest_labels_cells", TOP_3)
+def j1_cells(t: Tables):
+    return O.nearest_labels(vectors(t), prototypes(t), 3, form="cells")
+
+
+def vector_index(t: Tables, buckets: int | None = None):
+    """All vectors as labels in a stored index: the labels and their cells."""
+    path = fresh_path(t.spark, "index")
+    names = vectors(t).select(F.col("id").alias("key"), "vector", F.concat(F.lit("Vector_"), F.col("id").cast("string")).alias("label"))
+    S.write_index(names, path, "key", buckets=buckets, keep=("label",))
+    return S.read_index(t.spark, path), O.as_cells(S.read_cells(t.spark, path))
+
+
+ALL_NEAREST = """near AS (SELECT a.vec_id AS id, 'Vector_' || b.vec_id AS label, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings a, embeddings b QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, label) <= 5)"""
+
+
+@query("S11_J1_stored_index", f"WITH {ALL_NEAREST} SELECT id, string_agg(label, '|' ORDER BY score DESC, label) AS labels, min(score) AS worst FROM near GROUP BY id")
+def j1_stored(t: Tables):
+    labels, cells = vector_index(t)
+    near = O.attach_nearest(vectors(t), labels, 5, form="cells", cells=cells)
+    return near.select("id", joined("candidate_labels").alias("labels"), F.array_min("candidate_scores").alias("worst"))
+
+
 @query("J1_more_than_all_labels", f"WITH {NEAREST} SELECT id, count(*) AS n, min(score) AS worst FROM nearest GROUP BY id")
 def j1_all(t: Tables):
     near = O.nearest_labels(vectors(t), prototypes(t), 1000)
