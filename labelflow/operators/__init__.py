@@ -9,4 +9,5 @@ from .similarity import *  # noqa: F401,F403
 from .skew import *  # noqa: F401,F403
 from .stats import *  # noqa: F401,F403
 from .taxonomy import *  # noqa: F401,F403
+from .token_join import *  # noqa: F401,F403
 from .vectors import *  # noqa: F401,F403

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions import empty_strings, escape_prompt, is_none_reply, or_empty, split_items
+from ..functions import empty_strings, escape_prompt, is_none_reply, or_empty, split_items, words
 from ..sources.sinks import SUGGESTION_COLUMNS
+from ..settings import written
 from .replies import Provider, entity_reply, extract_fields, fill_template, one_reply, theme_reply
+from .skew import join_unique
 from .stats import cluster_labels, joined_samples, sample_per_group, sample_rows, top_items
 
-__all__ = ["cluster_samples", "cluster_themes", "gap_requests", "gap_suggestions", "entity_harvest", "pattern_gaps"]
+__all__ = ["cluster_samples", "cluster_terms", "cluster_themes", "gap_requests", "gap_suggestions", "entity_harvest", "pattern_gaps"]
 
 THEMES = "cluster_theme string, subtopics array<string>"
 GAPS = "potential_new_entities string, thematic_gap_suggestions string"
@@ -32,12 +35,44 @@ def cluster_samples(df: DataFrame, text: str, n: int, *, key: str = "id", cluste
     return joined_samples(drawn, cluster, text, separator=separator).join(sizes, cluster)
 
 
+def cluster_terms(df: DataFrame, text: str, n: int, *, cluster: str = "cluster_id", min_length: int = 1) -> DataFrame:
+    """The ``n`` words that tell each cluster from the others: ``cluster, word, count, score, rank``.
+
+    Class-based TF-IDF over all texts: the share of the word in the words of the cluster, times
+    ``ln(1 + a / f)`` with its count ``f`` in all clusters and the mean number ``a`` of words in a cluster.
+    Words are counted per cluster in the tasks that read them; the other tables are made from these counts.
+    Unclustered rows (-1) and words shorter than ``min_length`` don't count; ties go by word.
+    """
+    spoken = df.filter(F.col(cluster) != -1).select(cluster, F.explode(words(text)).alias("word")).filter(F.char_length("word") >= min_length)
+    counts = written(spoken.groupBy(cluster, "word").agg(F.count(F.lit(1)).alias("count")), "cluster_words")
+    sizes = counts.groupBy(cluster).agg(F.sum("count").alias("_size"))
+    mean = sizes.agg(F.avg("_size")).scalar()
+    overall = counts.groupBy("word").agg(F.sum("count").alias("_all"), F.count(F.lit(1)).alias("_rows"))
+    rare = F.log(1 + mean / F.col("_all"))
+    # a word is in as many rows as clusters have it; one row per cluster in the other table
+    weighed = join_unique(counts, overall.select("word", rare.alias("_rare"), "_rows"), "word", "_rows", counts.count())
+    score = F.round(F.col("count") / F.col("_size") * F.col("_rare"), 9)
+    scored = weighed.join(sizes, cluster).select(cluster, "word", "count", score.alias("score"))
+    rank = F.row_number().over(Window.partitionBy(cluster).orderBy(F.col("score").desc(), "word"))
+    return scored.withColumn("rank", rank).filter(F.col("rank") <= n)
+
+
+def _term_themes(samples: DataFrame, df: DataFrame, text: str, cluster: str, subtopics: int = 5) -> DataFrame:
+    terms = cluster_terms(df, text, subtopics + 1, cluster=cluster)
+    lists = terms.groupBy(cluster).agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "word"))), lambda e: e["word"]).alias("_l"))
+    named = lists.select(cluster, F.get("_l", F.lit(0)).alias("cluster_theme"), F.slice("_l", 2, subtopics).alias("subtopics"))
+    return samples.join(named, cluster, "left").select(cluster, "sample_text", "record_count", "cluster_theme", or_empty("subtopics").alias("subtopics"))
+
+
 def cluster_themes(df: DataFrame, text: str, *, n: int = 5, key: str = "id", cluster: str = "cluster_id", seed: int = 42,
                    provider: Provider | None = None) -> DataFrame:
-    """Theme and subtopics of each non-empty cluster, read from a reply over sampled texts."""
+    """Theme and subtopics of each non-empty cluster: by its own terms (see ``cluster_terms``, over all texts),
+    or read from a provider's reply over sampled texts."""
     samples = cluster_samples(df, text, n, key=key, cluster=cluster, seed=seed)
+    if provider is None:
+        return _term_themes(samples, df, text, cluster)
     requests = samples.select(F.col(cluster).cast("string").alias("request_id"), F.col("sample_text").alias("text"))
-    replies = extract_fields(one_reply((provider or theme_reply())(requests)), THEMES)
+    replies = extract_fields(one_reply(provider(requests)), THEMES)
     answers = replies.select("request_id", "cluster_theme", or_empty("subtopics").alias("subtopics"))
     return (
         samples.withColumn("request_id", F.col(cluster).cast("string")).join(answers, "request_id", "left")

@@ -48,8 +48,9 @@ def vector_index(t: Tables, buckets: int | None = None):
     return S.read_index(t.spark, path), O.as_cells(S.read_cells(t.spark, path))
 
 
-ALL_NEAREST = """near AS (SELECT a.vec_id AS id, 'Vector_' || b.vec_id AS label, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
-  FROM embeddings a, embeddings b QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY score DESC, label) <= 5)"""
+ALL_NEAREST = """scores AS (SELECT a.vec_id AS id, 'Vector_' || b.vec_id AS name, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS score
+  FROM embeddings a, embeddings b),
+near AS (SELECT id, name AS label, score FROM scores QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, name) <= 5)"""
 
 
 @query("S11_J1_stored_index", f"WITH {ALL_NEAREST} SELECT id, string_agg(label, '|' ORDER BY score DESC, label) AS labels, min(score) AS worst FROM near GROUP BY id")
@@ -59,6 +60,27 @@ def j1_stored(t: Tables):
     return near.select("id", joined("candidate_labels").alias("labels"), F.array_min("candidate_scores").alias("worst"))
 
 
+WORDS = r"""spoken AS (SELECT DISTINCT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS w FROM documents),
+sizes AS (SELECT doc_id, count(*) AS n FROM spoken GROUP BY 1),
+shares AS (SELECT a.doc_id AS id, b.doc_id AS other, count(*) AS common FROM spoken a JOIN spoken b USING (w) GROUP BY ALL),
+scored AS (SELECT id, 'Text_' || other AS label, round(common / (x.n + y.n - common), 6) AS score
+  FROM shares JOIN sizes x ON x.doc_id = id JOIN sizes y ON y.doc_id = other)"""
+
+
+def word_matches_sql(threshold: float, k: int) -> str:
+    return f"""WITH {WORDS} SELECT id, label, score, (row_number() OVER (PARTITION BY id ORDER BY score DESC, label))::INT AS rank
+FROM scored WHERE score >= {threshold} QUALIFY rank <= {k}"""
+
+
+for _t, _k in ((0.8, 3), (0.4, 5)):
+
+    @query(f"J1_word_matches_{int(10 * _t)}", word_matches_sql(_t, _k))
+    def j1_words(t: Tables, threshold=_t, k=_k):
+        texts = documents(t)
+        named = texts.select(F.concat(F.lit("Text_"), F.col("id").cast("string")).alias("label"), "text")
+        return O.word_matches(texts, named, k, threshold, label_text="text").drop("path")
+
+
 @query("J1_more_than_all_labels", f"WITH {NEAREST} SELECT id, count(*) AS n, min(score) AS worst FROM nearest GROUP BY id")
 def j1_all(t: Tables):
     near = O.nearest_labels(vectors(t), prototypes(t), 1000)

@@ -287,11 +287,34 @@ spoken AS (SELECT cluster_id, unnest(regexp_extract_all(lower(sample_text), '[\\
 ranked AS (SELECT cluster_id, w, row_number() OVER (PARTITION BY cluster_id ORDER BY count(*) DESC, w) AS rank FROM spoken GROUP BY cluster_id, w)"""
 
 
-@query("M10_cluster_themes", f"""WITH {samples_sql(5, ' ')}
+TERMS = r"""said AS (SELECT cluster_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM members),
+counted AS (SELECT cluster_id, word, count(*) AS n FROM said GROUP BY ALL),
+cluster_words AS (SELECT cluster_id, sum(n) AS size FROM counted GROUP BY 1),
+overall AS (SELECT word, sum(n) AS f FROM counted GROUP BY 1),
+terms AS (SELECT cluster_id, word, n AS count, round(n / size * ln(1 + (SELECT avg(size) FROM cluster_words) / f), 9) AS score
+  FROM counted JOIN cluster_words USING (cluster_id) JOIN overall USING (word)),
+told AS (SELECT *, (row_number() OVER (PARTITION BY cluster_id ORDER BY score DESC, word))::INT AS rank FROM terms)"""
+
+
+@query("M10_cluster_terms", f"WITH {MEMBERS}, {TERMS} SELECT cluster_id, word, count, score, rank FROM told WHERE rank <= 10")
+def m10_terms(t: Tables):
+    return O.cluster_terms(clustered(t), "text", 10)
+
+
+@query("M10_cluster_themes", f"""WITH {samples_sql(5, ' ')}, {TERMS}
+SELECT cluster_id, md5(sample_text) AS sample, record_count, (SELECT word FROM told r WHERE r.cluster_id = s.cluster_id AND rank = 1) AS theme,
+  (SELECT string_agg(word, '|' ORDER BY rank) FROM told r WHERE r.cluster_id = s.cluster_id AND rank BETWEEN 2 AND 6) AS subtopics FROM samples s""")
+def m10_themes(t: Tables):
+    themes = O.cluster_themes(clustered(t), "text")
+    return themes.select("cluster_id", F.md5(F.col("sample_text").cast("binary")).alias("sample"), "record_count",
+                         F.col("cluster_theme").alias("theme"), joined("subtopics").alias("subtopics"))
+
+
+@query("M10_themes_by_reply", f"""WITH {samples_sql(5, ' ')}
 SELECT cluster_id, md5(sample_text) AS sample, record_count, (SELECT w FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank = 1) AS theme,
   (SELECT string_agg(w, '|' ORDER BY rank) FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank BETWEEN 2 AND 6) AS subtopics FROM samples s""")
 def m10(t: Tables):
-    themes = O.cluster_themes(clustered(t), "text")
+    themes = O.cluster_themes(clustered(t), "text", provider=O.theme_reply())
     return themes.select("cluster_id", F.md5(F.col("sample_text").cast("binary")).alias("sample"), "record_count",
                          F.col("cluster_theme").alias("theme"), joined("subtopics").alias("subtopics"))
 
