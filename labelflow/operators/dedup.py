@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-__all__ = ["count_duplicates", "keep_newest", "keep_first", "stage_counts"]
+from ..settings import written
+
+__all__ = ["count_duplicates", "keep_newest", "keep_first", "stage_counts", "write_counted", "observed_counts"]
 
 
 def count_duplicates(df: DataFrame, key: str | Column) -> DataFrame:
@@ -43,3 +45,21 @@ def stage_counts(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
         for name, ok in stages.items()
     ]
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
+
+
+def observed_counts(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """``(stage, n)`` of counts that were observed."""
+    return spark.createDataFrame(list(counts.items()), "stage string, n bigint")
+
+
+def write_counted(df: DataFrame, name: str, stages: dict[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` and count while it is written: the written table, and the rows of :func:`stage_counts`.
+
+    The metrics are taken in the stage that writes, whose tasks are counted once however often they are run.
+    """
+    told = Observation()
+    counts = {f"kept_{i}": F.count_if(ok).alias(f"kept_{i}") for i, ok in enumerate(stages.values())}
+    out = written(df.observe(told, F.count(F.lit(1)).alias("total"), *counts.values()), name)
+    total, got = told.get["total"], told.get
+    rows = [(stage, got[f"kept_{i}"], total - got[f"kept_{i}"]) for i, stage in enumerate(stages)]
+    return out, df.sparkSession.createDataFrame(rows, "stage string, kept bigint, dropped bigint")

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions import or_empty, percentage, sample_order
+from ..settings import written
 from .numbering import exact_quantiles, numbered
 
 __all__ = [
     "label_frequency", "label_statistics", "labelled_share", "value_counts", "top_values", "null_counts",
     "column_info", "numeric_summary", "list_totals", "invalid_dates", "cluster_sizes", "cluster_labels",
-    "top_items", "labels_in_use", "cluster_count", "joined_samples", "run_statistics", "sort_rows", "first_rows",
+    "top_items", "labels_in_use", "cluster_count", "joined_samples", "run_statistics", "write_with_statistics", "sort_rows", "first_rows",
     "sample_rows", "sample_fraction", "sample_per_group", "with_batches", "new_label_candidates",
 ]
 
@@ -163,6 +164,18 @@ def run_statistics(df: DataFrame, labels: DataFrame, column: str, run_id: str) -
     return out.select("records", available.alias("labels_available"), "labels_assigned", "mean_labels", F.lit(run_id).alias("run_id"))
 
 
+def write_with_statistics(df: DataFrame, labels: DataFrame, column: str, run_id: str, name: str = "run") -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` and give the row of :func:`run_statistics`, gathered by the tasks that write."""
+    told, n = Observation(), F.size(or_empty(column))
+    out = written(df.observe(told, F.count(F.lit(1)).alias("records"), F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("labels_assigned")), name)
+    available = labels.select("label").distinct().agg(F.count(F.lit(1)).alias("labels_available"))
+    records, assigned = told.get["records"], told.get["labels_assigned"]
+    mean = F.round(F.try_divide(F.lit(assigned), F.lit(records)), 2).cast("double")
+    return out, available.select(
+        F.lit(records).cast("bigint").alias("records"), "labels_available", F.lit(assigned).cast("bigint").alias("labels_assigned"),
+        mean.alias("mean_labels"), F.lit(run_id).alias("run_id"))
+
+
 # -- order, limit, sample ---------------------------------------------------------------------
 
 def _order(spec: dict[str, bool]) -> list[Column]:

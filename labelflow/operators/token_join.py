@@ -43,8 +43,8 @@ def _counts(*sides: DataFrame) -> np.ndarray:
     out = np.zeros(BUCKETS, np.int64)
     for side in sides:
         hit = side.select(F.explode(F.array_distinct(F.transform("words", _bucket))).alias("b"))
-        table = hit.groupBy("b").agg(F.count(F.lit(1)).alias("n")).toPandas()
-        out[table["b"].to_numpy(np.int64)] += table["n"].to_numpy()
+        table = hit.groupBy("b").agg(F.count(F.lit(1)).alias("n")).toArrow()
+        out[table.column("b").to_numpy()] += table.column("n").to_numpy()
     return out
 
 

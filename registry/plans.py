@@ -24,15 +24,30 @@ def w1(t: Tables):
                        "combined_text", joined("existing_tags").alias("existing_tags"))
 
 
-@query("W1_preparation_counts", f"""WITH {CLEANED}, told AS (SELECT *, (cleaned_title <> '' OR cleaned_content <> '') AS ok FROM cleaned)
+PREPARATION = f"""WITH {CLEANED}, told AS (SELECT *, (cleaned_title <> '' OR cleaned_content <> '') AS ok FROM cleaned)
 SELECT 'read' AS stage, count(*) AS n FROM told UNION ALL SELECT 'empty', count(*) FILTER (NOT ok) FROM told
 UNION ALL SELECT 'invalid_dates', count(*) FILTER (ok AND created_us IS NULL) FROM told
 UNION ALL SELECT 'duplicates', count(*) FILTER (ok) - count(DISTINCT url) FILTER (ok) FROM told
-UNION ALL SELECT 'prepared', count(DISTINCT url) FILTER (ok) FROM told""")
+UNION ALL SELECT 'prepared', count(DISTINCT url) FILTER (ok) FROM told"""
+
+
+@query("W1_preparation_counts", PREPARATION)
 def w1_counts(t: Tables):
     return P.preparation_counts(records(t))
 
 
+@query("W1_D4_observed_counts", PREPARATION)
+def w1_observed(t: Tables):
+    return P.prepare_counted(records(t), tag_key="tags")[1]
+
+
+@query("W1_D4_counted_rows", PREPARED_ROWS)
+def w1_counted(t: Tables):
+    done = P.prepare_counted(records(t), tag_key="tags")[0]
+    return done.select("id", "url", "cleaned_title", "cleaned_content", F.unix_micros("created_at_dt").alias("created_us"),
+                       "combined_text", joined("existing_tags").alias("existing_tags"))
+
+
 PREPARED_KEYWORDS = rf"""{PREPARED}, terms AS (
   SELECT item_id AS pos, 'Passage_' || item_id AS label,
     unnest(list_concat(list_filter(regexp_split_to_array(lower(text), '\s+'), lambda w: length(w) > 3), ['passage', item_id::VARCHAR])) AS term FROM benchmark),

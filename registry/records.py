@@ -361,8 +361,17 @@ def d3(t: Tables):
     return O.keep_first(hosted(t), "host", "page_id").select("page_id", "host")
 
 
-@query("D4_stage_counts", """
+STAGES = """
 SELECT 'titled' AS stage, count(*) FILTER (lang <> 'de') AS kept, count(*) FILTER (lang = 'de') AS dropped FROM documents
-UNION ALL SELECT 'dated', count(*) FILTER (lang <> 'es'), count(*) FILTER (lang = 'es') FROM documents""")
+UNION ALL SELECT 'dated', count(*) FILTER (lang <> 'es'), count(*) FILTER (lang = 'es') FROM documents"""
+
+
+@query("D4_stage_counts", STAGES)
 def d4(t: Tables):
     return O.stage_counts(records(t), {"titled": F.col("title").isNotNull(), "dated": L.parse_time("created_at").isNotNull()})
+
+
+@query("D4_observed_counts", STAGES)
+def d4_observed(t: Tables):
+    stages = {"titled": F.col("title").isNotNull(), "dated": L.parse_time("created_at").isNotNull()}
+    return O.write_counted(records(t), "records", stages)[1]

@@ -89,6 +89,46 @@ def t3(t: Tables):
     return O.flatten_generic(docs).select("label", "description", "path").distinct()
 
 
+def place_nodes(t: Tables):
+    """Regions, nations and suppliers as nodes with their parents."""
+    r = t.region.select(F.concat(F.lit("r"), "r_regionkey").alias("node"), F.lit(None).cast("string").alias("parent"), F.col("r_name").alias("label"))
+    n = t.nation.select(F.concat(F.lit("n"), "n_nationkey"), F.concat(F.lit("r"), "n_regionkey"), "n_name")
+    s = t.supplier.select(F.concat(F.lit("s"), "s_suppkey"), F.concat(F.lit("n"), "s_nationkey"), "s_name")
+    return r.union(n).union(s)
+
+
+NODES = """nodes AS (SELECT 'r' || r_regionkey AS node, NULL AS parent, r_name AS label FROM region
+  UNION ALL SELECT 'n' || n_nationkey, 'r' || n_regionkey, n_name FROM nation UNION ALL SELECT 's' || s_suppkey, 'n' || s_nationkey, s_name FROM supplier)"""
+
+
+@query("T3_recursive_nodes", f"""WITH RECURSIVE {NODES}, way AS (
+  SELECT node, label, replace(label, ' ', '_') AS path, 1 AS level, NULL::VARCHAR AS parent_path FROM nodes WHERE parent IS NULL
+  UNION ALL SELECT n.node, n.label, way.path || '/' || replace(n.label, ' ', '_'), level + 1, way.path FROM way JOIN nodes n ON n.parent = way.node)
+SELECT node, label, path, level, coalesce(parent_path, '') AS parent_path FROM way""")
+def t3_nodes(t: Tables):
+    flat = O.flatten_nodes(place_nodes(t))
+    return flat.select("node", "label", "path", "level", L.blank_to_empty("parent_path").alias("parent_path"))
+
+
+@query("T10_recursive_ancestors", f"""WITH {NODES}
+SELECT a.node, a.parent AS ancestor, 1 AS distance FROM nodes a WHERE a.parent IS NOT NULL
+UNION ALL SELECT a.node, b.parent, 2 FROM nodes a JOIN nodes b ON a.parent = b.node WHERE b.parent IS NOT NULL""")
+def t10_nodes(t: Tables):
+    return O.node_ancestors(O.flatten_nodes(place_nodes(t)))
+
+
+@query("T3_node_problems", """
+SELECT s_suppkey::VARCHAR AS node, CASE s_suppkey % 5 WHEN 0 THEN 'unknown parent' WHEN 3 THEN 'below a cycle'
+  ELSE CASE WHEN s_suppkey % 5 = 2 OR s_suppkey + 1 IN (SELECT s_suppkey FROM supplier) THEN 'cycle' ELSE 'unknown parent' END END AS problem
+FROM supplier WHERE s_suppkey % 5 <> 4 AND s_suppkey > 3""")
+def t3_node_problems(t: Tables):
+    """Suppliers by fives: an unknown parent, two that are each other's parent, one below them, a root."""
+    s = F.col("s_suppkey")
+    parent = F.when(s % 5 == 0, F.lit("none")).when(s % 5 == 1, (s + 1).cast("string")).when(s % 5 < 4, (s - 1).cast("string"))
+    nodes = t.supplier.filter(s > 3).select(s.cast("string").alias("node"), parent.alias("parent"), F.col("s_name").alias("label"))
+    return O.node_problems(nodes)
+
+
 @query("T4_first_by_label", """
 SELECT p_name AS label, min(p_partkey) AS pos, (SELECT p_brand FROM part q WHERE q.p_partkey = min(part.p_partkey)) AS path FROM part GROUP BY p_name""")
 def t4(t: Tables):
