@@ -1,6 +1,8 @@
 from .cells import *  # noqa: F401,F403
 from .clusters import *  # noqa: F401,F403
+from .correlation import *  # noqa: F401,F403
 from .dedup import *  # noqa: F401,F403
+from .fuzzy import *  # noqa: F401,F403
 from .hierarchy import *  # noqa: F401,F403
 from .keywords import *  # noqa: F401,F403
 from .lookup import *  # noqa: F401,F403

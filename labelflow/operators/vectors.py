@@ -13,8 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import sample_order, words
+from ..settings import written
 
-__all__ = ["bucket_words", "bucket_weights", "weight_vector", "embed_text", "Centres", "fit_centres", "cluster_vectors", "cluster_ml", "assign_clusters"]
+__all__ = [
+    "bucket_words", "bucket_weights", "weight_vector", "embed_text", "Centres", "Clustering", "seed_parallel", "fit_centres", "fit_clusters",
+    "cluster_vectors", "cluster_ml", "assign_clusters",
+]
 
 # 1.0 in fixed point. Products of two such numbers, summed over up to 2**20 dimensions, stay below
 # 2**53, so float64 arithmetic on them is exact in any order.
@@ -86,46 +90,176 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argmin((centres * centres).sum(axis=1) - 2.0 * (points @ centres.T), axis=1)
 
 
+def _squares(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances of all points to all centres: whole numbers."""
+    return (points * points).sum(axis=1)[:, None] + (centres * centres).sum(axis=1) - 2.0 * (points @ centres.T)
+
+
 def _seed_centres(df: DataFrame, key: str, vector: str, k: int, seed: int) -> np.ndarray:
     rows = df.select(vector, sample_order(key, seed).alias("_o"), key).orderBy("_o", key).limit(k).toPandas()
     return _fixed(rows[vector]) if len(rows) else np.zeros((0, 0))
 
 
+def _sums(points: DataFrame, vector: str, centres: np.ndarray) -> tuple[int, np.ndarray]:
+    """The sum of squared distances to the nearest centre, and how many points each centre is nearest to."""
+    k = len(centres)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total, counts = 0, np.zeros(k, np.int64)
+        for batch in batches:
+            if len(batch):
+                far = _squares(_fixed(batch[vector]), centres)
+                own = far.argmin(axis=1)
+                total += int(far[np.arange(len(own)), own].sum())
+                counts += np.bincount(own, minlength=k)
+        yield pd.DataFrame({"c": [-2, -1, *range(k)], "n": [total >> 32, total & 0xFFFFFFFF, *counts]})
+
+    rows = points.select(vector).mapInPandas(partial, "c int, n long").groupBy("c").agg(F.sum("n").alias("n")).collect()  # a row per centre
+    got = {r["c"]: r["n"] for r in rows}
+    return (got.get(-2, 0) << 32) + got.get(-1, 0), np.array([got.get(c, 0) for c in range(k)])
+
+
+def seed_parallel(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, rounds: int = 4, oversampling: int = 2) -> np.ndarray:
+    """``k`` starting centres by k-means||: far apart, and in dense places.
+
+    Starts with one row. In each round a row becomes a candidate with a chance of ``oversampling * k`` times its
+    share of the squared distances to the candidates so far; chances are hashes of the key, so the result does not
+    depend on the partitioning. Candidates are weighted by the rows that are nearest to them, and ``k`` are picked:
+    the heaviest, then always the one of largest weight times squared distance. The driver sees
+    about ``oversampling * k * rounds`` vectors. Fewer than ``k`` different vectors give fewer centres.
+    """
+    points = df.filter(F.col(vector).isNotNull()).select(key, vector)
+    found = _seed_centres(points, key, vector, 1, seed)
+    for n in range(rounds if len(found) else 0):
+        total, _ = _sums(points, vector, found)
+        if not total:
+            break
+        wanted = float(oversampling * k) / total
+
+        def draw(batches: Iterator[pd.DataFrame], centres: np.ndarray = found, wanted: float = wanted) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if len(batch):
+                    x = _fixed(batch[vector])
+                    far = _squares(x, centres).min(axis=1)
+                    picked = batch["_u"].to_numpy() / float(1 << 30) < far * wanted
+                    if picked.any():
+                        yield pd.DataFrame({"x": x[picked].tolist()})
+
+        chance = F.pmod(F.xxhash64(F.lit(seed), F.lit(n), key), F.lit(1 << 30))
+        drawn = points.select(vector, chance.alias("_u")).mapInPandas(draw, "x array<double>").toPandas()
+        if len(drawn):
+            found = np.unique(np.vstack([found, np.stack(drawn["x"].map(np.asarray).to_list())]), axis=0)
+    if len(found) <= k:
+        return found
+    weight = _sums(points, vector, found)[1].astype(np.float64)
+    picked = [int(weight.argmax())]
+    far = _squares(found, found[picked])[:, 0]
+    while len(picked) < k and (weight * far).max() > 0:
+        picked.append(int((weight * far).argmax()))
+        far = np.minimum(far, _squares(found, found[picked[-1:]])[:, 0])
+    return found[picked]
+
+
 class Centres(NamedTuple):
     points: np.ndarray
     rounds: int
     converged: bool
 
 
-def fit_centres(df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10, quiet: bool = False) -> Centres:
+class Clustering(NamedTuple):
+    rows: DataFrame
+    centres: np.ndarray
+    rounds: int
+    converged: bool
+
+
+GUESS_FROM = 32  # centres from which on rows carry a guess, and
+GUESS_AFTER = 2  # rounds until it is made
+REST = 300  # rounds at most, unless fewer are asked for
+
+
+def fit_centres(
+    df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = REST, start: str | np.ndarray = "hash",
+) -> Centres:
     """Centres of K-means that do not depend on the partitioning.
 
-    Starts from ``k`` rows in seeded hash order. Each round sends ``k`` times ``dim`` whole-number
-    sums per task; only these ``k`` times ``dim`` totals reach the driver. Vectors should have unit
-    length. Rounds re-read ``df``, so hand in a written table (see ``write_index``). If the centres
-    still move after ``iterations`` rounds the result says so, and a warning is logged.
+    Starts from ``k`` rows in seeded hash order, with ``parallel`` from those of :func:`seed_parallel`, or from
+    given centres (whole numbers, ``UNIT`` times the coordinates). Each round sends ``k`` times ``dim`` whole-number
+    sums per task; only these ``k`` times ``dim`` totals reach the driver. A centre that no row is nearest to moves to
+    the row that is farthest from its own. Vectors should have unit length. Rounds re-read ``df``, so hand in a
+    written table (see ``write_index``). Ends when no centre moves, or after ``iterations`` rounds: then the result
+    says that it did not converge, and a warning is logged unless the caller set the number of rounds.
+
+    With many centres the rows are written with a guess after some rounds. A row that is nearer to its guess than half
+    the way to any other centre is not compared with the others.
     """
-    points = df.filter(F.col(vector).isNotNull())
-    centres = _seed_centres(points, key, vector, k, seed)
+    points = df.filter(F.col(vector).isNotNull()).select(key, vector)
+    if isinstance(start, np.ndarray):
+        centres = start
+    else:
+        centres = (seed_parallel if start == "parallel" else _seed_centres)(points, key, vector, k, seed=seed)
+    guess = None
     for n in range(iterations if len(centres) else 0):
-        moved = _move(points.select(vector), vector, centres)
+        if n == GUESS_AFTER and len(centres) >= GUESS_FROM:
+            guess = "_guess"
+            points = written(assign_clusters(points, vector, centres, guess), "guessed")
+        moved, empty = _move(points, vector, centres, guess)
+        if len(empty):
+            moved = _seed_again(points, key, vector, moved, empty)
         if np.array_equal(moved, centres):
             return Centres(centres, n + 1, True)
         centres = moved
-    if len(centres) and not quiet:
+    if len(centres) and iterations >= REST:
         logging.getLogger(__name__).warning("the centres still move after %d rounds", iterations)
     return Centres(centres, iterations, not len(centres))
 
 
+def _seed_again(points: DataFrame, key: str, vector: str, centres: np.ndarray, empty: np.ndarray) -> np.ndarray:
+    """Move the centres without rows to the rows farthest from all centres (ties by hash of the key)."""
+
+    def far(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = _fixed(batch[vector])
+                d = _squares(x, centres).min(axis=1)
+                last = np.lexsort((batch["_h"].to_numpy(), -d))[: len(empty)]
+                yield pd.DataFrame({"d": d[last], "h": batch["_h"].to_numpy()[last], "x": x[last].tolist()})
+
+    rows = points.select(vector, F.xxhash64(key).alias("_h")).mapInPandas(far, "d double, h long, x array<double>")
+    best = rows.filter("d > 0").orderBy(F.col("d").desc(), "h", "x").limit(len(empty)).toPandas()
+    out = centres.copy()
+    for c, x in zip(empty, best["x"]):
+        out[c] = np.asarray(x)
+    return out
+
+
+def fit_clusters(df: DataFrame, key: str, vector: str, k: int, *, out: str = "cluster_id", **options) -> Clustering:
+    """:func:`fit_centres`, and the rows with their nearest centre. NULL vectors get cluster -1."""
+    fitted = fit_centres(df, key, vector, k, **options)
+    return Clustering(assign_clusters(df, vector, fitted.points, out), *fitted)
+
+
 def cluster_vectors(
-    df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = 10, out: str = "cluster_id"
+    df: DataFrame, key: str, vector: str, k: int, *, seed: int = 42, iterations: int = REST, out: str = "cluster_id"
 ) -> DataFrame:
     """Attach the nearest centre of :func:`fit_centres`. NULL vectors get cluster -1."""
-    return assign_clusters(df, vector, fit_centres(df, key, vector, k, seed=seed, iterations=iterations).points, out)
+    return fit_clusters(df, key, vector, k, seed=seed, iterations=iterations, out=out).rows
 
 
-def _move(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
+def _move(points: DataFrame, vector: str, centres: np.ndarray, guess: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The means of the rows nearest to each centre, and the centres without rows."""
     k, dim = centres.shape
+    between = _squares(centres, centres)
+    np.fill_diagonal(between, np.inf)
+    gap = between.min(axis=1)  # squared way to the next centre
+
+    def nearest(batch: pd.DataFrame, x: np.ndarray) -> np.ndarray:
+        if guess is None:
+            return _nearest(x, centres)
+        own = batch[guess].to_numpy().astype(np.int64)
+        open_ = np.flatnonzero(4 * ((x - centres[own]) ** 2).sum(axis=1) >= gap[own])
+        own[open_] = _nearest(x[open_], centres)
+        return own
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((k, dim), dtype=np.int64)
@@ -133,19 +267,20 @@ def _move(points: DataFrame, vector: str, centres: np.ndarray) -> np.ndarray:
         for batch in batches:
             if len(batch):
                 x = _fixed(batch[vector])
-                own = _nearest(x, centres)
+                own = nearest(batch, x)
                 np.add.at(sums, own, x.astype(np.int64))
                 counts += np.bincount(own, minlength=k)
         used = np.flatnonzero(counts)
         if len(used):
             yield pd.DataFrame({"c": used.astype(np.int32), "s": np.column_stack([sums, counts])[used].tolist()})
 
-    cells = points.mapInPandas(partial, "c int, s array<long>").select("c", F.posexplode("s").alias("d", "v"))
+    rows = points.select(vector, *([guess] if guess else []))
+    cells = rows.mapInPandas(partial, "c int, s array<long>").select("c", F.posexplode("s").alias("d", "v"))
     totals = cells.groupBy("c", "d").agg(F.sum("v").alias("v")).toPandas()  # k * (dim + 1) rows at most
     grid = np.zeros((k, dim + 1))
     grid[totals["c"], totals["d"]] = totals["v"]
     size = grid[:, dim:]
-    return np.where(size > 0, np.floor(grid[:, :dim] / np.maximum(size, 1) + 0.5), centres)
+    return np.where(size > 0, np.floor(grid[:, :dim] / np.maximum(size, 1) + 0.5), centres), np.flatnonzero(size[:, 0] == 0)
 
 
 def assign_clusters(df: DataFrame, vector: str, centres: np.ndarray, out: str = "cluster_id") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from ..operators.clusters import cluster_themes, entity_harvest
 from ..operators.replies import Provider
 from ..operators.stats import cluster_sizes, labels_in_use, new_label_candidates
-from ..operators.vectors import assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
+from ..operators.vectors import REST, assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
 from ..settings import written
 
 __all__ = ["Expansion", "expand"]
@@ -25,7 +25,7 @@ class Expansion(NamedTuple):
 
 
 def expand(
-    df: DataFrame, text: str, labels_column: str, *, k: int = 10, dim: int = 256, rounds: int = 10, key: str = "id",
+    df: DataFrame, text: str, labels_column: str, *, k: int = 10, dim: int = 256, rounds: int = REST, key: str = "id",
     seed: int = 42, themes: Provider | None = None, entities: Provider | None = None,
 ) -> Expansion:
     """Cluster the records by content, name the clusters and list themes that are no label in use.

@@ -12,7 +12,7 @@ from ..operators.lookup import close_hierarchy
 from ..operators.replies import Provider, extract_fields, one_line_summary, one_reply, verification_requests, verify_candidates
 from ..operators.similarity import attach_nearest, rerank_attached
 from ..operators.taxonomy import first_by_label, with_label_text
-from ..operators.vectors import assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
+from ..operators.vectors import REST, assign_clusters, bucket_words, embed_text, fit_centres, weight_vector
 from ..settings import written
 from ..sources.records import as_records, keep_columns, with_row_id
 from .prepare import clean_records
@@ -43,7 +43,7 @@ def with_summaries(df: DataFrame, provider: Provider | None = None, key: str = "
 
 def enrich_verified(
     records: DataFrame, labels: DataFrame, provider: Provider, k: int = 15, *, dim: int = 256, clusters: int = 20,
-    rounds: int = 10, rerank_from: int | None = None, enforce_hierarchy: bool = False, expand: bool = True,
+    rounds: int = REST, rerank_from: int | None = None, enforce_hierarchy: bool = False, expand: bool = True,
     summaries: Provider | None = None, gaps: Provider | None = None, mode: str = "parser",
 ) -> tuple[DataFrame, DataFrame | None]:
     """The verified table and, when ``expand`` is set, the gap suggestions per cluster.

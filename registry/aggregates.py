@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from labelflow import functions as L
 from labelflow import operators as O
+from labelflow import plans as P
+from labelflow.settings import fresh_path
 
 from . import Tables, query
 from .derived import ORDER_LABELS, RECORDS, joined, order_labels, places, records
@@ -157,6 +159,20 @@ def a20_observed(t: Tables):
     return O.write_with_statistics(order_labels(t), places(t), "labels", "run-1")[1]
 
 
+def label_pairs_sql(least: int) -> str:
+    return f"""WITH {ORDER_LABELS}, said AS (SELECT DISTINCT id, unnest(labels) AS label FROM order_labels), counts AS (SELECT label, count(*) AS n FROM said GROUP BY 1),
+pairs AS (SELECT a.label AS label_a, b.label AS label_b, count(*) AS together FROM said a JOIN said b ON a.id = b.id AND a.label < b.label GROUP BY ALL HAVING count(*) >= {least})
+SELECT label_a, label_b, together, x.n AS count_a, y.n AS count_b, round(together * (SELECT count(*) FROM order_labels) / (x.n * y.n::DOUBLE), 6) AS lift
+FROM pairs JOIN counts x ON x.label = label_a JOIN counts y ON y.label = label_b"""
+
+
+for _least in (1, 40):
+
+    @query(f"A2_label_pairs_{_least}", label_pairs_sql(_least))
+    def a2_pairs(t: Tables, least=_least):
+        return O.label_pairs(order_labels(t), "labels", least)
+
+
 # -- order, limit, sample -------------------------------------------------------------------------
 
 @query("L1_sort_rows", f"WITH {RECORDS} SELECT id, title, created_at FROM records ORDER BY title NULLS LAST, created_at DESC NULLS LAST, id")
@@ -194,6 +210,23 @@ def l6(t: Tables):
     return O.label_frequency(order_labels(t), "labels").limit(5)
 
 
+@query("L7_resumed_run", """SELECT doc_id, length(text) AS chars, upper(lang) AS lang, 'done' AS state FROM documents
+UNION ALL SELECT NULL, (SELECT count(*) FROM documents), 'ROWS', 'before and now'""")
+def l7_resumed(t: Tables):
+    """Two batches, then the rest in a second run on the same path."""
+    path = fresh_path(t.spark, "batches")
+
+    def step(rows):
+        return rows.select("content_key", "doc_id", F.char_length("text").cast("bigint").alias("chars"), F.upper("lang").alias("lang"))
+
+    docs = t.documents.select("doc_id", "text", "lang")
+    size = max(1, docs.count() // 5)
+    P.run_batches(docs, step, path, batch_rows=size, most=2)
+    again = P.run_batches(docs, step, path, batch_rows=size)
+    told = t.spark.range(1).select(F.lit(None).cast("bigint").alias("doc_id"), F.lit(again.rows_before + again.rows_done).cast("bigint").alias("chars"), F.lit("ROWS").alias("lang"), F.lit("before and now").alias("state"))
+    return again.rows.withColumn("state", F.lit("done")).unionByName(told)
+
+
 @query("L7_batches", "SELECT event_id, ((row_number() OVER (ORDER BY event_id) - 1) // 500)::BIGINT AS batch_id FROM events")
 def l7(t: Tables):
     return O.with_batches(t.events.select("event_id"), "event_id", 500)

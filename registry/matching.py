@@ -315,6 +315,46 @@ SELECT {ODD_ID.format('id')} AS id, id AS o, array_to_string(list(label ORDER BY
         return O.attach_nearest(rows, prototypes(t), 3, form=form).select("id", "o", joined("candidate_labels").alias("labels"))
 
 
+# -- J3: names that differ by a letter or two -------------------------------------------------------
+
+# the SQL engine counts bytes, so letters beyond ASCII become capitals, which the lower-case words don't have
+ACCENTS, CAPITALS = "áàâäãåçéèêëíìîïñóòôöõúùûüß", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+assert len(ACCENTS) == len(CAPITALS)
+
+
+def edits_sql(a: str, b: str) -> str:
+    return "levenshtein({}, {})".format(*(f"translate({c}, '{ACCENTS}', '{CAPITALS}')" for c in (a, b)))
+
+
+EDITS = edits_sql("name", "target")
+NAMES = r"""names AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS name FROM conversations),
+targets AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS target FROM benchmark)"""
+
+
+def spoken_names(t: Tables):
+    names = t.conversations.select(F.explode(L.words("text")).alias("name"))
+    return names, t.benchmark.select(F.explode(L.words("text")).alias("target"))
+
+
+for _d in (1, 2):
+
+    @query(f"J3_fuzzy_pairs_{_d}", f"WITH {NAMES} SELECT name, target, {EDITS}::INT AS distance FROM names, targets WHERE abs(length(name) - length(target)) <= {_d} AND {EDITS} <= {_d}")
+    def j3_fuzzy(t: Tables, distance=_d):
+        return O.fuzzy_pairs(*spoken_names(t), distance)
+
+
+@query("J3_fuzzy_entities", f"""WITH {NAMES}, said AS (SELECT DISTINCT conv_id, turn, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS name FROM conversations),
+near AS (SELECT name, target FROM names, targets WHERE abs(length(name) - length(target)) <= 1 AND {EDITS} <= 1
+  QUALIFY {EDITS} = min({EDITS}) OVER (PARTITION BY name))
+SELECT c.conv_id, c.turn, coalesce(array_to_string(list_sort(list(DISTINCT target) FILTER (target IS NOT NULL)), '|'), '') AS found
+FROM conversations c LEFT JOIN said USING (conv_id, turn) LEFT JOIN near USING (name) GROUP BY ALL""")
+def j3_fuzzy_entities(t: Tables):
+    rows = t.conversations.select("conv_id", "turn", L.words("text").alias("entities"))
+    labels = t.benchmark.select(F.explode(L.words("text")).alias("label"))
+    found = O.match_entities_fuzzy(rows, "entities", labels, "found")
+    return found.select("conv_id", "turn", joined("found").alias("found"))
+
+
 # -- set operations -------------------------------------------------------------------------------
 
 @query("U1_union", "SELECT r_name AS label, 'region' AS kind FROM region UNION ALL SELECT n_name, 'nation' FROM nation UNION ALL SELECT s_name, 'supplier' FROM supplier")

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from labelflow import operators as O
 from labelflow import plans as P
+from labelflow.operators.vectors import REST
 from labelflow.settings import fresh_path
 
 from . import Tables, query
 from .derived import CLEANED, PLACES, PREPARED, RECORDS, joined, passages, places, records
-from .models import DIM, LOOKS_NAMED, TOKEN, embed_sql, entities_sql, kmeans_ctes, logged, samples_sql, weights_sql
+from .models import AT_REST, DIM, LOOKS_NAMED, TERMS, TOKEN, embed_sql, entities_sql, kmeans_ctes, logged, samples_sql, weights_sql
 
 PREPARED_ROWS = f"""WITH {PREPARED}
 SELECT id, url, cleaned_title, cleaned_content, created_us, combined_text,
@@ -171,8 +172,8 @@ def first_two(requests):
     return requests.select("request_id", F.array_join(F.slice("candidate_labels", 1, 2), ", ").alias("reply"), F.lit("ok").alias("status"))
 
 
-def verified(t: Tables, **options):
-    return P.enrich_verified(records(t), places(t), O.without_prompt(first_two), 4, dim=DIM, clusters=6, rounds=3, **options)
+def verified(t: Tables, rounds: int = 3, **options):
+    return P.enrich_verified(records(t), places(t), O.without_prompt(first_two), 4, dim=DIM, clusters=6, rounds=rounds, **options)
 
 
 def verified_sql(first: int | None = None) -> str:
@@ -205,10 +206,11 @@ def w4_reranked(t: Tables):
     return done.select("id", "summary_and_title", *[joined(c).alias(c) for c in LISTS])
 
 
-CLUSTERED = f"{verified_sql()}, told_vecs AS (SELECT key AS id, v FROM vecs), {kmeans_ctes('told_vecs', 6, 3)}"
+def clustered_sql(rounds: int) -> str:
+    return f"{verified_sql()}, told_vecs AS (SELECT key AS id, v FROM vecs), {kmeans_ctes('told_vecs', 6, rounds)}"
 
 
-@query("W4_enrich_verified", f"WITH {CLUSTERED} SELECT r.*, c AS cluster_id FROM ({VERIFIED_ROWS}) r JOIN assigned USING (id)")
+@query("W4_enrich_verified", f"WITH {clustered_sql(3)} SELECT r.*, c AS cluster_id FROM ({VERIFIED_ROWS}) r JOIN assigned USING (id)")
 def w4(t: Tables):
     done, _ = verified(t, enforce_hierarchy=True)
     return done.select("id", "cluster_id", "summary_and_title", *[joined(c).alias(c) for c in LISTS])
@@ -217,12 +219,12 @@ def w4(t: Tables):
 GAP_MEMBERS = "members AS (SELECT id, summary_and_title AS text, c AS cluster_id, f AS labels FROM told JOIN closed USING (id) JOIN assigned USING (id))"
 
 
-@query("W4_gap_suggestions", f"""WITH {CLUSTERED}, {samples_sql(10, '. ', GAP_MEMBERS)}
+@query("W4_gap_suggestions", f"""WITH {clustered_sql(AT_REST)}, {samples_sql(10, '. ', GAP_MEMBERS)}
 SELECT cluster_id, record_count AS cluster_size, array_to_string({entities_sql('sample_text')}, '|') AS potential_new_entities,
   (SELECT w FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank = 1) || ': frequent word of the cluster' AS thematic_gap_suggestions,
   array_to_string(used, '|') AS assigned_labels_in_cluster, 'ok' AS reply_status FROM samples s""")
 def w4_gaps(t: Tables):
-    _, gaps = verified(t, enforce_hierarchy=True)
+    _, gaps = verified(t, enforce_hierarchy=True, rounds=REST)
     lists = ("potential_new_entities", "thematic_gap_suggestions", "assigned_labels_in_cluster")
     return gaps.select("cluster_id", "cluster_size", *[joined(c).alias(c) for c in lists], "reply_status")
 
@@ -258,23 +260,23 @@ def w5_sources(t: Tables):
     return P.profile(records(t), texts=("content",)).values["source"]
 
 
-EXPANDED = f"""{weights_sql('documents', 'text')}, {embed_sql('vecs', 'documents', 'doc_id', 'text')}, points AS (SELECT key AS id, v FROM vecs), {kmeans_ctes('points', 5, 3)},
-{samples_sql(5, ' ', 'members AS (SELECT doc_id AS id, text, c AS cluster_id, [source] AS labels FROM documents JOIN assigned ON id = doc_id)')}"""
+EXPANDED = f"""{weights_sql('documents', 'text')}, {embed_sql('vecs', 'documents', 'doc_id', 'text')}, points AS (SELECT key AS id, v FROM vecs), {kmeans_ctes('points', 5, AT_REST)},
+{samples_sql(5, ' ', 'members AS (SELECT doc_id AS id, text, c AS cluster_id, [source] AS labels FROM documents JOIN assigned ON id = doc_id)')}, {TERMS}"""
 
 
 def expanded(t: Tables):
     docs = t.documents.select(F.col("doc_id").alias("id"), "text", F.array("source").alias("labels"))
-    return P.expand(docs, "text", "labels", k=5, dim=DIM, rounds=3)
+    return P.expand(docs, "text", "labels", k=5, dim=DIM)
 
 
 @query("W6_expand_themes", f"""WITH {EXPANDED}
-SELECT cluster_id, record_count, (SELECT w FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank = 1) AS cluster_theme,
-  (SELECT string_agg(w, '|' ORDER BY rank) FROM ranked r WHERE r.cluster_id = s.cluster_id AND rank BETWEEN 2 AND 6) AS subtopics FROM samples s""")
+SELECT cluster_id, record_count, (SELECT word FROM told r WHERE r.cluster_id = s.cluster_id AND rank = 1) AS cluster_theme,
+  (SELECT string_agg(word, '|' ORDER BY rank) FROM told r WHERE r.cluster_id = s.cluster_id AND rank BETWEEN 2 AND 6) AS subtopics FROM samples s""")
 def w6(t: Tables):
     return expanded(t).themes.select("cluster_id", "record_count", "cluster_theme", joined("subtopics").alias("subtopics"))
 
 
-@query("W6_expand_new_labels", f"WITH {EXPANDED} SELECT DISTINCT w AS label FROM ranked WHERE rank <= 6 AND w NOT IN (SELECT source FROM documents)")
+@query("W6_expand_new_labels", f"WITH {EXPANDED} SELECT DISTINCT word AS label FROM told WHERE rank <= 6 AND word NOT IN (SELECT source FROM documents)")
 def w6_new(t: Tables):
     return expanded(t).new_labels
 
