@@ -23,6 +23,8 @@ def plain(text, items):
     w, found = words(text), set()
     for i, item in enumerate(map(words, items)):
         there, size = bag(item), min(len(item), len(w))
+        if 1 <= len(item) < 5 and any(w[s:s + size] == item for s in range(len(w) - len(item) + 1)):
+            found.add(i)
         for s in range(len(w) - size + 1) if len(item) >= 5 and size >= 5 else ():
             here = bag(w[s:s + size])
             shared = sum((here & there).values())
@@ -91,7 +93,46 @@ def test_case_punctuation_and_line_ends_do_not_hide_a_passage(spark):
     bench = spark.createDataFrame([("b1", passage), ("b2", passage), ("b3", None), ("b4", "wind over"), (None, "x y z w v u t s")], "item_id string, text string")
     got = D.contaminated(documents(spark, texts, extra="item"), bench)
     assert got.columns == ["doc_id", "item_id", "start_word", "n_words", "distance", "similarity"]
-    assert sorted(map(tuple, got.collect())) == [(0, "b1", 1, 14, 0, 1.0), (0, "b2", 1, 14, 0, 1.0)]
+    assert sorted(map(tuple, got.collect())) == [(0, "b1", 1, 14, 0, 1.0), (0, "b2", 1, 14, 0, 1.0), (0, "b4", 1, 2, 0, 1.0), (1, "b4", 0, 2, 0, 1.0)]
+
+
+def test_items_of_one_to_four_words(spark, monkeypatch):
+    rng = random.Random(11)
+    items = ["four words only here", "only here", "Here!", "words only", "", None, "É", "here", "a b c d e", "c d"]
+    texts = ["Four words, ONLY here", "only four words here", "here only", "é e\u0301", "a b c", "c", "a b c d e f", "words\nonly here", None, "", "four words only"]
+    texts += [" ".join(rng.choices("four words only here a b c d e".split(), k=rng.randint(1, 40))) for _ in range(80)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    docs = documents(spark, texts).repartition(3)
+    want = {(i, k) for i, t in enumerate(texts) for k in plain(t, items)}
+    got = D.contaminated(docs, bench).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want and len(got) == len(want)
+    for r in got:
+        if len(words(items[r["item_id"]])) < 5:
+            own = words(items[r["item_id"]])
+            assert words(texts[r["doc_id"]])[r["start_word"]:r["start_word"] + r["n_words"]] == own
+    clean = {i for i in range(len(texts))} - {i for i, _ in want}
+    assert {r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()} == clean
+    monkeypatch.setattr(D, "PASS_ITEMS", 3)
+    assert {r["doc_id"] for r in D.drop_contaminated(docs, bench).collect()} == clean
+
+
+def test_twenty_thousand_items_in_one_pass(spark):
+    rng = random.Random(12)
+    items = [" ".join(f"w{rng.randrange(30_000)}" for _ in range(12)) for _ in range(20_000)]
+    docs = documents(spark, [f"x y {items[i]} z" for i in range(0, 20_000, 20)] + ["clean words"] * 50)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string").repartition(4)
+    found = D.contaminated(docs, bench)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == {(k, i) for k, i in enumerate(range(0, 20_000, 20))}
+    assert D.drop_contaminated(docs, bench).count() == 50
+
+
+def test_very_long_texts():
+    passage = "seven small boats went out to the harbour wall at noon"
+    filler = "the sea was calm " * 100_000
+    items = D.Items([passage, "calm passage", "x" * 1_000_000])
+    found = items.search(pa.array([filler + passage + " " + filler, "x" * 1_000_000, filler + "calm passage"]))
+    assert [[m.item for m in f] for f in found] == [[0], [2], [1]]
 
 
 def test_drop_keeps_all_other_rows_and_columns(spark):
@@ -112,7 +153,8 @@ def test_a_benchmark_of_several_blocks_gives_the_same(spark, monkeypatch):
     docs = documents(spark, [" ".join(invented(rng, 30)) + " " + items[i % 30] for i in range(60)])
     bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
     whole = sorted(map(tuple, D.contaminated(docs, bench).collect()))
-    monkeypatch.setattr(D, "BLOCK_ITEMS", 7)
+    monkeypatch.setattr(D, "PASS_ITEMS", 7)
+    monkeypatch.setattr(D, "INDEX_ITEMS", 3)
     assert sorted(map(tuple, D.contaminated(docs, bench).collect())) == whole
     assert len(whole) >= 60
     assert D.drop_contaminated(docs, bench).count() == 0
@@ -122,7 +164,7 @@ def test_the_plan_holds_one_block_of_the_benchmark(spark, monkeypatch):
     rng = random.Random(8)
     items = [" ".join(invented(rng, 20)) for _ in range(12)]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")
-    monkeypatch.setattr(D, "BLOCK_ITEMS", 4)
+    monkeypatch.setattr(D, "PASS_ITEMS", 4)
     found = D.contaminated(documents(spark, items), bench)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
     assert sorted((r["doc_id"], r["item_id"]) for r in found.collect()) == [(i, i) for i in range(12)]
