@@ -29,7 +29,7 @@ from .components import components
 
 SHINGLE, RADIUS = 3, 3  # fixed by the contract
 SHARD_POINTS = 32_768  # points that a shard has on average, at most
-SPLIT_SAMPLE = 16  # points per shard that the splits are taken from, 2 ** 20 at most
+SPLIT_SAMPLE = 16  # points per shard that the splits are taken from, about 2 ** 20 at most
 LEAF = 64
 HELD_LINKS = 1 << 20  # links in memory before they are thinned to a forest
 
@@ -201,8 +201,10 @@ def linked_prints(prints: DataFrame, radius: int = RADIUS, shard_points: int = S
     ``radius`` bits: a spanning forest per shard. Every such pair is connected by the edges."""
     n = prints.count()
     depth = min(16, math.ceil(math.log2(max(1, n / shard_points))))
-    few = prints.select("fp").orderBy(F.xxhash64(F.lit(7), "fp"), "fp").limit(SPLIT_SAMPLE << depth if depth else 0)
-    tree = Shards(np.array([r[0] for r in few.collect()], np.int64).view(np.uint64), depth, radius)
+    wanted = ((SPLIT_SAMPLE << depth) << 30) // max(1, n) if depth else 0
+    few = prints.select("fp").filter(F.pmod(F.xxhash64(F.lit(7), "fp"), F.lit(1 << 30)) < wanted)
+    sample = few.toArrow().column("fp").to_numpy() if depth else np.empty(0, np.int64)
+    tree = Shards(sample.astype(np.int64).view(np.uint64), depth, radius)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
