@@ -10,8 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
+from pyspark.sql.window import Window
 
 from ..operators.numbering import numbered
+from ..settings import written
 from .batches import free_name
 from .rules import let
 
@@ -47,28 +49,42 @@ def hilbert_index(cell: Column, dims: int, bits: int) -> Column:
     return let(let(turned, decode), interleave)
 
 
-def measure(df: DataFrame, name: str) -> Column:
-    """A number that keeps the order of the column: itself, or the first six bytes of its text."""
-    column = F.col(f"`{name}`")
-    if isinstance(df.schema[name].dataType, NumericType):
-        return column.cast("double")
-    first = F.rpad(F.hex(F.substring(F.encode(column.cast("string"), "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(first, 16, 10).cast("double")
+def text_cuts(df: DataFrame, name: str, parts: int) -> list[str]:
+    """The texts at ``1 / parts``, ``2 / parts`` ... of the rows in the order of their whole values; ``parts - 1``
+    at most. Equal texts are counted first, and only text and count are sorted."""
+    column = F.col(f"`{name}`").cast("string")
+    counts = df.select(column.alias("v")).filter("v IS NOT NULL").groupBy("v").agg(F.count(F.lit(1)).alias("n")).orderBy("v")
+    table = written(counts.withColumn("part", F.spark_partition_id()), "text_counts")
+    sizes = table.groupBy("part").agg(F.sum("n").alias("size"))
+    offsets = sizes.select("part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    so_far = Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # one row per partition of the sorted table: the number of tasks bounds it
+    ranked = table.join(F.broadcast(offsets), "part").select("v", "n", (F.col("before") + F.sum("n").over(so_far)).alias("last"))
+    total = table.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    places = [k * total // parts for k in range(1, parts)] if total else []
+    hit = F.filter(F.array(*map(F.lit, places)), lambda p: (p < F.col("last")) & (p >= F.col("last") - F.col("n")))
+    return [r["v"] for r in ranked.select("v", F.explode(hit)).collect()] if places else []
 
 
 def bins(df: DataFrame, names: list[str], bits: int = BITS) -> list[Column]:
-    """Bin of each dimension, cut at its quantiles; null is in the first. One pass, and a bounded
-    number of cut points reaches the driver."""
+    """Bin of each dimension, cut at its quantiles: numbers at approximate ones, texts at exact ones of their
+    whole values, so that a common prefix costs nothing. Null is in the first. A bounded number of cut
+    points reaches the driver."""
     parts = 1 << bits
     points = F.array(*(F.lit(k / parts) for k in range(1, parts)))
-    row = df.agg(*(F.percentile_approx(measure(df, n), points, ACCURACY).alias(f"c{i}") for i, n in enumerate(names))).first()
-
-    def place(i: int, name: str) -> Column:
-        cuts = sorted(row[f"c{i}"] or [])  # a frequent value repeats, so its neighbours lie far apart
-        known = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<double>")
-        return let(measure(df, name), lambda m: F.when(m.isNull(), 0).otherwise(F.size(F.filter(known, lambda c: c < m))))
-
-    return [place(i, n) for i, n in enumerate(names)]
+    numeric = [n for n in names if isinstance(df.schema[n].dataType, NumericType)]
+    found = [F.percentile_approx(F.col(f"`{n}`").cast("double"), points, ACCURACY) for n in numeric]
+    row = df.agg(*(c.alias(f"c{i}") for i, c in enumerate(found))).first() if found else ()
+    cut = {n: row[i] or [] for i, n in enumerate(numeric)}
+    cut |= {n: text_cuts(df, n, parts) for n in names if n not in cut}
+
+    def place(name: str) -> Column:
+        kind = "double" if name in numeric else "string"
+        cuts = sorted(cut[name])  # a frequent value repeats or fills several parts, so its neighbours lie far apart
+        known = F.array(*map(F.lit, cuts)) if cuts else F.array().cast(f"array<{kind}>")
+        return let(F.col(f"`{name}`").cast(kind), lambda m: F.when(m.isNull(), 0).otherwise(F.size(F.filter(known, lambda c: c < m))))
+
+    return [place(name) for name in names]
 
 
 def hilbert_shards(df: DataFrame, dims: list[str], shards: int, ties: list[Column], bits: int = BITS) -> DataFrame:

@@ -78,7 +78,7 @@ def op9(docs: DataFrame) -> DataFrame:
     rows = docs.select(
         "doc_id", "lang", "source", "n_chars", (F.octet_length(text) + 16).cast("bigint").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    dealt = hilbert.hilbert_shards(rows, ["lang", "source", "n_chars"], 40, [F.col("doc_id"), F.col("text_crc32")])
+    dealt = hilbert.hilbert_shards(rows, ["lang", "source", "n_chars"], 40, [F.col("text_crc32"), F.col("doc_id")])
     return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 

@@ -63,3 +63,22 @@ def test_no_python_in_the_plan(spark, capsys):
     df = spark.range(100).withColumn("a", F.col("id") % 5)
     hilbert.hilbert_shards(df, ["a"], 4, [F.col("id")]).explain()
     assert not re.search("Python|ArrowEval|Pandas", capsys.readouterr().out)
+
+
+def test_texts_with_a_common_prefix_fall_into_bins_of_their_own(spark):
+    df = spark.range(640).select("id", F.concat(F.lit("https://crawl.example.org/very/long/path/"), F.col("id") % 16).alias("source"))
+    source = hilbert.bins(df, ["source"], 5)[0]
+    found = df.select("source", source.alias("b")).distinct().collect()
+    assert len(found) == 16 and len({r["b"] for r in found}) == 16
+    order = [r["b"] for r in sorted(found, key=lambda r: r["source"])]
+    assert order == sorted(order)
+    mixed = spark.createDataFrame([(None,), ("",), ("a",), ("a",), ("a",), ("b",), ("é",)], "t string")
+    assert hilbert.text_cuts(mixed, "t", 3) == ["a", "b"] and sorted(hilbert.text_cuts(mixed, "t", 6)) == ["a", "a", "a", "b", "é"]
+    assert hilbert.text_cuts(mixed.limit(0), "t", 3) == []
+
+
+def test_clashing_columns_and_very_long_texts(spark):
+    odd = spark.createDataFrame([(i, "x" * 100_000 + str(i % 3), "mine") for i in range(30)], "id int, t string, _rank string").withColumns({c: F.lit("mine") for c in ("v", "n", "part", "curve", "slot")})
+    out = hilbert.hilbert_shards(odd, ["t", "v"], 4, [F.col("id")])
+    check_law(out.collect(), 4, 30)
+    assert {r["_rank"] for r in out.collect()} == {"mine"} and {r["v"] for r in out.collect()} == {"mine"}
