@@ -14,12 +14,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..settings import written
 from .batches import Memo, map_text, slices
 
-FIT_ROWS = 20_000  # labelled rows the model is fitted on, about, at most
-MAX_WORDS, MAX_GRAMS, MAX_LANGS = 200_000, 200_000, 200  # sizes of the model's tables
+FIT_ROWS = 20_000  # labelled rows the model is fitted on, about, at most; an equal part for each language
+MAX_WORDS, MAX_GRAMS = 200_000, 200_000  # rows of the model's tables, an equal part for each language,
+MAX_CELLS = 16_000_000  # and their rows times languages: with more than 80 languages the tables have fewer rows
 LONGEST = 5  # characters of the longest n-gram; ^ and $ mark the ends of a word
 SMOOTHING = 0.5
 
@@ -43,6 +45,15 @@ def sampled(df: DataFrame, rows: int, *key: str) -> DataFrame:
     return df.filter(F.pmod(F.xxhash64(F.lit(11), *key), F.lit(1 << 30)) < int((1 << 30) * rows / n))
 
 
+def sampled_by(df: DataFrame, rows: int, group: str, *key: str) -> DataFrame:
+    """About ``rows`` rows, by a hash of ``key``: of each group all, or an equal part of them. One
+    row per group is broadcast: groups are languages here."""
+    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    part = rows / max(1, sizes.count())
+    rate = F.lit(part * (1 << 30)) / F.col("_n")
+    return df.join(F.broadcast(sizes), group).filter(F.pmod(F.xxhash64(F.lit(11), *key), F.lit(1 << 30)) < rate).drop("_n")
+
+
 class Model:
     """Log frequencies by language: of words, and of n-grams by length."""
 
@@ -95,13 +106,14 @@ class Model:
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT_ROWS, key: str = "doc_id") -> Model:
-    """Learn from the rows whose ``lang`` is not null, or from a hash sample of about ``rows`` of them.
+    """Learn from the rows whose ``lang`` is not null, or from a hash sample of about ``rows`` of them, an equal
+    part for each language (all rows of a language with fewer).
 
-    Words and n-grams are counted in Spark; the most frequent ones, bounded in number, and no other
-    part of the table reach the driver. Rows with null or empty texts teach nothing. Without labelled
-    rows the model knows no language and predicts ``und``.
+    Words and n-grams are counted in Spark; the most frequent ones of each language, bounded in number, and no
+    other part of the table reach the driver. Every language that a row with a word has is learned. Rows with
+    null or empty texts teach nothing. Without labelled rows the model knows no language and predicts ``und``.
     """
-    some = sampled(df.filter(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text")), rows, "key")
+    some = sampled_by(df.filter(F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{key}`").alias("key"), F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").cast("string").alias("text")), rows, "lang", "key")
     some = some.select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,23 +127,28 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", rows: int = FIT_R
     counted = some.mapInArrow(count, "lang string, word string, n bigint").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counted = written(counted, "words")
     # the commonest language first: it wins where nothing tells languages apart
-    langs = [r["lang"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect()]
+    sizes = counted.groupBy("lang").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "lang").collect()  # a row per language
+    langs = [r["lang"] for r in sizes]
     if not langs:
         return Model([], [], np.zeros((0, 0)), [], np.zeros((0, 0)))
-    place = F.array_position(F.array(*map(F.lit, langs)), F.col("lang"))
-    sums = [F.sum(F.when(F.col("at") == i + 1, F.col("n")).otherwise(0)).alias(f"l{i}") for i in range(len(langs))]
-    placed = counted.withColumn("at", place).filter("at > 0")
+    number = {lang: i for i, lang in enumerate(langs)}
 
     def top(df: DataFrame, name: str, most: int) -> tuple[list[str], np.ndarray]:
-        table = df.groupBy(name).agg(F.sum("n").alias("n"), *sums).orderBy(F.desc("n"), name).limit(most).toArrow()
-        counts = [table.column(f"l{i}").to_numpy() for i in range(len(langs))]
-        return table.column(name).to_pylist(), np.stack(counts, axis=1)
+        each = max(1, min(most, MAX_CELLS // len(langs)) // len(langs))
+        sums = written(df.groupBy("lang", name).agg(F.sum("n").alias("n")), "sums")
+        rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), name))
+        kept = sums.withColumn("rank", rank).filter(F.col("rank") <= each).select(name).distinct()
+        table = sums.join(kept, name, "left_semi").select("lang", name, "n").toArrow()
+        coded = table.column(name).combine_chunks().dictionary_encode()
+        counts = np.zeros((len(coded.dictionary), len(langs)))
+        counts[coded.indices.to_numpy(), [number[lang] for lang in table.column("lang").to_pylist()]] = table.column("n").to_numpy()
+        return coded.dictionary.to_pylist(), counts
 
     marked = F.concat(F.lit("^"), F.col("word"), F.lit("$"))
     grams = F.flatten(F.array(*(
         F.when(F.char_length(marked) >= n, F.transform(F.sequence(F.lit(1), F.char_length(marked) - n + 1), _cut(marked, n))).otherwise(F.array().cast("array<string>"))
         for n in range(1, LONGEST + 1))))
-    return Model(langs, *top(placed, "word", MAX_WORDS), *top(placed.select("at", "n", F.explode(grams).alias("gram")), "gram", MAX_GRAMS))
+    return Model(langs, *top(counted, "word", MAX_WORDS), *top(counted.select("lang", "n", F.explode(grams).alias("gram")), "gram", MAX_GRAMS))
 
 
 def _cut(word: Column, n: int):

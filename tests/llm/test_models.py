@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from helpers import ODD_TEXTS, repeated_rows
 from pyspark.sql import functions as F
 
@@ -159,3 +160,47 @@ def test_statistics_of_long_texts_are_made_in_pieces(monkeypatch):
     monkeypatch.setattr("labelflow.llm.batches.chunks.__defaults__", (100,))
     assert np.allclose(quality_model.statistics(text.encode()), whole)
     assert quality_model.statistics(b"") == [0.0] * quality_model.STATISTICS
+
+
+def spelled(rng, lang, n=12):
+    """Words over letters that a language has for itself mostly."""
+    own = "abcdefghijklmnopqrstuvwxyz"
+    letters = [own[(lang * 7 + k * (1 + lang % 5)) % 26] for k in range(6)]
+    return " ".join("".join(rng.choices(letters, k=rng.randint(2, 6))) + f"{own[lang % 26]}{own[lang // 26]}" for _ in range(n))
+
+
+def test_three_hundred_languages(spark):
+    rng = random.Random(3)
+    rows = [(i, spelled(rng, i % 300), f"l{i % 300}") for i in range(3000)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert len(model.langs) == 300
+    asked = [(i, spelled(rng, i % 300)) for i in range(600)]
+    out = langid.identify(spark.createDataFrame(asked, "doc_id bigint, text string"), model).collect()
+    assert sum(r["lang_pred"] == f"l{r['doc_id'] % 300}" for r in out) > 0.95 * 600
+
+
+def test_a_rare_language_keeps_its_rows_and_words(spark):
+    """One row in 2,500 of a table, of which a sample of 400 rows is taken."""
+    rng = random.Random(4)
+    rows = [(i, spelled(rng, 0 if i % 2500 else 9), "hot" if i % 2500 else "rare") for i in range(20_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    some = langid.sampled_by(df, 400, "lang", "doc_id").groupBy("lang").count().collect()
+    sizes = {r["lang"]: r["count"] for r in some}
+    assert sizes["rare"] == 8 and 120 < sizes["hot"] < 300
+    model = langid.fit(df, rows=400)
+    asked = spark.createDataFrame([(i, spelled(rng, 9)) for i in range(20)], "doc_id bigint, text string")
+    assert {r["lang_pred"] for r in langid.identify(asked, model).collect()} == {"rare"}
+
+
+def test_counts_of_the_language_model(spark):
+    rows = [(1, "The the cat", "en"), (2, "die Katze the", "de"), (3, "die", "de"), (4, None, "de"), (5, "x", None)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    counts = {"en": {"the": 2, "cat": 1}, "de": {"die": 2, "katze": 1, "the": 1}}
+    assert model.langs == ["de", "en"]
+    words = ["cat", "die", "katze", "the"]
+    assert sorted(model.words.to_pylist()) == words
+    for i, lang in enumerate(model.langs):
+        total = sum(counts[lang].values())
+        for w in words:
+            want = np.log(counts[lang].get(w, 0) + 0.5) - np.log(total + 0.5 * (len(words) + 1))
+            assert model.word_logs[model.words.to_pylist().index(w), i] == pytest.approx(want)
