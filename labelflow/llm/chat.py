@@ -133,8 +133,8 @@ WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations),
 c AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn, role, text) AS l FROM t GROUP BY conv_id),
 u AS (SELECT l, min(conv_id) AS conv_id, count(*) AS copies FROM c GROUP BY l),
 p AS (SELECT DISTINCT l[1:k] AS l FROM (SELECT l, unnest(generate_series(1, len(l) - 1)) AS k FROM u))
-SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, copies, CAST(0 AS BIGINT) AS part,
-       list_reduce(list_transform(l, lambda s: '<|' || coalesce(s.role, '') || '|>' || chr(10)
+SELECT conv_id, CAST(len(l) AS BIGINT) AS n_turns, copies, CAST(part AS BIGINT) AS part,
+       list_reduce(list_transform(l[part * PART + 1:(part + 1) * PART], lambda s: '<|' || coalesce(s.role, '') || '|>' || chr(10)
                                   || replace(coalesce(s.text, ''), '<|', '< |') || '<|end|>' || chr(10)), lambda a, b: a || b) AS chat
-FROM u WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.l = u.l)
-"""
+FROM (SELECT *, unnest(generate_series(0, (len(l) - 1) // PART)) AS part FROM u WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.l = u.l))
+""".replace("PART", str(PART_TURNS))

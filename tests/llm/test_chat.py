@@ -70,3 +70,16 @@ def test_one_long_conversation_is_spread_and_rendered_in_parts(spark):
 def test_no_python_in_the_plan(spark, capsys):
     chat.format_chats(spark.range(4).select(F.col("id").alias("conv_id"), F.lit(0).alias("turn"), F.lit("user").alias("role"), F.lit("x").alias("text"))).explain()
     assert not re.search("Python|ArrowEval|Pandas", capsys.readouterr().out)
+
+
+def test_the_sql_cuts_long_conversations_in_the_same_places(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, i, "user", f"turn {i}") for i in range(2500)] + [(2, i, "user", f"turn {i}") for i in range(1000)] + [(3, 0, "user", "x" * 500_000)]
+    df = spark.createDataFrame(rows, TURNS)
+    df.write.parquet(str(tmp_path / "c"))
+    db = duckdb.connect()
+    db.sql(f"CREATE VIEW conversations AS SELECT * FROM '{tmp_path}/c/*.parquet'")
+    want = sorted(db.sql(f"SELECT conv_id, n_turns, copies, part, chat FROM ({chat.CHAT_SQL})").fetchall())
+    assert sorted(tuple(r) for r in chat.format_chats(df).collect()) == want
+    assert [(w[0], w[3]) for w in want] == [(1, 0), (1, 1), (1, 2), (3, 0)]
