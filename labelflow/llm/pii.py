@@ -1,8 +1,8 @@
 """Personal data in whole texts: plain identifiers, and disguised ones by offset-preserving transducers.
 
 A transducer rewrites a text and remembers which source characters each rewritten stretch came from.
-They run one after the other: look-alike characters, at/dot disguises, spelled digits. The
-identifier rules run on the plain text (base spans) and on the rewritten one; a span found there
+They run one after the other: character references, look-alike characters, at/dot disguises, spelled
+numbers with spelled dots, spelled digits. The identifier rules run on the plain text (base spans) and on the rewritten one; a span found there
 that holds rewritten characters is mapped back to the source. Offsets are code points, end exclusive.
 """
 
@@ -83,6 +83,7 @@ SIGNS = {
     "\ufe6b": "@", "\u2024": ".", "\u3002": ".", "\uff61": ".", "\u2010": "-", "\u2011": "-", "\u2012": "-", "\u2013": "-",
     "\u2212": "-", "\ufe63": "-", "\ufe62": "+", "\u00a0": " ", "\u2007": " ", "\u202f": " ",
 }
+REFERENCES = {"commat": "@", "period": ".", "plus": "+", "lowbar": "_", "hyphen": "-", "nbsp": " "}
 HIDDEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 DIGIT_WORDS = {
     w: str(n) for words in (
@@ -115,20 +116,38 @@ LOOK_ALIKE = _look_alikes()
 RARE = re.compile("[\u00a0\u00ad\u0100-\U0010ffff]")  # every key of LOOK_ALIKE is one of these
 
 OPEN, CLOSE = r"[\[({<]", r"[\])}>]"
-MARKED_AT = re.compile(rf"\s?{OPEN}\s*(?:at|@|arroba|ät)\s*{CLOSE}\s?", re.I)
-MARKED_DOT = re.compile(rf"\s?{OPEN}\s*(?:dot|punkt|point|punto|\.)\s*{CLOSE}\s?", re.I)
+# How "at" and "dot" of an address are said (English, German, French, Italian, Spanish and Portuguese).
+FORMS = (("at", "dot"), ("at|ät|klammeraffe", "punkt"), ("arobase|arrobase", "point"), ("chiocciola", "punto"), ("arroba", "punto|ponto"))
+AT_WORDS, DOT_WORDS = ("|".join(dict.fromkeys("|".join(words).split("|"))) for words in zip(*FORMS))
+MARKED_AT = re.compile(rf"\s?{OPEN}\s*(?:{AT_WORDS}|@)\s*{CLOSE}\s?", re.I)
+MARKED_DOT = re.compile(rf"\s?{OPEN}\s*(?:{DOT_WORDS}|\.)\s*{CLOSE}\s?", re.I)
 NAME, LABEL, SEP = r"[A-Za-z0-9_%+-]+", r"[A-Za-z0-9-]+", r"(?:\s+dot\s+|\.)"
 # a written-out address: local part, sign, domain; which of these are ones is up to address_end
 WRITTEN = re.compile(rf"(?<![\w.%+-])({NAME}(?:{SEP}{NAME}){{0,126}})(\s+at\s+|@)({LABEL}(?:{SEP}{LABEL}){{1,252}})", re.I)
 BETWEEN = re.compile(SEP, re.I)
+# the same in the words of the other languages: at and every dot, or all dots but the last, said
+SPOKEN = tuple(
+    (re.compile(rf"(?<![\w.%+-])({NAME}(?:(?:\s+(?:{dot})\s+|\.){NAME}){{0,126}})(\s+(?:{at})\s+|@)({LABEL}(?:(?:\s+(?:{dot})\s+|\.){LABEL}){{1,252}})", re.I),
+     re.compile(rf"\s+(?:{dot})\s+|\.", re.I)) for at, dot in FORMS[1:])
+SPOKEN_HINT = re.compile(rf"\s(?:{'|'.join(at for at, _ in FORMS[2:])}|klammeraffe)\s|\spunkt\s", re.I)
+# an at sign, and dots, with blanks around them
+SPACED = re.compile(rf"(?<![\w.%+-])({NAME}(?:(?:\s\.\s|\.){NAME}){{0,126}})(\s@\s?|@\s)({LABEL}(?:(?:\s\.\s|\.){LABEL}){{1,252}})")
+SPACED_DOT = re.compile(r"\s?\.\s?")
+SPACED_HINT = re.compile(r"\s@|@\s")
 # only texts with one of these are searched for written-out addresses
 HINT = re.compile(r"\s(?:dot\s|at\s+[a-z0-9-]+\.[a-z0-9.-]*[a-z]{2})", re.I)
 NUMBER_DOT = re.compile(r"(?<=[0-9])\s+dot\s+(?=[0-9])", re.I)
 DOT_WORD = re.compile(r"(?<=\S)\s+dot\s+", re.I)
-MARKED = re.compile(rf"{OPEN}\s*(?:at|@|arroba|ät|dot|punkt|point|punto|\.)\s*{CLOSE}", re.I)
+MARKED = re.compile(rf"{OPEN}\s*(?:{AT_WORDS}|{DOT_WORDS}|[@.])\s*{CLOSE}", re.I)
+REFERENCE = re.compile(rf"&(?:#([0-9]{{1,7}})|#x([0-9a-f]{{1,6}})|({'|'.join(REFERENCES)}));", re.I)
 _word = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-SPELLED = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?(?:{_word}|[0-9]+)(?:[\s,.-]{{1,2}}(?:{_word}|[0-9]+)){{3,}}(?![^\W_])", re.I)
-SPELLED_WORD = re.compile(rf"(plus)[\s-]+|{_word}|([\s,.-]{{2}}|[\n\t,.])", re.I)
+_token = rf"(?:(?:(?:double|triple)[\s-])?{_word}|[0-9]+)"
+SPELLED = re.compile(rf"(?<![^\W_])(?:plus[\s-]+)?{_token}(?:[\s,.-]{{1,2}}{_token}){{3,}}(?![^\W_])", re.I)
+SPELLED_WORD = re.compile(rf"(plus)[\s-]+|(?:(double|triple)[\s-])?({_word})|([\s,.-]{{2}}|[\n\t,.])", re.I)
+_part = rf"(?:{_word}|[0-9]{{1,3}}(?![0-9]))"
+SPELLED_IP = re.compile(rf"(?<![\w.-]){_part}(?:[\s-]{_part}){{0,2}}(?:(?:\s+(?:{DOT_WORDS})\s+|\.){_part}(?:[\s-]{_part}){{0,2}}){{3}}(?!\w)", re.I)
+SPELLED_IP_PART = re.compile(rf"(\s+(?:{DOT_WORDS})\s+)|({_word})|([\s-])", re.I)
+SAID_DOT = re.compile(rf"\s(?:{DOT_WORDS})\s", re.I)
 
 Edit = tuple[int, int, str]
 
@@ -139,6 +158,20 @@ def look_alikes(text: str) -> list[Edit]:
     return [(m.start(), m.end(), new) for m in RARE.finditer(text) if (new := LOOK_ALIKE.get(ord(m[0]))) is not None]
 
 
+def references(text: str) -> list[Edit]:
+    """``&#64;``, ``&#x40;``, ``&commat;`` and the like; blanks and control characters stay as they are."""
+    if "&" not in text:
+        return []
+    edits = []
+    for m in REFERENCE.finditer(text):
+        code = int(m[1]) if m[1] else int(m[2], 16) if m[2] else 0
+        if m[3]:
+            edits.append((m.start(), m.end(), REFERENCES[m[3].lower()]))
+        elif 0x20 < code < 0x110000 and not 0x7F <= code < 0xA0 and not 0xD800 <= code < 0xE000:
+            edits.append((m.start(), m.end(), chr(code)))
+    return edits
+
+
 def marked_signs(text: str) -> list[Edit]:
     """``(at)``, ``[dot]`` and the like."""
     if not MARKED.search(text):
@@ -173,6 +206,51 @@ def address_end(text: str, m: re.Match) -> int:
     return 0
 
 
+def last_label(text: str, m: re.Match, between: re.Pattern, spaced: bool) -> int:
+    """Where the address of a match of ``SPOKEN`` or ``SPACED`` ends: after its last label that is known and fits, or 0.
+
+    The words of the other languages are rarely met in running text, so "at" and "punkt" want a label that is no word, and
+    the rest any known one. Around a spaced at sign the local part must be no word, and the label neither a word nor an
+    ending of files, in one case ("q @ k.mT")."""
+    a, b = m.span(2)
+    at, seps = text[a:b].strip().lower(), list(between.finditer(text, *m.span(3)))
+    begins, ends = [m.start(3), *(s.end() for s in seps)], [*(s.start() for s in seps), m.end(3)]
+    said = any(s[0].strip() != "." for s in between.finditer(text, *m.span(1)))
+    if spaced and any(domains.ordinary(w) for x in between.split(m[1]) for w in x.split("-") if w):
+        return 0
+    for k in range(len(seps), 0, -1):
+        before, label = text[begins[k - 1]:ends[k - 1]], text[begins[k]:ends[k]]
+        plain = label.lower() in domains.PLAIN
+        if not domains.known(label) or label.istitle() and before.islower():
+            continue
+        if spaced:
+            fits = plain and label.lower() not in domains.FILES and (label.islower() or label.isupper())
+        else:
+            fits = (plain or at not in ("at", "@")) and (at != "@" or said) and (
+                at != "at" or said or any(s[0].strip() != "." for s in seps[:k]))
+        if fits:
+            return ends[k]
+    return 0
+
+
+def spoken_signs(text: str) -> list[Edit]:
+    """At and dots of addresses in the words of other languages, and those with blanks around them."""
+    rules = [(rule, between, False) for rule, between in SPOKEN] if SPOKEN_HINT.search(text) else []
+    if "@" in text and SPACED_HINT.search(text):
+        rules.append((SPACED, SPACED_DOT, True))
+    edits = []
+    for rule, between, spaced in rules:
+        at = 0
+        while m := rule.search(text, at):
+            end = last_label(text, m, between, spaced)
+            at = end or m.end(2)
+            if end:
+                edits += [(*m.span(2), "@")] if m[2] != "@" else []
+                edits += [(d.start(), d.end(), ".") for x, y in (m.span(1), (m.start(3), end)) for d in between.finditer(text, x, y) if d[0] != "."]
+                edits += [(end, end, " ")] if end < m.end() and text[end] == "." else []
+    return edits
+
+
 def written_signs(text: str) -> list[Edit]:
     """`` at `` and `` dot `` of written-out addresses, `` dot `` between digits. A blank is put between an address and
     a dot right behind it, which would draw the next word in."""
@@ -190,14 +268,31 @@ def written_signs(text: str) -> list[Edit]:
     return edits + [(m.start(), m.end(), ".") for m in NUMBER_DOT.finditer(text)]
 
 
-def spelled_digits(text: str) -> list[Edit]:
+def spelled(text: str) -> bool:
     words = text.lower().replace("-", " ").replace(",", " ").replace(".", " ").split()
-    if DIGIT_WORDS.keys().isdisjoint(words):
+    return not DIGIT_WORDS.keys().isdisjoint(words)
+
+
+def spelled_ips(text: str) -> list[Edit]:
+    """Four numbers of up to three spelled or single digits with dots, said or not, between them."""
+    if not SAID_DOT.search(text) or not spelled(text):
+        return []
+    edits = []
+    for m in SPELLED_IP.finditer(text):
+        if SAID_DOT.search(m[0]):
+            for w in SPELLED_IP_PART.finditer(text, m.start(), m.end()):
+                edits.append((w.start(), w.end(), "." if w[1] else DIGIT_WORDS[w[2].lower()] if w[2] else ""))
+    return edits
+
+
+def spelled_digits(text: str) -> list[Edit]:
+    if not spelled(text):
         return []
     edits = []
     for m in SPELLED.finditer(text):
         for w in SPELLED_WORD.finditer(text, m.start(), m.end()):
-            edits.append((w.start(), w.end(), "+" if w[1] else " " if w[2] else DIGIT_WORDS[w[0].lower()]))
+            new = "+" if w[1] else " " if w[4] else DIGIT_WORDS[w[3].lower()] * {"double": 2, "triple": 3}.get((w[2] or "").lower(), 1)
+            edits.append((w.start(), w.end(), new))
     return edits
 
 
@@ -233,7 +328,7 @@ class Rewritten:
         return a, b, any(self.origin[k][2] for k in range(first, last + 1))
 
 
-TRANSDUCERS = (look_alikes, marked_signs, written_signs, spelled_digits)
+TRANSDUCERS = (references, look_alikes, marked_signs, written_signs, spoken_signs, spelled_ips, spelled_digits)
 
 
 def disguised(text: str) -> list[Span]:
@@ -257,7 +352,14 @@ def disguised(text: str) -> list[Span]:
 def all_spans(text: str) -> list[tuple[str, int, int, bool]]:
     """Base spans, and disguised ones that no base span of their kind contains; by kind as listed, then start."""
     base = identifiers(text)
-    more = [s for s in disguised(text) if not any(k == s[0] and a <= s[1] and s[2] <= b for k, a, b in base)]
+    of_kind = {kind: [(a, b) for k, a, b in base if k == kind] for kind in KINDS}
+
+    def covered(kind: str, a: int, b: int) -> bool:
+        """Base spans of a kind don't overlap: only the last one that begins by ``a`` can hold the span."""
+        k = bisect_right(of_kind[kind], a, key=lambda s: s[0])
+        return k > 0 and b <= of_kind[kind][k - 1][1]
+
+    more = [s for s in disguised(text) if not covered(*s)]
     return sorted([(*s, True) for s in base] + [(*s, False) for s in more], key=lambda s: (KINDS.index(s[0]), s[1:]))
 
 

@@ -97,6 +97,41 @@ def test_ordinary_words_are_no_addresses(text):
     assert pii.all_spans(text) == []
 
 
+@pytest.mark.parametrize("text, kind, want", [
+    ("it is one nine two dot one six eight dot zero dot one, ok", "ip", "one nine two dot one six eight dot zero dot one"),
+    ("1 9 2 dot 1 6 8 dot zero dot 1", "ip", "1 9 2 dot 1 6 8 dot zero dot 1"),
+    ("eins null punkt null punkt null punkt sieben", "ip", "eins null punkt null punkt null punkt sieben"),
+    ("an anna chiocciola firma punto it.", "email", "anna chiocciola firma punto it"),
+    ("anna punto rossi chiocciola posta.firma punto it", "email", "anna punto rossi chiocciola posta.firma punto it"),
+    ("ana arroba correo punto es", "email", "ana arroba correo punto es"),
+    ("écrire à luc arobase courrier point fr merci", "email", "luc arobase courrier point fr"),
+    ("schreib an jens at firma punkt de bitte", "email", "jens at firma punkt de"),
+    ("jane @ example . com", "email", "jane @ example . com"),
+    ("jane.doe @ mail.example.org.", "email", "jane.doe @ mail.example.org"),
+    ("jane&#64;example.com", "email", "jane&#64;example.com"),
+    ("jane&#X40;example&period;com;", "email", "jane&#X40;example&period;com"),
+    ("plus one double five 555 1234", "phone", "plus one double five 555 1234"),
+    ("+1&nbsp;555 123 4567", "phone", "+1&nbsp;555 123 4567"),
+])
+def test_transducers_compose_and_know_other_languages(text, kind, want):
+    assert want in [text[a:b] for k, a, b, _ in pii.all_spans(text) if k == kind]
+
+
+@pytest.mark.parametrize("text", [
+    "estaba a punto de salir", "der punkt an dem es", "at this point in time", "measured at Curie point is", "y = q @ k.mT + x @ w.T",
+    "look @ home . is it", "one point five points to nine", "AT&amp;T &#10; &#9;", "le point de vue", "an dem punkt at home"])
+def test_words_of_other_languages_are_no_addresses(text):
+    assert pii.all_spans(text) == []
+
+
+def test_many_spans_take_linear_time():
+    for text in ("bob@mail.com " * 50_000 + "eve (at) mail (dot) com " * 50_000, "a @ b . com " * 50_000, "x chiocciola y punto it " * 30_000,
+                 "one " * 100_000, "one dot " * 60_000, "&#64;" * 100_000, "a . " * 100_000 + "@ ", "1 " + "dot 1 " * 60_000):
+        began = time.process_time()
+        pii.all_spans(text)
+        assert time.process_time() - began < 20
+
+
 def test_written_addresses_take_linear_time():
     for text in ("a at " * 60_000, "a at b." * 40_000, "a dot a at " * 20_000, " " * 200_000 + "dot com", "a at b.com." * 30_000):
         began = time.process_time()
