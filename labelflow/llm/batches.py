@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,7 +45,7 @@ def word_lists(text: bytes) -> Iterator[list[bytes]]:
 def slices(batch: pa.RecordBatch, text: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``size`` bytes in column ``text``, one row at least,
     so that what is made from the rows goes out before the rest is begun."""
-    lengths = [len(t) for t in utf8(batch.column(text))]
+    lengths = pc.binary_length(batch.column(text)).fill_null(0).to_pylist()
     start = held = 0
     for i, n in enumerate(lengths):
         if held and held + n > size:
@@ -87,22 +88,29 @@ def map_text(df: DataFrame, text: str, new: dict[str, str], start: Callable[[],
 
 
 class Memo(dict):
-    """Remembers ``make(key)`` for the keys used of late: a full generation of ``limit`` keys becomes
-    the old one, from which keys come back when used, and the one before it is forgotten."""
+    """Remembers ``make(key)`` for the keys used of late: a full generation of ``limit`` keys or ``room``
+    characters (or bytes) of keys becomes the old one, from which keys come back when used, and the one
+    before it is forgotten. Keys of over ``longest`` are made anew each time, so that neither many
+    nor long words of a kind (base64, code in one line) fill the memory."""
 
-    def __init__(self, make, limit: int = 500_000):
+    def __init__(self, make, limit: int = 500_000, room: int = 32 << 20, longest: int = 1024):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.room, self.longest = make, limit, room, longest
+        self.held = 0
         self.old: dict = {}
 
     def __missing__(self, key):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
-        if len(self) >= self.limit:
+        if len(key) > self.longest:
+            return value
+        if len(self) >= self.limit or self.held >= self.room:
             self.old = dict(self)
             self.clear()
+            self.held = 0
         self[key] = value
+        self.held += len(key)
         return value
 
 

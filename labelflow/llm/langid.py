@@ -77,7 +77,8 @@ class Model:
         for n in range(min(LONGEST, len(marked)), 0, -1):
             known = [k for i in range(len(marked) - n + 1) if (k := place.get(marked[i:i + n])) is not None]
             if known:
-                return self.gram_logs[known].mean(axis=0)
+                logs = (self.gram_logs[known[a:a + 4096]].sum(axis=0) for a in range(0, len(known), 4096))  # a word may be very long
+                return sum(logs) / len(known)
         return np.zeros(len(self.langs))
 
     def predict(self, texts: pa.Array, memo: Memo) -> tuple[list[str], np.ndarray]:

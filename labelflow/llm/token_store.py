@@ -30,6 +30,7 @@ from ..settings import fresh_path, written
 from .batches import Memo, slices, worker_state
 
 SAMPLE = 256
+RUN = 1 << 14  # documents whose bounds are held at a time
 WORDS, PARTS = 500_000, 350_000  # words and lower-case parts of words that a worker remembers, twice at most
 TRAILER = "<8sBQQqQQQ"  # magic, id width, documents, ids, smallest doc id, null ids, lengths of the two sequences
 MAGIC = b"EFIDS001"
@@ -74,8 +75,8 @@ class EliasFano:
         first, last = k * self.low_bits, (k + 1) * self.low_bits
         return int.from_bytes(self.low[first // 8:(last + 7) // 8], "little") >> first % 8 & (1 << self.low_bits) - 1
 
-    def select(self, k: int) -> int:
-        """The k-th number: from the sampled one before it to the k-th set bit, a word at a time."""
+    def _place(self, k: int) -> int:
+        """Where the k-th set bit is: from the sampled one before it, a word at a time."""
         if not 0 <= k < self.n:
             raise IndexError(k)
         start = int(self.samples[k // SAMPLE])
@@ -87,19 +88,25 @@ class EliasFano:
             word = int.from_bytes(self.high[at:at + 8], "little")
         for _ in range(left):
             word &= word - 1
-        one = at * 8 + (word & -word).bit_length() - 1
-        return one - k << self.low_bits | self._low(k)
-
-    def values(self) -> np.ndarray:
-        """All numbers."""
-        ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.high, np.uint8), bitorder="little"))
-        out = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
-        step = (1 << 13) * 8
-        for a in range(0, self.n if self.low_bits else 0, step):
-            m = min(step, self.n - a)
-            data = np.frombuffer(self.low, np.uint8, (m * self.low_bits + 7) // 8, a * self.low_bits // 8)
-            bits = np.unpackbits(data, count=m * self.low_bits, bitorder="little").reshape(m, -1)
-            out[a:a + m] |= (bits.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+        return at * 8 + (word & -word).bit_length() - 1
+
+    def select(self, k: int) -> int:
+        """The k-th number."""
+        return self._place(k) - k << self.low_bits | self._low(k)
+
+    def run(self, first: int, last: int) -> np.ndarray:
+        """The numbers ``first`` to ``last - 1``: a select at either end, and the unary bits between them."""
+        if first >= last:
+            return np.zeros(0, np.int64)
+        begin, end = self._place(first), self._place(last - 1) + 1
+        bits = np.unpackbits(np.frombuffer(self.high, np.uint8, (end + 7) // 8 - begin // 8, begin // 8), bitorder="little")
+        ones = np.flatnonzero(bits[begin % 8:end - begin // 8 * 8])
+        out = ones + (begin - np.arange(first, last)) << self.low_bits
+        if self.low_bits:
+            a, b = first * self.low_bits, last * self.low_bits
+            bits = np.unpackbits(np.frombuffer(self.low, np.uint8, (b + 7) // 8 - a // 8, a // 8), bitorder="little")
+            bits = bits[a % 8:a % 8 + b - a].reshape(-1, self.low_bits)
+            out |= bits.astype(np.int64) @ (1 << np.arange(self.low_bits, dtype=np.int64))
         return out
 
 
@@ -135,6 +142,12 @@ class IdFile:
     def bounds(self, k: int) -> tuple[int, int]:
         return self.ends.select(k - 1) if k else 0, self.ends.select(k)
 
+    def documents(self, first: int, last: int) -> tuple[pa.Array, np.ndarray]:
+        """Ids of the documents ``first`` to ``last - 1``, and their bounds, one more."""
+        known = self.doc_ids.run(max(first - self.nulls, 0), max(last - self.nulls, 0)) + self.smallest
+        docs = pa.concat_arrays([pa.nulls(last - first - len(known), pa.int64()), pa.array(known, pa.int64())])
+        return docs, np.concatenate([[self.ends.select(first - 1) if first else 0], self.ends.run(first, last)])
+
     def ids(self, begin: int, end: int) -> np.ndarray:
         return np.frombuffer(self._at(begin * self.width, (end - begin) * self.width), f"<u{self.width}")
 
@@ -142,13 +155,13 @@ class IdFile:
         self.file.close()
 
 
-def finish(out: BinaryIO, width: int, doc_ids: list[int | None], ends: list[int]) -> None:
-    """Write what follows the ids. ``doc_ids`` rise, with nulls first."""
-    nulls = sum(d is None for d in doc_ids)
-    known = doc_ids[nulls:]
-    smallest = known[0] if known else 0
-    sequences = [EliasFano.of(np.array([d - smallest for d in known], np.uint64)).to_bytes(), EliasFano.of(np.array(ends, np.uint64)).to_bytes()]
-    out.write(b"".join([*sequences, struct.pack(TRAILER, MAGIC, width, len(doc_ids), ends[-1] if ends else 0, smallest, nulls, *map(len, sequences))]))
+def finish(out: BinaryIO, width: int, nulls: int, doc_ids: array, ends: array) -> None:
+    """Write what follows the ids. ``doc_ids`` rise; the ``nulls`` documents without an id come before them."""
+    smallest = doc_ids[0] if doc_ids else 0
+    # the difference of two ids may be beyond a signed 64-bit number, not beyond an unsigned one
+    known = np.array(doc_ids, np.int64).view(np.uint64) - np.array(smallest, np.int64).view(np.uint64)
+    sequences = [EliasFano.of(known).to_bytes(), EliasFano.of(np.array(ends, np.uint64)).to_bytes()]
+    out.write(b"".join([*sequences, struct.pack(TRAILER, MAGIC, width, len(ends), ends[-1] if ends else 0, smallest, nulls, *map(len, sequences))]))
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -243,7 +256,7 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        coder, out, docs, ends, n = None, None, [], [], 0
+        coder, out, docs, ends, n = None, None, array("q"), array("q"), 0
         for batch in batches:
             for b in slices(batch, 1, 4 << 20):
                 if out is None:
@@ -252,17 +265,17 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
                     system.create_dir(place, recursive=True)
                     name = f"part-{part:06d}-{uuid.uuid4().hex}.ids"
                     out = system.open_output_stream(f"{place}/{name}")
-                docs += b.column(0).to_pylist()
+                docs.frombytes(b.column(0).drop_null().to_numpy().astype(np.int64).tobytes())
                 ids, count = coder.encode(b.column(1))
                 if end_id is not None:
                     ids, count = np.insert(ids, np.cumsum(count), end_id), count + 1
-                ends += (n + np.cumsum(count)).tolist()
+                ends.frombytes((n + np.cumsum(count)).astype(np.int64).tobytes())
                 n += len(ids)
                 out.write(ids.tobytes())
         if out is not None:
-            finish(out, coder.width, docs, ends)
+            finish(out, coder.width, len(ends) - len(docs), docs, ends)
             out.close()
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name}"], "n_docs": [len(docs)], "n_ids": [n]})
+            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name}"], "n_docs": [len(ends)], "n_ids": [n]})
 
     return written(dealt.mapInArrow(run, MANIFEST), "manifest")
 
@@ -270,7 +283,7 @@ def write_ids(df: DataFrame, tokenizer: str, folder: str, end_id: int | None = 1
 def read_ids(manifest: DataFrame) -> DataFrame:
     """The documents of the files: ``doc_id``, ``start`` (ids in all documents before it), ``n_tokens``
     and ``ids`` (binary: little-endian unsigned 32-bit). The manifest has a row per file, whose
-    offsets are summed in Spark; a task reads a file in runs of documents."""
+    offsets are summed in Spark; a task reads a file in runs of documents, each found by select."""
     from pyspark.sql.window import Window
 
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -280,19 +293,18 @@ def read_ids(manifest: DataFrame) -> DataFrame:
         for b in batches:
             for path, base in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 file = IdFile(path)
-                ends = file.ends.values().astype(np.int64)
-                docs = [None] * file.nulls + (file.doc_ids.values().astype(np.int64) + file.smallest).tolist()
-                starts = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-                first = 0
-                while first < len(ends):
-                    last = max(first + 1, int(np.searchsorted(ends, starts[first] + (1 << 21), "right")))
-                    ids = file.ids(int(starts[first]), int(ends[last - 1])).astype("<u4")
-                    cuts = (np.concatenate([starts[first:first + 1], ends[first:last]]) - starts[first]) * 4
-                    binary = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids)])
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array(docs[first:last], pa.int64()), pa.array(starts[first:last] + base),
-                        pa.array(ends[first:last] - starts[first:last]), binary], ["doc_id", "start", "n_tokens", "ids"])
-                    first = last
+                for begin in range(0, file.n_docs, RUN):
+                    docs, bounds = file.documents(begin, min(begin + RUN, file.n_docs))
+                    first, n = 0, len(docs)
+                    while first < n:
+                        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + (1 << 21), "right")) - 1)
+                        ids = file.ids(int(bounds[first]), int(bounds[last])).astype("<u4")
+                        cuts = (bounds[first:last + 1] - bounds[first]) * 4
+                        binary = pa.Array.from_buffers(pa.binary(), last - first, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(ids)])
+                        yield pa.RecordBatch.from_arrays([
+                            docs[first:last], pa.array(bounds[first:last] + base), pa.array(np.diff(bounds[first:last + 1])), binary],
+                            ["doc_id", "start", "n_tokens", "ids"])
+                        first = last
                 file.close()
 
     parts = max(1, min(manifest.count(), 100_000))

@@ -18,7 +18,8 @@ def test_elias_fano_gives_every_number_back(n):
     for top in (0, 1, n, 3 * n + 1, 10**6, 2**50):
         values = np.sort(np.random.default_rng(n).integers(0, top + 1, n, dtype=np.uint64))
         kept = S.EliasFano.from_bytes(S.EliasFano.of(values).to_bytes())
-        assert (kept.values() == values).all()
+        for first, last in ((0, n), (n // 3, n // 2), (n - 1, n), (n // 2, n // 2)):
+            assert (kept.run(max(first, 0), last) == values[max(first, 0):last].astype(np.int64)).all()
         for k in range(n) if n < 1000 else random.Random(n).sample(range(n), 300):
             assert kept.select(k) == values[k]
 
@@ -93,3 +94,34 @@ def test_repeated_and_null_ids_and_empty_tables(spark, tmp_path):
     assert [r["doc_id"] for r in ordered] == [None, None, 0, 0, 1, 1, 2, 2]
     assert [r["start"] for r in ordered] == [0] + np.cumsum([r["n_tokens"] for r in ordered]).tolist()[:-1]
     assert S.read_ids(S.write_ids(docs.limit(0), PATH, str(tmp_path / "b"))).count() == 0
+
+
+def test_files_are_read_in_runs_of_documents(spark, tmp_path, monkeypatch):
+    """Nulls first, the widest ids there are, and texts whose ids fill more than a run."""
+    ids = [None, None, -(1 << 63), -5, 0, 1, 2, 3, (1 << 63) - 1]
+    docs = spark.createDataFrame([(i, f"text {i}") for i in ids], "doc_id bigint, text string").coalesce(1)
+    manifest = S.write_ids(docs, PATH, str(tmp_path / "ids"))
+    want = by_library([(i, f"text {i}") for i in ids])
+    assert [r[0] for r in S.read_ids(manifest).orderBy("start").collect()] == ids
+    for r in manifest.collect():
+        file = S.IdFile(r["path"])
+        for first in range(file.n_docs):
+            for last in range(first, file.n_docs + 1):
+                docs, bounds = file.documents(first, last)
+                assert docs.to_pylist() == [file.doc_id(k) for k in range(first, last)]
+                assert bounds.tolist()[1:] == [file.bounds(k)[1] for k in range(first, last)] and bounds[0] == (file.bounds(first - 1)[1] if first else 0)
+        file.close()
+    assert len(want) == len(ids)
+
+
+def test_long_words_are_encoded_and_not_remembered():
+    """Words of a megabyte, of which there may be many (base64, code in one line)."""
+    coder = S.Encoder(PATH)
+    words = ["".join(random.Random(k).choice("abcdefghijklmnop+/=") for _ in range(1 << 20)) for k in range(3)]
+    many = [f"{k:x}" * 90 for k in range(1 << 20, (1 << 20) + 2000)]
+    coder.word.room = 100_000
+    assert encoded(coder, words) == coder._many(words)
+    assert encoded(coder, [" ".join(many)]) == [b"".join(coder._many(many))]
+    for memo in (coder.word, coder.part):
+        assert all(len(w) <= memo.longest for w in [*memo, *memo.old])
+    assert sum(map(len, coder.word)) <= 100_000 + 1024 and sum(map(len, coder.word.old)) <= 100_000 + 1024
