@@ -284,3 +284,41 @@ def w6_new(t: Tables):
 @query("W6_expand_sizes", f"WITH {EXPANDED} SELECT c AS cluster_id, count(*) AS count FROM assigned GROUP BY 1")
 def w6_sizes(t: Tables):
     return expanded(t).sizes
+
+
+# -- a profile from sketches: documents by source, one source stored twice --------------------------------
+
+def stored_sketches(t: Tables):
+    path = fresh_path(t.spark, "sketches")
+    docs = t.documents.select("source", "doc_id", "lang", "n_chars")
+    O.store_sketches(O.sketch_columns(docs, ["doc_id", "lang", "n_chars"], F.col("source")), path)
+    again = docs.filter("source = 'src0'")
+    O.store_sketches(O.sketch_columns(again, ["doc_id", "lang", "n_chars"], F.col("source")), path)
+    return O.read_sketches(t.spark, path)
+
+
+def _counted(column: str, number: bool) -> str:
+    low, high = (f"min({column})::DOUBLE", f"max({column})::DOUBLE") if number else ("NULL::DOUBLE", "NULL::DOUBLE")
+    return f"SELECT '{column}' AS \"column\", count(*) AS n, count(*) - count({column}) AS nulls, {low} AS low, {high} AS high FROM documents"
+
+
+@query("W5_merged_counts", " UNION ALL ".join(_counted(c, c != "lang") for c in ("doc_id", "lang", "n_chars")))
+def w5_merged(t: Tables):
+    """Exact counts and bounds of the whole table, merged from its parts."""
+    return O.merge_sketches(stored_sketches(t)).select("column", "n", "nulls", "low", "high")
+
+
+@query("W5_merged_top", """
+SELECT * FROM (SELECT 'lang' AS "column", lang AS item, count(*) AS count FROM documents WHERE lang IS NOT NULL GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 3)""")
+def w5_merged_top(t: Tables):
+    """Frequent values of a column with fewer values than are tracked, so the merged counts are exact."""
+    merged = O.merge_sketches(stored_sketches(t).filter(F.col("column") == "lang"))
+    return O.sketch_summary(merged, top=3).select("column", F.inline("top")).select("column", "item", "count")
+
+
+@query("W5_merged_profile")
+def w5_merged_profile(t: Tables):
+    """With estimates: distinct values and quantiles, held against the exact forms in the tests."""
+    told = O.sketch_summary(O.merge_sketches(stored_sketches(t)))
+    quarters = [F.col("quantiles")[k].alias(f"q{k + 1}") for k in range(3)]
+    return told.select("column", "n", "nulls", "n_distinct", *quarters, joined(F.col("top")["item"]).alias("top"))

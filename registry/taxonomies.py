@@ -194,3 +194,45 @@ SELECT c.label, array_to_string(list_sort(list(DISTINCT a.label)), '|') AS paren
 FROM places c JOIN places a ON starts_with(c.path, a.path || '/') GROUP BY c.label""")
 def t10_closure(t: Tables):
     return O.closure_table(places(t)).select("label", joined("parents").alias("parents"))
+
+
+# -- relations: each supplier is near the next two of its eight, and in its nation and region ------------
+
+EDGES = """places AS (SELECT * FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+edges AS (
+  SELECT s_suppkey::VARCHAR AS doc, s_name AS source, 'near' AS relation, printf('Supplier#%09d', s_suppkey + k) AS target, k = 2 AS inherited
+  FROM places, (VALUES (1), (2)) v(k) WHERE s_suppkey % 8 < 6
+  UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'in', n_name, FALSE FROM places
+  UNION ALL SELECT s_suppkey::VARCHAR, s_name, 'in', r_name, TRUE FROM places
+  UNION ALL SELECT s_suppkey::VARCHAR, s_name, NULL, 'somewhere', FALSE FROM places WHERE s_suppkey % 8 = 7)"""
+
+
+def supplier_edges(t: Tables):
+    key = F.col("s_suppkey")
+    places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    near = F.format_string('{"near":"Supplier#%09d"},"Supplier#%09d",', key + 1, key + 2)
+    listed = F.concat(F.when(key % 8 < 6, near).when(key % 8 == 7, '"somewhere",').otherwise(""), F.format_string('{"in":"%s"},"%s"', "n_name", "r_name"))
+    body = F.format_string('{"Suppliers":{"instances":[{"%s":{"type":"Supplier","relationship":[%s]}}]}}', "s_name", listed)
+    return O.relation_edges(places.select(key.cast("string").alias("doc"), body.alias("body")))
+
+
+@query("T3_relation_edges", f"WITH {EDGES} SELECT * FROM edges")
+def t3_edges(t: Tables):
+    return supplier_edges(t)
+
+
+@query("T3_relation_problems", f"""WITH {EDGES}
+SELECT doc, source, relation, target, 'no relation' AS problem FROM edges WHERE relation IS NULL
+UNION ALL SELECT doc, source, relation, target, 'unknown target' FROM edges
+WHERE target NOT IN (SELECT s_name FROM supplier) AND target NOT IN (SELECT n_name FROM nation)""")
+def t3_relation_problems(t: Tables):
+    labels = t.supplier.select(F.col("s_name").alias("label")).union(t.nation.select("n_name"))
+    return O.relation_problems(supplier_edges(t), labels)
+
+
+@query("T3_related", f"""WITH RECURSIVE {EDGES}, way AS (
+  SELECT relation, source, target, 1 AS distance FROM edges WHERE relation IS NOT NULL
+  UNION SELECT w.relation, w.source, e.target, w.distance + 1 FROM way w JOIN edges e ON e.relation = w.relation AND e.source = w.target)
+SELECT relation, source, target, min(distance) AS distance FROM way GROUP BY relation, source, target""")
+def t3_related(t: Tables):
+    return O.related(supplier_edges(t))
