@@ -6,7 +6,8 @@ results and are chosen by the measured size of the term table:
 * ``inline``    terms bound as one array value, evaluated in the JVM with early stop, no shuffle
 * ``automaton`` terms broadcast, one pass of a multi-pattern matcher per text, no shuffle
 * ``blocks``    term table of any size: cut in taxonomy order into blocks that fit the broadcast bound,
-                one such pass per block over the written result of the one before; still no shuffle
+                one such pass per block; the records are written once, the passes write what they
+                find, and one join by row number brings it back
 
 Every row is matched by itself, so ids may repeat or be NULL. Where the ``ahocorasick`` package is
 absent the matcher tries term by term, with the same result.
@@ -15,15 +16,15 @@ absent the matcher tries term by term, with the same result.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import description_terms, empty_strings, name_terms
-from ..settings import measure, setting, written
+from ..settings import fresh_path, measure, row_keyed, setting
 from .numbering import numbered
 
 EDGE = "\x01"
@@ -135,25 +136,45 @@ def _most(own: list[list[int]], found: set[int], k: int) -> list[tuple[int, int]
 
 
 def _by_blocks(df: DataFrame, body: Column, terms: DataFrame, k: int, out: str, pick, bound: int | None) -> DataFrame:
-    """One pass of a multi-pattern matcher per block of labels; ``pick`` scores a text's labels of the
-    block, and the best ``k`` of all blocks so far are carried along in the row."""
-    best = F.array().cast(_FOUND)
-    base, done = df.withColumn("_lower_text", body), 0
-    for number, rows in enumerate(_blocks(terms, bound)):
-        if number:
-            base = base.withColumn("_found_so_far", best)
-            base = base if df.isStreaming else written(base, "keywords")
-            best = F.col("_found_so_far")
-        found = _scan(df.sparkSession, rows, done, k, pick)
+    """A multi-pattern matcher per block of labels; ``pick`` scores a text's labels of the block.
+
+    A single block is matched in the row, as are all blocks of a stream, with the best ``k`` so far carried
+    along. Several blocks of a table are passes over the numbered records, written once: each pass
+    writes what it found, ``k`` labels of a record at most, and the best ``k`` of all are joined back.
+    """
+    runs = _blocks(terms, bound)
+    first, second = next(runs), next(runs, None)
+    if second is not None and not df.isStreaming:
+        return _by_passes(df, body, chain([first, second], runs), k, out, pick)
+    base, best, done = df.withColumn("_lower_text", body), F.array().cast(_FOUND), 0
+    for run in chain([first], [] if second is None else [second], runs):
+        found = F.pandas_udf(_scan(df.sparkSession, run, done, k, pick)[0], _FOUND)
         # in taxonomy order a text that has k labels needs no further block
         full = (F.size(best) >= k) if pick is _first else F.lit(False)
         new = F.coalesce(found(F.when(~full, F.col("_lower_text"))), F.array().cast(_FOUND))
         best = F.slice(F.array_sort(F.concat(best, new)), 1, k)
-        done += len(rows)
+        done += len(run)
     return base.withColumn("_found_so_far", best).withColumn(out, F.transform("_found_so_far", lambda s: s["label"])).drop("_lower_text", "_found_so_far")
 
 
+def _by_passes(df: DataFrame, body: Column, runs: Iterable[list], k: int, out: str, pick) -> DataFrame:
+    spark, row, done = df.sparkSession, "_match_row", 0
+    rows = row_keyed(df, row)
+    path = fresh_path(spark, "keywords")
+    for number, run in enumerate(runs):
+        match, shared = _scan(spark, run, done, k, pick)
+        hits = rows.select(row, F.explode(F.pandas_udf(match, _FOUND)(body)).alias("hit"))
+        hits.write.parquet(f"{path}/block={number}")
+        shared.destroy()
+        done += len(run)
+    found = spark.read.schema(hits.schema).parquet(path)
+    best = found.groupBy(row).agg(F.slice(F.array_sort(F.collect_list("hit")), 1, k).alias("_found"))
+    names = F.transform("_found", lambda s: s["label"])
+    return rows.join(best, row, "left").withColumn(out, F.coalesce(names, empty_strings())).drop(row, "_found")
+
+
 def _scan(spark, rows: list, place: int, k: int, pick):
+    """The function that finds the labels of ``rows`` in batches of texts, and the broadcast that it reads."""
     names = [r["label"] for r in rows]
     owners: dict[str, list[int]] = {}
     for i, r in enumerate(rows):
@@ -167,7 +188,7 @@ def _scan(spark, rows: list, place: int, k: int, pick):
         for batch in texts:
             yield pd.Series([[{"score": s, "place": place + i, "label": names[i]} for s, i in pick(own, find(t), k)] if t else [] for t in batch])
 
-    return F.pandas_udf(match, T.ArrayType(T.StructType.fromDDL("score int, place bigint, label string")))
+    return match, shared
 
 
 def term_overlap(

@@ -116,12 +116,12 @@ def classification_requests(
     df: DataFrame, text: str, labels: DataFrame, k: int = 5, *, key: str = "id", template: str = CLASSIFY,
     prompt: bool = True, page_bytes: int | None = None,
 ) -> DataFrame:
-    """One request per record with the whole label list: ``request_id, id, text, prompt``.
+    """One request per record and page of the label list: ``request_id, id, text, prompt, page``.
 
-    A list of more than ``page_bytes`` (the inline limit unless given) is cut in taxonomy order into
-    pages, each of which makes a request of its own: ``request_id`` is then the id with ``#`` and the
-    page number, a column ``page`` is added, and :func:`join_pages` puts the replies together.
-    ``prompt=False`` leaves the prompt out, for providers that do not read it.
+    A list of up to ``page_bytes`` (the inline limit unless given) is one page. A longer one is cut in
+    taxonomy order into several, each of which makes a request of its own, whose ``request_id`` is the id
+    with ``#`` and the page number. :func:`join_pages` puts the replies together, however many pages.
+    ``prompt=False`` leaves prompt and page out, for providers that do not read them.
     """
     request = [F.col(key).cast("string").alias("request_id"), F.col(key), F.col(text).alias("text")]
     if not prompt:
@@ -130,7 +130,8 @@ def classification_requests(
     limit = page_bytes or setting(df.sparkSession, "inlineBytes")
     slots = {"text": blank_to_empty(text), "labels": F.col("_block"), "k": F.lit(str(k))}
     if size <= limit:
-        return df.withColumn("_block", label_block(labels).scalar()).select(*request, fill_template(template, slots).alias("prompt"))
+        return df.withColumn("_block", label_block(labels).scalar()).select(
+            *request, fill_template(template, slots).alias("prompt"), F.lit(1).cast("bigint").alias("page"))
     per_page = max(1, n * limit // size)
     placed = numbered(labels.select("label", "description", "pos"), [F.col("pos").asc(), F.col("label").asc()], "_at")
     placed = placed.withColumn("_page", F.floor(F.col("_at") / per_page).cast("bigint"))

@@ -36,6 +36,21 @@ def m1(t: Tables):
     return asked.select("id", "request_id", F.md5(F.col("prompt").cast("binary")).alias("prompt"))
 
 
+@query("M1_request_pages", f"""
+WITH block AS (SELECT string_agg('Passage_' || item_id || ': ' || text, chr(10) ORDER BY item_id) AS b FROM benchmark)
+SELECT doc_id AS id, md5(b) AS labels, md5({template_sql(CLASSIFY, text='text', labels="''", k="'5'")}) AS question FROM documents, block""")
+def m1_pages(t: Tables):
+    """The label list in pages of 4 KiB: every record is asked about all labels once, in taxonomy order, by the same question."""
+    asked = O.classification_requests(documents(t), "text", passages(t), 5, page_bytes=4096)
+    parts = r"(?s)^(.*\n\nLabels:\n)(.*)(\n\nAnswer with at most .*)$"
+    lines = F.regexp_replace(F.regexp_extract("prompt", parts, 2), r"(?m)^\d+\. (?=Passage_\d)", "")
+    question = F.concat(F.regexp_extract("prompt", parts, 1), F.regexp_extract("prompt", parts, 3))
+    pages = asked.select("id", "page", lines.alias("lines"), F.md5(question.cast("binary")).alias("question"))
+    whole = pages.groupBy("id", "question").agg(F.array_sort(F.collect_list(F.struct("page", "lines"))).alias("l"))
+    text = F.array_join(F.transform("l", lambda e: e["lines"]), "\n")
+    return whole.select("id", F.md5(text.cast("binary")).alias("labels"), "question")
+
+
 @query("M2_parse_reply", f"""WITH {REPLIES}, items AS (
   SELECT id, unnest(l) AS item, generate_subscripts(l, 1) AS i
   FROM (SELECT id, list_transform(string_split(reply, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) AS l FROM replies)),

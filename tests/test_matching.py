@@ -198,6 +198,22 @@ def test_keywords_treat_each_row_by_itself(spark, form):
         spark.conf.unset("spark.labelflow.broadcastBytes")
 
 
+def test_records_are_written_once_for_all_blocks(spark, monkeypatch):
+    from labelflow.operators import keywords
+
+    calls, keyed = [], keywords.row_keyed
+    monkeypatch.setattr(keywords, "row_keyed", lambda df, column: calls.append(column) or keyed(df, column))
+    labels = spark.createDataFrame([(f"Name{n}", "abcdefghijkl"[n] * 4, n) for n in range(12)], "label string, description string, pos int")
+    df = spark.createDataFrame([(None, "llll dddd hhhh"), (1, None), (1, ""), (1, "dddd"), (1, "dddd")], "id int, text string")
+    want = sorted([["Name3", "Name7"], [], [], ["Name3"], ["Name3"]])
+    spark.conf.set("spark.labelflow.broadcastBytes", "40")
+    try:
+        out = O.match_keywords(df, "text", labels, 2, out="o", form="blocks")
+        assert out.columns == ["id", "text", "o"] and sorted(r["o"] for r in out.collect()) == want and len(calls) == 1
+    finally:
+        spark.conf.unset("spark.labelflow.broadcastBytes")
+
+
 def test_many_blocks_agree_with_one(spark):
     rng = random.Random(5)
     word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(2, 4)))

@@ -93,6 +93,15 @@ def test_a_long_label_list_is_asked_page_by_page(spark, records):
     assert joined["status"] == "ok" and joined["reply"].split(", ")[0] == "Label02" and "None" not in joined["reply"] and "Label06" not in joined["reply"]
 
 
+def test_requests_have_one_shape_for_any_list(spark, records):
+    one = O.classification_requests(records, "text", labels(spark))
+    many = O.classification_requests(records, "text", labels(spark), page_bytes=20)
+    assert one.columns == many.columns and one.dtypes == many.dtypes
+    assert {r["page"] for r in one.collect()} == {1} and many.count() > one.count()
+    said = one.select("request_id", F.lit("A, B").alias("reply"), F.lit("ok").alias("status"))
+    assert sorted(map(tuple, O.join_pages(one, said).collect())) == sorted(map(tuple, said.collect()))
+
+
 def test_a_page_limit_changes_no_label(spark, records):
     """A provider that reads its prompt: it picks the labels of the list whose name stands in the text."""
     import pandas as pd
