@@ -20,9 +20,15 @@ SYMBOL = r"[#*$%&|<>]"
 PUNCTUATION = r"[^\p{L}\p{M}\p{N}\x20\x09-\x0D]"
 SEPARATOR = r"[|»›•·]"
 ENDS = r"[.!?…。！？:;][\"'”’»)\]]*[\x20\x09-\x0D]*$"
+# Accented letters are given in all forms, as (?i) folds plain letters only; no phrase ends in one.
 BOILERPLATE = (
     r"(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|enable javascript|"
-    r"sign (in|up)|log ?in|subscribe (now|to)|click here|share (this|on)|skip to (main )?content|lorem ipsum)\b"
+    r"sign (in|up)|log ?in|subscribe (now|to)|click here|share (this|on)|skip to (main )?content|lorem ipsum|"
+    r"alle rechte vorbehalten|datenschutzerkl[aäÄ]rung|nutzungsbedingungen|hier klicken|jetzt (anmelden|abonnieren)|zum inhalt springen|"
+    r"tous droits r[eéÉ]serv[eéÉ]s|mentions l[eéÉ]gales|politique de (confidentialit\S*|cookies)|conditions d['’]utilisation|"
+    r"cliquez ici|abonnez-vous|aller au contenu|"
+    r"todos los derechos reservados|aviso legal|pol[iíÍ]tica de (privacidad|cookies)|condiciones de uso|ha(ga|z) clic|"
+    r"inicia(r)? sesi[oóÓ]n|suscr[iíÍ]bete|saltar al contenido)\b"
 )
 DEFAULTS = {
     "min_words": 10,  # base rules
@@ -160,7 +166,7 @@ lost AS (
   WHERE (n >= 5 AND marks * 100 > chars * 20)
      OR (n < 5 AND NOT regexp_matches(line, '[.!?…。！？:;]["''”’»)\]]*[\x20\x09-\x0D]*$'))
      OR (seps >= 3 AND seps * 4 >= n)
-     OR (n <= 12 AND regexp_matches(line, '(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|enable javascript|sign (in|up)|log ?in|subscribe (now|to)|click here|share (this|on)|skip to (main )?content|lorem ipsum)\b'))
+     OR (n <= 12 AND regexp_matches(line, '(?i)\b(all rights reserved|cookie policy|privacy policy|terms of (use|service)|enable javascript|sign (in|up)|log ?in|subscribe (now|to)|click here|share (this|on)|skip to (main )?content|lorem ipsum|alle rechte vorbehalten|datenschutzerkl[aäÄ]rung|nutzungsbedingungen|hier klicken|jetzt (anmelden|abonnieren)|zum inhalt springen|tous droits r[eéÉ]serv[eéÉ]s|mentions l[eéÉ]gales|politique de (confidentialit\S*|cookies)|conditions d[''’]utilisation|cliquez ici|abonnez-vous|aller au contenu|todos los derechos reservados|aviso legal|pol[iíÍ]tica de (privacidad|cookies)|condiciones de uso|ha(ga|z) clic|inicia(r)? sesi[oóÓ]n|suscr[iíÍ]bete|saltar al contenido)\b'))
   GROUP BY doc_id),
 m AS (
   SELECT doc_id, len(words) AS n_words, word_chars, n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,

@@ -37,13 +37,25 @@ def test_counts_by_brute_force(spark):
     ("A plain sentence of several ordinary words.", True), ("A title without a stop at its end", True), ("Menu item", False), ("Yes.", True),
     ("“Yes!”", True), ("", True), ("   ", True), ("home | news | sport | about | contact", False), ("a | b", False),
     ("All rights reserved.", False), ("Sign in to read the rest of this story.", False), ("He was about to sign in the presence of two of his oldest friends, and did.", True),
-    ("this*** that$$$ those%%% these### them&&&", False), ("FOR!! ONE!! AND!! ALL!! NOW!!", False), ("Ça va très bien, merci à vous.", True), ("これは文です。", True),
+    ("this*** that$$$ those%%% these### them&&&", False), ("FOR!! ONE!! AND!! ALL!! NOW!!", False), ("Ça va très bien, merci à vous.", True),
+    ("© 2021 Beispiel GmbH, alle Rechte vorbehalten.", False), ("Bitte lesen Sie unsere DATENSCHUTZERKLÄRUNG, bevor Sie weitergehen.", False),
+    ("© 2021 Exemple, TOUS DROITS RÉSERVÉS.", False), ("Lire notre politique de confidentialité avant de continuer.", False), ("Voir les conditions d’utilisation du site.", False),
+    ("Lea nuestra política de privacidad antes de continuar.", False), ("Para seguir leyendo, inicia sesión con tu cuenta.", False),
+    ("Die Rechte und Pflichten stehen im dritten Teil.", True), ("La politique de la ville a changé cette année.", True), ("La política de su país ha cambiado mucho.", True), ("これは文です。", True),
 ])
 def test_line_rules(spark, line, passes):
     df = spark.createDataFrame([(line,)], "line string")
     assert df.select(rules.line_passes(F.col("line"), rules.DEFAULTS)).first()[0] is passes
 
 
+def test_very_long_texts(spark):
+    sentence = "Quiet rivers{} carry stones{} towards distant shores{} every single spring{}."
+    text = "\n".join(sentence.format(i, i, i, i) for i in range(20_000)) + "\nAll rights reserved.\n" + "x" * 500_000
+    r = rules.quality_rules(documents(spark, [text])).first()
+    assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == plain_counts(text)
+    assert r["lost_chars"] == len("Allrightsreserved.") + 500_000 and "reserved" not in r["clean_text"] and r["kept"]
+
+
 def test_documents_that_lose_too_much_are_rejected(spark):
     good = "\n".join(f"Sentence{i} number{i} says{i} something{i} quite{i} new{i} here{i}." for i in range(10))
     menu = "\n".join(f"item {i}" for i in range(60))
