@@ -81,7 +81,7 @@ def run_batches(df: DataFrame, step: Callable[[DataFrame], DataFrame], path: str
     batches = -(-rest.count() // batch_rows)
     done = 0
     part = F.pmod(F.xxhash64(CONTENT), F.lit(max(1, batches)))
-    rest = written(rest.repartitionByRange(part).withColumn("_batch", part).sortWithinPartitions("_batch"), "batches")
+    rest = written(rest.repartitionByRange(part, CONTENT).withColumn("_batch", part).sortWithinPartitions("_batch"), "batches")
     finished = []
     for n in range(batches):
         if most is not None and done == most:
