@@ -40,3 +40,51 @@ def test_inline_lookup_gives_way_beyond_its_bounds(spark, bounds):
         for k in bounds:
             spark.conf.unset(f"spark.labelflow.{k}")
     assert got == [(0, [], []), (1, [], []), (1, ["Name 3", 'quoted "é\n'], ["x"])]
+
+
+# -- nearest labels ------------------------------------------------------------------------------
+
+def test_labels_of_one_vector_are_scored_once(spark, monkeypatch):
+    from labelflow.operators import similarity
+
+    seen = []
+    near = similarity._near_udf
+    monkeypatch.setattr(similarity, "_near_udf", lambda labels, k: seen.append(labels.count()) or near(labels, k))
+    labels = spark.range(500).select(
+        F.format_string("L%03d", "id").alias("label"), F.when(F.col("id") % 2 == 0, F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.lit(2.0))).alias("vector"))
+    rows = spark.createDataFrame([(1, [3.0, 0.0]), (1, [1.0, 2.0]), (None, None)], "id int, vector array<double>")
+    got = sorted(r["candidate_labels"] for r in O.attach_nearest(rows, labels, 3, form="broadcast").collect())
+    assert got == [[], ["L000", "L002", "L004"], ["L001", "L003", "L005"]] and seen == [6]
+    for form in ("grid", "cells"):
+        assert sorted(r["candidate_labels"] for r in O.attach_nearest(rows, labels, 3, form=form).collect()) == got
+
+
+# -- vectors of texts ----------------------------------------------------------------------------
+
+def test_vectors_are_made_in_runs_of_words(spark, monkeypatch):
+    from labelflow.operators import vectors
+
+    rows = spark.createDataFrame([(i, " ".join(f"w{j % 7}" for j in range(i % 30)) if i % 11 else None) for i in range(300)], "id int, text string")
+
+    def made():
+        return {r["id"]: r["vector"] for r in O.embed_text(rows, "text", 8).collect()}
+
+    whole = made()
+    assert vectors.RUN_WORDS > 1
+    monkeypatch.setattr(vectors, "RUN_WORDS", 10)
+    assert made() == whole
+
+
+# -- resumed runs --------------------------------------------------------------------------------
+
+def test_rows_of_one_batch_go_to_many_tasks(spark, monkeypatch, tmp_path):
+    from labelflow.plans import resume
+
+    parts, write = {}, resume.written
+    monkeypatch.setattr(resume, "written", lambda df, name: parts.setdefault(name, df.rdd.getNumPartitions()) and write(df, name))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        run = resume.run_batches(spark.range(1000), lambda rows: rows, str(tmp_path / "run"), batch_rows=1000)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert (run.batches_done, run.rows.count()) == (1, 1000) and parts["batches"] > 1
