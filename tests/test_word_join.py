@@ -1,5 +1,6 @@
 """Word joins against all pairs, cluster terms, node tables and observed counts."""
 
+import glob
 import math
 import random
 import re
@@ -47,6 +48,31 @@ def test_words_against_all_pairs(spark, threshold):
             O.word_matches(df, table, 4, 0)
 
 
+def test_pairs_that_are_no_match_are_not_stored(spark):
+    from labelflow import settings
+
+    rng = random.Random(3)
+    pool = [f"w{i}" for i in range(40)]
+    texts = [" ".join(rng.sample(pool, 20)) for _ in range(90)] + [" ".join(pool[:n]) for n in (1, 2, 30, 40)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "id int, text string")
+    table = df.select(F.format_string("l%03d", "id").alias("label"), "text")
+    for bound, n in ((None, len(rows)), ("6000", 60), ("1", 6)):  # one block, blocks of 25 labels, blocks of one
+        some = table.filter(F.col("label") < f"l{n:03}")
+        want = all_pairs(rows, [(f"l{i:03}", None, t) for i, t in rows[:n]], 3, 0.5)
+        start = len(settings._folders)
+        if bound:
+            spark.conf.set("spark.labelflow.broadcastBytes", bound)
+        try:
+            assert Counter(tuple(r) for r in O.word_matches(df, some, 3, 0.5, label_text="text").collect()) == want
+        finally:
+            spark.conf.unset("spark.labelflow.broadcastBytes")
+        (stored,) = [f"{f}/word_pairs".removeprefix("file:") for f in settings._folders[start:] if glob.glob(f"{f}/word_pairs")]
+        blocks = len(glob.glob(f"{stored}/block=[0-9]*"))
+        assert blocks == {None: 1}.get(bound, blocks) and (bound != "1" or blocks == n)
+        assert spark.read.parquet(stored).count() <= 3 * len(rows) * blocks
+
+
 def test_cluster_terms(spark):
     rows = [(0, "the cat the Cat sat"), (0, "the cat"), (1, "the dog ran the race"), (1, "dog"), (-1, "nothing nothing nothing"), (2, None)]
     got = {(r["cluster_id"], r["word"]): (r["count"], r["score"]) for r in O.cluster_terms(spark.createDataFrame(rows, "cluster_id int, text string"), "text", 99).collect()}
