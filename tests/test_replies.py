@@ -207,3 +207,29 @@ def test_clusters_and_gaps(spark):
     said = asked.select("request_id", F.lit('{"potential_new_entities":"NONE","thematic_gap_suggestions":"A: b\\n\\nC: d"}').alias("reply"), F.lit("ok").alias("status"))
     found = O.gap_suggestions(asked, said).first()
     assert found["potential_new_entities"] == [] and found["thematic_gap_suggestions"] == ["A: b", "C: d"]
+
+
+def test_pages_of_a_label_list_are_not_shuffled_with_the_records(spark, tmp_path):
+    import hashlib
+
+    import registry
+    from labelflow.operators.replies import CLASSIFY
+
+    registry.load()
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    notes = [(n, f"word{n} " * 120) for n in range(20)]
+    texts = [(1, "a text"), (2, None), (2, "a text"), (3, "\n\nLabels:\n1. Passage_0: no label")]
+    spark.createDataFrame(notes, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(i, t, "en", "s") for i, t in texts], "doc_id bigint, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = registry.QUERIES["M1_request_pages"](spark, str(tmp_path))
+    block = md5("\n".join(f"Passage_{n}: {t}" for n, t in notes))
+    want = sorted((i, block, md5(CLASSIFY.replace("{text}", t or "").replace("{labels}", "").replace("{k}", "5"))) for i, t in texts)
+    assert sorted(map(tuple, got.collect())) == want
+    assert "Pick the labels" not in got._jdf.queryExecution().toString()  # digests are grouped, not the prompts
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        named = spark.createDataFrame([(f"L{n}", t, n) for n, t in notes], "label string, description string, pos bigint")
+        asked = O.classification_requests(spark.createDataFrame(texts, "id bigint, text string"), "text", named, page_bytes=4096)
+        assert "SortMergeJoin" not in asked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
