@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from .batches import Memo, map_text, worker_state
 
 SPACE = "▁"  # stands for a blank in pieces
-WORDS, PARTS = 400_000, 400_000  # words and parts that a worker remembers, twice at most
+WORDS, PARTS = 400_000, 200_000  # words and parts of cut words that a worker remembers, twice at most
 
 
 class Pieces:
@@ -85,7 +85,11 @@ class Pieces:
         """Ids of a blank and ``word``, a run of blanks with what follows it."""
         text = SPACE + word
         seams = [i for i, pair in enumerate(map(add, text, word), 1) if pair not in self.inside]
-        ids = self.fresh[word] = b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
+        if seams:
+            ids = b"".join([self.part[text[a:b]] for a, b in zip([0, *seams], [*seams, len(text)])])
+        else:
+            ids = self._part(text)  # the word itself is remembered, so its only part needs no room of its own
+        self.fresh[word] = ids
         return ids
 
     def _words(self, text: str) -> list[str]:

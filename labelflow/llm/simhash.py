@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import join_unique
 from ..settings import written
-from .batches import free_name, map_text, utf8, word_lists
+from .batches import free_name, map_text, utf8, word_lists, worker_state
 from .components import components
 
 SHINGLE, RADIUS = 3, 3  # fixed by the contract
@@ -63,7 +63,11 @@ def with_fingerprint(df: DataFrame, text: str = "text", shingle: int = SHINGLE,
     def make(texts: pa.Array) -> list[pa.Array]:
         return [pa.array(np.array([fingerprint(t, shingle) for t in utf8(texts)], np.uint64).view(np.int64))]
 
-    return map_text(df, text, {column: "bigint"}, lambda: make)
+    def start():
+        worker_state("fingerprints")  # what a stage before has remembered is not needed here
+        return make
+
+    return map_text(df, text, {column: "bigint"}, start)
 
 
 class Shards:
