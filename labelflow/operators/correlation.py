@@ -24,10 +24,10 @@ def label_pairs(df: DataFrame, column: str, min_support: int = 1, chunk: int = C
     ``lift`` is how much more often than by chance: ``together * rows / (count_a * count_b)``, all rows counted. A label
     counts once a row. Labels below ``min_support`` can't be in such a pair and are taken out first. A list is cut into
     chunks, and every two chunks are a row of their own, so a very long list is many tasks; pairs are
-    counted where they are made.
+    counted where they are made. The lists are made once and written, as they are read several times.
     """
-    rows = df.select(F.array_sort(F.array_distinct(F.filter(column, lambda x: x.isNotNull()))).alias("l"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    rows = written(df.select(F.array_sort(F.array_distinct(F.filter(column, lambda x: x.isNotNull()))).alias("l")), "label_lists")
+    total = F.lit(rows.count())
     counts = rows.select(F.explode("l").alias("label")).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     counts = written(counts.filter(F.col("n") >= min_support), "label_counts")
     if min_support > 1:
