@@ -8,6 +8,7 @@
 3. A shard builds a vantage-point tree over its points and asks it for the partners of its own and
    its visiting points; it returns a spanning forest of the links, never all pairs.
 4. Components of the forest edges, by alternating stars in Spark.
+5. Rows are kept or dropped by narrow keys; only the texts of rows that go or come twice are shuffled.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ SHARD_POINTS = 32_768  # points that a shard has on average, at most
 SPLIT_SAMPLE = 16  # points per shard that the splits are taken from, about 2 ** 20 at most
 LEAF = 64
 HELD_LINKS = 1 << 20  # links in memory before they are thinned to a forest
+MAX_BITS = 1 << 27  # of the bitmap of rows that go or come twice (16 MiB)
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = 42) -> int:
@@ -223,16 +225,8 @@ def linked_prints(prints: DataFrame, radius: int = RADIUS, shard_points: int = S
     return dealt.groupBy("shard").applyInArrow(lambda t: _forest(t, radius), "u bigint, v bigint")
 
 
-def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
-    shard_points: int = SHARD_POINTS,
-) -> DataFrame:
-    """One row per row of ``docs``: its id, ``text_hash``, ``fp``, and in ``first`` the id and hash of
-    the first row of its component (smallest id, null ids last, then text hash).
-
-    Null and empty texts have fingerprint zero and link like any other. Equal fingerprints are one
-    point whatever their number. Repeated rows get equal results; an empty table an empty one.
-    """
+def _classed(docs: DataFrame, doc_id: str, text: str, shingle: int = SHINGLE, radius: int = RADIUS, shard_points: int = SHARD_POINTS) -> DataFrame:
+    """The rows of :func:`near_duplicates`, and ``alone``: whether no other row is in the component."""
     rows = docs.select(F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(f"`{text}`").alias("text_hash"), F.col(f"`{text}`").alias("_text"))
     prints = written(with_fingerprint(rows, "_text", shingle), "prints")
     first = F.struct(F.col("_id").isNull().alias("no_id"), F.col("_id").alias("id"), F.col("text_hash").alias("text_hash"))
@@ -243,16 +237,51 @@ def near_duplicates(
     member = written(member.join(points, "fp"), "members")
     lowest = member.groupBy("root").agg(F.min("first").alias("low"), F.count(F.lit(1)).alias("size"))
     named = join_unique(member.select("fp", "root"), lowest, "root", "size", member.count()).select("fp", "low")
-    points = written(points.join(named, "fp", "left").select("fp", F.coalesce("low", "first").alias("first"), "n"), "classes")
-    return join_unique(prints, points, "fp", "n", prints.count()).select(F.col("_id").alias(doc_id), "text_hash", "fp", "first")
+    alone = F.col("low").isNull() & (F.col("n") == 1)
+    points = written(points.join(named, "fp", "left").select("fp", F.coalesce("low", "first").alias("first"), "n", alone.alias("alone")), "classes")
+    return join_unique(prints, points, "fp", "n", prints.count()).select(F.col("_id").alias(doc_id), "text_hash", "fp", "first", "alone")
+
+
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS,
+    shard_points: int = SHARD_POINTS,
+) -> DataFrame:
+    """One row per row of ``docs``: its id, ``text_hash``, ``fp``, and in ``first`` the id and hash of
+    the first row of its component (smallest id, null ids last, then text hash).
+
+    Null and empty texts have fingerprint zero and link like any other. Equal fingerprints are one
+    point whatever their number. Repeated rows get equal results; an empty table an empty one.
+    """
+    return _classed(docs, doc_id, text, shingle, radius, shard_points).drop("alone")
+
+
+def _parts(rows: DataFrame, key: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The ``rows`` whose ``key`` may be in ``keys`` (a column of that name, distinct), and those where it is
+    not, told by a bitmap of bounded size that every task gets: neither part is shuffled."""
+    bits = min(MAX_BITS, max(1 << 15, 1 << (16 * keys.count()).bit_length()))
+    place = F.pmod(F.xxhash64(F.col(key)), F.lit(bits)) + 1
+    bucket, held = free_name("_bucket", rows.columns), free_name("_held", rows.columns)
+    maps = keys.groupBy(F.bitmap_bucket_number(place).alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias(held))
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col(held), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    marked = rows.withColumn(bucket, F.bitmap_bucket_number(place)).join(F.broadcast(maps), bucket, "left")
+    found = F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False))
+    return marked.filter(found).drop(bucket, held), marked.filter(~found).drop(bucket, held)
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the first row stays, with all its columns."""
-    rows = near_duplicates(docs, doc_id, text, **options)
-    key = F.concat_ws(":", F.col("first.id").cast("string"), F.col("first.text_hash").cast("string"))
-    firsts = rows.select(key.alias("_row")).distinct()
-    own = F.concat_ws(":", F.col(f"`{doc_id}`").cast("string"), F.xxhash64(f"`{text}`").cast("string"))
+    """The rows of ``docs`` without near-duplicates: of each component the first row stays, with all its columns.
+
+    Rows are judged by narrow keys. Only those that go or come twice travel with their texts (and what a
+    bitmap can't tell from them); all others stay in the task that reads them.
+    """
     row = free_name("_row", docs.columns)
-    kept = docs.withColumn(row, own).join(firsts.withColumnRenamed("_row", row), row, "left_semi")
-    return kept.dropDuplicates([row]).drop(row)
+    first = F.concat_ws(":", F.col("first.id").cast("string"), F.col("first.text_hash").cast("string"))
+    own = F.concat_ws(":", F.col(f"`{doc_id}`").cast("string"), F.col("text_hash").cast("string"))
+    rows = _classed(docs, doc_id, text, **options).filter("NOT alone").select(own.alias(row), (own == first).alias("stays"))
+    keys = rows.groupBy(row).agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("n"))
+    keys = written(keys.filter("NOT stays OR n > 1").select(row, "stays"), "keys")
+    keyed = docs.withColumn(row, F.concat_ws(":", F.col(f"`{doc_id}`").cast("string"), F.xxhash64(f"`{text}`").cast("string")))
+    travel, stay = _parts(keyed, row, keys.select(row))
+    kept = travel.dropDuplicates([row]).join(keys.filter("NOT stays").select(row), row, "left_anti")
+    return stay.unionByName(kept).drop(row).select(*(f"`{c}`" for c in docs.columns))

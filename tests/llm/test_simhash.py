@@ -127,3 +127,39 @@ def test_a_hot_group_of_copies_is_one_point(spark):
     assert rows.count() == 3300
     assert rows.filter("doc_id < 3000 AND first.id = 0").count() == 3000
     assert simhash.keep_first(docs).filter("doc_id < 3000").count() == 1
+
+
+def test_rows_without_near_copies_are_not_shuffled(spark):
+    docs = spark.range(0, 400, 1, 7).select(
+        F.when(F.col("id") < 390, F.col("id")).otherwise(F.col("id") % 2).alias("doc_id"),
+        F.when(F.col("id") < 380, F.concat(F.lit("text "), F.sha2(F.col("id").cast("string"), 256), F.lit(" of "), F.md5(F.col("id").cast("string"))))
+        .otherwise(F.lit("one text that comes again")).alias("text"), F.lit(1).alias("_held"), F.lit(2).alias("_bucket"), F.lit(3).alias("stays"))
+    docs = simhash.written(docs.repartitionByRange(7, "doc_id"), "docs")
+    where = {r["doc_id"]: r["part"] for r in docs.filter("text LIKE 'text %'").withColumn("part", F.spark_partition_id()).collect()}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # else the little that is shuffled goes to one part
+    try:
+        kept = simhash.keep_first(docs)
+        rows = kept.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert kept.columns == docs.columns
+    own = {r["doc_id"]: r["text"] for r in rows if r["text"].startswith("text ")}
+    assert sorted(own) == list(range(380)) and len(set(own.values())) == 380
+    assert [r["doc_id"] for r in rows if not r["text"].startswith("text ")] == [0]
+    at = {}
+    for r in rows:
+        if r["text"].startswith("text "):
+            at.setdefault(r["part"], set()).add(where[r["doc_id"]])
+    # a part of the result holds whole parts of the input: but for rows that share a bit with a copy none was dealt anew
+    assert sum(len(parts) > 1 for parts in at.values()) <= 1
+
+
+def test_parts_are_told_by_the_bitmap(spark):
+    rows = spark.range(5000).select(F.col("id").cast("string").alias("k"))
+    keys = rows.filter("k % 7 = 0")
+    may, no = simhash._parts(rows, "k", keys)
+    may, no = {int(r["k"]) for r in may.collect()}, {int(r["k"]) for r in no.collect()}
+    assert may | no == set(range(5000)) and not may & no
+    assert may >= set(range(0, 5000, 7)) and len(no) > 3500
+    may, no = simhash._parts(rows, "k", keys.limit(0))
+    assert may.count() == 0 and no.count() == 5000
