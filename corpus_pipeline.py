@@ -37,7 +37,8 @@ def masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Piece ids of all documents (binary, little-endian unsigned 32-bit), their number, and the decoded text."""
-    coded = pieces.encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"))
+    # the stages before have filled the executors' heaps, so the workers get half the room for words
+    coded = pieces.encode(docs.select("doc_id", "text"), public_tokenizers.path("piece_bpe_32k.model"), words=pieces.WORDS // 2, run=1 << 20)
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), "ids", "decoded")
 
 

@@ -20,16 +20,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .batches import Memo, map_text, worker_state
+from .batches import RUN, Memo, map_text, worker_state
 
 SPACE = "▁"  # stands for a blank in pieces
-WORDS, PARTS = 400_000, 200_000  # words and parts of cut words that a worker remembers, twice at most
+WORDS = 400_000  # words that a worker remembers, and half as many parts of cut words, twice at most
 
 
 class Pieces:
     """One vocabulary with what has been encoded by it."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int = WORDS):
         import sentencepiece
 
         lib = self.library = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -47,8 +47,8 @@ class Pieces:
         self.cost = {lib.id_to_piece(i): -lib.get_score(i) for i in plain}
         self.inside = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         self.begin, self.end = (array("I", [i]).tobytes() for i in (lib.bos_id(), lib.eos_id()))
-        self.part = Memo(self._part, PARTS)
-        self.word = Memo(self._word, WORDS)
+        self.part = Memo(self._part, words // 2)
+        self.word = Memo(self._word, words)
         self.fresh: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -131,16 +131,18 @@ class Pieces:
         self.fresh = {}
 
 
-def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+def encode(df: DataFrame, path: str, text: str = "text", words: int = WORDS, run: int = RUN) -> DataFrame:
     """The columns of ``df`` but ``text``, with ``ids`` (binary: little-endian unsigned 32-bit ids
     between the begin and the end id) and ``decoded`` (the library's text for them).
 
     Columns of these names are replaced. Null counts as the empty text, whose ids are begin and end.
     Rows keep their number and repeated rows get equal results; an empty table gives an empty one.
+    A worker remembers about ``words`` words and takes up texts of about ``run`` bytes at once: fewer
+    take less memory and more time, and change no result.
     """
 
     def start():
-        model = worker_state(("pieces", path), lambda: Pieces(path))
+        model = worker_state(("pieces", path, words), lambda: Pieces(path, words))
 
         def make(texts: pa.Array) -> list[pa.Array]:
             ids, ends = model.encode([t or "" for t in texts.to_pylist()])
@@ -152,4 +154,4 @@ def encode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
 
         return make
 
-    return map_text(df, text, {"ids": "binary", "decoded": "string"}, start)
+    return map_text(df, text, {"ids": "binary", "decoded": "string"}, start, run)
