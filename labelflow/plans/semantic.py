@@ -11,7 +11,7 @@ from ..operators.similarity import attach_nearest, rerank_attached
 from ..operators.stats import label_statistics
 from ..operators.taxonomy import with_label_text
 from ..operators.vectors import bucket_words, embed_text, weight_vector
-from ..settings import written
+from ..settings import written_together
 from ..sources.sinks import run_manifest, write_csv, write_json_lines, write_manifest
 
 __all__ = ["enrich_semantic", "store_semantic"]
@@ -29,7 +29,7 @@ def enrich_semantic(
     Without a provider entities are found by pattern, in the record's own row. The prepared table
     is written once with its hashed words, because the word weights need a pass of their own.
     """
-    prepared = written(prepared.withColumn("_buckets", bucket_words("combined_text", dim)), "prepared")
+    prepared = written_together(prepared.withColumn("_buckets", bucket_words("combined_text", dim)), "prepared")
     weights = weight_vector(prepared, "combined_text", dim, "_buckets")
     points = embed_text(prepared, "combined_text", dim, weights=weights, buckets="_buckets").drop("_buckets")
     targets = embed_text(with_label_text(labels), "label_plus_desc", dim, weights=weights)
@@ -55,12 +55,13 @@ def enrich_semantic(
 def store_semantic(enriched: DataFrame, path: str, run_id: str) -> DataFrame:
     """Write the flat file, the JSON lines, the label statistics and the run summary; return it.
 
-    The enriched table is computed once; all files are made from the written copy.
+    The enriched table is computed once; all files are made from the written copy. The flat file and the lines
+    hold every text several times and are compressed (gzip).
     """
-    enriched = written(enriched, "enriched")
+    enriched = written_together(enriched, "enriched")
     files = {n: f"{path}/{n}" for n in ("enriched_csv", "enriched_jsonl", "label_statistics", "summary")}
-    write_json_lines(enriched, files["enriched_jsonl"])
-    write_csv(enriched, files["enriched_csv"])
+    write_json_lines(enriched, files["enriched_jsonl"], "gzip")
+    write_csv(enriched, files["enriched_csv"], compression="gzip")
     stats = label_statistics(enriched, "combined_ontology_labels")
     write_csv(stats, files["label_statistics"], skip=())
     listed = {n: p for n, p in files.items() if n != "summary"}

@@ -55,3 +55,32 @@ def test_words_are_numbered_where_they_lie(spark):
         assert stored[0] == 30 and (stored[2] == 0) == (bound is None) and (stored[1] == 0) == (bound == "1")
         want = want or got
         assert got == want and len(got) >= 39
+
+
+def test_stored_texts_take_their_room_once(spark, tmp_path):
+    from labelflow import plans as P
+
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789 \n", k=4000)) for _ in range(50)]
+    rows = [(i, f"u{i}", "t", t, None, '{"tags":["a"]}') for i, t in enumerate(texts)]
+    records = spark.createDataFrame(rows, "id bigint, url string, title string, content string, created_at string, metadata string")
+    labels = spark.createDataFrame([("a", "a b c", "a"), ("b", "d e", "b")], "label string, description string, path string")
+    start = len(settings._folders)
+    done = P.enrich_semantic(P.prepare(records).coalesce(1), labels, 1, dim=8)
+    summary = P.store_semantic(done, str(tmp_path), "r").collect()
+    assert summary[0]["total_records"] == 50 and len(summary[0]["files_created"]) == 3
+    size = lambda top: sum(len(open(f, "rb").read()) for f in glob.glob(f"{top}/**/part-*", recursive=True))
+    own = [f.removeprefix("file:") for f in settings._folders[start:]]
+    copies = [size(f) for f in own if glob.glob(f"{f}/prepared") or glob.glob(f"{f}/enriched")] + [size(tmp_path / n) for n in ("enriched_csv", "enriched_jsonl")]
+    assert len(copies) == 4 and max(copies) < 1.5 * sum(map(len, texts))  # three texts are in each
+    want = {r["id"]: (r["content"], r["cleaned_content"], r["combined_text"], r["ontology_labels_k"]) for r in done.collect()}
+    lines = {r["id"]: (r["content"], r["cleaned_content"], r["combined_text"], r["ontology_labels_k"]) for r in spark.read.json(f"{tmp_path}/enriched_jsonl").collect()}
+    flat = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(f"{tmp_path}/enriched_csv")
+    assert lines == want and {int(r["id"]): r["combined_text"] for r in flat.collect()} == {i: w[2] for i, w in want.items()}
+
+
+def test_rows_written_together_are_the_same(spark):
+    df = spark.createDataFrame([(1, "a", None, ["x"]), (2, None, "", None), (None, "c", "d", [])], "_texts int, b string, `c d` string, e array<string>")
+    for some in (df, df.select("_texts", "e"), df.limit(0)):
+        back = settings.written_together(some, "t")
+        assert back.schema.simpleString() == some.schema.simpleString() and sorted(back.collect(), key=str) == sorted(some.collect(), key=str)
