@@ -84,3 +84,24 @@ def test_rows_written_together_are_the_same(spark):
     for some in (df, df.select("_texts", "e"), df.limit(0)):
         back = settings.written_together(some, "t")
         assert back.schema.simpleString() == some.schema.simpleString() and sorted(back.collect(), key=str) == sorted(some.collect(), key=str)
+
+
+def test_records_are_not_copied_for_the_cells_they_look_at(spark):
+    rng = np.random.default_rng(9)
+    x = np.vstack([rng.normal(size=(150, 6)), np.zeros((2, 6)), np.ones((20, 6))])  # without structure, without direction, equal
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id bigint, vector array<float>")
+    labels = df.select(F.format_string("l%03d", "id").alias("label"), F.when(F.col("id") % 2 == 0, "p").alias("path"), "vector")
+    lists = lambda d: {(r["id"], tuple(r["candidate_labels"]), tuple(r["candidate_scores"])) for r in d.collect()}
+    want = lists(O.attach_nearest(df, labels, 5, form="broadcast"))
+    for bound in (None, "3000", "1"):  # one chunk, chunks of cells, chunks of one label
+        some = labels if bound != "1" else labels.limit(8)
+        start = len(settings._folders)
+        if bound:
+            spark.conf.set("spark.labelflow.broadcastBytes", bound)
+        try:
+            got = lists(O.attach_nearest(df, some, 5, form="cells"))
+        finally:
+            spark.conf.unset("spark.labelflow.broadcastBytes")
+        assert got == (want if some is labels else lists(O.attach_nearest(df, some, 5, form="broadcast")))
+        (asked,) = [f"{f}/asked".removeprefix("file:") for f in settings._folders[start:] if glob.glob(f"{f}/asked".removeprefix("file:"))]
+        assert spark.read.parquet(asked).columns == ["_key", "_v"] and spark.read.parquet(asked).count() == 170
